@@ -31,7 +31,7 @@ from metricfold.operators.ranking import rank_within, sort_all, top_n
 from metricfold.operators.validate import require_columns
 from metricfold.plans import metrics as M
 from metricfold.plans.analogues import REASON_COLUMNS, daily_wide, lead_parts_by_weekday, route_lines
-from metricfold.plans.runner import full_recompute, run_metrics
+from metricfold.plans.runner import full_recompute, results, run_metrics
 from metricfold.plans.state import StateStore
 from metricfold.schemas import CATALOG, DRIVER
 from metricfold.session import scratch_dir
@@ -94,7 +94,8 @@ def _two_runs(spark, sf_dir, specs, label: str):
     t = _tables(spark, sf_dir)
     store = _fresh_store(spark, label)
     run_metrics(spark, t, specs, store, cut=CUTS)
-    return run_metrics(spark, t, specs, store), store
+    run_metrics(spark, t, specs, store)
+    return results(t, specs, store), store
 
 
 def state_lookup(spark, sf_dir):
@@ -115,7 +116,8 @@ def merge_when_no_prior(spark, sf_dir):
     t = _tables(spark, sf_dir)
     store = _fresh_store(spark, "no-prior")
     assert store.merged(M.TOP_ORIGINS.name, M.TOP_ORIGINS.keys, M.TOP_ORIGINS.sums) is None
-    return run_metrics(spark, t, [M.TOP_ORIGINS], store)[M.TOP_ORIGINS.name].full
+    run_metrics(spark, t, [M.TOP_ORIGINS], store)
+    return results(t, [M.TOP_ORIGINS], store)[M.TOP_ORIGINS.name].full
 
 
 def sql_view_top(spark, sf_dir):

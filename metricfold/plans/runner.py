@@ -1,15 +1,22 @@
 """Running metrics: one increment per call, merged with everything committed before.
 
 ``run_metrics`` is the job: for each metric it cuts the rows newer than the
-metric's watermark, writes their partial, commits a new state version, and
-returns the merged results.  ``full_recompute`` is the one-shot form: the same
-spec over every row, with no state.
+metric's watermark, writes their partial, and commits a new state version.
+``results`` reads the merged results.  ``full_recompute`` is the one-shot form:
+the same spec over every row, with no state.
+
+The partial of a metric goes to a window keyed by the metric's *old* watermark,
+which is known before anything runs, so the partial writes and the jobs that
+find each increment's first and last day are independent: they are submitted
+together and Spark schedules them side by side.  The state version is written
+after all of them succeeded.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +28,9 @@ from metricfold.plans.metrics import MetricSpec
 from metricfold.plans.state import MetricState, StateStore, window_key
 from metricfold.sinks.files import write_parquet, write_single_csv
 
+# Concurrent Spark jobs submitted by one run (partials + bounds).
+MAX_CONCURRENT_JOBS = 8
+
 
 @dataclass(frozen=True)
 class MetricResult:
@@ -44,64 +54,75 @@ def increment_of(tables: Mapping[str, DataFrame], source: str, watermark: dt.dat
     return after(as_of(tables[source], column, cut), column, watermark)
 
 
+def current_states(store: StateStore, specs: Sequence[MetricSpec]) -> dict[str, MetricState]:
+    """Latest committed state rows; metrics never run before get their seed row."""
+    states = store.latest()
+    for row in seed_rows([s for s in specs if s.name not in states], store.root):
+        states[row.metricName] = row
+    return states
+
+
 def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
                 store: StateStore, cut: Mapping[str, dt.date] | None = None,
-                now: dt.datetime | None = None,
-                write_results: bool = False) -> dict[str, MetricResult]:
-    """One run of the job over the given metrics.
+                now: dt.datetime | None = None) -> dict[str, MetricState]:
+    """One run of the job over the given metrics; returns the new state rows.
 
     ``cut`` (fact table -> day) replays history: that table is seen as it stood at
-    the end of the day.  Metrics whose increment is empty keep state and result.
+    the end of the day.  A metric whose increment is empty keeps its state.
     """
     cut = dict(cut or {})
     for spec in specs:
         require_tables(tables, spec.required)
-    store.seed(seed_rows(specs, store.root))
-    states = store.latest()
-    missing = [s for s in specs if s.name not in states]
-    if missing:
-        states.update({r.metricName: r for r in seed_rows(missing, store.root)})
+    states = current_states(store, specs)
     now = now or dt.datetime.now().replace(microsecond=0)
 
-    # One bounds job per (fact table, watermark): metrics that share both share it.
-    bounds_memo: dict[tuple[str, dt.date | None], tuple] = {}
+    increments = {
+        spec.name: increment_of(tables, spec.source, states[spec.name].dateTo, cut.get(spec.source))
+        for spec in specs
+    }
+
+    def write_partial(spec: MetricSpec) -> None:
+        window = window_key(states[spec.name].dateTo)
+        store.write_partial(spec.name, window, spec.partial(tables, increments[spec.name]))
+
+    # Metrics that read the same table from the same watermark share one bounds job.
+    bounds_keys: dict[tuple, str] = {}
+    for spec in specs:
+        bounds_keys.setdefault((spec.source, states[spec.name].dateTo), spec.name)
+    with ThreadPoolExecutor(max_workers=MAX_CONCURRENT_JOBS) as pool:
+        bound_jobs = {
+            key: pool.submit(bounds, increments[name], DATE_COLUMN[key[0]])
+            for key, name in bounds_keys.items()
+        }
+        partial_jobs = [pool.submit(write_partial, spec) for spec in specs]
+        for job in partial_jobs:
+            job.result()
+        found = {key: job.result() for key, job in bound_jobs.items()}
+
     new_rows: dict[str, MetricState] = {}
-    changed = False
     for spec in specs:
         old = states[spec.name]
-        inc = increment_of(tables, spec.source, old.dateTo, cut.get(spec.source))
-        memo_key = (spec.source, old.dateTo)
-        if memo_key not in bounds_memo:
-            bounds_memo[memo_key] = bounds(inc, DATE_COLUMN[spec.source])
-        first, last = bounds_memo[memo_key]
-        if last is None:                       # nothing new: state and result unchanged
+        first, last = found[(spec.source, old.dateTo)]
+        if last is None:                       # nothing new: the written partial stays invisible
             new_rows[spec.name] = replace(old, committedWindow=None)
-            continue
-        window = window_key(old.dateTo)
-        partial = spec.partial(tables, inc)
-        store.write_partial(spec.name, window, partial)
-        new_rows[spec.name] = replace(
-            old, date=now, dateFrom=old.dateFrom or first, dateTo=last, committedWindow=window,
-        )
-        changed = True
-
-    untouched = [r for name, r in states.items() if name not in new_rows]
-    if changed:
-        store.commit(list(new_rows.values()) + [replace(r, committedWindow=None) for r in untouched])
-
-    results = {spec.name: read_result(tables, spec, store, new_rows[spec.name]) for spec in specs}
-    if write_results:
-        for name, res in results.items():
-            if res.state.pathAll:
-                write_parquet(res.full, res.state.pathAll)
-            if res.state.path:
-                write_single_csv(res.top, res.state.path)
-    return results
+        else:
+            new_rows[spec.name] = replace(old, date=now, dateFrom=old.dateFrom or first,
+                                          dateTo=last, committedWindow=window_key(old.dateTo))
+    if any(r.committedWindow is not None for r in new_rows.values()):
+        others = [replace(r, committedWindow=None) for n, r in states.items() if n not in new_rows]
+        store.commit(list(new_rows.values()) + others)
+    return new_rows
+
+
+def results(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
+            store: StateStore) -> dict[str, MetricResult]:
+    """Merged results of every committed increment (empty when there is none yet)."""
+    states = current_states(store, specs)
+    return {spec.name: read_result(tables, spec, store, states[spec.name]) for spec in specs}
 
 
 def read_result(tables: Mapping[str, DataFrame], spec: MetricSpec, store: StateStore,
                 state: MetricState) -> MetricResult:
-    """Merged result of every committed increment (empty when there is none yet)."""
     merged = store.merged(spec.name, spec.keys, spec.sums)
     if merged is None:
         merged = empty_partial(tables, spec)
@@ -110,6 +131,30 @@ def read_result(tables: Mapping[str, DataFrame], spec: MetricSpec, store: StateS
                         state=state)
 
 
+def write_results(res: Mapping[str, MetricResult]) -> None:
+    """Full result as Parquet at ``pathAll``, top result as one CSV file at ``path``.
+
+    Both are derived data: they are rebuilt from the partials on every run and
+    never read back for merging.
+    """
+    for r in res.values():
+        if r.state.pathAll:
+            write_parquet(r.full, r.state.pathAll)
+        if r.state.path:
+            write_single_csv(r.top, r.state.path)
+
+
+def run_job(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
+            store: StateStore, cut: Mapping[str, dt.date] | None = None,
+            write: bool = True) -> dict[str, MetricResult]:
+    """Run, then read (and by default write out) every metric's result."""
+    run_metrics(spark, tables, specs, store, cut=cut)
+    res = results(tables, specs, store)
+    if write:
+        write_results(res)
+    return res
+
+
 def empty_partial(tables: Mapping[str, DataFrame], spec: MetricSpec) -> DataFrame:
     """The partial of an empty increment (right schema, no rows)."""
     inc = tables[spec.source].limit(0)

@@ -66,6 +66,7 @@ class StateStore:
         self.state_dir = f"{self.root}/state"
         self.partial_dir = f"{self.root}/partials"
         self._cache: list | None = None
+        self._schemas: dict[str, T.StructType] = {}
 
     # ---- state table --------------------------------------------------------------
 
@@ -135,18 +136,21 @@ class StateStore:
 
     def write_partial(self, metric: str, window: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(self.partial_path(metric, window))
+        self._schemas[metric] = df.schema
 
     def read_partials(self, metric: str) -> DataFrame | None:
         """Committed partials of ``metric``, or None when there is no prior result.
 
         The partition column is declared as a string so that ``none`` and dates do
         not mix under type inference; the data columns' schema comes from the
-        footer of one committed partial.
+        footer of one committed partial (or from the write, in this process).
         """
         windows = self.committed_windows(metric)
         if not windows:
             return None
-        schema = self.spark.read.parquet(self.partial_path(metric, windows[0])).schema
+        schema = self._schemas.get(metric)
+        if schema is None:
+            schema = self.spark.read.parquet(self.partial_path(metric, windows[0])).schema
         full = T.StructType(schema.fields + [T.StructField("window_start", T.StringType(), True)])
         df = self.spark.read.schema(full).parquet(f"{self.partial_dir}/{metric}")
         return df.filter(F.col("window_start").isin(windows)).drop("window_start")
