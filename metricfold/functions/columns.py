@@ -27,7 +27,7 @@ def day_from_parts(year: str | Column, month: str | Column, day: str | Column,
     if not lenient:
         return F.make_date(y, m, d)
     text = F.format_string("%04d-%02d-%02d", y, m, d)
-    return F.try_to_date(text, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(text, "yyyy-MM-dd")
 
 
 def first_positive(labelled: Mapping[str, str | Column]) -> Column:

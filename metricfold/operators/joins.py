@@ -16,20 +16,30 @@ from pyspark.sql import functions as F
 
 # A dimension of up to this many rows may be broadcast.  Dimension rows here are a
 # key plus one or two short attributes (<100 bytes), so the bound keeps a broadcast
-# well under 100 MB per executor.
+# well under 100 MB per executor.  Override per session with this setting.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS_CONF = "metricfold.broadcast.maxRows"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+def broadcast_max_rows(df: DataFrame, max_rows: int | None = None) -> int:
+    if max_rows is not None:
+        return max_rows
+    return int(df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     ``limit(max_rows + 1).count()`` stops each task after ``max_rows + 1`` rows and
     reads no column data, so the check stays cheap however large the table is.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    bound = broadcast_max_rows(df, max_rows)
+    if bound <= 0:
+        return False
+    return df.limit(bound + 1).count() <= bound
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``df`` marked for broadcast when its size is proven small, else unchanged."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
@@ -41,7 +51,7 @@ def fixed_small(df: DataFrame) -> DataFrame:
 
 def attach(df: DataFrame, dim: DataFrame, key: str, dim_key: str,
            columns: Mapping[str, str], broadcast: bool | None = None,
-           max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           max_rows: int | None = None) -> DataFrame:
     """Inner-join ``dim`` attributes onto ``df`` by ``key = dim_key``.
 
     ``columns`` maps dimension column -> output name; dimension columns are renamed
@@ -63,17 +73,18 @@ def attach(df: DataFrame, dim: DataFrame, key: str, dim_key: str,
 _SIZE_CLASS: dict[tuple[int, int], bool] = {}
 
 
-def fits_broadcast_once(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """:func:`fits_broadcast`, remembered per logical plan for this process."""
-    key = (df.semanticHash(), max_rows)
+def fits_broadcast_once(df: DataFrame, max_rows: int | None = None) -> bool:
+    """:func:`fits_broadcast`, remembered per logical plan and bound for this process."""
+    bound = broadcast_max_rows(df, max_rows)
+    key = (df.semanticHash(), bound)
     if key not in _SIZE_CLASS:
-        _SIZE_CLASS[key] = fits_broadcast(df, max_rows)
+        _SIZE_CLASS[key] = fits_broadcast(df, bound)
     return _SIZE_CLASS[key]
 
 
 def roll_up(df: DataFrame, key: str, dim: DataFrame, dim_key: str,
             attrs: Mapping[str, str], sums: Sequence[str], pre_aggregate: bool = True,
-            max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+            max_rows: int | None = None) -> DataFrame:
     """Swap fact key ``key`` for dimension attributes ``attrs`` (inner join).
 
     ``df`` holds additive columns ``sums`` next to key columns.  The result has the

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricfold.functions.columns import cents
-from metricfold.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast_once, roll_up
+from metricfold.operators.joins import fits_broadcast_once, roll_up
 
 # Column holding the day of each fact table (the increment is cut on it).
 DATE_COLUMN = {"lineitem": "l_shipdate", "events": "ts"}
@@ -85,7 +85,7 @@ def route_lines(lines: DataFrame, tables, weight: str = "flights") -> DataFrame:
 
 
 def lead_parts_by_weekday(lines: DataFrame, orders: DataFrame,
-                          max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                          max_rows: int | None = None) -> DataFrame:
     """``(day_of_week, lead_sum, lead_count)`` of ``datediff(l_shipdate, o_orderdate)``.
 
     Small ``orders``: broadcast join, then one aggregate.  Large ``orders``: lines are

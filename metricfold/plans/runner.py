@@ -21,9 +21,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricfold.operators.increment import after, as_of, bounds
 from metricfold.operators.validate import require_tables
-from metricfold.plans.analogues import DATE_COLUMN
+from metricfold.plans.facts import FACT_TABLES, FactTable, bounds
 from metricfold.plans.metrics import MetricSpec
 from metricfold.plans.state import MetricState, StateStore, window_key
 from metricfold.sinks.files import write_parquet, write_single_csv
@@ -47,11 +46,10 @@ def seed_rows(specs: Sequence[MetricSpec], root: str) -> list[MetricState]:
     ]
 
 
-def increment_of(tables: Mapping[str, DataFrame], source: str, watermark: dt.date | None,
+def increment_of(tables: Mapping[str, DataFrame], fact: FactTable, watermark: dt.date | None,
                  cut: dt.date | None = None) -> DataFrame:
-    """Rows of ``source`` after ``watermark`` (and, to replay history, on or before ``cut``)."""
-    column = DATE_COLUMN[source]
-    return after(as_of(tables[source], column, cut), column, watermark)
+    """Rows of ``fact`` after ``watermark`` (and, to replay history, on or before ``cut``)."""
+    return fact.after(fact.as_of(tables[fact.name], cut), watermark)
 
 
 def current_states(store: StateStore, specs: Sequence[MetricSpec]) -> dict[str, MetricState]:
@@ -64,7 +62,8 @@ def current_states(store: StateStore, specs: Sequence[MetricSpec]) -> dict[str,
 
 def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
                 store: StateStore, cut: Mapping[str, dt.date] | None = None,
-                now: dt.datetime | None = None) -> dict[str, MetricState]:
+                now: dt.datetime | None = None,
+                facts: Mapping[str, FactTable] = FACT_TABLES) -> dict[str, MetricState]:
     """One run of the job over the given metrics; returns the new state rows.
 
     ``cut`` (fact table -> day) replays history: that table is seen as it stood at
@@ -77,7 +76,8 @@ def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Seq
     now = now or dt.datetime.now().replace(microsecond=0)
 
     increments = {
-        spec.name: increment_of(tables, spec.source, states[spec.name].dateTo, cut.get(spec.source))
+        spec.name: increment_of(tables, facts[spec.source], states[spec.name].dateTo,
+                                cut.get(spec.source))
         for spec in specs
     }
 
@@ -91,7 +91,7 @@ def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Seq
         bounds_keys.setdefault((spec.source, states[spec.name].dateTo), spec.name)
     with ThreadPoolExecutor(max_workers=MAX_CONCURRENT_JOBS) as pool:
         bound_jobs = {
-            key: pool.submit(bounds, increments[name], DATE_COLUMN[key[0]])
+            key: pool.submit(bounds, facts[key[0]], increments[name])
             for key, name in bounds_keys.items()
         }
         partial_jobs = [pool.submit(write_partial, spec) for spec in specs]
@@ -146,9 +146,10 @@ def write_results(res: Mapping[str, MetricResult]) -> None:
 
 def run_job(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
             store: StateStore, cut: Mapping[str, dt.date] | None = None,
-            write: bool = True) -> dict[str, MetricResult]:
+            write: bool = True, facts: Mapping[str, FactTable] = FACT_TABLES,
+            ) -> dict[str, MetricResult]:
     """Run, then read (and by default write out) every metric's result."""
-    run_metrics(spark, tables, specs, store, cut=cut)
+    run_metrics(spark, tables, specs, store, cut=cut, facts=facts)
     res = results(tables, specs, store)
     if write:
         write_results(res)
