@@ -73,22 +73,35 @@ def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Seq
     for spec in specs:
         require_tables(tables, spec.required)
     states = current_states(store, specs)
-    now = now or dt.datetime.now().replace(microsecond=0)
-
     increments = {
         spec.name: increment_of(tables, facts[spec.source], states[spec.name].dateTo,
                                 cut.get(spec.source))
         for spec in specs
     }
+    windows = {spec.name: window_key(states[spec.name].dateTo) for spec in specs}
+    return commit_increments(tables, specs, store, states, increments, windows, facts, now)
+
+
+def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
+                      store: StateStore, states: Mapping[str, MetricState],
+                      increments: Mapping[str, DataFrame], windows: Mapping[str, str],
+                      facts: Mapping[str, FactTable] = FACT_TABLES,
+                      now: dt.datetime | None = None) -> dict[str, MetricState]:
+    """Write each metric's partial of its increment under its window, then commit.
+
+    Partial writes and bounds jobs run concurrently; the new state version is
+    written only after all of them succeeded.  Re-running with the same windows
+    overwrites the same partials, so a retry never counts a row twice.
+    """
+    now = now or dt.datetime.now().replace(microsecond=0)
 
     def write_partial(spec: MetricSpec) -> None:
-        window = window_key(states[spec.name].dateTo)
-        store.write_partial(spec.name, window, spec.partial(tables, increments[spec.name]))
+        store.write_partial(spec.name, windows[spec.name], spec.partial(tables, increments[spec.name]))
 
-    # Metrics that read the same table from the same watermark share one bounds job.
+    # Metrics that read the same table in the same window share one bounds job.
     bounds_keys: dict[tuple, str] = {}
     for spec in specs:
-        bounds_keys.setdefault((spec.source, states[spec.name].dateTo), spec.name)
+        bounds_keys.setdefault((spec.source, windows[spec.name]), spec.name)
     with ThreadPoolExecutor(max_workers=MAX_CONCURRENT_JOBS) as pool:
         bound_jobs = {
             key: pool.submit(bounds, facts[key[0]], increments[name])
@@ -102,12 +115,14 @@ def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Seq
     new_rows: dict[str, MetricState] = {}
     for spec in specs:
         old = states[spec.name]
-        first, last = found[(spec.source, old.dateTo)]
+        first, last = found[(spec.source, windows[spec.name])]
         if last is None:                       # nothing new: the written partial stays invisible
             new_rows[spec.name] = replace(old, committedWindow=None)
-        else:
-            new_rows[spec.name] = replace(old, date=now, dateFrom=old.dateFrom or first,
-                                          dateTo=last, committedWindow=window_key(old.dateTo))
+            continue
+        date_from = min(d for d in (old.dateFrom, first) if d is not None)
+        date_to = max(d for d in (old.dateTo, last) if d is not None)
+        new_rows[spec.name] = replace(old, date=now, dateFrom=date_from, dateTo=date_to,
+                                      committedWindow=windows[spec.name])
     if any(r.committedWindow is not None for r in new_rows.values()):
         others = [replace(r, committedWindow=None) for n, r in states.items() if n not in new_rows]
         store.commit(list(new_rows.values()) + others)
