@@ -6,20 +6,21 @@ metric's watermark, writes their partial, and commits a new state version.
 the same spec over every row, with no state.
 
 The partial of a metric goes to a window keyed by the metric's *old* watermark,
-which is known before anything runs, so the partial writes and the jobs that
-find each increment's first and last day are independent: they are submitted
-together and Spark schedules them side by side.  The state version is written
-after all of them succeeded.
+which is known before anything runs, so the partial writes of all metrics are
+independent: they are submitted together and Spark schedules them side by side.
+The state version is written after all of them succeeded.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from metricfold.operators.validate import require_tables
 from metricfold.plans.facts import FACT_TABLES, FactTable, bounds
@@ -27,7 +28,7 @@ from metricfold.plans.metrics import MetricSpec
 from metricfold.plans.state import MetricState, StateStore, window_key
 from metricfold.sinks.files import write_parquet, write_single_csv
 
-# Concurrent Spark jobs submitted by one run (partials + bounds).
+# Concurrent Spark jobs submitted by one run (one partial write per metric).
 MAX_CONCURRENT_JOBS = 8
 
 
@@ -89,33 +90,36 @@ def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpe
                       now: dt.datetime | None = None) -> dict[str, MetricState]:
     """Write each metric's partial of its increment under its window, then commit.
 
-    Partial writes and bounds jobs run concurrently; the new state version is
-    written only after all of them succeeded.  Re-running with the same windows
-    overwrites the same partials, so a retry never counts a row twice.
+    The first and last day of each increment are observed (``DataFrame.observe``)
+    by the job that writes its partial, so finding them costs no extra pass over
+    the data.  Partial writes of different metrics run concurrently; the new state
+    version is written only after all of them succeeded.  Re-running with the
+    same windows overwrites the same partials, so a retry never counts a row twice.
     """
     now = now or dt.datetime.now().replace(microsecond=0)
 
-    def write_partial(spec: MetricSpec) -> None:
-        store.write_partial(spec.name, windows[spec.name], spec.partial(tables, increments[spec.name]))
+    def write_partial(spec: MetricSpec) -> tuple:
+        """Write the partial; the increment's first and last day come from the same job."""
+        fact = facts[spec.source]
+        observation = Observation(f"bounds_{spec.name}_{uuid.uuid4().hex[:8]}")
+        day = fact.day()
+        observed = increments[spec.name].observe(
+            observation, F.min(day).alias("first"), F.max(day).alias("last"))
+        store.write_partial(spec.name, windows[spec.name], spec.partial(tables, observed))
+        try:
+            got = observation.get
+            return got["first"], got["last"]
+        except Exception:          # no task reported metrics: nothing was scanned
+            return bounds(fact, increments[spec.name])
 
-    # Metrics that read the same table in the same window share one bounds job.
-    bounds_keys: dict[tuple, str] = {}
-    for spec in specs:
-        bounds_keys.setdefault((spec.source, windows[spec.name]), spec.name)
     with ThreadPoolExecutor(max_workers=MAX_CONCURRENT_JOBS) as pool:
-        bound_jobs = {
-            key: pool.submit(bounds, facts[key[0]], increments[name])
-            for key, name in bounds_keys.items()
-        }
-        partial_jobs = [pool.submit(write_partial, spec) for spec in specs]
-        for job in partial_jobs:
-            job.result()
-        found = {key: job.result() for key, job in bound_jobs.items()}
+        jobs = {spec.name: pool.submit(write_partial, spec) for spec in specs}
+        found = {name: job.result() for name, job in jobs.items()}
 
     new_rows: dict[str, MetricState] = {}
     for spec in specs:
         old = states[spec.name]
-        first, last = found[(spec.source, windows[spec.name])]
+        first, last = found[spec.name]
         if last is None:                       # nothing new: the written partial stays invisible
             new_rows[spec.name] = replace(old, committedWindow=None)
             continue

@@ -26,7 +26,7 @@ import datetime as dt
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,8 +74,8 @@ class StateStore:
         """Every state row of every version.
 
         The state table is metadata: one row per metric per run, so even years of
-        daily runs are a few thousand rows.  It is read once per store object and
-        re-read after each commit.
+        daily runs are a few thousand rows.  It is read once per store object; rows
+        this object commits are appended to the cached copy (one writer per store).
         """
         if self._cache is None:
             schema = T.StructType(STATE.fields + [T.StructField("version", T.IntegerType(), True)])
@@ -103,7 +103,8 @@ class StateStore:
         version = 0 if current is None else current + 1
         df = self.spark.createDataFrame([r.as_tuple() for r in rows], STATE)
         df.coalesce(1).write.mode("overwrite").parquet(f"{self.state_dir}/version={version}")
-        self._cache = None
+        if self._cache is not None:     # single writer: what we wrote is what is stored
+            self._cache = self._cache + [Row(**r.__dict__, version=version) for r in rows]
         return version
 
     def seed(self, rows: list[MetricState]) -> None:
