@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metricfold.functions.columns import day_from_parts
 from metricfold.operators.aggregates import (
@@ -22,7 +23,6 @@ from metricfold.operators.aggregates import (
     mean_from_parts,
     merge_sums,
     share_of_total,
-    sum_by,
 )
 from metricfold.operators.increment import after, as_of, bounds
 from metricfold.operators.joins import attach, fixed_small, limit_then_join, merge_join
@@ -30,10 +30,10 @@ from metricfold.operators.projections import drop_incomplete, only_zero, project
 from metricfold.operators.ranking import rank_within, sort_all, top_n
 from metricfold.operators.validate import require_columns
 from metricfold.plans import metrics as M
-from metricfold.plans.analogues import REASON_COLUMNS, daily_wide, lead_parts_by_weekday, route_lines
+from metricfold.plans.analogues import REASON_COLUMNS, daily_wide, lead_parts_by_weekday
 from metricfold.plans.runner import full_recompute, results, run_metrics
 from metricfold.plans.state import StateStore
-from metricfold.schemas import CATALOG, DRIVER
+from metricfold.schemas import CATALOG, DRIVER, STATE, struct
 from metricfold.session import scratch_dir
 from metricfold.sinks.files import as_view, write_csv_dir, write_single_csv
 from metricfold.sources.catalog import path_for
@@ -69,10 +69,7 @@ def csv_infer_scan(spark, sf_dir):
 def single_file_csv(spark, sf_dir):
     top = metric_top_origins(spark, sf_dir)
     path = write_single_csv(top, scratch_dir(spark, "top-origins-csv"))
-    schema = "origin int, origin_name string, departures bigint"
-    from metricfold.schemas import struct
-
-    return read_csv(spark, path, struct(schema))
+    return read_csv(spark, path, struct("origin int, origin_name string, departures bigint"))
 
 
 def path_lookup(spark, sf_dir):
@@ -100,9 +97,6 @@ def _two_runs(spark, sf_dir, specs, label: str):
 
 def state_lookup(spark, sf_dir):
     _, store = _two_runs(spark, sf_dir, [M.TOP_ORIGINS], "state-lookup")
-    from metricfold.schemas import STATE
-    from pyspark.sql import types as T
-
     version = store.latest_version()
     schema = T.StructType(STATE.fields + [T.StructField("version", T.IntegerType(), True)])
     states = spark.read.schema(schema).parquet(store.state_dir)

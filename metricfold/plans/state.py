@@ -90,12 +90,23 @@ class StateStore:
         return max((r["version"] for r in rows), default=None)
 
     def latest(self) -> dict[str, MetricState]:
-        """Rows of the newest version (one per metric)."""
+        """Rows of the newest version; each metric must appear exactly once."""
         newest = self.latest_version()
-        return {
-            r["metricName"]: MetricState(**{f.name: r[f.name] for f in STATE.fields})
-            for r in self._rows() if r["version"] == newest
-        }
+        out: dict[str, MetricState] = {}
+        for r in self._rows():
+            if r["version"] != newest:
+                continue
+            if r["metricName"] in out:
+                raise ValueError(f"state version {newest} holds metric {r['metricName']!r} twice")
+            out[r["metricName"]] = MetricState(**{f.name: r[f.name] for f in STATE.fields})
+        return out
+
+    def state_of(self, metric: str) -> MetricState:
+        """The newest state row of one metric (error if it has none)."""
+        states = self.latest()
+        if metric not in states:
+            raise KeyError(f"no state row for metric {metric!r}")
+        return states[metric]
 
     def commit(self, rows: list[MetricState]) -> int:
         """Write the next version; returns its number."""

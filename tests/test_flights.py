@@ -201,3 +201,21 @@ def test_missing_column_is_reported(spark, tables):
     broken = dict(tables, flights=tables["flights"].drop("ARRIVAL_DELAY"))
     with pytest.raises(MissingColumnsError, match=r"The \[ARRIVAL_DELAY\] columns are not in the DF"):
         full_recompute(broken, FL.ON_TIME_AIRLINES)
+
+
+def test_command_line_job(spark, workdir, capsys):
+    from metricfold.__main__ import main
+
+    os.makedirs(workdir, exist_ok=True)
+    paths = {n: os.path.join(workdir, f"{n}.csv") for n in ("flights", "airports", "airlines")}
+    _write_csv(paths["flights"], COLS, [flight_record(*r) for r in FLIGHT_ROWS])
+    _write_csv(paths["airports"], [f.name for f in AIRPORTS.fields], AIRPORT_ROWS)
+    _write_csv(paths["airlines"], [f.name for f in AIRLINES.fields], AIRLINE_ROWS)
+    catalog = os.path.join(workdir, "file_path.csv")
+    _write_csv(catalog, ["name", "path"], sorted(paths.items()))
+    store = os.path.join(workdir, "store")
+    assert main(["--catalog", catalog, "--store", store, "--as-of", "2015-01-02"]) == 0
+    assert "TopAirportsByFlights: dateFrom=2015-01-01 dateTo=2015-01-02 window=none" in capsys.readouterr().out
+    assert main(["--catalog", catalog, "--store", store]) == 0
+    assert "dateTo=2015-01-03 window=2015-01-02" in capsys.readouterr().out
+    assert StateStore(spark, store).state_of("DelayReasons").dateTo == dt.date(2015, 1, 3)
