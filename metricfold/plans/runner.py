@@ -163,12 +163,30 @@ def write_results(res: Mapping[str, MetricResult]) -> None:
             write_single_csv(r.top, r.state.path)
 
 
+def compact(store: StateStore, specs: Sequence[MetricSpec], min_windows: int = 2) -> dict[str, str]:
+    """Fold the committed windows of every metric that has at least ``min_windows``."""
+    done = {}
+    for spec in specs:
+        if len(store.committed_windows(spec.name)) >= max(min_windows, 2):
+            window = store.compact(spec.name, spec.keys, spec.sums)
+            if window:
+                done[spec.name] = window
+    return done
+
+
+# A metric whose result is spread over this many windows is compacted by ``run_job``.
+COMPACT_AFTER_WINDOWS = 30
+
+
 def run_job(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
             store: StateStore, cut: Mapping[str, dt.date] | None = None,
             write: bool = True, facts: Mapping[str, FactTable] = FACT_TABLES,
+            compact_after: int | None = COMPACT_AFTER_WINDOWS,
             ) -> dict[str, MetricResult]:
-    """Run, then read (and by default write out) every metric's result."""
+    """Run, compact long window lists, then read (and write out) every metric's result."""
     run_metrics(spark, tables, specs, store, cut=cut, facts=facts)
+    if compact_after:
+        compact(store, specs, compact_after)
     res = results(tables, specs, store)
     if write:
         write_results(res)

@@ -35,6 +35,7 @@ from metricfold.schemas import STATE
 from metricfold.sources.csv import read_csv
 
 NO_WINDOW = "none"
+COMPACTED_PREFIX = "compact-"
 
 
 @dataclass(frozen=True)
@@ -136,10 +137,41 @@ class StateStore:
         self.seed(rows)
 
     def committed_windows(self, metric: str) -> list[str]:
-        return sorted({
-            r["committedWindow"] for r in self._rows()
-            if r["metricName"] == metric and r["committedWindow"] is not None
-        })
+        """Windows whose partials make up the metric's current result.
+
+        Versions are replayed in order; a compacted window (``compact-<version>``)
+        replaces every window committed before it.
+        """
+        live: set[str] = set()
+        rows = sorted((r for r in self._rows()
+                       if r["metricName"] == metric and r["committedWindow"] is not None),
+                      key=lambda r: r["version"])
+        for r in rows:
+            window = r["committedWindow"]
+            if window.startswith(COMPACTED_PREFIX):
+                live = set()
+            live.add(window)
+        return sorted(live)
+
+    def compact(self, metric: str, keys, sums) -> str | None:
+        """Fold every committed window of ``metric`` into one, then commit it.
+
+        Keeps the merge at read time proportional to the number of keys instead of
+        the number of runs.  The compacted partial is written under the *next*
+        version's window name and committed by that version, so a crash in between
+        leaves it invisible and a retry overwrites it.  Returns the new window, or
+        None when there is at most one window.
+        """
+        if len(self.committed_windows(metric)) < 2:
+            return None
+        merged = self.merged(metric, keys, sums)
+        current = self.latest_version()
+        window = f"{COMPACTED_PREFIX}{current + 1:09d}"
+        self.write_partial(metric, window, merged)
+        rows = [replace(r, committedWindow=window if name == metric else None)
+                for name, r in self.latest().items()]
+        self.commit(rows)
+        return window
 
     # ---- partials -----------------------------------------------------------------
 

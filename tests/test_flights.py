@@ -219,3 +219,28 @@ def test_command_line_job(spark, workdir, capsys):
     assert main(["--catalog", catalog, "--store", store]) == 0
     assert "dateTo=2015-01-03 window=2015-01-02" in capsys.readouterr().out
     assert StateStore(spark, store).state_of("DelayReasons").dateTo == dt.date(2015, 1, 3)
+
+
+def test_compaction_keeps_results_and_bounds_windows(spark, tables, workdir):
+    from metricfold.plans.runner import compact
+
+    store = StateStore(spark, workdir)
+    for day in (1, 2, None):
+        run_metrics(spark, tables, FL.FLIGHT_METRICS, store,
+                    cut={"flights": dt.date(2015, 1, day)} if day else None)
+    assert len(store.committed_windows("DelayReasons")) == 3
+    before = {m.name: sorted(map(tuple, r.top.collect()))
+              for m, r in zip(FL.FLIGHT_METRICS, results(tables, FL.FLIGHT_METRICS, store).values())}
+    done = compact(store, FL.FLIGHT_METRICS)
+    assert set(done) == {m.name for m in FL.FLIGHT_METRICS}
+    for m in FL.FLIGHT_METRICS:
+        assert store.committed_windows(m.name) == [done[m.name]]
+    after = results(tables, FL.FLIGHT_METRICS, store)
+    for m in FL.FLIGHT_METRICS:
+        assert sorted(map(tuple, after[m.name].top.collect())) == before[m.name], m.name
+    # A new day after compaction is added on top of the compacted window.
+    more = dict(tables, flights=flights_df(spark, FLIGHT_ROWS + [(4, "YY", "BBB", "AAA", 1, 1, None)]))
+    run_metrics(spark, more, FL.FLIGHT_METRICS, store)
+    assert len(store.committed_windows("TopAirportsByFlights")) == 2
+    res = results(more, [FL.TOP_AIRPORTS_BY_FLIGHTS], store)["TopAirportsByFlights"].top
+    assert collect(res, "ORIGIN_AIRPORT", "count") == [("AAA", 4), ("BBB", 3)]
