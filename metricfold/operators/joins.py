@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 # well under 100 MB per executor.  Override per session with this setting.
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_ROWS_CONF = "metricfold.broadcast.maxRows"
+# Before counting rows, the on-disk size of the side's input files is summed; above
+# this many bytes the side is not counted at all (so a huge table is never scanned
+# just to learn that it is huge).
+BROADCAST_MAX_FILE_BYTES = 512 * 1024 * 1024
+BROADCAST_MAX_FILE_BYTES_CONF = "metricfold.broadcast.maxFileBytes"
 
 
 def broadcast_max_rows(df: DataFrame, max_rows: int | None = None) -> int:
@@ -27,15 +32,34 @@ def broadcast_max_rows(df: DataFrame, max_rows: int | None = None) -> int:
     return int(df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
 
 
+def input_file_bytes(df: DataFrame) -> int:
+    """Total on-disk size of the files ``df`` reads (0 for in-memory data).
+
+    Uses the ``binaryFile`` source with only its ``length`` column selected, which
+    lists the files and reads no content.
+    """
+    files = df.inputFiles()
+    if not files:
+        return 0
+    total = (df.sparkSession.read.format("binaryFile").load(files)
+             .agg(F.sum("length")).first()[0])
+    return int(total or 0)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+    """True when ``df`` provably has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops each task after ``max_rows + 1`` rows and
-    reads no column data, so the check stays cheap however large the table is.
+    Two steps: the input files' total size must be under the byte budget (metadata
+    only), then ``limit(max_rows + 1).count()`` must stay within the bound.  The
+    count reads no column data and stops each task after ``max_rows + 1`` rows.
     """
     bound = broadcast_max_rows(df, max_rows)
     if bound <= 0:
         return False
+    max_bytes = int(df.sparkSession.conf.get(BROADCAST_MAX_FILE_BYTES_CONF,
+                                             str(BROADCAST_MAX_FILE_BYTES)))
+    if input_file_bytes(df) > max_bytes:
+        return False
     return df.limit(bound + 1).count() <= bound
 
 

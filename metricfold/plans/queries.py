@@ -154,21 +154,32 @@ def project_rename(spark, sf_dir):
 
 
 def alias_qualified(spark, sf_dir):
+    """Customer nation next to supplier nation for every line.
+
+    ``nation`` appears twice, as ``c`` and ``s``; columns are picked by alias.  Each
+    side's nation is resolved on the (smaller) order and supplier side first, so
+    the line rows take part in two joins, not four.
+    """
     t = _tables(spark, sf_dir)
-    l = t["lineitem"].alias("l")
-    o = t["orders"].alias("o")
-    cu = t["customer"].alias("cu")
-    su = t["supplier"].alias("su")
     c = fixed_small(t["nation"]).alias("c")
     s = fixed_small(t["nation"]).alias("s")
-    joined = (l.join(o, F.col("l.l_orderkey") == F.col("o.o_orderkey"))
-              .join(cu, F.col("o.o_custkey") == F.col("cu.c_custkey"))
-              .join(su, F.col("l.l_suppkey") == F.col("su.s_suppkey"))
-              .join(c, F.col("cu.c_nationkey") == F.col("c.n_nationkey"))
-              .join(s, F.col("su.s_nationkey") == F.col("s.n_nationkey")))
+    cu = t["customer"].alias("cu")
+    o = t["orders"].alias("o")
+    su = t["supplier"].alias("su")
+    l = t["lineitem"].alias("l")
+    order_nation = (o.join(cu, F.col("o.o_custkey") == F.col("cu.c_custkey"))
+                    .join(c, F.col("cu.c_nationkey") == F.col("c.n_nationkey"))
+                    .select(F.col("o.o_orderkey").alias("ok"), F.col("c.n_name").alias("customer_nation"))
+                    .alias("on"))
+    supplier_nation = (su.join(s, F.col("su.s_nationkey") == F.col("s.n_nationkey"))
+                       .select(F.col("su.s_suppkey").alias("sk"), F.col("s.n_name").alias("supplier_nation"))
+                       .alias("sn"))
+    joined = (l.join(order_nation, F.col("l.l_orderkey") == F.col("on.ok"))
+              .join(supplier_nation, F.col("l.l_suppkey") == F.col("sn.sk")))
     return joined.select(
         F.col("l.l_orderkey").alias("l_orderkey"), F.col("l.l_linenumber").alias("l_linenumber"),
-        F.col("c.n_name").alias("customer_nation"), F.col("s.n_name").alias("supplier_nation"),
+        F.col("on.customer_nation").alias("customer_nation"),
+        F.col("sn.supplier_nation").alias("supplier_nation"),
     )
 
 
@@ -297,11 +308,17 @@ def limit_then_join_query(spark, sf_dir):
 
 
 def merge_join_hint(spark, sf_dir):
+    """Orders per market segment through a sort-merge join.
+
+    Orders are first counted per customer (partial aggregation before the
+    shuffle), so the join sees one row per customer, and the count output is
+    already partitioned by the join key.
+    """
     t = _tables(spark, sf_dir)
-    orders = t["orders"].select("o_custkey")
+    per_customer = count_by(t["orders"], ["o_custkey"], "orders")
     customer = t["customer"].select("c_custkey", "c_mktsegment")
-    joined = merge_join(orders, customer, F.col("o_custkey") == F.col("c_custkey"))
-    return count_by(joined, ["c_mktsegment"])
+    joined = merge_join(per_customer, customer, F.col("o_custkey") == F.col("c_custkey"))
+    return joined.groupBy("c_mktsegment").agg(F.sum("orders").alias("n"))
 
 
 def top_n_two_keys(spark, sf_dir):
