@@ -127,7 +127,7 @@ def roll_up(df: DataFrame, key: str, dim: DataFrame, dim_key: str,
         joined = df.join(F.broadcast(side), F.col(key) == F.col(right_key), "inner")
     else:
         facts = df
-        if pre_aggregate:
+        if pre_aggregate and sums:
             facts = df.groupBy(key, *others).agg(*[F.sum(c).alias(c) for c in sums])
         joined = facts.join(side, F.col(key) == F.col(right_key), "inner")
     return joined.select(*others, *attrs.values(), *sums)

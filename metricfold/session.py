@@ -30,16 +30,33 @@ DEFAULT_CONF = {
 }
 
 
+def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 256 << 20,
+                           minimum: int = 8, maximum: int = 200_000) -> int:
+    """Initial shuffle partition count for an input of ``input_bytes``.
+
+    One partition per ``partition_bytes`` of input keeps every reducer's share
+    within executor memory even before AQE merges small partitions (it only ever
+    coalesces, never splits, apart from skew handling).  100 TB gives ~400,000,
+    capped at ``maximum``; AQE then coalesces toward the advisory size.
+    """
+    wanted = -(-int(input_bytes) // partition_bytes)
+    return max(minimum, min(maximum, wanted))
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "metricfold",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    expected_input_bytes: int | None = None,
 ) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if shuffle_partitions is None and expected_input_bytes:
+        shuffle_partitions = shuffle_partitions_for(expected_input_bytes)
+        conf["spark.sql.files.maxPartitionBytes"] = "256m"
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
@@ -57,13 +74,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     so ``DataFrame.checkpoint()`` and our scratch tables agree on a location.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    context = None
+    try:
+        context = spark.sparkContext
+    except Exception:       # sessions without a local SparkContext handle
+        context = None
+    if not configured and context is not None:
+        configured = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="metricfold-ckpt-")
-        spark.sparkContext.setCheckpointDir(configured)
+        if context is not None:
+            context.setCheckpointDir(configured)
+        else:
+            spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
 
 
