@@ -17,7 +17,8 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,11 +33,23 @@ from metricfold.sinks.files import write_parquet, write_single_csv
 MAX_CONCURRENT_JOBS = 8
 
 
-@dataclass(frozen=True)
 class MetricResult:
-    full: DataFrame            # every key
-    top: DataFrame             # what the user reads (top-N, ranks <= k, ...)
-    state: MetricState
+    """A metric's merged result; plans are built on first access."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], spec: MetricSpec, merged: DataFrame,
+                 state: MetricState):
+        self._tables, self._spec, self._merged = tables, spec, merged
+        self.state = state
+
+    @cached_property
+    def full(self) -> DataFrame:
+        """Every key."""
+        return self._spec.finalize(self._tables, self._merged, None, self._spec.order)
+
+    @cached_property
+    def top(self) -> DataFrame:
+        """What the user reads (top-N, ranks <= k, ...)."""
+        return self._spec.finalize(self._tables, self._merged, self.state.top, self.state.order)
 
 
 def seed_rows(specs: Sequence[MetricSpec], root: str) -> list[MetricState]:
@@ -145,9 +158,7 @@ def read_result(tables: Mapping[str, DataFrame], spec: MetricSpec, store: StateS
     merged = store.merged(spec.name, spec.keys, spec.sums)
     if merged is None:
         merged = empty_partial(tables, spec)
-    return MetricResult(full=spec.finalize(tables, merged, None, spec.order),
-                        top=spec.finalize(tables, merged, state.top, state.order),
-                        state=state)
+    return MetricResult(tables, spec, merged, state)
 
 
 def write_results(res: Mapping[str, MetricResult]) -> None:
