@@ -80,17 +80,19 @@ def order_destinations(tables) -> DataFrame:
 def route_lines(lines: DataFrame, tables, weight: str = "flights") -> DataFrame:
     """``(origin, carrier, destination, weight)`` rows for the given lineitems.
 
-    Each dimension swap is a broadcast join when the dimension is provably small;
-    otherwise a shuffle join, with the facts pre-aggregated on the remaining keys
-    where that shrinks them.  The caller aggregates once at the end.
+    Each dimension swap is a broadcast join when the dimension is provably small,
+    otherwise a shuffle join (AQE splits a skewed key's partition).  Facts are not
+    pre-aggregated on (join key + other keys): that aggregate would be hashed on
+    all its keys and then re-shuffled on the join key.  The caller aggregates once
+    at the end, with partial aggregation before that shuffle.
     """
     rows = lines.select("l_orderkey", "l_suppkey", "l_partkey", F.lit(1).alias(weight))
     rows = roll_up(rows, "l_orderkey", order_destinations(tables), "o_orderkey",
                    {"destination": "destination"}, sums=[weight], pre_aggregate=False)
     rows = roll_up(rows, "l_suppkey", tables["supplier"], "s_suppkey", {"s_nationkey": "origin"},
-                   sums=[weight], pre_aggregate=True)
+                   sums=[weight], pre_aggregate=False)
     rows = roll_up(rows, "l_partkey", tables["part"], "p_partkey", {"p_brand": "carrier"},
-                   sums=[weight], pre_aggregate=True)
+                   sums=[weight], pre_aggregate=False)
     return rows
 
 
@@ -99,9 +101,11 @@ def lead_parts_by_weekday(lines: DataFrame, orders: DataFrame,
     """``(day_of_week, lead_sum, lead_count)`` of ``datediff(l_shipdate, o_orderdate)``.
 
     Small ``orders``: broadcast join, then one aggregate.  Large ``orders``: lines are
-    first reduced per ``(order, weekday)`` to a count and a sum of ship days (an order
-    has several lines), then joined; ``sum(ship_day - order_day)`` is rebuilt exactly
-    as ``ship_day_sum - n * order_day``.
+    first reduced to one row per order (partial aggregation before the shuffle, so
+    the output is already partitioned by the join key) holding, per ISO weekday, a
+    line count and a sum of ship days.  After the join ``sum(ship_day - order_day)``
+    is rebuilt exactly as ``ship_day_sum - n * order_day``, summed in one global
+    aggregate and turned into one row per weekday.
     """
     ship_day = F.unix_date(F.to_date("l_shipdate"))
     weekday = (F.weekday(F.col("l_shipdate")) + 1).cast("int")
@@ -112,12 +116,23 @@ def lead_parts_by_weekday(lines: DataFrame, orders: DataFrame,
         return joined.groupBy(weekday.alias("day_of_week")).agg(
             F.sum(lead.cast("bigint")).alias("lead_sum"), F.count(lead).alias("lead_count")
         )
-    reduced = lines.groupBy(F.col("l_orderkey"), weekday.alias("day_of_week")).agg(
-        F.count(ship_day).alias("n"), F.sum(ship_day.cast("bigint")).alias("ship_day_sum")
+    days = range(1, 8)
+    per_order = lines.groupBy("l_orderkey").agg(
+        *[F.count(F.when(weekday == d, ship_day)).alias(f"n{d}") for d in days],
+        *[F.sum(F.when(weekday == d, ship_day.cast("bigint"))).alias(f"s{d}") for d in days],
+        F.count(F.when(weekday.isNull(), F.lit(1))).alias("n_undated"),
     )
-    joined = reduced.join(side, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    joined = per_order.join(side, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     known = F.col("order_day").isNotNull()
-    return joined.groupBy("day_of_week").agg(
-        F.sum(F.when(known, F.col("ship_day_sum") - F.col("n") * F.col("order_day"))).alias("lead_sum"),
-        F.sum(F.when(known, F.col("n")).otherwise(F.lit(0))).alias("lead_count"),
+    totals = joined.agg(
+        *[F.sum(F.when(known, F.col(f"s{d}") - F.col(f"n{d}") * F.col("order_day"))).alias(f"lead_sum{d}")
+          for d in days],
+        *[F.sum(F.when(known, F.col(f"n{d}")).otherwise(F.lit(0))).alias(f"lead_count{d}") for d in days],
+        *[F.sum(F.col(f"n{d}")).alias(f"lines{d}") for d in days],
+        F.sum("n_undated").alias("lines_undated"),
     )
+    per_day = ", ".join(f"{d}, lead_sum{d}, lead_count{d}, lines{d}" for d in days)
+    stacked = totals.select(F.expr(
+        f"stack(8, {per_day}, CAST(NULL AS INT), CAST(NULL AS BIGINT), 0L, lines_undated)"
+    ).alias("day_of_week", "lead_sum", "lead_count", "lines"))
+    return stacked.filter(F.col("lines") > 0).drop("lines")

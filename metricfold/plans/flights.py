@@ -27,7 +27,7 @@ from metricfold.operators.aggregates import (
 from metricfold.operators.joins import attach
 from metricfold.operators.projections import only_zero
 from metricfold.operators.ranking import top_n
-from metricfold.plans.metrics import MetricSpec, pair_by_position, ranked_carriers, ranked_destinations
+from metricfold.plans.metrics import MetricSpec, rank_and_pair
 from metricfold.plans.runner import MetricResult, run_job
 from metricfold.plans.state import StateStore
 from metricfold.schemas import AIRLINES, AIRPORTS, CATALOG, FLIGHTS
@@ -99,7 +99,7 @@ def routes_partial(tables, flights: DataFrame) -> DataFrame:
 
 
 def routes_finalize(tables, merged, top, order):
-    paired = pair_by_position(ranked_carriers(merged, top), ranked_destinations(merged, top))
+    paired = rank_and_pair(merged, top)
     origin_names = _airport_names(tables, "origin", "ORIGIN_AIRPORT_NAME")
     dest_names = _airport_names(tables, "destination", "DESTINATION_AIRPORT_NAME")
     carrier_names = tables["airlines"].select(F.col("IATA_CODE").alias("carrier"),

@@ -130,10 +130,19 @@ def pair_by_position(carriers: DataFrame, destinations: DataFrame) -> DataFrame:
     return pair_side_by_side(c, d, ["origin", "position"])
 
 
+def rank_and_pair(routes: DataFrame, k: int | None) -> DataFrame:
+    """Carriers and destinations of each origin ranked by their totals, side by side.
+
+    One hash partitioning by origin serves both ranked lists: their per-origin sums
+    and windows need no further shuffle.  ``routes`` are merged route counts,
+    bounded by origins x carriers x destinations rather than by the number of facts.
+    """
+    by_origin = routes.repartition("origin")
+    return pair_by_position(ranked_carriers(by_origin, k), ranked_destinations(by_origin, k))
+
+
 def departures_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFrame:
-    carriers = ranked_carriers(merged, top)
-    destinations = ranked_destinations(merged, top)
-    paired = pair_by_position(carriers, destinations)
+    paired = rank_and_pair(merged, top)
     nation = fixed_small(tables["nation"])
     paired = paired.join(
         nation.select(F.col("n_nationkey").alias("origin"), F.col("n_name").alias("origin_name")),
