@@ -195,10 +195,22 @@ FLIGHT_METRICS = (
 SCHEMAS = {"flights": FLIGHTS, "airports": AIRPORTS, "airlines": AIRLINES}
 
 
+def read_table(spark: SparkSession, path: str, schema, sep: str = ",") -> DataFrame:
+    """Typed scan of a CSV file/directory (``*.csv``) or of a Parquet dataset (anything else).
+
+    A Parquet flights table partitioned by ``YEAR``/``MONTH`` gets partition pruning
+    from the increment predicate.
+    """
+    if path.rstrip("/").lower().endswith((".csv", ".csv.gz")):
+        return read_csv(spark, path, schema, sep=sep)
+    df = spark.read.parquet(path)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def load_tables(spark: SparkSession, catalog_path: str, sep: str = ",") -> dict[str, DataFrame]:
     """Resolve the three inputs in a ``(name, path)`` CSV catalogue and scan them typed."""
     catalog = read_csv(spark, catalog_path, CATALOG)
-    return {name: read_csv(spark, path_for(catalog, name), schema, sep=sep)
+    return {name: read_table(spark, path_for(catalog, name), schema, sep=sep)
             for name, schema in SCHEMAS.items()}
 
 

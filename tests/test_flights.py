@@ -244,3 +244,19 @@ def test_compaction_keeps_results_and_bounds_windows(spark, tables, workdir):
     assert len(store.committed_windows("TopAirportsByFlights")) == 2
     res = results(more, [FL.TOP_AIRPORTS_BY_FLIGHTS], store)["TopAirportsByFlights"].top
     assert collect(res, "ORIGIN_AIRPORT", "count") == [("AAA", 4), ("BBB", 3)]
+
+
+def test_parquet_flights_partitioned_by_month_are_pruned(spark, workdir):
+    from metricfold.plans.facts import FACT_TABLES
+
+    rows = FLIGHT_ROWS + [(1, "XX", "AAA", "BBB", 0, 0, None, 2015, 2)]
+    path = os.path.join(workdir, "flights_pq")
+    flights_df(spark, [r[:7] for r in rows[:-1]]).unionByName(
+        spark.createDataFrame([flight_record(*rows[-1][:7], year=2015, month=2)], FLIGHTS)
+    ).write.partitionBy("YEAR", "MONTH").parquet(path)
+    df = FL.read_table(spark, path, FLIGHTS)
+    assert [f.name for f in df.schema.fields] == COLS
+    inc = FACT_TABLES["flights"].after(df, dt.date(2015, 1, 31))
+    plan = inc._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "MONTH" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert inc.count() == 1
