@@ -32,15 +32,22 @@ def broadcast_max_rows(df: DataFrame, max_rows: int | None = None) -> int:
     return int(df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
 
 
-def input_file_bytes(df: DataFrame) -> int:
+# A side spread over more files than this is not a broadcast candidate whatever their size.
+BROADCAST_MAX_FILES = 4096
+
+
+def input_file_bytes(df: DataFrame) -> int | None:
     """Total on-disk size of the files ``df`` reads (0 for in-memory data).
 
     Uses the ``binaryFile`` source with only its ``length`` column selected, which
-    lists the files and reads no content.
+    lists the files and reads no content.  None when the side has more than
+    ``BROADCAST_MAX_FILES`` files (too big to be worth summing).
     """
     files = df.inputFiles()
     if not files:
         return 0
+    if len(files) > BROADCAST_MAX_FILES:
+        return None
     total = (df.sparkSession.read.format("binaryFile").load(files)
              .agg(F.sum("length")).first()[0])
     return int(total or 0)
@@ -58,7 +65,8 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
         return False
     max_bytes = int(df.sparkSession.conf.get(BROADCAST_MAX_FILE_BYTES_CONF,
                                              str(BROADCAST_MAX_FILE_BYTES)))
-    if input_file_bytes(df) > max_bytes:
+    size = input_file_bytes(df)
+    if size is None or size > max_bytes:
         return False
     return df.limit(bound + 1).count() <= bound
 
