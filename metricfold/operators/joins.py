@@ -57,8 +57,9 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` provably has at most ``max_rows`` rows.
 
     Two steps: the input files' total size must be under the byte budget (metadata
-    only), then ``limit(max_rows + 1).count()`` must stay within the bound.  The
-    count reads no column data and stops each task after ``max_rows + 1`` rows.
+    only, so a large table is never scanned for this), then ``count()`` must stay
+    within the bound.  The count reads no column data and shuffles one partial
+    count per task (a ``limit`` would move up to ``max_rows`` rows into one task).
     """
     bound = broadcast_max_rows(df, max_rows)
     if bound <= 0:
@@ -68,7 +69,7 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     size = input_file_bytes(df)
     if size is None or size > max_bytes:
         return False
-    return df.limit(bound + 1).count() <= bound
+    return df.count() <= bound
 
 
 def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
