@@ -66,33 +66,27 @@ def with_origin(lines: DataFrame, supplier: DataFrame, sums: list[str],
                    sums=sums, pre_aggregate=pre_aggregate)
 
 
-def order_destinations(tables) -> DataFrame:
-    """``(o_orderkey, destination)``: the nation of each order's customer.
-
-    Resolved on the order side first (orders are a fraction of lineitem), so the
-    fact rows need one join for the destination instead of two.
-    """
-    orders = tables["orders"].select("o_orderkey", "o_custkey")
-    return roll_up(orders, "o_custkey", tables["customer"], "c_custkey",
-                   {"c_nationkey": "destination"}, sums=[], pre_aggregate=False)
-
-
 def route_lines(lines: DataFrame, tables, weight: str = "flights") -> DataFrame:
     """``(origin, carrier, destination, weight)`` rows for the given lineitems.
 
     Each dimension swap is a broadcast join when the dimension is provably small,
-    otherwise a shuffle join (AQE splits a skewed key's partition).  Facts are not
-    pre-aggregated on (join key + other keys): that aggregate would be hashed on
-    all its keys and then re-shuffled on the join key.  The caller aggregates once
-    at the end, with partial aggregation before that shuffle.
+    otherwise a shuffle join (AQE splits a skewed key's partition).  The (usually
+    filtered) lines are joined through orders to customers rather than resolving
+    every order's customer first: with fewer lines than orders that shuffles less
+    (measured in PLANS.md).  Facts are not pre-aggregated on (join key + other
+    keys): that aggregate would be hashed on all its keys and then re-shuffled on
+    the join key.  The caller aggregates once at the end, with partial aggregation
+    before that shuffle.
     """
     rows = lines.select("l_orderkey", "l_suppkey", "l_partkey", F.lit(1).alias(weight))
-    rows = roll_up(rows, "l_orderkey", order_destinations(tables), "o_orderkey",
-                   {"destination": "destination"}, sums=[weight], pre_aggregate=False)
-    rows = roll_up(rows, "l_suppkey", tables["supplier"], "s_suppkey", {"s_nationkey": "origin"},
-                   sums=[weight], pre_aggregate=False)
-    rows = roll_up(rows, "l_partkey", tables["part"], "p_partkey", {"p_brand": "carrier"},
-                   sums=[weight], pre_aggregate=False)
+    steps = [
+        ("l_orderkey", tables["orders"], "o_orderkey", {"o_custkey": "custkey"}),
+        ("custkey", tables["customer"], "c_custkey", {"c_nationkey": "destination"}),
+        ("l_suppkey", tables["supplier"], "s_suppkey", {"s_nationkey": "origin"}),
+        ("l_partkey", tables["part"], "p_partkey", {"p_brand": "carrier"}),
+    ]
+    for key, dim, dim_key, attrs in steps:
+        rows = roll_up(rows, key, dim, dim_key, attrs, sums=[weight], pre_aggregate=False)
     return rows
 
 
