@@ -167,22 +167,22 @@ def write_results(res: Mapping[str, MetricResult]) -> None:
     Both are derived data: they are rebuilt from the partials on every run and
     never read back for merging.
     """
-    for r in res.values():
-        if r.state.pathAll:
-            write_parquet(r.full, r.state.pathAll)
-        if r.state.path:
-            write_single_csv(r.top, r.state.path)
+    with ThreadPoolExecutor(max_workers=MAX_CONCURRENT_JOBS) as pool:
+        jobs = []
+        for r in res.values():
+            if r.state.pathAll:
+                jobs.append(pool.submit(write_parquet, r.full, r.state.pathAll))
+            if r.state.path:
+                jobs.append(pool.submit(write_single_csv, r.top, r.state.path))
+        for job in jobs:
+            job.result()
 
 
 def compact(store: StateStore, specs: Sequence[MetricSpec], min_windows: int = 2) -> dict[str, str]:
     """Fold the committed windows of every metric that has at least ``min_windows``."""
-    done = {}
-    for spec in specs:
-        if len(store.committed_windows(spec.name)) >= max(min_windows, 2):
-            window = store.compact(spec.name, spec.keys, spec.sums)
-            if window:
-                done[spec.name] = window
-    return done
+    due = {spec.name: (spec.keys, spec.sums) for spec in specs
+           if len(store.committed_windows(spec.name)) >= max(min_windows, 2)}
+    return store.compact(due) if due else {}
 
 
 # A metric whose result is spread over this many windows is compacted by ``run_job``.

@@ -23,6 +23,7 @@ middle of a run costs a task retry or, at worst, a rerun of the whole job.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
@@ -153,25 +154,37 @@ class StateStore:
             live.add(window)
         return sorted(live)
 
-    def compact(self, metric: str, keys, sums) -> str | None:
-        """Fold every committed window of ``metric`` into one, then commit it.
+    def compact(self, metrics: dict[str, tuple]) -> dict[str, str]:
+        """Fold every committed window of each metric into one window; one commit for all.
 
-        Keeps the merge at read time proportional to the number of keys instead of
-        the number of runs.  The compacted partial is written under the *next*
-        version's window name and committed by that version, so a crash in between
-        leaves it invisible and a retry overwrites it.  Returns the new window, or
-        None when there is at most one window.
+        ``metrics`` maps metric name -> ``(keys, sums)``.  Keeps the merge at read time
+        proportional to the number of keys instead of the number of runs.  The
+        compacted partials are written under the *next* version's window name and
+        committed by that version, so a crash in between leaves them invisible and a
+        retry overwrites them.  Metrics with fewer than two windows are skipped.
+        Returns metric -> new window.
         """
-        if len(self.committed_windows(metric)) < 2:
-            return None
-        merged = self.merged(metric, keys, sums)
-        current = self.latest_version()
-        window = f"{COMPACTED_PREFIX}{current + 1:09d}"
-        self.write_partial(metric, window, merged)
-        rows = [replace(r, committedWindow=window if name == metric else None)
+        chosen = {m: ks for m, ks in metrics.items() if len(self.committed_windows(m)) >= 2}
+        if not chosen:
+            return {}
+        window = f"{COMPACTED_PREFIX}{self.latest_version() + 1:09d}"
+        merged = {m: self.merged(m, keys, sums) for m, (keys, sums) in chosen.items()}
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            for job in [pool.submit(self.write_partial, m, window, df) for m, df in merged.items()]:
+                job.result()
+        rows = [replace(r, committedWindow=window if name in chosen else None)
                 for name, r in self.latest().items()]
         self.commit(rows)
-        return window
+        return {m: window for m in chosen}
+
+    def retired_windows(self, metric: str) -> list[str]:
+        """Windows committed at some time but superseded by a compaction.
+
+        Their partial folders are no longer read and may be deleted.
+        """
+        every = {r["committedWindow"] for r in self._rows()
+                 if r["metricName"] == metric and r["committedWindow"] is not None}
+        return sorted(every - set(self.committed_windows(metric)))
 
     # ---- partials -----------------------------------------------------------------
 

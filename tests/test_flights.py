@@ -235,6 +235,7 @@ def test_compaction_keeps_results_and_bounds_windows(spark, tables, workdir):
     assert set(done) == {m.name for m in FL.FLIGHT_METRICS}
     for m in FL.FLIGHT_METRICS:
         assert store.committed_windows(m.name) == [done[m.name]]
+        assert len(store.retired_windows(m.name)) == 3
     after = results(tables, FL.FLIGHT_METRICS, store)
     for m in FL.FLIGHT_METRICS:
         assert sorted(map(tuple, after[m.name].top.collect())) == before[m.name], m.name
