@@ -32,8 +32,8 @@ FLIGHT_INT_COLUMNS = (
     "DIVERTED", "CANCELLED",
 )
 
-# Column order of the flights file.  The five delay-reason columns are summed and
-# compared with zero, so they are integers.
+# The flights file's columns in their file order, with their types.  The
+# five delay-reason columns are summed and compared with zero, so they are integers.
 FLIGHTS = T.StructType([
     T.StructField(name, T.IntegerType() if kind == "i" else T.StringType(), True)
     for name, kind in [
@@ -49,6 +49,7 @@ FLIGHTS = T.StructType([
     ]
 ])
 
+# Airport and airline file columns.
 AIRPORTS = struct(
     "IATA_CODE string, AIRPORT string, CITY string, STATE string, COUNTRY string, "
     "LATITUDE double, LONGITUDE double"
@@ -61,7 +62,7 @@ CATALOG = struct("name string, path string")
 
 # ---- metric state --------------------------------------------------------------------
 
-# The eight columns of a state row, plus ``committedWindow``: the window_start of the
+# The eight columns of a state row, plus ``committedWindow``: the window_start of the
 # partial this version commits (null when the metric had no new rows in that run).
 STATE = struct(
     "metricName string, top int, order string, date timestamp, dateFrom date, dateTo date, "
