@@ -1,5 +1,7 @@
 """Physical-plan properties that matter at scale."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -33,13 +35,26 @@ def test_no_cartesian_products(plans):
         assert "BroadcastNestedLoopJoin" not in text, name
 
 
-def test_no_single_partition_exchange_of_rows(plans):
-    # Global aggregates end in one tiny partition of partial results, which is fine;
-    # what must never appear is a whole-table window (W1) moving every row to one task.
+def single_partition_inputs(text: str) -> list[str]:
+    """For every ``Exchange SinglePartition``, the operator that feeds it."""
+    tree, _, details = text.partition("\n\n")
+    ids = re.findall(r"\((\d+)\) Exchange\nInput \[\d+\]: \[[^\n]*\]\nArguments: SinglePartition",
+                     details)
+    lines = tree.splitlines()
+    feeders = []
+    for node in ids:
+        for i, line in enumerate(lines):
+            if re.search(rf"Exchange \({node}\)$", line):
+                feeders.append(re.sub(r"^[\s:|+-]*", "", lines[i + 1]))
+    return feeders
+
+
+def test_single_partition_only_for_partial_aggregates(plans):
+    # A global aggregate ends in one partition fed by one partial row per task, which is
+    # fine; raw rows must never be moved into a single task (e.g. a whole-table window).
     for name, text in plans.items():
-        for line in text.splitlines():
-            if "Window" in line and "partitionBy" in line:
-                assert "SinglePartition" not in line, name
+        for feeder in single_partition_inputs(text):
+            assert feeder.startswith("HashAggregate"), (name, feeder)
         assert "Window [max(" not in text and "Window [min(" not in text, name
 
 
