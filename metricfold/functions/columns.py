@@ -18,7 +18,7 @@ def _col(c: str | Column) -> Column:
 
 def day_from_parts(year: str | Column, month: str | Column, day: str | Column,
                    lenient: bool = False) -> Column:
-    """Calendar day from integer year, month and day columns.
+    """Calendar day from integer year, month and day columns.  [P1]
 
     ``make_date`` raises on an impossible date under ANSI mode; ``lenient=True``
     yields null for it instead, like a permissive CSV parse.
@@ -31,7 +31,7 @@ def day_from_parts(year: str | Column, month: str | Column, day: str | Column,
 
 
 def first_positive(labelled: Mapping[str, str | Column]) -> Column:
-    """Label of the first column, in the given order, whose value is > 0; else null.
+    """Label of the first column, in the given order, whose value is > 0; else null.  [P7]
 
     Mirrors a ``CASE WHEN a > 0 THEN 'a' WHEN b > 0 THEN 'b' ... END`` without ELSE:
     null and non-positive values fall through.

@@ -19,7 +19,7 @@ from metricfold.functions.columns import percent_of, ratio
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
-    """Row count per key tuple (``GROUP BY keys``, ``count(*)``)."""
+    """Row count per key tuple (``GROUP BY keys``, ``count(*)``).  [A1, A2]"""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
@@ -31,7 +31,7 @@ def sum_by(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str | Column])
 
 def mean_parts(df: DataFrame, keys: Sequence[str], value: str | Column,
                sum_name: str = "value_sum", count_name: str = "value_count") -> DataFrame:
-    """Mean kept as mergeable parts: sum and non-null count of ``value`` per key."""
+    """Mean kept as mergeable parts: sum and non-null count of ``value`` per key.  [A3]"""
     v = F.col(value) if isinstance(value, str) else value
     return df.groupBy(*keys).agg(
         F.sum(v).alias(sum_name), F.count(v).alias(count_name)
@@ -44,7 +44,7 @@ def mean_from_parts(df: DataFrame, sum_name: str, count_name: str, out: str) ->
 
 
 def count_non_null(df: DataFrame, key: str, name: str = "n") -> DataFrame:
-    """Rows per category, the null category dropped.
+    """Rows per category, the null category dropped.  [A4]
 
     The null filter runs before the shuffle, so rows without a category never
     leave their task.
@@ -53,7 +53,7 @@ def count_non_null(df: DataFrame, key: str, name: str = "n") -> DataFrame:
 
 
 def column_totals(df: DataFrame, columns: Sequence[str], cast: str | None = "bigint") -> DataFrame:
-    """One row with the total of each column, computed in a single pass."""
+    """One row with the total of each column, computed in a single pass.  [A5]"""
     aggs = []
     for c in columns:
         total = F.sum(F.col(c))
@@ -62,13 +62,13 @@ def column_totals(df: DataFrame, columns: Sequence[str], cast: str | None = "big
 
 
 def union_parts(parts: Iterable[DataFrame]) -> DataFrame:
-    """UNION ALL by column name (never by position)."""
+    """UNION ALL by column name (never by position).  [U1]"""
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def merge_sums(parts: DataFrame | Iterable[DataFrame], keys: Sequence[str],
                sums: Sequence[str]) -> DataFrame:
-    """Re-aggregate additive partials: ``UNION ALL`` then ``sum`` per key.
+    """Re-aggregate additive partials: ``UNION ALL`` then ``sum`` per key.  [A6, A7, U1]
 
     With no keys this is a global total.  Integer sums stay integers.
     """
@@ -81,7 +81,7 @@ def merge_sums(parts: DataFrame | Iterable[DataFrame], keys: Sequence[str],
 
 def share_of_total(totals: DataFrame, columns: Mapping[str, str], label: str = "reason",
                    value: str = "percent") -> DataFrame:
-    """Per-column share (in percent) of the grand total, wide row -> long rows.
+    """Per-column share (in percent) of the grand total, wide row -> long rows.  [A8]
 
     ``totals`` holds one or more rows of per-column totals (for example one row
     per stored increment); ``columns`` maps output label -> column name.  The

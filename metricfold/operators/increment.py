@@ -47,7 +47,7 @@ def day_at_or_before(column: str, kind: T.DataType, cut: dt.date) -> Column:
 
 
 def after(df: DataFrame, column: str, watermark: dt.date | None) -> DataFrame:
-    """Rows whose day is strictly later than ``watermark``; all rows if it is None."""
+    """Rows whose day is strictly later than ``watermark``; all rows if it is None.  [P2]"""
     if watermark is None:
         return df
     return df.filter(day_after(column, df.schema[column].dataType, watermark))
@@ -76,6 +76,6 @@ def bounds_frame(df: DataFrame, column: str) -> DataFrame:
 
 
 def bounds(df: DataFrame, column: str) -> tuple[dt.date | None, dt.date | None]:
-    """First and last day of the increment, fetched as two scalars."""
+    """First and last day of the increment, fetched as two scalars.  [A9, W1, R2]"""
     row = bounds_frame(df, column).collect()[0]
     return row["min_day"], row["max_day"]

@@ -85,7 +85,7 @@ def fixed_small(df: DataFrame) -> DataFrame:
 def attach(df: DataFrame, dim: DataFrame, key: str, dim_key: str,
            columns: Mapping[str, str], broadcast: bool | None = None,
            max_rows: int | None = None) -> DataFrame:
-    """Inner-join ``dim`` attributes onto ``df`` by ``key = dim_key``.
+    """Inner-join ``dim`` attributes onto ``df`` by ``key = dim_key``.  [J1-J4]
 
     ``columns`` maps dimension column -> output name; dimension columns are renamed
     before the join so same-named columns on both sides never clash.  Fact rows
@@ -144,7 +144,7 @@ def roll_up(df: DataFrame, key: str, dim: DataFrame, dim_key: str,
 
 def limit_then_join(df: DataFrame, order: Sequence[Column], n: int, dim: DataFrame,
                     key: str, dim_key: str, columns: Mapping[str, str]) -> DataFrame:
-    """Take the first ``n`` rows of ``df`` by ``order``, then attach names.
+    """Take the first ``n`` rows of ``df`` by ``order``, then attach names.  [J6, T3]
 
     The limit runs first (``TakeOrderedAndProject``: a per-task heap of ``n`` rows,
     merged on the driver), so the join sees at most ``n`` rows and the dimension
@@ -157,7 +157,7 @@ def limit_then_join(df: DataFrame, order: Sequence[Column], n: int, dim: DataFra
 
 def merge_join(left: DataFrame, right: DataFrame, on: Column | str | Sequence[str],
                how: str = "inner") -> DataFrame:
-    """Join forced to a shuffle sort-merge join for this join only.
+    """Join forced to a shuffle sort-merge join for this join only.  [J7]
 
     A per-join hint replaces turning off automatic broadcast for the whole session.
     """
@@ -165,7 +165,7 @@ def merge_join(left: DataFrame, right: DataFrame, on: Column | str | Sequence[st
 
 
 def pair_side_by_side(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join on a unique key tuple (``USING keys``).
+    """Full outer join on a unique key tuple (``USING keys``).  [J5, re-aimed]
 
     Used to lay two ranked lists next to each other by (group, position): each key
     tuple occurs at most once per side, so the output is linear in the inputs,

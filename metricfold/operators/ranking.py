@@ -33,14 +33,14 @@ def ordered(column: str | Column, direction: str) -> Column:
 
 def rank_within(df: DataFrame, partition: Sequence[str], by: str, out: str = "rank",
                 direction: str = "desc") -> DataFrame:
-    """Dense rank (int) of each row within ``partition`` ordered by ``by``."""
+    """Dense rank (int) of each row within ``partition`` ordered by ``by``.  [W2, W3]"""
     w = Window.partitionBy(*partition).orderBy(ordered(by, direction))
     return df.withColumn(out, F.dense_rank().over(w))
 
 
 def top_per_group(df: DataFrame, partition: Sequence[str], by: str, k: int | None,
                   out: str = "rank", direction: str = "desc") -> DataFrame:
-    """Rows whose dense rank within ``partition`` is at most ``k`` (ties kept).
+    """Rows whose dense rank within ``partition`` is at most ``k`` (ties kept).  [W4]
 
     ``k=None`` keeps every row (ranked).
     """
@@ -57,7 +57,7 @@ def position_within(df: DataFrame, partition: Sequence[str], order: Sequence[Col
 
 def top_n(df: DataFrame, by: Sequence[str | Column], n: int | None, direction: str = "desc",
           tie_break: Sequence[str] = ()) -> DataFrame:
-    """First ``n`` rows ordered by ``by`` in ``direction``.
+    """First ``n`` rows ordered by ``by`` in ``direction``.  [T1-T3]
 
     ``tie_break`` columns (ascending) are appended so that rows tied at the cut-off
     are chosen deterministically.  ``n=None`` returns every row, unsorted (the full
@@ -73,5 +73,5 @@ def top_n(df: DataFrame, by: Sequence[str | Column], n: int | None, direction: s
 
 
 def sort_all(df: DataFrame, by: Sequence[str | Column], direction: str = "asc") -> DataFrame:
-    """Full sort (range-partitioned shuffle; no single-partition step)."""
+    """Full sort (range-partitioned shuffle; no single-partition step).  [T4]"""
     return df.orderBy(*[ordered(c, direction) for c in by])

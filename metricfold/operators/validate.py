@@ -20,7 +20,7 @@ def missing_columns_message(missing: Iterable[str], present: Iterable[str]) -> s
 
 
 def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
-    """Return ``df`` unchanged if it has every required column, else raise."""
+    """Return ``df`` unchanged if it has every required column, else raise.  [V1]"""
     present = df.columns
     have = set(present)
     missing = [c for c in required if c not in have]
@@ -30,7 +30,7 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
 
 
 def require_tables(tables: Mapping[str, DataFrame], required: Mapping[str, Iterable[str]]) -> None:
-    """Check a per-table list of required columns (a metric's input contract)."""
+    """Check a per-table list of required columns (a metric's input contract).  [V2]"""
     for name, cols in required.items():
         if name not in tables:
             raise MissingColumnsError(f"table {name!r} is not available")

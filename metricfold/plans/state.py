@@ -104,14 +104,14 @@ class StateStore:
         return out
 
     def state_of(self, metric: str) -> MetricState:
-        """The newest state row of one metric (error if it has none)."""
+        """The newest state row of one metric (error if it has none).  [S6]"""
         states = self.latest()
         if metric not in states:
             raise KeyError(f"no state row for metric {metric!r}")
         return states[metric]
 
     def commit(self, rows: list[MetricState]) -> int:
-        """Write the next version; returns its number."""
+        """Write the next version; returns its number.  [K5]"""
         current = self.latest_version()
         version = 0 if current is None else current + 1
         df = self.spark.createDataFrame([r.as_tuple() for r in rows], STATE)
@@ -126,7 +126,7 @@ class StateStore:
             self.commit(rows)
 
     def seed_from_csv(self, path: str) -> None:
-        """Seed from a CSV state file; columns are bound by name, in any order."""
+        """Seed from a CSV state file; columns are bound by name, in any order.  [S5]"""
         df = read_csv(self.spark, path, schema=None, infer=False)
         cols = set(df.columns)
         typed = df.select(*[
@@ -196,7 +196,7 @@ class StateStore:
         self._schemas[metric] = df.schema
 
     def read_partials(self, metric: str) -> DataFrame | None:
-        """Committed partials of ``metric``, or None when there is no prior result.
+        """Committed partials of ``metric``, or None when there is no prior result.  [S7]
 
         The partition column is declared as a string so that ``none`` and dates do
         not mix under type inference; the data columns' schema comes from the

@@ -24,7 +24,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_csv_dir(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Distributed CSV: one file per task, header in each, quotes doubled."""
+    """Distributed CSV: one file per task, header in each, quotes doubled.  [K2]"""
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return path
 
@@ -33,13 +33,13 @@ def write_single_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """One CSV file (inside directory ``path``) for a small, bounded result.
 
     Keeps the header when the result is empty, quotes values containing the
-    separator and escapes quotes by doubling them, and keeps column order.
+    separator and escapes quotes by doubling them, and keeps column order.  [K3, K4]
     """
     df.coalesce(1).write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return path
 
 
 def as_view(df: DataFrame, name: str) -> str:
-    """Register ``df`` as a temporary view and return the view name."""
+    """Register ``df`` as a temporary view and return the view name.  [K7]"""
     df.createOrReplaceTempView(name)
     return name

@@ -13,7 +13,7 @@ class CatalogLookupError(LookupError):
 def exactly_one(df: DataFrame, what: str) -> Row:
     """The single row of ``df``; an error if there is none or more than one.
 
-    Fetches at most two rows to the driver.
+    Fetches at most two rows to the driver.  [T5]
     """
     rows = df.limit(2).collect()
     if not rows:
@@ -24,6 +24,6 @@ def exactly_one(df: DataFrame, what: str) -> Row:
 
 
 def path_for(catalog: DataFrame, name: str) -> str:
-    """Location of the table called ``name`` in a ``(name, path)`` catalogue."""
+    """Location of the table called ``name`` in a ``(name, path)`` catalogue.  [S4, P4]"""
     row = exactly_one(catalog.filter(F.col("name") == F.lit(name)).select("path"), f"table {name!r}")
     return row["path"]

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              sep: str = ",", header: bool = True, infer: bool = False) -> DataFrame:
+    """Typed CSV scan with header and separator options.  [S1]"""
     reader = (spark.read.option("header", header).option("sep", sep)
               .option("escape", '"').option("mode", "PERMISSIVE"))
     if schema is not None:
@@ -23,7 +24,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",",
                       header: bool = True) -> DataFrame:
-    """CSV scan with inferred column types (one extra pass over the data)."""
+    """CSV scan with inferred column types (one extra pass over the data).  [S3]"""
     return read_csv(spark, path, schema=None, sep=sep, header=header, infer=True)
 
 
