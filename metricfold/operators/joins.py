@@ -107,9 +107,12 @@ _SIZE_CLASS: dict[tuple[int, int], bool] = {}
 
 
 def fits_broadcast_once(df: DataFrame, max_rows: int | None = None) -> bool:
-    """:func:`fits_broadcast`, remembered per logical plan and bound for this process."""
+    """:func:`fits_broadcast`, remembered per logical plan, bound and set of input files.
+
+    New or rewritten files change the key, so a dimension that grows is checked again.
+    """
     bound = broadcast_max_rows(df, max_rows)
-    key = (df.semanticHash(), bound)
+    key = (df.semanticHash(), bound, hash(tuple(sorted(df.inputFiles()))))
     if key not in _SIZE_CLASS:
         _SIZE_CLASS[key] = fits_broadcast(df, bound)
     return _SIZE_CLASS[key]
