@@ -293,8 +293,7 @@ def top_destinations_per_origin(spark, sf_dir):
 
 
 def pair_rankings(spark, sf_dir):
-    routes = route_counts(spark, sf_dir)
-    paired = M.pair_by_position(M.ranked_carriers(routes, 3), M.ranked_destinations(routes, 3))
+    paired = M.rank_and_pair(route_counts(spark, sf_dir), 3)
     return paired.select("origin", "position", "carrier", "carrier_total", "carrier_rank",
                          "destination", "destination_total", "destination_rank")
 
