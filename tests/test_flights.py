@@ -261,3 +261,20 @@ def test_parquet_flights_partitioned_by_month_are_pruned(spark, workdir):
     plan = inc._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "MONTH" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert inc.count() == 1
+
+
+def test_seed_from_saved_state_layout(spark, workdir):
+    # The saved layout: columns in another order, timestamps with fractions of a second.
+    os.makedirs(workdir, exist_ok=True)
+    seed = os.path.join(workdir, "saved_state.csv")
+    header = ["pathAll", "dateTo", "path", "metricName", "date", "order", "dateFrom", "top"]
+    _write_csv(seed, header, [
+        ("/x/all", "2015-12-31 00:00:00.0", "/x/top", "DelayReasons", "2023-06-20 00:07:12.188433",
+         "desc", "2015-01-01 00:00:00.0", 10),
+    ])
+    store = StateStore(spark, os.path.join(workdir, "store"))
+    store.seed_from_csv(seed)
+    row = store.state_of("DelayReasons")
+    assert (row.dateFrom, row.dateTo, row.top, row.order, row.path) == (
+        dt.date(2015, 1, 1), dt.date(2015, 12, 31), 10, "desc", "/x/top")
+    assert row.date == dt.datetime(2023, 6, 20, 0, 7, 12, 188433)
