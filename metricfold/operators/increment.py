@@ -54,10 +54,15 @@ def after(df: DataFrame, column: str, watermark: dt.date | None) -> DataFrame:
 
 
 def as_of(df: DataFrame, column: str, cut: dt.date | None) -> DataFrame:
-    """The table as it stood at the end of day ``cut`` (rows on or before it)."""
+    """The table as it stood at the end of day ``cut``: rows on or before it.
+
+    Rows without a day are included: a later increment (``day > watermark``) can
+    never select them, so they belong to the first window and are counted once.
+    """
     if cut is None:
         return df
-    return df.filter(day_at_or_before(column, df.schema[column].dataType, cut))
+    kind = df.schema[column].dataType
+    return df.filter(day_at_or_before(column, kind, cut) | F.col(column).isNull())
 
 
 def with_day(df: DataFrame, column: str, out: str = "day") -> DataFrame:

@@ -53,7 +53,11 @@ def from_parts(name: str, year: str = "YEAR", month: str = "MONTH", day: str = "
         return df if wm is None else df.filter(_later_than(wm, year, month, day))
 
     def as_of(df, cut):
-        return df if cut is None else df.filter(~_later_than(cut, year, month, day))
+        # Rows whose parts are missing go to the first window (no later cut selects them).
+        if cut is None:
+            return df
+        missing = F.col(year).isNull() | F.col(month).isNull() | F.col(day).isNull()
+        return df.filter(~_later_than(cut, year, month, day) | missing)
 
     return FactTable(name=name, after=after, as_of=as_of,
                      day=lambda: day_from_parts(year, month, day, lenient=True))

@@ -278,3 +278,17 @@ def test_seed_from_saved_state_layout(spark, workdir):
     assert (row.dateFrom, row.dateTo, row.top, row.order, row.path) == (
         dt.date(2015, 1, 1), dt.date(2015, 12, 31), 10, "desc", "/x/top")
     assert row.date == dt.datetime(2023, 6, 20, 0, 7, 12, 188433)
+
+
+def test_rows_without_a_day_are_counted_once(spark, tables, workdir):
+    undated = flight_record(1, "XX", "AAA", "BBB", 0, 0, None)
+    undated = tuple(None if c == "DAY" else v for c, v in zip(COLS, undated))
+    flights = flights_df(spark).unionByName(spark.createDataFrame([undated], FLIGHTS))
+    data = dict(tables, flights=flights)
+    store = StateStore(spark, workdir)
+    run_metrics(spark, data, [FL.TOP_AIRPORTS_BY_FLIGHTS], store, cut={"flights": dt.date(2015, 1, 2)})
+    run_metrics(spark, data, [FL.TOP_AIRPORTS_BY_FLIGHTS], store)
+    res = results(data, [FL.TOP_AIRPORTS_BY_FLIGHTS], store)["TopAirportsByFlights"].top
+    assert collect(res, "ORIGIN_AIRPORT", "count") == [("AAA", 5), ("BBB", 2)]
+    assert sorted(map(tuple, res.collect())) == sorted(
+        map(tuple, full_recompute(data, FL.TOP_AIRPORTS_BY_FLIGHTS).collect()))
