@@ -267,6 +267,7 @@ ORDER BY origin_rank, destination_rank, origin, carrier, destination LIMIT 10"""
     "metric_mean_lead_by_weekday": MEAN_LEAD_TOP,
     "metric_first_reason_counts": REASON_COUNTS_TOP,
     "metric_share_by_reason": SHARE_TOP,
+    "stream_first_reason_counts": REASON_COUNTS_TOP,
     "full_recompute": MEAN_LEAD_TOP,
     "full_job": FULL_JOB,
 }

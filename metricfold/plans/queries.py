@@ -39,6 +39,7 @@ from metricfold.sinks.files import as_view, write_csv_dir, write_single_csv
 from metricfold.sources.catalog import path_for
 from metricfold.sources.csv import cast_to, read_csv, read_csv_inferred
 from metricfold.sources.tables import DRIVER_TABLES, Tables
+from metricfold.streaming.micro_batch import start_metric_stream
 
 # Replay cut days (first increment ends here, the second holds the rest).
 LINEITEM_CUT = dt.date(1998, 12, 31)
@@ -350,6 +351,26 @@ metric_first_reason_counts = _metric(M.FIRST_REASON_COUNTS)
 metric_share_by_reason = _metric(M.SHARE_BY_REASON)
 
 
+def stream_first_reason_counts(spark, sf_dir):
+    """M5 fed by Structured Streaming: the events table read as a file stream.
+
+    Each micro-batch is committed as one increment (window ``batch-<id>``); the
+    query stops once all available files are processed (``availableNow``).
+    """
+    t = _tables(spark, sf_dir)
+    store = _fresh_store(spark, "stream")
+    stream = (spark.readStream.schema(t["events"].schema)
+              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    query = start_metric_stream(spark, stream, "events", t, [M.FIRST_REASON_COUNTS], store,
+                                scratch_dir(spark, "stream-checkpoint"))
+    if not query.awaitTermination(3600):
+        query.stop()
+        raise TimeoutError("stream did not finish within an hour")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return results(t, [M.FIRST_REASON_COUNTS], store)[M.FIRST_REASON_COUNTS.name].top
+
+
 def full_recompute_query(spark, sf_dir):
     return full_recompute(_tables(spark, sf_dir), M.MEAN_LEAD_BY_WEEKDAY)
 
@@ -430,6 +451,7 @@ QUERIES: dict[str, Query] = {
     "metric_mean_lead_by_weekday": metric_mean_lead_by_weekday,
     "metric_first_reason_counts": metric_first_reason_counts,
     "metric_share_by_reason": metric_share_by_reason,
+    "stream_first_reason_counts": stream_first_reason_counts,
     "full_recompute": full_recompute_query,
     "full_job": full_job,
 }
