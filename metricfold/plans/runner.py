@@ -74,6 +74,15 @@ def current_states(store: StateStore, specs: Sequence[MetricSpec]) -> dict[str,
     return states
 
 
+def check_partial(spec: MetricSpec, partial: DataFrame) -> DataFrame:
+    """The partial must hold exactly the spec's keys and additive sums (schema only)."""
+    expected = set(spec.keys) | set(spec.sums)
+    if set(partial.columns) != expected or len(partial.columns) != len(expected):
+        raise ValueError(f"metric {spec.name!r}: partial has columns {partial.columns}, "
+                         f"expected keys {list(spec.keys)} and sums {list(spec.sums)}")
+    return partial.select(*spec.keys, *spec.sums)
+
+
 def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
                 store: StateStore, cut: Mapping[str, dt.date] | None = None,
                 now: dt.datetime | None = None,
@@ -118,7 +127,8 @@ def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpe
         day = fact.day()
         observed = increments[spec.name].observe(
             observation, F.min(day).alias("first"), F.max(day).alias("last"))
-        store.write_partial(spec.name, windows[spec.name], spec.partial(tables, observed))
+        partial = check_partial(spec, spec.partial(tables, observed))
+        store.write_partial(spec.name, windows[spec.name], partial)
         try:
             got = observation.get
             return got["first"], got["last"]

@@ -292,3 +292,11 @@ def test_rows_without_a_day_are_counted_once(spark, tables, workdir):
     assert collect(res, "ORIGIN_AIRPORT", "count") == [("AAA", 5), ("BBB", 2)]
     assert sorted(map(tuple, res.collect())) == sorted(
         map(tuple, full_recompute(data, FL.TOP_AIRPORTS_BY_FLIGHTS).collect()))
+
+
+def test_partial_must_match_declared_keys_and_sums(spark, tables, workdir):
+    from dataclasses import replace
+
+    wrong = replace(FL.TOP_AIRPORTS_BY_FLIGHTS, sums=("flights",))
+    with pytest.raises(ValueError, match="expected keys"):
+        run_metrics(spark, tables, [wrong], StateStore(spark, workdir))
