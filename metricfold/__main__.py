@@ -1,7 +1,7 @@
 """Command line: run the flight metrics job once.
 
-    spark-submit --py-files metricfold.zip -m metricfold \\
-        --catalog file_path.csv --store /shared/metrics [--seed metrics_store.csv]
+    python -m metricfold --catalog file_path.csv --store /shared/metrics [--seed metrics_store.csv]
+    spark-submit --py-files metricfold.zip metricfold/__main__.py --catalog ... --store ...
 
 The cluster (master, executors, ``spark.checkpoint.dir``) comes from
 ``spark-submit``; nothing here pins a master.
