@@ -5,7 +5,7 @@ Layout under a store root (any Hadoop-compatible filesystem)::
     state/version=N/part-*.parquet         one row per metric (STATE schema)
     partials/<metric>/window_start=W/      the partial aggregate of one increment
 
-Protocol (one writer per store):
+Protocol (one writer per store; a second writer racing for the same version fails at the commit):
 
 1. read the latest state version; a metric's watermark is its ``dateTo``;
 2. write the increment's partial to ``partials/<metric>/window_start=<old dateTo
@@ -115,7 +115,9 @@ class StateStore:
         current = self.latest_version()
         version = 0 if current is None else current + 1
         df = self.spark.createDataFrame([r.as_tuple() for r in rows], STATE)
-        df.coalesce(1).write.mode("overwrite").parquet(f"{self.state_dir}/version={version}")
+        # "errorifexists": a version is written once; a second writer racing for the same
+        # version number fails here instead of replacing a committed version.
+        df.coalesce(1).write.mode("errorifexists").parquet(f"{self.state_dir}/version={version}")
         if self._cache is not None:     # single writer: what we wrote is what is stored
             self._cache = self._cache + [Row(**r.__dict__, version=version) for r in rows]
         return version

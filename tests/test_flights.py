@@ -300,3 +300,13 @@ def test_partial_must_match_declared_keys_and_sums(spark, tables, workdir):
     wrong = replace(FL.TOP_AIRPORTS_BY_FLIGHTS, sums=("flights",))
     with pytest.raises(ValueError, match="expected keys"):
         run_metrics(spark, tables, [wrong], StateStore(spark, workdir))
+
+
+def test_second_writer_racing_for_a_version_fails(spark, tables, workdir):
+    a, b = StateStore(spark, workdir), StateStore(spark, workdir)
+    run_metrics(spark, tables, [FL.DELAY_REASONS], a, cut={"flights": dt.date(2015, 1, 1)})
+    assert b.latest_version() == 0          # b has now read version 0 and cached it
+    run_metrics(spark, tables, [FL.DELAY_REASONS], a, cut={"flights": dt.date(2015, 1, 2)})
+    with pytest.raises(Exception, match="(?i)already exists"):
+        run_metrics(spark, tables, [FL.DELAY_REASONS], b)
+    assert StateStore(spark, workdir).latest_version() == 1
