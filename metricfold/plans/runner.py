@@ -5,10 +5,10 @@ metric's watermark, writes their partial, and commits a new state version.
 ``results`` reads the merged results.  ``full_recompute`` is the one-shot form:
 the same spec over every row, with no state.
 
-The partial of a metric goes to a window keyed by the metric's *old* watermark,
-which is known before anything runs, so the partial writes of all metrics are
-independent: they are submitted together and Spark schedules them side by side.
-The state version is written after all of them succeeded.
+The partial of a metric goes to a window named by the metric's *old* watermark
+and the run's attempt id, both known before anything runs, so the partial writes
+of all metrics are independent: they are submitted together and Spark schedules
+them side by side.  The state version is written after all of them succeeded.
 """
 
 from __future__ import annotations
@@ -101,7 +101,8 @@ def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Seq
                                 cut.get(spec.source))
         for spec in specs
     }
-    windows = {spec.name: window_key(states[spec.name].dateTo) for spec in specs}
+    attempt = uuid.uuid4().hex[:8]
+    windows = {spec.name: window_key(states[spec.name].dateTo, attempt) for spec in specs}
     return commit_increments(tables, specs, store, states, increments, windows, facts, now)
 
 
@@ -115,8 +116,10 @@ def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpe
     The first and last day of each increment are observed (``DataFrame.observe``)
     by the job that writes its partial, so finding them costs no extra pass over
     the data.  Partial writes of different metrics run concurrently; the new state
-    version is written only after all of them succeeded.  Re-running with the
-    same windows overwrites the same partials, so a retry never counts a row twice.
+    version is written only after all of them succeeded.  Only committed windows
+    are ever read, and a window name is never reused by another attempt (batch
+    runs) or always holds the same rows (a replayed micro-batch), so a retry never
+    counts a row twice.
     """
     now = now or dt.datetime.now().replace(microsecond=0)
 

@@ -9,12 +9,11 @@ Protocol (one writer per store; a second writer racing for the same version fail
 
 1. read the latest state version; a metric's watermark is its ``dateTo``;
 2. write the increment's partial to ``partials/<metric>/window_start=<old dateTo
-   or 'none'>`` with overwrite: a retried run replaces its own partial rather than
-   adding to it;
+   or 'none'>.<attempt id>``: every attempt writes its own folder;
 3. write ``state/version=N+1`` last; that write is the commit.  Each row names in
    ``committedWindow`` the window it commits (null when the metric had no rows);
 4. readers merge only partials whose ``window_start`` some version committed, so
-   the partial of a crashed run stays invisible.
+   the partial of a crashed or losing attempt stays invisible.
 
 Nothing is ever overwritten while it is being read, so an executor lost in the
 middle of a run costs a task retry or, at worst, a rerun of the whole job.
@@ -23,6 +22,7 @@ middle of a run costs a task retry or, at worst, a rerun of the whole job.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
@@ -161,15 +161,14 @@ class StateStore:
 
         ``metrics`` maps metric name -> ``(keys, sums)``.  Keeps the merge at read time
         proportional to the number of keys instead of the number of runs.  The
-        compacted partials are written under the *next* version's window name and
-        committed by that version, so a crash in between leaves them invisible and a
-        retry overwrites them.  Metrics with fewer than two windows are skipped.
+        compacted partials are written under a fresh window name and committed by the
+        next version, so a crash in between leaves them invisible.  Metrics with fewer than two windows are skipped.
         Returns metric -> new window.
         """
         chosen = {m: ks for m, ks in metrics.items() if len(self.committed_windows(m)) >= 2}
         if not chosen:
             return {}
-        window = f"{COMPACTED_PREFIX}{self.latest_version() + 1:09d}"
+        window = f"{COMPACTED_PREFIX}{self.latest_version() + 1:09d}.{uuid.uuid4().hex[:8]}"
         merged = {m: self.merged(m, keys, sums) for m, (keys, sums) in chosen.items()}
         with ThreadPoolExecutor(max_workers=8) as pool:
             for job in [pool.submit(self.write_partial, m, window, df) for m, df in merged.items()]:
@@ -221,5 +220,11 @@ class StateStore:
         return merge_sums(parts, list(keys), list(sums))
 
 
-def window_key(watermark: dt.date | None) -> str:
-    return NO_WINDOW if watermark is None else watermark.isoformat()
+def window_key(watermark: dt.date | None, attempt: str | None = None) -> str:
+    """Window name: the old watermark it starts after, plus the writing attempt's id.
+
+    The attempt id keeps two runs from ever writing the same folder: a crashed or
+    losing attempt leaves a folder that no version names, never a modified one.
+    """
+    base = NO_WINDOW if watermark is None else watermark.isoformat()
+    return base if attempt is None else f"{base}.{attempt}"

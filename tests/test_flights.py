@@ -99,7 +99,7 @@ def test_increments_merge_like_one_run_and_rerun_is_noop(spark, tables, workdir)
     store = StateStore(spark, workdir)
     states = run_metrics(spark, tables, FL.FLIGHT_METRICS, store, cut={"flights": dt.date(2015, 1, 2)})
     assert {s.dateTo for s in states.values()} == {dt.date(2015, 1, 2)}
-    assert {s.committedWindow for s in states.values()} == {"none"}
+    assert {s.committedWindow.split(".")[0] for s in states.values()} == {"none"}
     run_metrics(spark, tables, FL.FLIGHT_METRICS, store)
     version = store.latest_version()
     merged = results(tables, FL.FLIGHT_METRICS, store)
@@ -126,7 +126,7 @@ def test_crashed_partial_stays_invisible(spark, tables, workdir):
                         spark.createDataFrame([("AAA", 1000)], "ORIGIN_AIRPORT string, count bigint"))
     res = results(tables, [FL.TOP_AIRPORTS_BY_FLIGHTS], store)["TopAirportsByFlights"].top
     assert collect(res, "ORIGIN_AIRPORT", "count") == [("AAA", 2)]
-    # The retry overwrites the same window and commits it.
+    # The retry writes its own window and commits that one.
     run_metrics(spark, tables, [FL.TOP_AIRPORTS_BY_FLIGHTS], store)
     res = results(tables, [FL.TOP_AIRPORTS_BY_FLIGHTS], store)["TopAirportsByFlights"].top
     assert collect(res, "ORIGIN_AIRPORT", "count") == [("AAA", 4), ("BBB", 2)]
