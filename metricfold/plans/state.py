@@ -187,6 +187,20 @@ class StateStore:
                  if r["metricName"] == metric and r["committedWindow"] is not None}
         return sorted(every - set(self.committed_windows(metric)))
 
+    def unreferenced_windows(self, metric: str) -> list[str]:
+        """Partial folders that no current result reads: retired by a compaction, or
+        written by an attempt that never committed.  Safe to delete.
+
+        Found from the partial dataset's file listing (``inputFiles``); no data is read.
+        """
+        try:
+            files = self.spark.read.parquet(f"{self.partial_dir}/{metric}").inputFiles()
+        except AnalysisException:
+            return []
+        present = {seg.split("=", 1)[1] for f in files for seg in f.split("/")
+                   if seg.startswith("window_start=")}
+        return sorted(present - set(self.committed_windows(metric)))
+
     # ---- partials -----------------------------------------------------------------
 
     def partial_path(self, metric: str, window: str) -> str:

@@ -128,6 +128,7 @@ def test_crashed_partial_stays_invisible(spark, tables, workdir):
     assert collect(res, "ORIGIN_AIRPORT", "count") == [("AAA", 2)]
     # The retry writes its own window and commits that one.
     run_metrics(spark, tables, [FL.TOP_AIRPORTS_BY_FLIGHTS], store)
+    assert store.unreferenced_windows("TopAirportsByFlights") == ["2015-01-01"]
     res = results(tables, [FL.TOP_AIRPORTS_BY_FLIGHTS], store)["TopAirportsByFlights"].top
     assert collect(res, "ORIGIN_AIRPORT", "count") == [("AAA", 4), ("BBB", 2)]
 
@@ -236,6 +237,7 @@ def test_compaction_keeps_results_and_bounds_windows(spark, tables, workdir):
     for m in FL.FLIGHT_METRICS:
         assert store.committed_windows(m.name) == [done[m.name]]
         assert len(store.retired_windows(m.name)) == 3
+        assert store.unreferenced_windows(m.name) == store.retired_windows(m.name)
     after = results(tables, FL.FLIGHT_METRICS, store)
     for m in FL.FLIGHT_METRICS:
         assert sorted(map(tuple, after[m.name].top.collect())) == before[m.name], m.name
