@@ -38,3 +38,17 @@ def test_shuffle_join_paths_match_oracle(spark, no_broadcast):
                  "count_then_name", "metric_on_time_departures"]:
         problems, _, _ = compare(spark, con, name, QUERIES[name], ORACLE[name], SF_SMALL)
         assert not problems, (name, problems)
+
+
+# Spark type -> DuckDB type name, for the types the registered queries produce.
+DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+              "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def test_column_types_match_the_oracle(spark):
+    con = duck(SF_SMALL)
+    for name, fn in QUERIES.items():
+        spark_types = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in fn(spark, SF_SMALL).schema.fields}
+        duck_types = {row[0]: row[1] for row in con.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
+        assert spark_types == duck_types, name
