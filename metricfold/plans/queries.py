@@ -13,7 +13,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from metricfold.functions.columns import day_from_parts
 from metricfold.operators.aggregates import (
@@ -33,7 +32,7 @@ from metricfold.plans import metrics as M
 from metricfold.plans.analogues import REASON_COLUMNS, daily_wide, lead_parts_by_weekday
 from metricfold.plans.runner import full_recompute, results, run_metrics
 from metricfold.plans.state import StateStore
-from metricfold.schemas import CATALOG, DRIVER, STATE, struct
+from metricfold.schemas import CATALOG, DRIVER, struct
 from metricfold.session import scratch_dir
 from metricfold.sinks.files import as_view, write_csv_dir, write_single_csv
 from metricfold.sources.catalog import path_for
@@ -99,9 +98,7 @@ def _two_runs(spark, sf_dir, specs, label: str):
 def state_lookup(spark, sf_dir):
     _, store = _two_runs(spark, sf_dir, [M.TOP_ORIGINS], "state-lookup")
     version = store.latest_version()
-    schema = T.StructType(STATE.fields + [T.StructField("version", T.IntegerType(), True)])
-    states = spark.read.schema(schema).parquet(store.state_dir)
-    return states.filter((F.col("version") == version) & (F.col("metricName") == "top_origins")).select(
+    return store.table().filter((F.col("version") == version) & (F.col("metricName") == "top_origins")).select(
         F.col("metricName").alias("metric_name"), "top", F.col("order").alias("sort_order"),
         F.col("dateFrom").alias("date_from"), F.col("dateTo").alias("date_to"),
     )

@@ -87,6 +87,15 @@ class StateStore:
                 self._cache = []
         return self._cache
 
+    def table(self) -> DataFrame:
+        """The state table as a DataFrame: every version's rows, with their ``version``.
+
+        For inspection and SQL (``store.table().createOrReplaceTempView(...)``); the
+        ``version`` partition column prunes a filter on it to one folder.
+        """
+        schema = T.StructType(STATE.fields + [T.StructField("version", T.IntegerType(), True)])
+        return self.spark.read.schema(schema).parquet(self.state_dir)
+
     def latest_version(self) -> int | None:
         rows = self._rows()
         return max((r["version"] for r in rows), default=None)
