@@ -87,7 +87,7 @@ def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Seq
                 store: StateStore, cut: Mapping[str, dt.date] | None = None,
                 now: dt.datetime | None = None,
                 facts: Mapping[str, FactTable] = FACT_TABLES) -> dict[str, MetricState]:
-    """One run of the job over the given metrics; returns the new state rows.
+    """One run of the job over the given metrics; returns the new state rows.  [R1, R2]
 
     ``cut`` (fact table -> day) replays history: that table is seen as it stood at
     the end of the day.  A metric whose increment is empty keeps its state.
@@ -207,7 +207,7 @@ def run_job(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequenc
             write: bool = True, facts: Mapping[str, FactTable] = FACT_TABLES,
             compact_after: int | None = COMPACT_AFTER_WINDOWS,
             ) -> dict[str, MetricResult]:
-    """Run, compact long window lists, then read (and write out) every metric's result."""
+    """Run, compact long window lists, then read (and write out) every metric's result.  [R3]"""
     run_metrics(spark, tables, specs, store, cut=cut, facts=facts)
     if compact_after:
         compact(store, specs, compact_after)
@@ -225,7 +225,7 @@ def empty_partial(tables: Mapping[str, DataFrame], spec: MetricSpec) -> DataFram
 
 def full_recompute(tables: Mapping[str, DataFrame], spec: MetricSpec,
                    top: int | None = None) -> DataFrame:
-    """One pass over all rows, no state: partial of everything, then finalize."""
+    """One pass over all rows, no state: partial of everything, then finalize.  [R4]"""
     require_tables(tables, spec.required)
     partial = spec.partial(tables, tables[spec.source])
     return spec.finalize(tables, partial, spec.top if top is None else top, spec.order)
