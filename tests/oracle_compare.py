@@ -35,7 +35,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return ("nan",)
-        return round(v, 9)
+        return v            # exact: results must match bit for bit, like a value hash
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None)
     if hasattr(v, "item"):
