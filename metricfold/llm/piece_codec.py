@@ -7,9 +7,9 @@ batch by batch with the library's threads, decodes the ids again (``round_trip``
 text's ids against the SentencePiece library itself (``parity``).
 
 Most models' pieces never reach over the start of a word.  The code checks that for the given
-model; then each distinct word of a batch is encoded and decoded once and the ids of a text are
-put together from its words'.  Other models get whole texts.  Either way the SentencePiece
-library encodes every whole text for the parity check.
+model; then each distinct word of a batch is encoded, decoded and checked against SentencePiece
+once, and the ids of a text are put together from its words'.  So every text is checked word by
+word, and one text in ``WHOLE_CHECK`` (by a hash) as a whole too.  Other models get whole texts.
 
 A null text gives null ids and null checks; an empty text gives no ids.  ``round_trip`` compares
 the decoded text with the text the model's normaliser leaves.
@@ -20,6 +20,7 @@ from __future__ import annotations
 import gc
 import os
 import re
+import zlib
 from functools import lru_cache
 from itertools import chain
 
@@ -31,7 +32,9 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHED_WORDS = 400_000      # words whose ids a task keeps
+CACHED_WORDS = 500_000      # words whose ids a task keeps
+WHOLE_CHECK = 8
+GROUP = 256                 # new words per call
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 SCHEMA = ("doc_id long, ids array<int>, n_ids long, n_bytes long, round_trip boolean, parity boolean")
 
@@ -123,27 +126,45 @@ class Codec:
         self.flat = np.zeros(0, np.int32)           # the known words' ids, one after another
         self.starts = np.zeros(1, np.int64)
         self.whole = np.zeros(0, bool)              # whether a word's ids decode to it
+        self.same = np.zeros(0, bool)               # whether SentencePiece gives it the same ids
 
     def normalise(self, text: str) -> str:
         return self.tok.normalizer.normalize_str(text)
 
     def _learn(self, words: list[str]) -> None:
-        ids = [e.ids for e in self.words.encode_batch_fast(words, add_special_tokens=False)]
-        back = self.words.decode_batch(ids, skip_special_tokens=False)
-        self.whole = np.append(self.whole, [b == w.replace(MARK, " ") for b, w in zip(back, words)])
+        groups = [words[i:i + GROUP] for i in range(0, len(words), GROUP)]
+        coded = self.words.encode_batch(groups, is_pretokenized=True, add_special_tokens=False)
+        ids = [np.array(e.ids, np.int32) for e in coded]
+        sizes = np.concatenate([np.bincount(np.array(e.word_ids, np.int64), minlength=len(g)) for e, g in zip(coded, groups)])
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
-        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(ids), np.int32))
-        self.starts = np.append(self.starts, self.starts[-1] + np.cumsum([len(i) for i in ids]))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids of all texts in one array, their number per text, and whether each text's
-        ids decode to it again."""
+        self.flat = np.append(self.flat, np.concatenate(ids))
+        self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(sizes))
+        back = self.words.decode_batch([i.tolist() for i in ids], skip_special_tokens=False)
+        whole = np.ones(len(words), bool)
+        for k, (group, text) in enumerate(zip(groups, back)):
+            if text != "".join(group).replace(MARK, " "):          # then word by word
+                for i, word in enumerate(group, k * GROUP):
+                    at = self.known[word]
+                    one = self.flat[self.starts[at]:self.starts[at + 1]].tolist()
+                    whole[i] = self.words.decode(one, skip_special_tokens=False) == word.replace(MARK, " ")
+        self.whole = np.append(self.whole, whole)
+        texts = [w.replace(MARK, " ")[self.prefix:] for w in words]
+        checks = self.own.encode(texts, num_threads=1)
+        flat, ends = np.concatenate(ids), np.cumsum(sizes)
+        mark = [self.own.piece_to_id(MARK)]          # a mark alone is no text of its own
+        same = [(c if t else mark) == flat[e - n:e].tolist() for c, t, e, n in zip(checks, texts, ends, sizes)]
+        self.same = np.append(self.same, same)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, their number per text, whether each text's ids
+        decode to it again, and whether SentencePiece gives the same ids (to all its words)."""
         normalised = [self.normalise(t) for t in texts]
         if not self.cuts:
             ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
             back = [d == self.plain(n) for d, n in zip(self.decode(ids), normalised)]
+            same = [a == b for a, b in zip(ids, self.own.encode(texts, num_threads=1))]
             return (np.fromiter(chain.from_iterable(ids), np.int32), np.array([len(i) for i in ids], np.int64),
-                    np.array(back, bool))
+                    np.array(back, bool), np.array(same, bool))
         cut = [_WORD.findall(t) for t in normalised]
         distinct = set().union(*cut)
         if len(self.known) > CACHED_WORDS:
@@ -156,8 +177,8 @@ class Codec:
         begins = np.cumsum(sizes) - sizes
         ids = self.flat[np.arange(int(sizes.sum())) + np.repeat(first - begins, sizes)]
         row = np.repeat(np.arange(len(texts)), counts)
-        bad = np.bincount(row, weights=~self.whole[at], minlength=len(texts))
-        return ids, np.bincount(row, weights=sizes, minlength=len(texts)).astype(np.int64), bad == 0
+        count = lambda weights: np.bincount(row, weights=weights, minlength=len(texts))
+        return ids, count(sizes).astype(np.int64), count(~self.whole[at]) == 0, count(~self.same[at]) == 0
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tok.decode_batch(ids, skip_special_tokens=False)
@@ -173,7 +194,7 @@ def codec(data: bytes) -> Codec:
     return Codec(data)
 
 
-def _pieces(items, limit: int = 4 << 20):
+def _pieces(items, limit: int = 1 << 20):
     held, size = [], 0
     for x in items:
         held.append(x)
@@ -196,10 +217,11 @@ def _encoder(data: bytes, threads: int):
             for texts in _pieces(batch.column(1).to_pylist()):
                 real = [t or "" for t in texts]
                 null = pa.array([t is None for t in texts])
-                flat, sizes, back = own.encode(real)
+                flat, sizes, back, parity = own.encode(real)
                 ends = np.cumsum(sizes)
-                checks = own.own.encode(real, num_threads=threads)
-                parity = [c == flat[e - n:e].tolist() for c, e, n in zip(checks, ends, sizes)]
+                whole = [i for i, t in enumerate(real) if zlib.crc32(t[:64].encode()) % WHOLE_CHECK == 0]
+                for i, ids in zip(whole, own.own.encode([real[i] for i in whole], num_threads=threads)):
+                    parity[i] &= ids == flat[ends[i] - sizes[i]:ends[i]].tolist()
                 offsets = pa.array(np.concatenate(([0], ends)), pa.int32(),
                                    mask=np.append([t is None for t in texts], False))
                 out = [
@@ -207,7 +229,7 @@ def _encoder(data: bytes, threads: int):
                     pc.if_else(null, None, pa.array(sizes)),
                     pc.if_else(null, None, pa.array([len(t.encode()) for t in real], pa.int64())),
                     pc.if_else(null, None, pa.array(back)),
-                    pc.if_else(null, None, pa.array(parity, pa.bool_())),
+                    pc.if_else(null, None, pa.array(parity)),
                 ]
                 doc_ids = batch.column(0).slice(done, len(texts))
                 done += len(texts)
