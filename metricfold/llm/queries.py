@@ -15,6 +15,7 @@ from metricfold.llm import (
     ordinal_quality,
     piece_codec,
     quality_rules,
+    suffix_dedup,
     token_order,
 )
 from metricfold.llm.scratch import save
@@ -38,6 +39,10 @@ def op3_training_order(spark, sf_dir):
     return token_order.shards(table(spark, sf_dir, "documents"), ranks)
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.spans_removed(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mix(spark, sf_dir):
     sized = save(mixing.sizes(table(spark, sf_dir, "documents")), "sized")
     plan = save(mixing.quotas(sized), "quotas")
@@ -70,6 +75,6 @@ def op10_piece_codec(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_metric_tree_top_k, op2_rule_ledger, op3_training_order, op6_source_mix, op7_ordinal_quality,
-        op8_chat_windows, op9_license_scan, op10_piece_codec)
+        op1_metric_tree_top_k, op2_rule_ledger, op3_training_order, op4_suffix_dedup, op6_source_mix,
+        op7_ordinal_quality, op8_chat_windows, op9_license_scan, op10_piece_codec)
 }
