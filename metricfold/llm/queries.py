@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from metricfold.llm import (
     chat_windows,
+    jaccard_join,
     license_scan,
     metric_tree,
     mixing,
@@ -43,6 +44,10 @@ def op4_suffix_dedup(spark, sf_dir):
     return suffix_dedup.spans_removed(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_join.grouped(table(spark, sf_dir, "documents"), save)
+
+
 def op6_source_mix(spark, sf_dir):
     sized = save(mixing.sizes(table(spark, sf_dir, "documents")), "sized")
     plan = save(mixing.quotas(sized), "quotas")
@@ -75,6 +80,6 @@ def op10_piece_codec(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_metric_tree_top_k, op2_rule_ledger, op3_training_order, op4_suffix_dedup, op6_source_mix,
+        op1_metric_tree_top_k, op2_rule_ledger, op3_training_order, op4_suffix_dedup, op5_jaccard_join, op6_source_mix,
         op7_ordinal_quality, op8_chat_windows, op9_license_scan, op10_piece_codec)
 }
