@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricfold.llm import shared_keys as sk
-from metricfold.llm.text_bytes import mix, text_and_offsets
+from metricfold.llm.text_bytes import MIX_A, mix, text_and_offsets
 
 SPAN = 50
 GRAM = 20
@@ -87,7 +87,8 @@ class Chunk:
         keys = window_minimizers(self.buf)[at] if len(at) else np.zeros(0, np.uint64)
         new = np.append(True, (keys[1:] != keys[:-1]) | (row[1:] != row[:-1])) if len(keys) else np.zeros(0, bool)
         begins = np.flatnonzero(new)
-        self.start, self.key, self.row = at[begins], keys[begins], row[begins]
+        # Minima are small numbers: mixed once more, they spread evenly over the buckets.
+        self.start, self.key, self.row = at[begins], mix(keys[begins] + MIX_A), row[begins]
         self.windows = np.diff(np.append(begins, len(keys)))
         self.keys, self.several = sk.distinct(self.key, self.owners[self.row])
 
