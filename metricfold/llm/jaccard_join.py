@@ -10,7 +10,8 @@ fewer words, all of them as one).  Two documents link when ``100 * common >= per
 2. Hubs.  In every tile (the classes that share a prefix shingle) the class with the fewest
    unshared shingles is the hub; each class is compared exactly with its most frequent hub.
    Groups of near copies mostly collapse around their hub.
-3. Tiles.  Where a tile still has two components, its classes meet again, ordered by size so that
+3. Tiles.  Where a tile still has two components, its classes meet again (unless a class has too
+   few such tiles for any link), ordered by size so that
    only sizes within the bound (bands) are paired, in blocks of bounded size.  Hashed bitmap
    signatures bound the overlap from above: ``popcount(x & y) + min(collisions)``.  Pairs that the bound
    leaves, in different components, go on from the tile of their smallest common prefix
@@ -29,6 +30,7 @@ part in no link.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +39,16 @@ from pyspark.sql import functions as F
 
 from metricfold.llm import shared_keys as sk
 from metricfold.llm.components import components
+from metricfold.session import scratch_dir
 from metricfold.llm.text_bytes import lower_ascii, mix, slices, text_and_offsets, window_hashes, word_bounds, word_hashes
 
 WIDTH, PERCENT = 4, 85
 SAMPLE_DOCS = 8_192         # documents whose shingles order the rest
 FREQUENT = 65_536           # most shingles in that order
 FREQUENT_FROM = 6           # documents of the sample
+PRUNINGS = 2
 TILE_BLOCK = 1_024          # classes of a tile that one task pairs with each other or another block
-MEMBERS = ("doc_id long, class long, n long, unshared int, n_keys int, keys array<long>, "
+MEMBERS = ("doc_id long, class long, n long, unshared int, n_core int, keys array<long>, "
            "shingles array<long>, signature binary")
 
 
@@ -138,16 +142,16 @@ def _members(width: int, percent: int, frequent, bits: int):
         carries = np.zeros(rows, bool)
         carries[first_row] = True
         carries &= (several >= sets.need) & (sets.n > 0)
-        core = shared & (sets.prefix_rank < sets.core[sets.prefix_row]) & carries[sets.prefix_row]
-        n_keys = np.bincount(sets.prefix_row[core], minlength=rows)
+        shared &= carries[sets.prefix_row]
+        n_core = np.bincount(sets.prefix_row[shared & (sets.prefix_rank < sets.core[sets.prefix_row])], minlength=rows)
         total = np.maximum(sets.core + np.minimum(sets.extra, sets.n - sets.core), 1)
-        keys = _lists(sets.prefix[core], n_keys, carries)
+        keys = _lists(sets.prefix[shared], np.where(carries, several, 0), carries)
         of = np.repeat(carries, sets.n)
         shingles = _lists(sets.hashes[of], np.where(carries, sets.n, 0), carries)
         marks = [signature(sets.hashes[a:a + n]) if c else None for a, n, c in zip(sets.first, sets.n, carries)]
         return pa.table({
             "doc_id": docs["doc_id"], "class": pa.array(sets.classes), "n": pa.array(sets.n),
-            "unshared": pa.array((1000 * (total - several) // total).astype(np.int32)), "n_keys": pa.array(n_keys.astype(np.int32)),
+            "unshared": pa.array((1000 * (total - several) // total).astype(np.int32)), "n_core": pa.array(n_core.astype(np.int32)),
             "keys": keys, "shingles": shingles, "signature": pa.array(marks, pa.binary())})
     return run
 
@@ -262,6 +266,15 @@ def _pairs_of(percent: int):
     return run
 
 
+def by_class(sets: DataFrame) -> DataFrame:
+    """A scratch table of the sets, bucketed by class: joins on the class do not move it again."""
+    spark = sets.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"sets_{uuid4().hex}"
+    sets.write.bucketBy(buckets, "class").sortBy("class").option("path", scratch_dir(spark, name)).saveAsTable(name)
+    return spark.table(name)
+
+
 def linked(docs: DataFrame, save: Callable[[DataFrame, str], DataFrame], width: int = WIDTH,
            percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """The members (``doc_id, class, n``) of all classes, and the components (``class, component``) of linked ones."""
@@ -273,29 +286,37 @@ def linked(docs: DataFrame, save: Callable[[DataFrame, str], DataFrame], width:
     members = save(own.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         _members(width, percent, frequent, bits), MEMBERS), "members")
 
-    sets = save(members.where("shingles IS NOT NULL").dropDuplicates(["class"]).drop("doc_id"), "sets")
-    entries = sets.select("class", "n", "unshared", F.explode("keys").alias("key"))
-    hubs = entries.groupBy("key").agg(F.min(F.struct("unshared", "class")).alias("hub"), F.count(F.lit(1)).alias("tile"))
+    sets = by_class(members.where("shingles IS NOT NULL").dropDuplicates(["class"]).drop("doc_id"))
+    need = F.expr(f"1 + (({percent} * n + 99) div 100) div 10")
+    entries = sets.select("class", "unshared", need.cast("int").alias("need"), "n_core", F.posexplode("keys").alias("at", "key"))
+    hubs = entries.where("at < n_core").groupBy("key").agg(
+        F.min(F.struct("unshared", "class")).alias("hub"), F.count(F.lit(1)).alias("tile"))
     hubs = hubs.where("tile > 1").select("key", F.col("hub.class").alias("hub"), "tile")
-    in_tiles = save(entries.join(hubs, "key").select("key", "class", "hub", "tile"), "tiles")
-    home = (in_tiles.where("class <> hub").groupBy("class", "hub").agg(F.count(F.lit(1)).alias("times"))
+    home = (entries.where("at < n_core").select("key", "class").join(hubs, "key").where("class <> hub")
+            .groupBy("class", "hub").agg(F.count(F.lit(1)).alias("times"))
             .groupBy("class").agg(F.max_by("hub", F.struct("times", "hub")).alias("hub")))
     first = save(verified(home.select(F.col("hub").alias("a"), F.col("class").alias("b")), sets, percent), "hub-links")
     near = components(first, save)
 
-    placed = in_tiles.join(near.withColumnRenamed("node", "class"), "class", "left").select(
-        "key", "class", "tile", F.coalesce("component", "class").alias("component"))
-    placed = save(placed, "placed")
-    open_tiles = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("open")).where("open").select("key")
+    # A class can only link to another component if it shares enough prefix shingles with others.
+    left = entries.select("key", "class", "need", (F.col("at") < F.col("n_core")).alias("core")).join(
+        near.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    for _ in range(PRUNINGS):
+        tiles = left.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                        F.sum(F.col("core").cast("long")).alias("tile")).where("low <> high")
+        open_rows = left.join(tiles.select("key", "tile"), "key")
+        able = open_rows.groupBy("class", "need").agg(F.count(F.lit(1)).alias("rows")).where("rows >= need").select("class")
+        left = save(open_rows.join(able, "class", "left_semi"), "open-tiles")
+        sizes, left = left.where("core").select("key", "class", "component", "tile"), left.drop("tile")
     blocks = F.ceil(F.col("tile") / TILE_BLOCK).cast("long")
     block = F.pmod(F.xxhash64(F.lit(5), "class"), F.col("blocks"))
-    rows = (placed.join(open_tiles, "key", "left_semi").withColumn("blocks", blocks).withColumn("block", block)
+    rows = (sizes.withColumn("blocks", blocks).withColumn("block", block)
             .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
             .withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with"))
-            .join(sets.select("class", "n", "keys", "signature"), "class")
+            .join(sets.select("class", "n", F.expr("slice(keys, 1, n_core)").alias("keys"), "signature"), "class")
             .select("key", "one", "other", "block", "class", "component", "n", "keys", "signature"))
     pairs = rows.groupBy("key", "one", "other").applyInArrow(_pairs_of(percent), "a long, b long").distinct()
-    second = verified(pairs, sets, percent)
+    second = save(verified(pairs, sets, percent), "tile-links")
     return members.select("doc_id", "class", "n"), components(first.unionByName(second), save)
 
 
