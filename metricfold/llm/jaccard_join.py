@@ -10,13 +10,12 @@ fewer words, all of them as one).  Two documents link when ``100 * common >= per
 2. Hubs.  In every tile (the classes that share a prefix shingle) the class with the fewest
    unshared shingles is the hub; each class is compared exactly with its most frequent hub.
    Groups of near copies mostly collapse around their hub.
-3. Tiles.  Where a tile still has two components, its classes meet again (unless a class has too
-   few such tiles for any link), ordered by size so that
-   only sizes within the bound (bands) are paired, in blocks of bounded size.  Hashed bitmap
-   signatures bound the overlap from above: ``popcount(x & y) + min(collisions)``.  Pairs that the bound
-   leaves, in different components, go on from the tile of their smallest common prefix
-   shingle only, so each is written once.
-4. Those pairs are compared exactly: the intersection of the sorted arrays.
+3. Tiles.  Where a tile still has two components, its classes meet again, unless a class has too
+   few such tiles for any link.  All tiles of one hub are worked on together, so a class comes
+   there once, in blocks of bounded size.  Classes are ordered by size and only sizes within
+   the bound (a band) are paired.  Hashed bitmap signatures bound the overlap from above:
+   ``popcount(x & y) + min(collisions)``.
+4. Pairs that the bound leaves, in different components, are compared exactly: the intersection of the sorted arrays.
 
 Components follow from the links between classes and the classes' members; copies are never
 expanded into pairs.  The frequent list only orders shingles; it changes speed, not results.
@@ -47,7 +46,7 @@ SAMPLE_DOCS = 8_192         # documents whose shingles order the rest
 FREQUENT = 65_536           # most shingles in that order
 FREQUENT_FROM = 6           # documents of the sample
 PRUNINGS = 2
-TILE_BLOCK = 1_024          # classes of a tile that one task pairs with each other or another block
+TILE_BLOCK = 1_024          # classes of a hub's tiles that one task pairs with each other or another block
 MEMBERS = ("doc_id long, class long, n long, unshared int, n_core int, keys array<long>, "
            "shingles array<long>, signature binary")
 
@@ -215,10 +214,9 @@ def _fold(marks: np.ndarray, width: int) -> np.ndarray:
 
 
 def _pairs_of(percent: int):
-    """The pairs of a tile (or of two of its blocks) that may link, in different components, and have
-    no smaller common key."""
+    """The pairs of a bundle (or of two of its blocks) in different components that may link."""
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        tile, one, other = (k.as_py() for k in key)
+        _, one, other = (k.as_py() for k in key)
         n = rows["n"].to_numpy()
         order = np.argsort(n, kind="stable")
         n, classes, comps = n[order], rows["class"].to_numpy()[order], rows["component"].to_numpy()[order]
@@ -249,19 +247,6 @@ def _pairs_of(percent: int):
                 found_b.append(js[pass_])
         a = np.concatenate(found_a) if found_a else np.zeros(0, int)
         b = np.concatenate(found_b) if found_b else np.zeros(0, int)
-        if len(a):
-            # Keys below the tile's that several rows have: a pair with such a key belongs there.
-            lists = [np.array(rows["keys"][int(i)].as_py(), np.int64) for i in order]
-            lists = [x[x < tile] for x in lists]
-            flat, row = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-            names, column, count = np.unique(flat, return_inverse=True, return_counts=True)
-            common = count[column] > 1
-            column = (np.cumsum(count > 1) - 1)[column[common]]
-            has = np.zeros((len(lists), max(1, int((count > 1).sum()))), bool)
-            has[row[common], column] = True
-            has = np.packbits(has, axis=1)
-            own = np.concatenate([~(has[a[s:s + 65536]] & has[b[s:s + 65536]]).any(axis=1) for s in range(0, len(a), 65536)])
-            a, b = a[own], b[own]
         return pa.table({"a": pa.array(classes[a], pa.int64()), "b": pa.array(classes[b], pa.int64())})
     return run
 
@@ -291,7 +276,7 @@ def linked(docs: DataFrame, save: Callable[[DataFrame, str], DataFrame], width:
     entries = sets.select("class", "unshared", need.cast("int").alias("need"), "n_core", F.posexplode("keys").alias("at", "key"))
     hubs = entries.where("at < n_core").groupBy("key").agg(
         F.min(F.struct("unshared", "class")).alias("hub"), F.count(F.lit(1)).alias("tile"))
-    hubs = hubs.where("tile > 1").select("key", F.col("hub.class").alias("hub"), "tile")
+    hubs = save(hubs.where("tile > 1").select("key", F.col("hub.class").alias("hub")), "hubs")
     home = (entries.where("at < n_core").select("key", "class").join(hubs, "key").where("class <> hub")
             .groupBy("class", "hub").agg(F.count(F.lit(1)).alias("times"))
             .groupBy("class").agg(F.max_by("hub", F.struct("times", "hub")).alias("hub")))
@@ -302,20 +287,20 @@ def linked(docs: DataFrame, save: Callable[[DataFrame, str], DataFrame], width:
     left = entries.select("key", "class", "need", (F.col("at") < F.col("n_core")).alias("core")).join(
         near.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     for _ in range(PRUNINGS):
-        tiles = left.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                        F.sum(F.col("core").cast("long")).alias("tile")).where("low <> high")
-        open_rows = left.join(tiles.select("key", "tile"), "key")
+        tiles = left.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        open_rows = left.join(tiles.where("low <> high").select("key"), "key")
         able = open_rows.groupBy("class", "need").agg(F.count(F.lit(1)).alias("rows")).where("rows >= need").select("class")
         left = save(open_rows.join(able, "class", "left_semi"), "open-tiles")
-        sizes, left = left.where("core").select("key", "class", "component", "tile"), left.drop("tile")
-    blocks = F.ceil(F.col("tile") / TILE_BLOCK).cast("long")
+    bundles = left.where("core").join(hubs.select("key", "hub"), "key").groupBy("hub", "class").agg(F.first("component").alias("component"))
+    bundles = save(bundles, "bundles")
+    sizes = bundles.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / TILE_BLOCK).cast("long").alias("blocks"))
     block = F.pmod(F.xxhash64(F.lit(5), "class"), F.col("blocks"))
-    rows = (sizes.withColumn("blocks", blocks).withColumn("block", block)
+    rows = (bundles.join(sizes, "hub").withColumn("block", block)
             .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
             .withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with"))
-            .join(sets.select("class", "n", F.expr("slice(keys, 1, n_core)").alias("keys"), "signature"), "class")
-            .select("key", "one", "other", "block", "class", "component", "n", "keys", "signature"))
-    pairs = rows.groupBy("key", "one", "other").applyInArrow(_pairs_of(percent), "a long, b long").distinct()
+            .join(sets.select("class", "n", "signature"), "class")
+            .select("hub", "one", "other", "block", "class", "component", "n", "signature"))
+    pairs = rows.groupBy("hub", "one", "other").applyInArrow(_pairs_of(percent), "a long, b long").distinct()
     second = save(verified(pairs, sets, percent), "tile-links")
     return members.select("doc_id", "class", "n"), components(first.unionByName(second), save)
 
