@@ -308,11 +308,20 @@ def linked(docs: DataFrame, save: Callable[[DataFrame, str], DataFrame], width:
 def grouped(docs: DataFrame, save, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` (the smallest id reachable by links) for every row."""
     members, comps = linked(docs, save, width, percent)
-    # Classes without links are their own component; equal sets link (but not empty ones).
-    joined = members.join(comps.withColumnRenamed("node", "class"), "class", "left").withColumn(
+    # By class first (copies are many rows of one class), then one join of the rows.  Classes
+    # without links are their own component; equal sets link, but not empty ones.
+    classes = members.where("n > 0 AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
+    placed = classes.join(comps.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class"))
-    able = joined.where("n > 0 AND doc_id IS NOT NULL")
-    least = able.groupBy("component").agg(F.min("doc_id").alias("least"))
-    return joined.join(least, "component", "left").select(
+    least = placed.groupBy("component").agg(F.min("least").alias("least_of_all"))
+    of_class = save(placed.select("class", "component").join(least, "component").select("class", "least_of_all"), "class-ids")
+    return members.join(of_class, "class", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("least_of_all")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, save, width: int, percent: int) -> DataFrame:
+    """``docs`` without the documents that have a smaller id in their component.  Rows with empty sets,
+    a null id, or an id of their own stay."""
+    drops = save(grouped(docs, save, width, percent).where("component_id <> doc_id").select("doc_id").distinct(), "drops")
+    return docs.join(drops, docs["doc_id"] == drops["doc_id"], "left_anti")

@@ -138,8 +138,10 @@ def sizes(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count().alias("size"))
 
 
-def copies(allocated: DataFrame, columns: list[str]) -> DataFrame:
-    """Documents as often as the mix takes them: whole copies, and the last one if at least
-    half of it is taken."""
+def mixed(docs: DataFrame, plan: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them: whole copies, and the last one if at
+    least half of it is taken.  The rows' own columns may have any names."""
+    packed = docs.select("doc_id", "source", word_count().alias("size"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     n = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
-    return allocated.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), n))).select(*columns)
+    return (allocate(packed, plan).select("row", F.explode(F.array_repeat(F.lit(0), n)).alias("copy"))
+            .select(*[F.col(f"row.`{c}`") for c in docs.columns]))
