@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 CACHED_WORDS = 500_000      # words whose ids a task keeps
+KEPT_WORDS = 250_000        # most of them that wait in a worker for its next task
 WHOLE_CHECK = 8
 GROUP = 256                 # new words per call
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -119,9 +120,9 @@ class Codec:
         self.words = Tokenizer(self.tok.model)
         self.words.decoder = decoders.Sequence(
             [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.flat = np.zeros(0, np.int32)           # the known words' ids, one after another
         self.starts = np.zeros(1, np.int64)
@@ -168,7 +169,7 @@ class Codec:
         cut = [_WORD.findall(t) for t in normalised]
         distinct = set().union(*cut)
         if len(self.known) > CACHED_WORDS:
-            self._forget()
+            self.forget()
         if new := list(distinct.difference(self.known)):
             self._learn(new)
         counts = np.array([len(words) for words in cut], np.int64)
@@ -212,28 +213,33 @@ def _encoder(data: bytes, threads: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true" if threads > 1 else "false")
         own = codec(data)
         gc.disable()        # nothing here makes reference cycles; scans of millions of lists cost much
-        for batch in batches:
-            done = 0
-            for texts in _pieces(batch.column(1).to_pylist()):
-                real = [t or "" for t in texts]
-                null = pa.array([t is None for t in texts])
-                flat, sizes, back, parity = own.encode(real)
-                ends = np.cumsum(sizes)
-                whole = [i for i, t in enumerate(real) if zlib.crc32(t[:64].encode()) % WHOLE_CHECK == 0]
-                for i, ids in zip(whole, own.own.encode([real[i] for i in whole], num_threads=threads)):
-                    parity[i] &= ids == flat[ends[i] - sizes[i]:ends[i]].tolist()
-                offsets = pa.array(np.concatenate(([0], ends)), pa.int32(),
-                                   mask=np.append([t is None for t in texts], False))
-                out = [
-                    pa.ListArray.from_arrays(offsets, pa.array(flat)),
-                    pc.if_else(null, None, pa.array(sizes)),
-                    pc.if_else(null, None, pa.array([len(t.encode()) for t in real], pa.int64())),
-                    pc.if_else(null, None, pa.array(back)),
-                    pc.if_else(null, None, pa.array(parity)),
-                ]
-                doc_ids = batch.column(0).slice(done, len(texts))
-                done += len(texts)
-                yield pa.RecordBatch.from_arrays([doc_ids, *out], [f.split()[0] for f in SCHEMA.split(", ")])
+        try:
+            for batch in batches:
+                done = 0
+                for texts in _pieces(batch.column(1).to_pylist()):
+                    real = [t or "" for t in texts]
+                    null = pa.array([t is None for t in texts])
+                    flat, sizes, back, parity = own.encode(real)
+                    ends = np.cumsum(sizes)
+                    whole = [i for i, t in enumerate(real) if zlib.crc32(t[:64].encode()) % WHOLE_CHECK == 0]
+                    for i, ids in zip(whole, own.own.encode([real[i] for i in whole], num_threads=threads)):
+                        parity[i] &= ids == flat[ends[i] - sizes[i]:ends[i]].tolist()
+                    offsets = pa.array(np.concatenate(([0], ends)), pa.int32(),
+                                       mask=np.append([t is None for t in texts], False))
+                    out = [
+                        pa.ListArray.from_arrays(offsets, pa.array(flat)),
+                        pc.if_else(null, None, pa.array(sizes)),
+                        pc.if_else(null, None, pa.array([len(t.encode()) for t in real], pa.int64())),
+                        pc.if_else(null, None, pa.array(back)),
+                        pc.if_else(null, None, pa.array(parity)),
+                    ]
+                    doc_ids = batch.column(0).slice(done, len(texts))
+                    done += len(texts)
+                    yield pa.RecordBatch.from_arrays([doc_ids, *out], [f.split()[0] for f in SCHEMA.split(", ")])
+        finally:        # the worker goes on to other tasks
+            gc.enable()
+            if len(own.known) > KEPT_WORDS:
+                own.forget()
     return run
 
 
