@@ -279,12 +279,10 @@ def _clean(bits: int, fields: list[str]):
 
 def _replies(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame, int]:
     bits = sk.bucket_bits(size * 8 * 2 / (SPAN - GRAM + 2))
-    if "chunk" not in docs.columns:
-        raise ValueError("docs must be dealt to chunks")
-    own = docs.select("chunk", "doc_id", "text") if docs.columns != ["chunk", "doc_id", "text"] else docs
-    keys = own.groupBy("chunk").applyInArrow(_send_keys(bits), sk.SENT)
+    # All steps take all columns of the dealt documents, so that they share one exchange.
+    keys = docs.groupBy("chunk").applyInArrow(_send_keys(bits), sk.SENT)
     first = sk.answers(keys)
-    runs = own.groupBy("chunk").cogroup(first.groupBy("chunk")).applyInArrow(_send_runs(bits), RUNS)
+    runs = docs.groupBy("chunk").cogroup(first.groupBy("chunk")).applyInArrow(_send_runs(bits), RUNS)
     second = runs.groupBy("bucket").applyInArrow(_judge, sk.REPLY)
     return first, second, bits
 
