@@ -94,7 +94,7 @@ class Sets:
         self.n = np.bincount(row, minlength=rows).astype(np.int64)
         self.first = np.cumsum(self.n) - self.n
         self.hashes = h
-        summed = np.append(0, np.cumsum(mix(h + np.uint64(1)))).astype(np.uint64) if len(h) else np.zeros(1, np.uint64)
+        summed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h + np.uint64(1)), dtype=np.uint64)])
         total = summed[self.first + self.n] - summed[self.first]
         self.classes = mix(total + self.n.astype(np.uint64)).view(np.int64)
         # Prefixes in the common order: frequent shingles (by their place in the list) last.
