@@ -31,16 +31,16 @@ DEFAULT_CONF = {
 
 
 def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 256 << 20,
-                           minimum: int = 8, maximum: int = 200_000) -> int:
+                           minimum: int = 8) -> int:
     """Initial shuffle partition count for an input of ``input_bytes``.
 
     One partition per ``partition_bytes`` of input keeps every reducer's share
     within executor memory even before AQE merges small partitions (it only ever
-    coalesces, never splits, apart from skew handling).  100 TB gives ~400,000,
-    capped at ``maximum``; AQE then coalesces toward the advisory size.
+    coalesces, never splits, apart from skew handling).  100 TB gives ~400,000;
+    AQE then coalesces toward the advisory size.
     """
     wanted = -(-int(input_bytes) // partition_bytes)
-    return max(minimum, min(maximum, wanted))
+    return max(minimum, wanted)
 
 
 def build_session(
@@ -70,8 +70,9 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    If the session has none (local tests), create a fresh one and register it,
-    so ``DataFrame.checkpoint()`` and our scratch tables agree on a location.
+    If a local session has none (tests), create a fresh one and register it,
+    so ``DataFrame.checkpoint()`` and our scratch tables agree on a location.  On a
+    cluster the setting is required: executors could not reach a folder of the driver.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = None
@@ -82,6 +83,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured and context is not None:
         configured = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
+        master = context.master if context is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="metricfold-ckpt-")
         if context is not None:
             context.setCheckpointDir(configured)

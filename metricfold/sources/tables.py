@@ -15,19 +15,8 @@ DRIVER_TABLES = (
 )
 
 
-# Parquet schemas inferred once per path in this process.  Every read still lists the
-# files afresh (new files are always seen); only the footer-based schema inference,
-# which costs a driver round trip per table, is not repeated.
-_SCHEMAS: dict[str, object] = {}
-
-
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.parquet(path)
 
 
 class Tables(Mapping[str, DataFrame]):
