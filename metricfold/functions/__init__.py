@@ -4,9 +4,10 @@ from metricfold.functions.columns import (
     cents,
     day_from_parts,
     first_positive,
+    is_day,
     iso_weekday,
     percent_of,
     ratio,
 )
 
-__all__ = ["cents", "day_from_parts", "first_positive", "iso_weekday", "percent_of", "ratio"]
+__all__ = ["cents", "day_from_parts", "first_positive", "is_day", "iso_weekday", "percent_of", "ratio"]

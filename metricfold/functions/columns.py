@@ -16,6 +16,14 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def is_day(year: str | Column, month: str | Column, day: str | Column) -> Column:
+    """Whether three integers form a calendar day of the years 1 to 9999; false for nulls."""
+    y, m, d = _col(year), _col(month), _col(day)
+    leap = (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0))
+    last = F.when(m == 2, F.when(leap, 29).otherwise(28)).when(m.isin(4, 6, 9, 11), 30).otherwise(31)
+    return F.coalesce(y.between(1, 9999) & m.between(1, 12) & d.between(1, last), F.lit(False))
+
+
 def day_from_parts(year: str | Column, month: str | Column, day: str | Column,
                    lenient: bool = False) -> Column:
     """Calendar day from integer year, month and day columns.  [P1]
@@ -24,10 +32,8 @@ def day_from_parts(year: str | Column, month: str | Column, day: str | Column,
     yields null for it instead, like a permissive CSV parse.
     """
     y, m, d = _col(year), _col(month), _col(day)
-    if not lenient:
-        return F.make_date(y, m, d)
-    text = F.format_string("%04d-%02d-%02d", y, m, d)
-    return F.try_to_date(text, "yyyy-MM-dd")
+    made = F.make_date(y, m, d)
+    return F.when(is_day(y, m, d), made) if lenient else made
 
 
 def first_positive(labelled: Mapping[str, str | Column]) -> Column:

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricfold.functions.columns import day_from_parts
+from metricfold.functions.columns import day_from_parts, is_day
 from metricfold.operators import increment as inc
 
 
@@ -47,27 +47,36 @@ def _later_than(day: dt.date, y: str, m: str, d: str) -> Column:
 def from_parts(name: str, year: str = "YEAR", month: str = "MONTH", day: str = "DAY") -> FactTable:
     """Fact table whose day is assembled from integer year, month and day columns.
 
-    The day used for bounds is null when the parts do not form a date.
+    Rows whose parts are missing or form no date (``is_day``) have no day: they belong to the
+    first window alone, whatever their parts say, and do not move the bounds.
     """
     def after(df, wm):
-        return df if wm is None else df.filter(_later_than(wm, year, month, day))
+        if wm is None:
+            return df
+        return df.filter(_later_than(wm, year, month, day) & is_day(year, month, day))
 
     def as_of(df, cut):
-        # Rows whose parts are missing go to the first window (no later cut selects them).
         if cut is None:
             return df
-        missing = F.col(year).isNull() | F.col(month).isNull() | F.col(day).isNull()
-        return df.filter(~_later_than(cut, year, month, day) | missing)
+        return df.filter(~_later_than(cut, year, month, day) | ~is_day(year, month, day))
 
     return FactTable(name=name, after=after, as_of=as_of,
                      day=lambda: day_from_parts(year, month, day, lenient=True))
 
 
-def bounds(table: FactTable, df: DataFrame) -> tuple[dt.date | None, dt.date | None]:
-    """First and last day of ``df`` in one global aggregate (two scalars to the driver)."""
+@dataclass(frozen=True)
+class Span:
+    """What an increment holds: its number of rows, and its first and last day (None: no day)."""
+    rows: int
+    first: dt.date | None
+    last: dt.date | None
+
+
+def span(table: FactTable, df: DataFrame) -> Span:
+    """The span of ``df`` in one global aggregate over the day's columns (three scalars)."""
     day = table.day()
-    row = df.agg(F.min(day).alias("first"), F.max(day).alias("last")).collect()[0]
-    return row["first"], row["last"]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.min(day).alias("first"), F.max(day).alias("last")).first()
+    return Span(row["rows"], row["first"], row["last"])
 
 
 # The driver's fact tables.

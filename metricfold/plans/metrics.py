@@ -51,6 +51,10 @@ class MetricSpec:
     finalize: Finalize                            # (tables, merged, top, order) -> result
     top: int = 10
     order: str = "desc"
+    # The form a stream stores, where ``partial`` adds up only over whole days.
+    streamed: MetricSpec | None = None
+    # Whether the top result is a top-N (False: a rank depth per group, as long as the groups).
+    bounded_top: bool = True
     description: str = field(default="", compare=False)
 
 
@@ -206,10 +210,25 @@ def reasons_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFra
     return top_n(merged.select("reason", "days"), ["days"], top, order, tie_break=["reason"])
 
 
+def classified_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFrame:
+    reasons = count_non_null(merged.select(first_reason_column().alias("reason")), "reason", "days")
+    return reasons_finalize(tables, reasons, top, order)
+
+
+# A micro-batch may hold part of a user-day, so its amounts are stored and classified when read.
+REASONS_REQUIRED = {"events": ("user_id", "ts", "event_type", "value")}
+
+STREAMED_FIRST_REASONS = MetricSpec(
+    name="first_reason_counts", source="events", required=REASONS_REQUIRED,
+    keys=("user_id", "day"), sums=tuple(REASON_COLUMNS.values()),
+    partial=lambda tables, events: daily_wide(events), finalize=classified_finalize,
+    description="amounts per user-day, classified when read",
+)
+
 FIRST_REASON_COUNTS = MetricSpec(
-    name="first_reason_counts", source="events",
-    required={"events": ("user_id", "ts", "event_type", "value")},
+    name="first_reason_counts", source="events", required=REASONS_REQUIRED,
     keys=("reason",), sums=("days",), partial=reasons_partial, finalize=reasons_finalize,
+    streamed=STREAMED_FIRST_REASONS,
     description="user-days per first event type with a positive amount",
 )
 

@@ -1,7 +1,8 @@
 """Running metrics: one increment per call, merged with everything committed before.
 
-``run_metrics`` is the job: for each metric it cuts the rows newer than the
-metric's watermark, writes their partial, and commits a new state version.
+``run_metrics`` is the job: it finds the bounds of the rows newer than the
+watermark (once per fact table and watermark), freezes the increment to them, writes
+each metric's partial, and commits a new state version.
 ``results`` reads the merged results.  ``full_recompute`` is the one-shot form:
 the same spec over every row, with no state.
 
@@ -20,14 +21,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from metricfold.operators.validate import require_tables
-from metricfold.plans.facts import FACT_TABLES, FactTable, bounds
+from metricfold.plans.facts import FACT_TABLES, FactTable, Span, span
 from metricfold.plans.metrics import MetricSpec
 from metricfold.plans.state import MetricState, StateStore, window_key
-from metricfold.sinks.files import write_parquet, write_single_csv
+from metricfold.sinks.files import write_csv_dir, write_parquet, write_single_csv
 
 # Concurrent Spark jobs submitted by one run (one partial write per metric).
 MAX_CONCURRENT_JOBS = 8
@@ -40,6 +40,7 @@ class MetricResult:
                  state: MetricState):
         self._tables, self._spec, self._merged = tables, spec, merged
         self.state = state
+        self.bounded_top = spec.bounded_top
 
     @cached_property
     def full(self) -> DataFrame:
@@ -83,6 +84,15 @@ def check_partial(spec: MetricSpec, partial: DataFrame) -> DataFrame:
     return partial.select(*spec.keys, *spec.sums)
 
 
+def stored_form(store: StateStore, spec: MetricSpec) -> MetricSpec:
+    """The form of ``spec`` whose partials the store holds: its streamed form, or itself."""
+    schema = store.partial_schema(spec.name)
+    if spec.streamed is not None and schema is not None:
+        if set(schema.names) == {*spec.streamed.keys, *spec.streamed.sums}:
+            return spec.streamed
+    return spec
+
+
 def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
                 store: StateStore, cut: Mapping[str, dt.date] | None = None,
                 now: dt.datetime | None = None,
@@ -90,72 +100,72 @@ def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Seq
     """One run of the job over the given metrics; returns the new state rows.  [R1, R2]
 
     ``cut`` (fact table -> day) replays history: that table is seen as it stood at
-    the end of the day.  A metric whose increment is empty keeps its state.
+    the end of the day.  A metric whose increment holds no dated row keeps its state and
+    writes nothing.  Rows that arrive after the bounds were found and are later than them
+    wait for the next run.
     """
     cut = dict(cut or {})
     for spec in specs:
         require_tables(tables, spec.required)
+        if stored_form(store, spec) is not spec:
+            raise ValueError(f"the store holds metric {spec.name!r} as fed by a stream")
     states = current_states(store, specs)
-    increments = {
-        spec.name: increment_of(tables, facts[spec.source], states[spec.name].dateTo,
-                                cut.get(spec.source))
-        for spec in specs
-    }
+    wanted = {spec.name: (spec.source, states[spec.name].dateTo) for spec in specs}
+
+    def measured(source: str, watermark: dt.date | None) -> tuple[DataFrame, Span]:
+        rows = increment_of(tables, facts[source], watermark, cut.get(source))
+        return rows, span(facts[source], rows)
+
+    with ThreadPoolExecutor(max_workers=MAX_CONCURRENT_JOBS) as pool:
+        jobs = {key: pool.submit(measured, *key) for key in set(wanted.values())}
+        found = {key: job.result() for key, job in jobs.items()}
+    due = [spec for spec in specs if found[wanted[spec.name]][1].last is not None]
+    increments, spans, windows = {}, {}, {}
     attempt = uuid.uuid4().hex[:8]
-    windows = {spec.name: window_key(states[spec.name].dateTo, attempt) for spec in specs}
-    return commit_increments(tables, specs, store, states, increments, windows, facts, now)
+    for spec in due:
+        rows, seen = found[wanted[spec.name]]
+        increments[spec.name] = facts[spec.source].as_of(rows, seen.last)
+        spans[spec.name] = seen
+        windows[spec.name] = window_key(states[spec.name].dateTo, attempt)
+    committed = commit_increments(tables, due, store, states, increments, windows, spans, now)
+    return {spec.name: committed.get(spec.name, replace(states[spec.name], committedWindow=None))
+            for spec in specs}
 
 
 def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
                       store: StateStore, states: Mapping[str, MetricState],
                       increments: Mapping[str, DataFrame], windows: Mapping[str, str],
-                      facts: Mapping[str, FactTable] = FACT_TABLES,
-                      now: dt.datetime | None = None) -> dict[str, MetricState]:
+                      spans: Mapping[str, Span], now: dt.datetime | None = None,
+                      batch: tuple[str, int] | None = None) -> dict[str, MetricState]:
     """Write each metric's partial of its increment under its window, then commit.
 
-    The first and last day of each increment are observed (``DataFrame.observe``)
-    by the job that writes its partial, so finding them costs no extra pass over
-    the data.  Partial writes of different metrics run concurrently; the new state
-    version is written only after all of them succeeded.  Only committed windows
-    are ever read, and a window name is never reused by another attempt (batch
-    runs) or always holds the same rows (a replayed micro-batch), so a retry never
-    counts a row twice.
+    Partial writes of different metrics run concurrently; the new state version is
+    written only after all of them succeeded.  Only committed windows are ever read, and
+    no window name is used by two attempts, so a retry never counts a row twice.
+    ``batch`` (streaming query id, batch id) is noted in the state with a micro-batch.
     """
+    if not specs:
+        return {}
     now = now or dt.datetime.now().replace(microsecond=0)
 
-    def write_partial(spec: MetricSpec) -> tuple:
-        """Write the partial; the increment's first and last day come from the same job."""
-        fact = facts[spec.source]
-        observation = Observation(f"bounds_{spec.name}_{uuid.uuid4().hex[:8]}")
-        day = fact.day()
-        observed = increments[spec.name].observe(
-            observation, F.min(day).alias("first"), F.max(day).alias("last"))
-        partial = check_partial(spec, spec.partial(tables, observed))
+    def write_partial(spec: MetricSpec) -> None:
+        partial = check_partial(spec, spec.partial(tables, increments[spec.name]))
         store.write_partial(spec.name, windows[spec.name], partial)
-        try:
-            got = observation.get
-            return got["first"], got["last"]
-        except Exception:          # no task reported metrics: nothing was scanned
-            return bounds(fact, increments[spec.name])
 
     with ThreadPoolExecutor(max_workers=MAX_CONCURRENT_JOBS) as pool:
-        jobs = {spec.name: pool.submit(write_partial, spec) for spec in specs}
-        found = {name: job.result() for name, job in jobs.items()}
+        for job in [pool.submit(write_partial, spec) for spec in specs]:
+            job.result()
 
     new_rows: dict[str, MetricState] = {}
     for spec in specs:
-        old = states[spec.name]
-        first, last = found[spec.name]
-        if last is None:                       # nothing new: the written partial stays invisible
-            new_rows[spec.name] = replace(old, committedWindow=None)
-            continue
-        date_from = min(d for d in (old.dateFrom, first) if d is not None)
-        date_to = max(d for d in (old.dateTo, last) if d is not None)
-        new_rows[spec.name] = replace(old, date=now, dateFrom=date_from, dateTo=date_to,
-                                      committedWindow=windows[spec.name])
-    if any(r.committedWindow is not None for r in new_rows.values()):
-        others = [replace(r, committedWindow=None) for n, r in states.items() if n not in new_rows]
-        store.commit(list(new_rows.values()) + others)
+        old, seen = states[spec.name], spans[spec.name]
+        batches = {**old.lastBatches, batch[0]: batch[1]} if batch else old.lastBatches
+        new_rows[spec.name] = old.committing(
+            windows[spec.name], date=now, lastBatches=batches,
+            dateFrom=min((d for d in (old.dateFrom, seen.first) if d is not None), default=None),
+            dateTo=max((d for d in (old.dateTo, seen.last) if d is not None), default=None))
+    others = [replace(r, committedWindow=None) for n, r in states.items() if n not in new_rows]
+    store.commit(list(new_rows.values()) + others)
     return new_rows
 
 
@@ -168,6 +178,7 @@ def results(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
 
 def read_result(tables: Mapping[str, DataFrame], spec: MetricSpec, store: StateStore,
                 state: MetricState) -> MetricResult:
+    spec = stored_form(store, spec)
     merged = store.merged(spec.name, spec.keys, spec.sums)
     if merged is None:
         merged = empty_partial(tables, spec)
@@ -175,9 +186,10 @@ def read_result(tables: Mapping[str, DataFrame], spec: MetricSpec, store: StateS
 
 
 def write_results(res: Mapping[str, MetricResult]) -> None:
-    """Full result as Parquet at ``pathAll``, top result as one CSV file at ``path``.
+    """Full result as Parquet at ``pathAll``, top result as CSV at ``path``.
 
-    Both are derived data: they are rebuilt from the partials on every run and
+    The top is one file where it is a top-N, and a file per task where it is not bounded
+    (a rank depth per group).  Both are derived data: they are rebuilt from the partials on every run and
     never read back for merging.
     """
     with ThreadPoolExecutor(max_workers=MAX_CONCURRENT_JOBS) as pool:
@@ -186,14 +198,15 @@ def write_results(res: Mapping[str, MetricResult]) -> None:
             if r.state.pathAll:
                 jobs.append(pool.submit(write_parquet, r.full, r.state.pathAll))
             if r.state.path:
-                jobs.append(pool.submit(write_single_csv, r.top, r.state.path))
+                write = write_single_csv if r.bounded_top else write_csv_dir
+                jobs.append(pool.submit(write, r.top, r.state.path))
         for job in jobs:
             job.result()
 
 
 def compact(store: StateStore, specs: Sequence[MetricSpec], min_windows: int = 2) -> dict[str, str]:
     """Fold the committed windows of every metric that has at least ``min_windows``."""
-    due = {spec.name: (spec.keys, spec.sums) for spec in specs
+    due = {spec.name: (spec.keys, spec.sums) for spec in (stored_form(store, s) for s in specs)
            if len(store.committed_windows(spec.name)) >= max(min_windows, 2)}
     return store.compact(due) if due else {}
 

@@ -4,30 +4,36 @@ Layout under a store root (any Hadoop-compatible filesystem)::
 
     state/version=N/part-*.parquet         one row per metric (STATE schema)
     partials/<metric>/window_start=W/      the partial aggregate of one increment
+    staging/<attempt>/                     a version being written, not yet claimed
 
 Protocol (one writer per store; a second writer racing for the same version fails at the commit):
 
-1. read the latest state version; a metric's watermark is its ``dateTo``;
+1. read the newest state version; a metric's watermark is its ``dateTo``;
 2. write the increment's partial to ``partials/<metric>/window_start=<old dateTo
    or 'none'>.<attempt id>``: every attempt writes its own folder;
-3. write ``state/version=N+1`` last; that write is the commit.  Each row names in
-   ``committedWindow`` the window it commits (null when the metric had no rows);
-4. readers merge only partials whose ``window_start`` some version committed, so
-   the partial of a crashed or losing attempt stays invisible.
-
-Nothing is ever overwritten while it is being read, so an executor lost in the
+3. write the new rows to a staging folder of this attempt and rename that folder to
+   ``state/version=N+1``.  The rename is the commit: the file system lets only one
+   attempt have the name, rows included;
+4. readers merge only the windows that the newest version lists as live, so the
+   partial of a crashed or losing attempt stays invisible.
+
+Every version is a whole snapshot, so a reader needs the newest one alone, however long the
+history is.  Versions are numbered without gaps and must not be deleted (the newest is found by
+probing names).  Nothing is ever overwritten while it is being read, so an executor lost in the
 middle of a run costs a task retry or, at worst, a rerun of the whole job.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import os
 import uuid
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,9 +56,17 @@ class MetricState:
     path: str | None = None
     pathAll: str | None = None
     committedWindow: str | None = None
+    liveWindows: tuple[str, ...] = ()
+    lastBatches: Mapping[str, int] = field(default_factory=dict)
 
     def as_tuple(self):
-        return tuple(getattr(self, f.name) for f in STATE.fields)
+        return (self.metricName, self.top, self.order, self.date, self.dateFrom, self.dateTo,
+                self.path, self.pathAll, self.committedWindow, list(self.liveWindows),
+                dict(self.lastBatches))
+
+    def committing(self, window: str, **changes) -> MetricState:
+        """This state with ``window`` committed on top of the live ones."""
+        return replace(self, committedWindow=window, liveWindows=(*self.liveWindows, window), **changes)
 
 
 def _day(value) -> dt.date | None:
@@ -61,31 +75,63 @@ def _day(value) -> dt.date | None:
     return value.date()
 
 
+def _state(row) -> MetricState:
+    values = row.asDict()
+    return MetricState(**{**values, "liveWindows": tuple(values["liveWindows"] or ()),
+                          "lastBatches": dict(values["lastBatches"] or {})})
+
+
 class StateStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self.state_dir = f"{self.root}/state"
         self.partial_dir = f"{self.root}/partials"
-        self._cache: list | None = None
+        self._newest: tuple[int | None, dict[str, MetricState]] | None = None
         self._schemas: dict[str, T.StructType] = {}
 
-    # ---- state table --------------------------------------------------------------
+    # ---- files ----------------------------------------------------------------------
+
+    def _file(self, path: str):
+        """Hadoop file system and path object of ``path``."""
+        handle = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return handle.getFileSystem(self.spark._jsc.hadoopConfiguration()), handle
 
-    def _rows(self) -> list:
-        """Every state row of every version.
+    def exists(self, path: str) -> bool:
+        files, handle = self._file(path)
+        return files.exists(handle)
 
-        The state table is metadata: one row per metric per run, so even years of
-        daily runs are a few thousand rows.  It is read once per store object; rows
-        this object commits are appended to the cached copy (one writer per store).
+    def _claim(self, staged: str, target: str) -> None:
+        """Rename ``staged`` to ``target``; FileExistsError when another writer has that name.
+
+        A local rename onto a folder that holds files fails in the kernel, and HDFS checks and
+        renames under one lock.
         """
-        if self._cache is None:
-            schema = T.StructType(STATE.fields + [T.StructField("version", T.IntegerType(), True)])
+        files, source = self._file(staged)
+        _, goal = self._file(target)
+        files.mkdirs(goal.getParent())
+        taken = FileExistsError(f"{target} already exists: another writer committed it")
+        if files.getUri().getScheme() == "file":
             try:
-                self._cache = self.spark.read.schema(schema).parquet(self.state_dir).collect()
-            except AnalysisException:          # no version written yet
-                self._cache = []
-        return self._cache
+                os.rename(source.toUri().getPath(), goal.toUri().getPath())
+            except OSError as refused:
+                if os.path.isdir(goal.toUri().getPath()):
+                    raise taken from refused
+                raise
+            return
+        jvm = self.spark._jvm
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            files.getUri(), self.spark._jsc.hadoopConfiguration())
+        keep = self.spark.sparkContext._gateway.new_array(
+            getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(files.makeQualified(source), files.makeQualified(goal), keep)
+        except Py4JJavaError as refused:
+            if "AlreadyExists" in refused.java_exception.getClass().getName():
+                raise taken from refused
+            raise
+
+    # ---- state table --------------------------------------------------------------
 
     def table(self) -> DataFrame:
         """The state table as a DataFrame: every version's rows, with their ``version``.
@@ -96,21 +142,42 @@ class StateStore:
         schema = T.StructType(STATE.fields + [T.StructField("version", T.IntegerType(), True)])
         return self.spark.read.schema(schema).parquet(self.state_dir)
 
+    def _version_dir(self, version: int) -> str:
+        return f"{self.state_dir}/version={version}"
+
+    def _find_newest(self) -> int | None:
+        """Newest version by doubling steps and halving: a few name checks, no listing."""
+        low, step = -1, 1
+        while self.exists(self._version_dir(low + step)):
+            low, step = low + step, step * 2
+        high = low + step
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if self.exists(self._version_dir(middle)) else (low, middle)
+        return None if low < 0 else low
+
+    def _snapshot(self) -> tuple[int | None, dict[str, MetricState]]:
+        """Number and rows (one per metric) of the newest version.
+
+        Read once per store object, then kept in step with this object's commits: a run works on
+        one version from start to commit, and the commit fails if another writer was faster.
+        """
+        if self._newest is None:
+            version, states = self._find_newest(), {}
+            if version is not None:
+                for row in self.spark.read.schema(STATE).parquet(self._version_dir(version)).collect():
+                    if row["metricName"] in states:
+                        raise ValueError(f"state version {version} holds metric {row['metricName']!r} twice")
+                    states[row["metricName"]] = _state(row)
+            self._newest = version, states
+        return self._newest
+
     def latest_version(self) -> int | None:
-        rows = self._rows()
-        return max((r["version"] for r in rows), default=None)
+        return self._snapshot()[0]
 
     def latest(self) -> dict[str, MetricState]:
-        """Rows of the newest version; each metric must appear exactly once."""
-        newest = self.latest_version()
-        out: dict[str, MetricState] = {}
-        for r in self._rows():
-            if r["version"] != newest:
-                continue
-            if r["metricName"] in out:
-                raise ValueError(f"state version {newest} holds metric {r['metricName']!r} twice")
-            out[r["metricName"]] = MetricState(**{f.name: r[f.name] for f in STATE.fields})
-        return out
+        """Rows of the newest version, by metric."""
+        return dict(self._snapshot()[1])
 
     def state_of(self, metric: str) -> MetricState:
         """The newest state row of one metric (error if it has none).  [S6]"""
@@ -120,15 +187,19 @@ class StateStore:
         return states[metric]
 
     def commit(self, rows: list[MetricState]) -> int:
-        """Write the next version; returns its number.  [K5]"""
+        """Write the next version; returns its number.  [K5]
+
+        FileExistsError when another writer committed that version first: nothing of this attempt
+        is visible then, and the next call reads the state anew.
+        """
         current = self.latest_version()
         version = 0 if current is None else current + 1
+        staged = f"{self.root}/staging/{uuid.uuid4().hex}"
         df = self.spark.createDataFrame([r.as_tuple() for r in rows], STATE)
-        # "errorifexists": a version is written once; a second writer racing for the same
-        # version number fails here instead of replacing a committed version.
-        df.coalesce(1).write.mode("errorifexists").parquet(f"{self.state_dir}/version={version}")
-        if self._cache is not None:     # single writer: what we wrote is what is stored
-            self._cache = self._cache + [Row(**r.__dict__, version=version) for r in rows]
+        df.coalesce(1).write.mode("errorifexists").parquet(staged)
+        self._newest = None
+        self._claim(staged, self._version_dir(version))
+        self._newest = version, {r.metricName: r for r in rows}
         return version
 
     def seed(self, rows: list[MetricState]) -> None:
@@ -144,26 +215,14 @@ class StateStore:
             (F.col(f.name) if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in STATE.fields
         ])
-        rows = [MetricState(**r.asDict()) for r in typed.collect()]
+        rows = [_state(r) for r in typed.collect()]
         rows = [replace(r, dateFrom=_day(r.dateFrom), dateTo=_day(r.dateTo)) for r in rows]
         self.seed(rows)
 
     def committed_windows(self, metric: str) -> list[str]:
-        """Windows whose partials make up the metric's current result.
-
-        Versions are replayed in order; a compacted window (``compact-<version>``)
-        replaces every window committed before it.
-        """
-        live: set[str] = set()
-        rows = sorted((r for r in self._rows()
-                       if r["metricName"] == metric and r["committedWindow"] is not None),
-                      key=lambda r: r["version"])
-        for r in rows:
-            window = r["committedWindow"]
-            if window.startswith(COMPACTED_PREFIX):
-                live = set()
-            live.add(window)
-        return sorted(live)
+        """Windows whose partials make up the metric's current result."""
+        state = self._snapshot()[1].get(metric)
+        return [] if state is None else sorted(state.liveWindows)
 
     def compact(self, metrics: dict[str, tuple]) -> dict[str, str]:
         """Fold every committed window of each metric into one window; one commit for all.
@@ -182,8 +241,8 @@ class StateStore:
         with ThreadPoolExecutor(max_workers=8) as pool:
             for job in [pool.submit(self.write_partial, m, window, df) for m, df in merged.items()]:
                 job.result()
-        rows = [replace(r, committedWindow=window if name in chosen else None)
-                for name, r in self.latest().items()]
+        rows = [replace(r, committedWindow=window, liveWindows=(window,)) if name in chosen
+                else replace(r, committedWindow=None) for name, r in self.latest().items()]
         self.commit(rows)
         return {m: window for m in chosen}
 
@@ -192,9 +251,11 @@ class StateStore:
 
         Their partial folders are no longer read and may be deleted.
         """
-        every = {r["committedWindow"] for r in self._rows()
-                 if r["metricName"] == metric and r["committedWindow"] is not None}
-        return sorted(every - set(self.committed_windows(metric)))
+        if self.latest_version() is None:
+            return []
+        rows = (self.table().filter((F.col("metricName") == metric) & F.col("committedWindow").isNotNull())
+                .select("committedWindow").distinct().collect())
+        return sorted({r["committedWindow"] for r in rows} - set(self.committed_windows(metric)))
 
     def unreferenced_windows(self, metric: str) -> list[str]:
         """Partial folders that no current result reads: retired by a compaction, or
@@ -202,10 +263,9 @@ class StateStore:
 
         Found from the partial dataset's file listing (``inputFiles``); no data is read.
         """
-        try:
-            files = self.spark.read.parquet(f"{self.partial_dir}/{metric}").inputFiles()
-        except AnalysisException:
+        if not self.exists(f"{self.partial_dir}/{metric}"):
             return []
+        files = self.spark.read.parquet(f"{self.partial_dir}/{metric}").inputFiles()
         present = {seg.split("=", 1)[1] for f in files for seg in f.split("/")
                    if seg.startswith("window_start=")}
         return sorted(present - set(self.committed_windows(metric)))
@@ -219,22 +279,23 @@ class StateStore:
         df.write.mode("overwrite").parquet(self.partial_path(metric, window))
         self._schemas[metric] = df.schema
 
+    def partial_schema(self, metric: str) -> T.StructType | None:
+        """Columns of the committed partials (a footer, or the write in this process), else None."""
+        windows = self.committed_windows(metric)
+        if windows and metric not in self._schemas:
+            self._schemas[metric] = self.spark.read.parquet(self.partial_path(metric, windows[0])).schema
+        return self._schemas[metric] if windows else None
+
     def read_partials(self, metric: str) -> DataFrame | None:
         """Committed partials of ``metric``, or None when there is no prior result.  [S7]
 
-        The partition column is declared as a string so that ``none`` and dates do
-        not mix under type inference; the data columns' schema comes from the
-        footer of one committed partial (or from the write, in this process).
+        Only the folders of live windows are listed and read.
         """
-        windows = self.committed_windows(metric)
-        if not windows:
-            return None
-        schema = self._schemas.get(metric)
+        schema = self.partial_schema(metric)
         if schema is None:
-            schema = self.spark.read.parquet(self.partial_path(metric, windows[0])).schema
-        full = T.StructType(schema.fields + [T.StructField("window_start", T.StringType(), True)])
-        df = self.spark.read.schema(full).parquet(f"{self.partial_dir}/{metric}")
-        return df.filter(F.col("window_start").isin(windows)).drop("window_start")
+            return None
+        paths = [self.partial_path(metric, window) for window in self.committed_windows(metric)]
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def merged(self, metric: str, keys, sums) -> DataFrame | None:
         parts = self.read_partials(metric)

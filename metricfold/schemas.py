@@ -26,28 +26,18 @@ def struct(spec: str) -> T.StructType:
 
 # ---- flight data model (the metric engine's native domain) -----------------------------
 
-FLIGHT_INT_COLUMNS = (
-    "YEAR", "MONTH", "DAY", "DAY_OF_WEEK", "FLIGHT_NUMBER", "DEPARTURE_DELAY", "TAXI_OUT",
-    "SCHEDULED_TIME", "ELAPSED_TIME", "AIR_TIME", "DISTANCE", "TAXI_IN", "ARRIVAL_DELAY",
-    "DIVERTED", "CANCELLED",
-)
-
 # The flights file's columns in their file order, with their types.  The
 # five delay-reason columns are summed and compared with zero, so they are integers.
-FLIGHTS = T.StructType([
-    T.StructField(name, T.IntegerType() if kind == "i" else T.StringType(), True)
-    for name, kind in [
-        ("YEAR", "i"), ("MONTH", "i"), ("DAY", "i"), ("DAY_OF_WEEK", "i"), ("AIRLINE", "s"),
-        ("FLIGHT_NUMBER", "i"), ("TAIL_NUMBER", "s"), ("ORIGIN_AIRPORT", "s"),
-        ("DESTINATION_AIRPORT", "s"), ("SCHEDULED_DEPARTURE", "s"), ("DEPARTURE_TIME", "s"),
-        ("DEPARTURE_DELAY", "i"), ("TAXI_OUT", "i"), ("WHEELS_OFF", "s"), ("SCHEDULED_TIME", "i"),
-        ("ELAPSED_TIME", "i"), ("AIR_TIME", "i"), ("DISTANCE", "i"), ("WHEELS_ON", "s"),
-        ("TAXI_IN", "i"), ("SCHEDULED_ARRIVAL", "s"), ("ARRIVAL_TIME", "s"), ("ARRIVAL_DELAY", "i"),
-        ("DIVERTED", "i"), ("CANCELLED", "i"), ("CANCELLATION_REASON", "s"),
-        ("AIR_SYSTEM_DELAY", "i"), ("SECURITY_DELAY", "i"), ("AIRLINE_DELAY", "i"),
-        ("LATE_AIRCRAFT_DELAY", "i"), ("WEATHER_DELAY", "i"),
-    ]
-])
+FLIGHTS = struct(
+    "YEAR int, MONTH int, DAY int, DAY_OF_WEEK int, AIRLINE string, FLIGHT_NUMBER int, "
+    "TAIL_NUMBER string, ORIGIN_AIRPORT string, DESTINATION_AIRPORT string, "
+    "SCHEDULED_DEPARTURE string, DEPARTURE_TIME string, DEPARTURE_DELAY int, TAXI_OUT int, "
+    "WHEELS_OFF string, SCHEDULED_TIME int, ELAPSED_TIME int, AIR_TIME int, DISTANCE int, "
+    "WHEELS_ON string, TAXI_IN int, SCHEDULED_ARRIVAL string, ARRIVAL_TIME string, "
+    "ARRIVAL_DELAY int, DIVERTED int, CANCELLED int, CANCELLATION_REASON string, "
+    "AIR_SYSTEM_DELAY int, SECURITY_DELAY int, AIRLINE_DELAY int, LATE_AIRCRAFT_DELAY int, "
+    "WEATHER_DELAY int"
+)
 
 # Airport and airline file columns.
 AIRPORTS = struct(
@@ -63,11 +53,16 @@ CATALOG = struct("name string, path string")
 # ---- metric state --------------------------------------------------------------------
 
 # The eight columns of a state row, plus ``committedWindow``: the window_start of the
-# partial this version commits (null when the metric had no new rows in that run).
-STATE = struct(
+# partial this version commits (null when the metric had no new rows in that run).  Each row is a
+# snapshot: ``liveWindows`` names every window of the metric's current result and ``lastBatches``
+# the last micro-batch committed per streaming query.
+STATE = T.StructType(struct(
     "metricName string, top int, order string, date timestamp, dateFrom date, dateTo date, "
     "path string, pathAll string, committedWindow string"
-)
+).fields + [
+    T.StructField("liveWindows", T.ArrayType(T.StringType()), True),
+    T.StructField("lastBatches", T.MapType(T.StringType(), T.LongType()), True),
+])
 
 # ---- driver tables (for typed CSV round trips) --------------------------------------
 

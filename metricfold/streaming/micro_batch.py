@@ -1,47 +1,74 @@
 """Structured Streaming trigger for the incremental metrics.
 
 New fact rows arrive as a stream (for example Parquet or CSV files landing in a
-directory).  Each micro-batch is one increment: its partial is written under the
-window ``batch-<id>`` and committed with a new state version, exactly as a batch
-run commits ``window_start=<watermark>``.  Structured Streaming replays a batch
-with the same id after a failure; the replay overwrites the same window, so no
-row is counted twice.  Unlike the day-watermark batch runs, no row is dropped for
-arriving late: every micro-batch row is counted once.
+directory).  Each micro-batch is one increment, committed with a new state version exactly as
+a batch run's.  The state notes the last batch of each streaming query, in the same commit as
+its rows, so a batch that Structured Streaming replays is known and skipped, also after a
+compaction.  A stream with a new checkpoint is a new query: its batches add to what is stored.
+Unlike the day-watermark batch runs, no row is dropped for arriving late or for having no day:
+every row of a micro-batch is counted once.
+
+A micro-batch may hold any part of a day, so a metric whose batch partial adds up only over
+whole days is stored in its ``streamed`` form.
 
 Use one mode per store: either day-watermark batch runs or this stream.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from metricfold.operators.validate import require_tables
-from metricfold.plans.facts import FACT_TABLES, FactTable
+from metricfold.plans.facts import FACT_TABLES, FactTable, span
 from metricfold.plans.metrics import MetricSpec
-from metricfold.plans.runner import commit_increments, current_states
+from metricfold.plans.runner import (
+    COMPACT_AFTER_WINDOWS,
+    commit_increments,
+    compact,
+    current_states,
+    stored_form,
+)
 from metricfold.plans.state import StateStore
 
 
-def batch_window(batch_id: int) -> str:
-    return f"batch-{batch_id:012d}"
+def batch_window(query_id: str, batch_id: int, attempt: str) -> str:
+    return f"batch-{query_id}-{batch_id:012d}.{attempt}"
 
 
 def apply_batch(batch: DataFrame, batch_id: int, source: str, tables: Mapping[str, DataFrame],
                 specs: Sequence[MetricSpec], store: StateStore,
-                facts: Mapping[str, FactTable] = FACT_TABLES) -> None:
-    """Commit one micro-batch of ``source`` rows as an increment of every spec reading it."""
+                facts: Mapping[str, FactTable] = FACT_TABLES, query_id: str = "direct",
+                compact_after: int | None = COMPACT_AFTER_WINDOWS) -> None:
+    """Commit one micro-batch of ``source`` rows as an increment of every spec reading it.
+
+    A batch that ``query_id`` already committed, and an empty one, change nothing.
+    """
     bound = dict(tables)
     bound[source] = batch
-    chosen = [s for s in specs if s.source == source]
-    for spec in chosen:
+    chosen = []
+    for spec in (s for s in specs if s.source == source):
         require_tables(bound, spec.required)
+        form = spec.streamed or spec
+        if store.committed_windows(spec.name) and stored_form(store, spec) is not form:
+            raise ValueError(f"the store holds metric {spec.name!r} as fed by batch runs")
+        chosen.append(form)
     states = current_states(store, chosen)
-    window = batch_window(batch_id)
-    commit_increments(bound, chosen, store, states, {s.name: batch for s in chosen},
-                      {s.name: window for s in chosen}, facts)
+    due = [s for s in chosen if states[s.name].lastBatches.get(query_id, -1) < batch_id]
+    if not due:
+        return
+    seen = span(facts[source], batch)
+    if seen.rows == 0:
+        return
+    window = batch_window(query_id, batch_id, uuid.uuid4().hex[:8])
+    commit_increments(bound, due, store, states, {s.name: batch for s in due},
+                      {s.name: window for s in due}, {s.name: seen for s in due},
+                      batch=(query_id, batch_id))
+    if compact_after:
+        compact(store, chosen, compact_after)
 
 
 def start_metric_stream(spark: SparkSession, stream: DataFrame, source: str,
@@ -54,7 +81,8 @@ def start_metric_stream(spark: SparkSession, stream: DataFrame, source: str,
     stream's offsets and commit log live there).
     """
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, source, tables, specs, store)
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        apply_batch(batch, batch_id, source, tables, specs, store, query_id=query_id)
 
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     if processing_time:

@@ -2,12 +2,13 @@
 
 import datetime as dt
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
 from metricfold.plans import flights as FL
 from metricfold.plans.runner import full_recompute, results, run_metrics
-from metricfold.plans.state import StateStore
+from metricfold.plans.state import MetricState, StateStore
 from metricfold.schemas import AIRLINES, AIRPORTS, FLIGHTS
 from metricfold.sources.csv import read_csv
 
@@ -312,3 +313,57 @@ def test_second_writer_racing_for_a_version_fails(spark, tables, workdir):
     with pytest.raises(Exception, match="(?i)already exists"):
         run_metrics(spark, tables, [FL.DELAY_REASONS], b)
     assert StateStore(spark, workdir).latest_version() == 1
+
+
+def test_racing_commits_have_one_winner(spark, workdir):
+    for trial in range(5):
+        root = f"{workdir}/{trial}"
+        stores = [StateStore(spark, root) for _ in range(2)]
+        assert [s.latest_version() for s in stores] == [None, None]
+
+        def attempt(number):
+            try:
+                return stores[number].commit([MetricState(f"metric{number}", 10, "desc")])
+            except FileExistsError:
+                return None
+
+        with ThreadPoolExecutor(2) as pool:
+            done = list(pool.map(attempt, range(2)))
+        assert sorted(d is None for d in done) == [False, True]
+        winner = next(number for number, version in enumerate(done) if version == 0)
+        assert list(StateStore(spark, root).latest()) == [f"metric{winner}"]
+        assert stores[1 - winner].commit([MetricState("late", 10, "desc")]) == 1     # reads anew
+
+
+def test_long_history_is_found_by_name(spark, workdir):
+    store = StateStore(spark, workdir)
+    for number in range(13):
+        store.commit([MetricState("m", number, "desc")])
+    fresh = StateStore(spark, workdir)
+    assert fresh.latest_version() == 12 and fresh.state_of("m").top == 12
+
+
+def test_empty_run_leaves_no_folder(spark, tables, workdir):
+    store = StateStore(spark, workdir)
+    run_metrics(spark, tables, [FL.DELAY_REASONS], store)
+    run_metrics(spark, tables, [FL.DELAY_REASONS], store)
+    assert store.unreferenced_windows("DelayReasons") == []
+    assert store.latest_version() == 0
+
+
+@pytest.mark.parametrize("month, day", [(2, 30), (13, 1), (0, 5), (4, 31)])
+def test_impossible_dates_are_counted_once(spark, tables, workdir, month, day):
+    def record(m, d):
+        made = flight_record(1, "XX", "AAA", "BBB", 0, 0, None)
+        return tuple({"MONTH": m, "DAY": d}.get(c, v) for c, v in zip(COLS, made))
+
+    spec = FL.TOP_AIRPORTS_BY_FLIGHTS
+    first = spark.createDataFrame([record(2, 26), record(2, 27), record(month, day)], FLIGHTS)
+    store = StateStore(spark, workdir)
+    run_metrics(spark, dict(tables, flights=first), [spec], store)
+    assert store.state_of(spec.name).dateTo == dt.date(2015, 2, 27)
+    later = dict(tables, flights=first.unionByName(spark.createDataFrame([record(2, 28)], FLIGHTS)))
+    run_metrics(spark, later, [spec], store)
+    res = results(later, [spec], store)[spec.name].top
+    assert collect(res, "ORIGIN_AIRPORT", "count") == [("AAA", 4)]
+    assert collect(full_recompute(later, spec), "count") == [(4,)]

@@ -1,10 +1,16 @@
 """Physical-plan properties that matter at scale."""
 
+import datetime as dt
 import re
 
 import pytest
 
 import __spark_entry__ as entry
+from metricfold.plans import metrics as M
+from metricfold.plans.facts import FACT_TABLES
+from metricfold.plans.runner import increment_of, run_metrics
+from metricfold.plans.state import StateStore
+from metricfold.sources.tables import Tables
 from tests.conftest import SF_SMALL
 
 QUERIES = entry.queries()
@@ -84,11 +90,24 @@ def test_merge_hint_forces_sort_merge(plans):
     assert "SortMergeJoin" in plans["merge_join_hint"]
 
 
-def test_partials_pruned_by_committed_window(spark):
-    df = QUERIES["metric_top_origins"](spark, SF_SMALL)
-    text = formatted(df)
-    assert "PartitionFilters: [isnotnull(window_start" in text or "PartitionFilters: [window_start" in text \
-        or "window_start IN" in text
+def test_only_live_windows_are_read(spark, workdir):
+    tables = Tables(spark, SF_SMALL)
+    store = StateStore(spark, workdir)
+    run_metrics(spark, tables, [M.TOP_ORIGINS], store)
+    live = store.committed_windows("top_origins")
+    store.write_partial("top_origins", "none.dead", store.read_partials("top_origins"))
+    files = store.read_partials("top_origins").inputFiles()
+    assert live and all(f"window_start={live[0]}/" in file for file in files)
+
+
+def test_partial_jobs_push_their_filters(spark):
+    tables = Tables(spark, SF_SMALL)
+    lines = increment_of(tables, FACT_TABLES["lineitem"], dt.date(1998, 12, 31), dt.date(1999, 12, 31))
+    for spec, condition in ((M.ON_TIME_SUPPLIERS, "EqualTo(l_discount,0.0)"),
+                            (M.ON_TIME_DEPARTURES, "EqualTo(l_tax,0.0)")):
+        text = formatted(spec.partial(tables, lines))
+        scan = next(part for part in text.split("\n\n") if condition in part)
+        assert "PushedFilters" in scan and "l_shipdate" in scan.split("PushedFilters")[1]
 
 
 def test_shuffle_path_when_dimensions_are_large(spark, no_broadcast):
