@@ -11,26 +11,22 @@ from metricfold.operators.aggregates import (
     sum_by,
     union_parts,
 )
-from metricfold.operators.increment import after, as_of, bounds, bounds_frame, with_day
+from metricfold.operators.increment import after, as_of, bounds, bounds_frame
 from metricfold.operators.joins import (
     attach,
-    fits_broadcast,
-    fixed_small,
     limit_then_join,
     merge_join,
     pair_side_by_side,
     roll_up,
-    small_side,
 )
-from metricfold.operators.projections import drop_incomplete, only_zero, project, rename, rename_all
+from metricfold.operators.projections import drop_incomplete, only_zero, project, rename_all
 from metricfold.operators.ranking import position_within, rank_within, sort_all, top_n, top_per_group
 from metricfold.operators.validate import MissingColumnsError, require_columns, require_tables
 
 __all__ = [
     "MissingColumnsError", "after", "as_of", "attach", "bounds", "bounds_frame", "column_totals",
-    "count_by", "count_non_null", "drop_incomplete", "fits_broadcast", "fixed_small",
-    "limit_then_join", "mean_from_parts", "mean_parts", "merge_join", "merge_sums", "only_zero",
-    "pair_side_by_side", "position_within", "project", "rank_within", "rename", "rename_all",
-    "require_columns", "require_tables", "roll_up", "share_of_total", "small_side", "sort_all",
-    "sum_by", "top_n", "top_per_group", "union_parts", "with_day",
+    "count_by", "count_non_null", "drop_incomplete", "limit_then_join", "mean_from_parts",
+    "mean_parts", "merge_join", "merge_sums", "only_zero", "pair_side_by_side", "position_within",
+    "project", "rank_within", "rename_all", "require_columns", "require_tables", "roll_up",
+    "share_of_total", "sort_all", "sum_by", "top_n", "top_per_group", "union_parts",
 ]

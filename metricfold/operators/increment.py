@@ -65,11 +65,6 @@ def as_of(df: DataFrame, column: str, cut: dt.date | None) -> DataFrame:
     return df.filter(day_at_or_before(column, kind, cut) | F.col(column).isNull())
 
 
-def with_day(df: DataFrame, column: str, out: str = "day") -> DataFrame:
-    """Attach the calendar day of a timestamp column."""
-    return df.withColumn(out, F.to_date(F.col(column)))
-
-
 def bounds_frame(df: DataFrame, column: str) -> DataFrame:
     """One-row frame with the first and last day present in ``column``.
 

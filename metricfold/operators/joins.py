@@ -1,10 +1,10 @@
 """Joins between aggregated facts and dimension tables.
 
-Broadcast policy: a side is broadcast only after a bounded row count proves it
-small (``fits_broadcast``).  Beyond the bound the join is left to Spark (sort
-merge, which AQE may still turn into a broadcast from runtime sizes).  For the
-large case :func:`roll_up` aggregates the facts on the join key *before* the
-join, so the shuffle carries one row per key instead of one per fact row.
+How a side moves is left to Spark: it broadcasts a side whose size it knows to be under its own
+thresholds (``spark.sql.autoBroadcastJoinThreshold``, and at run time the adaptive one) and
+shuffles both otherwise, where AQE splits skewed partitions.  Where facts can be reduced to the
+join key alone, :func:`roll_up` aggregates them on it *before* the join, so that the shuffle
+carries one row per key and task instead of one per fact row, a hot key's included.
 """
 
 from __future__ import annotations
@@ -14,135 +14,32 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension of up to this many rows may be broadcast.  Dimension rows here are a
-# key plus one or two short attributes (<100 bytes), so the bound keeps a broadcast
-# well under 100 MB per executor.  Override per session with this setting.
-BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_ROWS_CONF = "metricfold.broadcast.maxRows"
-# Before counting rows, the on-disk size of the side's input files is summed; above
-# this many bytes the side is not counted at all (so a huge table is never scanned
-# just to learn that it is huge).
-BROADCAST_MAX_FILE_BYTES = 512 * 1024 * 1024
-BROADCAST_MAX_FILE_BYTES_CONF = "metricfold.broadcast.maxFileBytes"
-
-
-def broadcast_max_rows(df: DataFrame, max_rows: int | None = None) -> int:
-    if max_rows is not None:
-        return max_rows
-    return int(df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS)))
-
-
-# A side spread over more files than this is not a broadcast candidate whatever their size.
-BROADCAST_MAX_FILES = 4096
-
-
-def input_file_bytes(df: DataFrame) -> int | None:
-    """Total on-disk size of the files ``df`` reads (0 for in-memory data).
-
-    Uses the ``binaryFile`` source with only its ``length`` column selected, which
-    lists the files and reads no content.  None when the side has more than
-    ``BROADCAST_MAX_FILES`` files (too big to be worth summing).
-    """
-    files = df.inputFiles()
-    if not files:
-        return 0
-    if len(files) > BROADCAST_MAX_FILES:
-        return None
-    total = (df.sparkSession.read.format("binaryFile").load(files)
-             .agg(F.sum("length")).first()[0])
-    return int(total or 0)
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows.
-
-    Two steps: the input files' total size must be under the byte budget (metadata
-    only, so a large table is never scanned for this), then ``count()`` must stay
-    within the bound.  The count reads no column data and shuffles one partial
-    count per task (a ``limit`` would move up to ``max_rows`` rows into one task).
-    """
-    bound = broadcast_max_rows(df, max_rows)
-    if bound <= 0:
-        return False
-    max_bytes = int(df.sparkSession.conf.get(BROADCAST_MAX_FILE_BYTES_CONF,
-                                             str(BROADCAST_MAX_FILE_BYTES)))
-    size = input_file_bytes(df)
-    if size is None or size > max_bytes:
-        return False
-    return df.count() <= bound
-
-
-def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``df`` marked for broadcast when its size is proven small, else unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def fixed_small(df: DataFrame) -> DataFrame:
-    """Broadcast a dimension whose size is bounded by definition (e.g. 25 nations)."""
-    return F.broadcast(df)
-
-
 def attach(df: DataFrame, dim: DataFrame, key: str, dim_key: str,
-           columns: Mapping[str, str], broadcast: bool | None = None,
-           max_rows: int | None = None) -> DataFrame:
+           columns: Mapping[str, str]) -> DataFrame:
     """Inner-join ``dim`` attributes onto ``df`` by ``key = dim_key``.  [J1-J4]
 
     ``columns`` maps dimension column -> output name; dimension columns are renamed
-    before the join so same-named columns on both sides never clash.  Fact rows
-    without a dimension match are dropped (inner join).  ``broadcast``: True for a
-    dimension bounded by definition, None to decide by a row-count check, False
-    to leave the strategy to Spark.
+    before the join so same-named columns on both sides never clash.  Rows
+    without a dimension match are dropped (inner join).
     """
     right_key = f"__{dim_key}"
     side = dim.select(F.col(dim_key).alias(right_key),
                       *[F.col(c).alias(out) for c, out in columns.items()])
-    if broadcast is None:
-        side = F.broadcast(side) if fits_broadcast_once(side, max_rows) else side
-    elif broadcast:
-        side = F.broadcast(side)
     return df.join(side, F.col(key) == F.col(right_key), "inner").drop(right_key)
 
 
-_SIZE_CLASS: dict[tuple[int, int], bool] = {}
-
-
-def fits_broadcast_once(df: DataFrame, max_rows: int | None = None) -> bool:
-    """:func:`fits_broadcast`, remembered per logical plan, bound and set of input files.
-
-    New or rewritten files change the key, so a dimension that grows is checked again.
-    """
-    bound = broadcast_max_rows(df, max_rows)
-    key = (df.semanticHash(), bound, hash(tuple(sorted(df.inputFiles()))))
-    if key not in _SIZE_CLASS:
-        _SIZE_CLASS[key] = fits_broadcast(df, bound)
-    return _SIZE_CLASS[key]
-
-
 def roll_up(df: DataFrame, key: str, dim: DataFrame, dim_key: str,
-            attrs: Mapping[str, str], sums: Sequence[str], pre_aggregate: bool = True,
-            max_rows: int | None = None) -> DataFrame:
+            attrs: Mapping[str, str], sums: Sequence[str], pre_aggregate: bool = True) -> DataFrame:
     """Swap fact key ``key`` for dimension attributes ``attrs`` (inner join).
 
     ``df`` holds additive columns ``sums`` next to key columns.  The result has the
-    same columns with ``key`` replaced by ``attrs.values()``; rows are not
-    re-aggregated, the caller aggregates once at the end.
-
-    A provably small dimension is broadcast (no shuffle of the facts).  A large one
-    is joined by shuffle; with ``pre_aggregate`` the facts are first summed per key
-    tuple (eager aggregation), which pays off when many fact rows share one key.
+    same columns with ``key`` replaced by ``attrs.values()``; the caller aggregates once
+    more at the end.  With ``pre_aggregate`` the facts are first summed per key tuple,
+    which pays off when many fact rows share one.
     """
-    right_key = f"__{dim_key}"
-    side = dim.select(F.col(dim_key).alias(right_key),
-                      *[F.col(c).alias(out) for c, out in attrs.items()])
     others = [c for c in df.columns if c not in sums and c != key]
-    if fits_broadcast_once(side, max_rows):
-        joined = df.join(F.broadcast(side), F.col(key) == F.col(right_key), "inner")
-    else:
-        facts = df
-        if pre_aggregate and sums:
-            facts = df.groupBy(key, *others).agg(*[F.sum(c).alias(c) for c in sums])
-        joined = facts.join(side, F.col(key) == F.col(right_key), "inner")
-    return joined.select(*others, *attrs.values(), *sums)
+    facts = df.groupBy(key, *others).agg(*[F.sum(c).alias(c) for c in sums]) if pre_aggregate and sums else df
+    return attach(facts, dim, key, dim_key, attrs).select(*others, *attrs.values(), *sums)
 
 
 def limit_then_join(df: DataFrame, order: Sequence[Column], n: int, dim: DataFrame,
@@ -154,8 +51,8 @@ def limit_then_join(df: DataFrame, order: Sequence[Column], n: int, dim: DataFra
     side is the only large input.  Rows whose key has no dimension match are lost
     *after* the cut, so fewer than ``n`` rows can come back.
     """
-    head = df.orderBy(*order).limit(n)
-    return attach(head, dim, key, dim_key, columns, broadcast=False)
+    head = F.broadcast(df.orderBy(*order).limit(n))       # n rows at most
+    return attach(head, dim, key, dim_key, columns)
 
 
 def merge_join(left: DataFrame, right: DataFrame, on: Column | str | Sequence[str],

@@ -19,8 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricfold.functions.columns import cents
-from metricfold.operators.joins import fits_broadcast_once, roll_up
+from metricfold.functions.columns import cents, iso_weekday
+from metricfold.operators.joins import roll_up
 
 # Column holding the day of each fact table (the increment is cut on it).
 DATE_COLUMN = {"lineitem": "l_shipdate", "events": "ts"}
@@ -69,8 +69,7 @@ def with_origin(lines: DataFrame, supplier: DataFrame, sums: list[str],
 def route_lines(lines: DataFrame, tables, weight: str = "flights") -> DataFrame:
     """``(origin, carrier, destination, weight)`` rows for the given lineitems.
 
-    Each dimension swap is a broadcast join when the dimension is provably small,
-    otherwise a shuffle join (AQE splits a skewed key's partition).  The (usually
+    Each dimension swap is one join (AQE splits a skewed key's partition).  The (usually
     filtered) lines are joined through orders to customers rather than resolving
     every order's customer first: with fewer lines than orders that shuffles less
     (measured in PLANS.md).  Facts are not pre-aggregated on (join key + other
@@ -90,43 +89,19 @@ def route_lines(lines: DataFrame, tables, weight: str = "flights") -> DataFrame:
     return rows
 
 
-def lead_parts_by_weekday(lines: DataFrame, orders: DataFrame,
-                          max_rows: int | None = None) -> DataFrame:
+def lead_parts_by_weekday(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """``(day_of_week, lead_sum, lead_count)`` of ``datediff(l_shipdate, o_orderdate)``.
 
-    Small ``orders``: broadcast join, then one aggregate.  Large ``orders``: lines are
-    first reduced to one row per order (partial aggregation before the shuffle, so
-    the output is already partitioned by the join key) holding, per ISO weekday, a
-    line count and a sum of ship days.  After the join ``sum(ship_day - order_day)``
-    is rebuilt exactly as ``ship_day_sum - n * order_day``, summed in one global
-    aggregate and turned into one row per weekday.
+    Lines are first reduced to one row per order and ship day (partial aggregation before the
+    shuffle, so a hot order moves at most one row per task and day), then joined with their
+    order's day and summed by ISO weekday.  A weekday whose leads are all unknown keeps a count of 0.
     """
-    ship_day = F.unix_date(F.to_date("l_shipdate"))
-    weekday = (F.weekday(F.col("l_shipdate")) + 1).cast("int")
-    side = orders.select(F.col("o_orderkey"), F.unix_date(F.to_date("o_orderdate")).alias("order_day"))
-    if fits_broadcast_once(side, max_rows):
-        joined = lines.join(F.broadcast(side), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-        lead = ship_day - F.col("order_day")
-        return joined.groupBy(weekday.alias("day_of_week")).agg(
-            F.sum(lead.cast("bigint")).alias("lead_sum"), F.count(lead).alias("lead_count")
-        )
-    days = range(1, 8)
-    per_order = lines.groupBy("l_orderkey").agg(
-        *[F.count(F.when(weekday == d, ship_day)).alias(f"n{d}") for d in days],
-        *[F.sum(F.when(weekday == d, ship_day.cast("bigint"))).alias(f"s{d}") for d in days],
-        F.count(F.when(weekday.isNull(), F.lit(1))).alias("n_undated"),
+    days = lines.groupBy("l_orderkey", F.to_date("l_shipdate").alias("ship_day")).agg(
+        F.count(F.lit(1)).alias("lines"))
+    order_days = orders.select("o_orderkey", F.to_date("o_orderdate").alias("order_day"))
+    joined = days.join(order_days, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    lead = F.date_diff("ship_day", "order_day")
+    return joined.groupBy(iso_weekday("ship_day").alias("day_of_week")).agg(
+        F.sum(lead.cast("bigint") * F.col("lines")).alias("lead_sum"),
+        F.coalesce(F.sum(F.when(lead.isNotNull(), F.col("lines"))), F.lit(0).cast("bigint")).alias("lead_count"),
     )
-    joined = per_order.join(side, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-    known = F.col("order_day").isNotNull()
-    totals = joined.agg(
-        *[F.sum(F.when(known, F.col(f"s{d}") - F.col(f"n{d}") * F.col("order_day"))).alias(f"lead_sum{d}")
-          for d in days],
-        *[F.sum(F.when(known, F.col(f"n{d}")).otherwise(F.lit(0))).alias(f"lead_count{d}") for d in days],
-        *[F.sum(F.col(f"n{d}")).alias(f"lines{d}") for d in days],
-        F.sum("n_undated").alias("lines_undated"),
-    )
-    per_day = ", ".join(f"{d}, lead_sum{d}, lead_count{d}, lines{d}" for d in days)
-    stacked = totals.select(F.expr(
-        f"stack(8, {per_day}, CAST(NULL AS INT), CAST(NULL AS BIGINT), 0L, lines_undated)"
-    ).alias("day_of_week", "lead_sum", "lead_count", "lines"))
-    return stacked.filter(F.col("lines") > 0).drop("lines")

@@ -10,7 +10,7 @@ Parquet directory (full) and a single CSV file (top N).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +27,8 @@ from metricfold.operators.aggregates import (
 from metricfold.operators.joins import attach
 from metricfold.operators.projections import only_zero
 from metricfold.operators.ranking import top_n
-from metricfold.plans.metrics import MetricSpec, rank_and_pair
-from metricfold.plans.runner import MetricResult, run_job
+from metricfold.plans.metrics import MetricSpec, code_of, rank_and_pair, saved_count
+from metricfold.plans.runner import MetricResult, run_job, seed_from_saved
 from metricfold.plans.state import StateStore
 from metricfold.schemas import AIRLINES, AIRPORTS, CATALOG, FLIGHTS
 from metricfold.sources.catalog import path_for
@@ -40,10 +40,6 @@ REASONS = ("AIR_SYSTEM_DELAY", "SECURITY_DELAY", "AIRLINE_DELAY", "LATE_AIRCRAFT
 DATE_PARTS = ("YEAR", "MONTH", "DAY")
 
 
-def _airport_names(tables, code: str, name: str) -> DataFrame:
-    return tables["airports"].select(F.col("IATA_CODE").alias(code), F.col("AIRPORT").alias(name))
-
-
 # ---- M1 ------------------------------------------------------------------------------
 
 def airports_partial(tables, flights: DataFrame) -> DataFrame:
@@ -56,11 +52,16 @@ def airports_finalize(tables, merged, top, order):
     return top_n(named, ["count"], top, order, tie_break=["AIRPORT", "ORIGIN_AIRPORT"])
 
 
+def airports_saved(tables, saved):
+    saved = saved.select("AIRPORT", saved_count("count"))
+    return code_of(saved, "AIRPORT", tables["airports"], "IATA_CODE", "AIRPORT", "ORIGIN_AIRPORT")
+
+
 TOP_AIRPORTS_BY_FLIGHTS = MetricSpec(
     name="TopAirportsByFlights", source="flights",
     required={"flights": ("ORIGIN_AIRPORT",) + DATE_PARTS, "airports": ("IATA_CODE", "AIRPORT")},
     keys=("ORIGIN_AIRPORT",), sums=("count",),
-    partial=airports_partial, finalize=airports_finalize,
+    partial=airports_partial, finalize=airports_finalize, import_saved=airports_saved,
     description="departures per origin airport, named, top N",
 )
 
@@ -78,12 +79,17 @@ def airlines_finalize(tables, merged, top, order):
     return top_n(named, ["count"], top, order, tie_break=["AIRLINE", "AIRLINE_CODE"])
 
 
+def airlines_saved(tables, saved):
+    saved = saved.select("AIRLINE", saved_count("count"))
+    return code_of(saved, "AIRLINE", tables["airlines"], "IATA_CODE", "AIRLINE", "AIRLINE_CODE")
+
+
 ON_TIME_AIRLINES = MetricSpec(
     name="OnTimeAirlines", source="flights",
     required={"flights": ("AIRLINE", "ARRIVAL_DELAY") + DATE_PARTS,
               "airlines": ("IATA_CODE", "AIRLINE")},
     keys=("AIRLINE_CODE",), sums=("count",),
-    partial=airlines_partial, finalize=airlines_finalize,
+    partial=airlines_partial, finalize=airlines_finalize, import_saved=airlines_saved,
     description="flights arriving with delay exactly 0 per airline, named, top N",
 )
 
@@ -99,14 +105,13 @@ def routes_partial(tables, flights: DataFrame) -> DataFrame:
 
 
 def routes_finalize(tables, merged, top, order):
-    paired = rank_and_pair(merged, top)
-    origin_names = _airport_names(tables, "origin", "ORIGIN_AIRPORT_NAME")
-    dest_names = _airport_names(tables, "destination", "DESTINATION_AIRPORT_NAME")
-    carrier_names = tables["airlines"].select(F.col("IATA_CODE").alias("carrier"),
-                                              F.col("AIRLINE").alias("AIRLINE_NAME"))
-    named = (paired.join(origin_names, ["origin"], "left")
-             .join(carrier_names, ["carrier"], "left")
-             .join(dest_names, ["destination"], "left"))
+    paired = rank_and_pair(
+        merged, top, order,
+        name_carriers=lambda ranked: attach(ranked, tables["airlines"], "carrier", "IATA_CODE",
+                                            {"AIRLINE": "AIRLINE_NAME"}),
+        name_destinations=lambda ranked: attach(ranked, tables["airports"], "destination", "IATA_CODE",
+                                                {"AIRPORT": "DESTINATION_AIRPORT_NAME"}))
+    named = attach(paired, tables["airports"], "origin", "IATA_CODE", {"AIRPORT": "ORIGIN_AIRPORT_NAME"})
     return named.select(
         F.col("origin").alias("ORIGIN_AIRPORT"), "ORIGIN_AIRPORT_NAME", "position",
         F.col("carrier").alias("AIRLINE"), "AIRLINE_NAME", "carrier_total", "carrier_rank",
@@ -121,7 +126,7 @@ ON_TIME_FLIGHTS = MetricSpec(
               + DATE_PARTS,
               "airports": ("IATA_CODE", "AIRPORT"), "airlines": ("IATA_CODE", "AIRLINE")},
     keys=("origin", "carrier", "destination"), sums=("flights",),
-    partial=routes_partial, finalize=routes_finalize, top=3, order="asc",
+    partial=routes_partial, finalize=routes_finalize, top=3, order="asc", bounded_top=False,
     description="on-time departures: best carriers and destinations per airport, ranks <= top",
 )
 
@@ -161,6 +166,7 @@ DELAY_REASONS = MetricSpec(
     name="DelayReasons", source="flights",
     required={"flights": REASONS + DATE_PARTS},
     keys=("Reason",), sums=("count",), partial=reasons_partial, finalize=reasons_finalize,
+    import_saved=lambda tables, saved: saved.select("Reason", saved_count("count")),
     description="flights per first positive delay reason",
 )
 
@@ -198,13 +204,16 @@ SCHEMAS = {"flights": FLIGHTS, "airports": AIRPORTS, "airlines": AIRLINES}
 def read_table(spark: SparkSession, path: str, schema, sep: str = ",") -> DataFrame:
     """Typed scan of a CSV file/directory (``*.csv``) or of a Parquet dataset (anything else).
 
+    Columns the file lacks are left out; a metric that needs one reports it.
     A Parquet flights table partitioned by ``YEAR``/``MONTH`` gets partition pruning
     from the increment predicate.
     """
     if path.rstrip("/").lower().endswith((".csv", ".csv.gz")):
-        return read_csv(spark, path, schema, sep=sep)
+        return read_csv(spark, path, schema, sep=sep, complete=False)
     df = spark.read.parquet(path)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    have = set(df.columns)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields
+                       if f.name in have])
 
 
 def load_tables(spark: SparkSession, catalog_path: str, sep: str = ",") -> dict[str, DataFrame]:
@@ -216,16 +225,18 @@ def load_tables(spark: SparkSession, catalog_path: str, sep: str = ",") -> dict[
 
 def run_flight_job(spark: SparkSession, catalog_path: str, store_root: str,
                    seed_csv: str | None = None, cut: dt.date | None = None,
+                   start_afresh: Collection[str] = (),
                    tables: Mapping[str, DataFrame] | None = None,
                    write: bool = True) -> dict[str, MetricResult]:
     """The batch job: one increment of all six metrics, merged with earlier runs.
 
-    ``seed_csv`` seeds the state table from a CSV file the first time a store is
-    used; later runs continue from the newest committed version.
+    ``seed_csv`` seeds the state table from a CSV file the first time a store is used, with the
+    results it names (``seed_from_saved``); later runs continue from the newest committed
+    version.  ``start_afresh`` names the metrics whose seeded dates are dropped.
     """
     tables = dict(tables) if tables is not None else load_tables(spark, catalog_path)
     store = StateStore(spark, store_root)
     if seed_csv:
-        store.seed_from_csv(seed_csv)
+        seed_from_saved(tables, FLIGHT_METRICS, store, seed_csv, start_afresh)
     return run_job(spark, tables, FLIGHT_METRICS, store,
                    cut={"flights": cut} if cut else None, write=write)

@@ -24,9 +24,9 @@ from metricfold.operators.aggregates import (
     share_of_total,
     sum_by,
 )
-from metricfold.operators.joins import attach, fixed_small, pair_side_by_side
+from metricfold.operators.joins import attach, pair_side_by_side
 from metricfold.operators.projections import only_zero
-from metricfold.operators.ranking import position_within, top_n, top_per_group
+from metricfold.operators.ranking import check_direction, position_within, rank_within, top_n
 from metricfold.plans.analogues import (
     REASON_COLUMNS,
     daily_wide,
@@ -55,6 +55,8 @@ class MetricSpec:
     streamed: MetricSpec | None = None
     # Whether the top result is a top-N (False: a rank depth per group, as long as the groups).
     bounded_top: bool = True
+    # (tables, saved full result) -> partial, where a result saved elsewhere can be added to.
+    import_saved: Partial | None = None
     description: str = field(default="", compare=False)
 
 
@@ -67,8 +69,7 @@ def origins_partial(tables, lines: DataFrame) -> DataFrame:
 
 
 def name_origins(tables, merged: DataFrame) -> DataFrame:
-    nation = fixed_small(tables["nation"])
-    return attach(merged, nation, "origin", "n_nationkey", {"n_name": "origin_name"}, broadcast=True)
+    return attach(merged, tables["nation"], "origin", "n_nationkey", {"n_name": "origin_name"})
 
 
 def origins_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFrame:
@@ -76,11 +77,33 @@ def origins_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFra
     return top_n(named, ["departures"], top, order, tie_break=["origin_name", "origin"])
 
 
+def code_of(saved: DataFrame, name: str, dim: DataFrame, dim_key: str, dim_name: str, out: str) -> DataFrame:
+    """``saved`` with its names turned back into codes; ValueError unless each name has exactly one."""
+    codes = dim.groupBy(F.col(dim_name).alias(name)).agg(
+        F.count_distinct(dim_key).alias("__codes"), F.min(dim_key).alias(out))
+    coded = saved.join(codes, [name], "left")
+    unclear = coded.filter(F.coalesce("__codes", F.lit(0)) != 1).select(name).take(5)
+    if unclear:
+        raise ValueError(f"saved names without exactly one code: {[row[0] for row in unclear]}")
+    return coded.drop("__codes", name)
+
+
+def saved_count(column: str):
+    """A count from a saved result, which may be written as a decimal."""
+    return F.col(column).cast("double").cast("bigint").alias(column)
+
+
+def origins_saved(tables, saved: DataFrame) -> DataFrame:
+    saved = saved.select("origin_name", saved_count("departures"))
+    return code_of(saved, "origin_name", tables["nation"], "n_nationkey", "n_name", "origin")
+
+
 TOP_ORIGINS = MetricSpec(
     name="top_origins", source="lineitem",
     required={"lineitem": ("l_suppkey", "l_shipdate"), "supplier": ("s_suppkey", "s_nationkey"),
               "nation": ("n_nationkey", "n_name")},
     keys=("origin",), sums=("departures",), partial=origins_partial, finalize=origins_finalize,
+    import_saved=origins_saved,
     description="departures per origin nation, named, top N",
 )
 
@@ -115,48 +138,62 @@ def routes_partial(tables, lines: DataFrame) -> DataFrame:
     return sum_by(rows, ["origin", "carrier", "destination"], {"flights": "flights"})
 
 
-def ranked_carriers(routes: DataFrame, k: int) -> DataFrame:
-    totals = sum_by(routes, ["origin", "carrier"], {"carrier_total": "flights"})
-    return top_per_group(totals, ["origin"], "carrier_total", k, "carrier_rank")
+def ranked_members(routes: DataFrame, member: str, k: int | None, order: str = "asc") -> DataFrame:
+    """``<member>_total`` and its dense ``<member>_rank`` (largest total first) per origin.
 
+    Kept are the rows of the ``k`` first ranks (None: all) in ``order``: "asc" from the best,
+    "desc" from the last.
+    """
+    total, rank = f"{member}_total", f"{member}_rank"
+    totals = sum_by(routes, ["origin", member], {total: "flights"})
+    ranked = rank_within(totals, ["origin"], total, rank)
+    if check_direction(order) == "asc":
+        return ranked if k is None else ranked.filter(F.col(rank) <= k)
+    if k is None:
+        return ranked
+    return rank_within(ranked, ["origin"], total, "__last", "asc").filter(F.col("__last") <= k).drop("__last")
+
+
+def ranked_carriers(routes: DataFrame, k: int | None, order: str = "asc") -> DataFrame:
+    return ranked_members(routes, "carrier", k, order)
 
-def ranked_destinations(routes: DataFrame, k: int) -> DataFrame:
-    totals = sum_by(routes, ["origin", "destination"], {"destination_total": "flights"})
-    return top_per_group(totals, ["origin"], "destination_total", k, "destination_rank")
 
+def ranked_destinations(routes: DataFrame, k: int | None, order: str = "asc") -> DataFrame:
+    return ranked_members(routes, "destination", k, order)
 
-def pair_by_position(carriers: DataFrame, destinations: DataFrame) -> DataFrame:
-    """Lay the two ranked lists of each origin side by side (position 1, 2, ...)."""
-    c = position_within(carriers, ["origin"],
-                        [F.col("carrier_total").desc(), F.col("carrier").asc()])
-    d = position_within(destinations, ["origin"],
-                        [F.col("destination_total").desc(), F.col("destination").asc()])
-    return pair_side_by_side(c, d, ["origin", "position"])
 
+def pair_by_position(carriers: DataFrame, destinations: DataFrame, order: str = "asc") -> DataFrame:
+    """Lay the two ranked lists of each origin side by side (position 1, 2, ... in ``order``)."""
+    def placed(ranked: DataFrame, member: str) -> DataFrame:
+        rank = F.col(f"{member}_rank")
+        return position_within(ranked, ["origin"],
+                               [rank.asc() if check_direction(order) == "asc" else rank.desc(),
+                                F.col(member).asc()])
 
-def rank_and_pair(routes: DataFrame, k: int | None) -> DataFrame:
+    return pair_side_by_side(placed(carriers, "carrier"), placed(destinations, "destination"),
+                             ["origin", "position"])
+
+
+def rank_and_pair(routes: DataFrame, k: int | None, order: str = "asc",
+                  name_carriers: Callable[[DataFrame], DataFrame] = lambda ranked: ranked,
+                  name_destinations: Callable[[DataFrame], DataFrame] = lambda ranked: ranked) -> DataFrame:
     """Carriers and destinations of each origin ranked by their totals, side by side.
 
-    One hash partitioning by origin serves both ranked lists: their per-origin sums
-    and windows need no further shuffle.  ``routes`` are merged route counts,
-    bounded by origins x carriers x destinations rather than by the number of facts.
+    Names are joined onto the ranked lists (inner: unknown codes go) before they are paired.
+    ``routes`` are merged route counts; they are summed per origin and member inside each task
+    before anything moves to its origin, so a hot origin moves one row per member and task.
     """
-    by_origin = routes.repartition("origin")
-    return pair_by_position(ranked_carriers(by_origin, k), ranked_destinations(by_origin, k))
+    return pair_by_position(name_carriers(ranked_carriers(routes, k, order)),
+                            name_destinations(ranked_destinations(routes, k, order)), order)
 
 
 def departures_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFrame:
-    paired = rank_and_pair(merged, top)
-    nation = fixed_small(tables["nation"])
-    paired = paired.join(
-        nation.select(F.col("n_nationkey").alias("origin"), F.col("n_name").alias("origin_name")),
-        ["origin"], "left",
-    ).join(
-        nation.select(F.col("n_nationkey").alias("destination"),
-                      F.col("n_name").alias("destination_name")),
-        ["destination"], "left",
-    )
-    return paired.select(
+    nation = tables["nation"]
+    paired = rank_and_pair(
+        merged, top, order,
+        name_destinations=lambda ranked: attach(ranked, nation, "destination", "n_nationkey",
+                                                {"n_name": "destination_name"}))
+    return name_origins(tables, paired).select(
         "origin", "origin_name", "position", "carrier", "carrier_total", "carrier_rank",
         "destination", "destination_name", "destination_total", "destination_rank",
     )
@@ -169,7 +206,7 @@ ON_TIME_DEPARTURES = MetricSpec(
               "supplier": ("s_suppkey", "s_nationkey"), "part": ("p_partkey", "p_brand"),
               "nation": ("n_nationkey", "n_name")},
     keys=("origin", "carrier", "destination"), sums=("flights",),
-    partial=routes_partial, finalize=departures_finalize, top=3, order="asc",
+    partial=routes_partial, finalize=departures_finalize, top=3, order="asc", bounded_top=False,
     description="zero-tax lines: carrier and destination totals per origin, dense rank <= top",
 )
 

@@ -156,6 +156,14 @@ UNION ALL
 SELECT 'share_by_reason', reason, percent FROM ({SHARE_TOP})"""
 
 
+ALL_ORIGINS = """
+SELECT s.s_nationkey AS origin, n.n_name AS origin_name, count(*) AS departures
+FROM lineitem l
+JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN nation n ON n.n_nationkey = s.s_nationkey
+GROUP BY 1, 2"""
+
+
 ORACLE: dict[str, str] = {
     "csv_round_trip": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
     "csv_infer_scan": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
@@ -165,12 +173,7 @@ ORACLE: dict[str, str] = {
 SELECT 'top_origins' AS metric_name, CAST(10 AS INTEGER) AS top, 'desc' AS sort_order,
        CAST(min(l_shipdate) AS DATE) AS date_from, CAST(max(l_shipdate) AS DATE) AS date_to
 FROM lineitem""",
-    "merge_when_no_prior": """
-SELECT s.s_nationkey AS origin, n.n_name AS origin_name, count(*) AS departures
-FROM lineitem l
-JOIN supplier s ON l.l_suppkey = s.s_suppkey
-JOIN nation n ON n.n_nationkey = s.s_nationkey
-GROUP BY 1, 2""",
+    "merge_when_no_prior": ALL_ORIGINS,
     "sql_view_top": f"SELECT l_suppkey, n FROM ({SUPPLIER_COUNTS}) ORDER BY n DESC, l_suppkey LIMIT 10",
     "required_columns": "SELECT n_nationkey, n_name FROM nation",
     "date_from_parts": """
@@ -268,6 +271,12 @@ ORDER BY origin_rank, destination_rank, origin, carrier, destination LIMIT 10"""
     "metric_first_reason_counts": REASON_COUNTS_TOP,
     "metric_share_by_reason": SHARE_TOP,
     "stream_first_reason_counts": REASON_COUNTS_TOP,
+    "stream_replay_after_compaction": REASON_COUNTS_TOP,
+    "seeded_merge": ALL_ORIGINS,
+    "csv_reordered_columns": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
+    "increment_from_parts": """
+SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n
+FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1996-06-30' GROUP BY 1""",
     "full_recompute": MEAN_LEAD_TOP,
     "full_job": FULL_JOB,
 }

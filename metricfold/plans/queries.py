@@ -24,13 +24,14 @@ from metricfold.operators.aggregates import (
     share_of_total,
 )
 from metricfold.operators.increment import after, as_of, bounds
-from metricfold.operators.joins import attach, fixed_small, limit_then_join, merge_join
+from metricfold.operators.joins import attach, limit_then_join, merge_join
 from metricfold.operators.projections import drop_incomplete, only_zero, project, rename_all
 from metricfold.operators.ranking import rank_within, sort_all, top_n
 from metricfold.operators.validate import require_columns
 from metricfold.plans import metrics as M
 from metricfold.plans.analogues import REASON_COLUMNS, daily_wide, lead_parts_by_weekday
-from metricfold.plans.runner import full_recompute, results, run_metrics
+from metricfold.plans.runner import full_recompute, results, run_job, run_metrics, seed_from_saved
+from metricfold.plans.facts import FACT_TABLES
 from metricfold.plans.state import StateStore
 from metricfold.schemas import CATALOG, DRIVER, struct
 from metricfold.session import scratch_dir
@@ -38,11 +39,12 @@ from metricfold.sinks.files import as_view, write_csv_dir, write_single_csv
 from metricfold.sources.catalog import path_for
 from metricfold.sources.csv import cast_to, read_csv, read_csv_inferred
 from metricfold.sources.tables import DRIVER_TABLES, Tables
-from metricfold.streaming.micro_batch import start_metric_stream
+from metricfold.streaming.micro_batch import apply_batch, start_metric_stream
 
 # Replay cut days (first increment ends here, the second holds the rest).
 LINEITEM_CUT = dt.date(1998, 12, 31)
 EVENTS_CUT = dt.date(2024, 1, 15)
+ORDERS_CUT = dt.date(1996, 6, 30)
 CUTS = {"lineitem": LINEITEM_CUT, "events": EVENTS_CUT}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,8 +161,8 @@ def alias_qualified(spark, sf_dir):
     the line rows take part in two joins, not four.
     """
     t = _tables(spark, sf_dir)
-    c = fixed_small(t["nation"]).alias("c")
-    s = fixed_small(t["nation"]).alias("s")
+    c = t["nation"].alias("c")
+    s = t["nation"].alias("s")
     cu = t["customer"].alias("cu")
     o = t["orders"].alias("o")
     su = t["supplier"].alias("su")
@@ -276,8 +278,7 @@ def rank_routes_by_destination(spark, sf_dir):
 def top_per_origin(spark, sf_dir):
     t = _tables(spark, sf_dir)
     ranked = M.ranked_carriers(_routes(t), 10)
-    named = attach(ranked, t["nation"], "origin", "n_nationkey", {"n_name": "origin_name"},
-                   broadcast=True)
+    named = attach(ranked, t["nation"], "origin", "n_nationkey", {"n_name": "origin_name"})
     return named.select("origin", "origin_name", "carrier", "carrier_total", "carrier_rank")
 
 
@@ -285,7 +286,7 @@ def top_destinations_per_origin(spark, sf_dir):
     t = _tables(spark, sf_dir)
     ranked = M.ranked_destinations(_routes(t), 10)
     named = attach(ranked, t["nation"], "destination", "n_nationkey",
-                   {"n_name": "destination_name"}, broadcast=True)
+                   {"n_name": "destination_name"})
     return named.select("origin", "destination", "destination_name", "destination_total",
                         "destination_rank")
 
@@ -368,17 +369,60 @@ def stream_first_reason_counts(spark, sf_dir):
     return results(t, [M.FIRST_REASON_COUNTS], store)[M.FIRST_REASON_COUNTS.name].top
 
 
+def stream_replay_after_compaction(spark, sf_dir):
+    """M5 from two micro-batches that split every user-day, compacted, and the second replayed."""
+    t = _tables(spark, sf_dir)
+    store = _fresh_store(spark, "replay")
+    halves = [t["events"].filter(F.col("event_id") % 2 == part) for part in (0, 1)]
+    for number in (0, 1, 1):
+        apply_batch(halves[number], number, "events", t, [M.FIRST_REASON_COUNTS], store, compact_after=2)
+    return results(t, [M.FIRST_REASON_COUNTS], store)[M.FIRST_REASON_COUNTS.name].top
+
+
+def seeded_merge(spark, sf_dir):
+    """M1 continued from a result saved elsewhere: its CSV and state file, then the later rows."""
+    t = _tables(spark, sf_dir)
+    until = FACT_TABLES["lineitem"].as_of(t["lineitem"], LINEITEM_CUT)
+    saved = M.origins_finalize(t, M.origins_partial(t, until), None, "desc")
+    saved_path = write_csv_dir(saved.select("origin_name", "departures"), scratch_dir(spark, "saved-result"))
+    first, _ = bounds(until, "l_shipdate")
+    seed = spark.createDataFrame(
+        [("top_origins", 10, "desc", first, LINEITEM_CUT, saved_path)],
+        "metricName string, top int, order string, dateFrom date, dateTo date, pathAll string")
+    seed_path = write_csv_dir(seed.coalesce(1), scratch_dir(spark, "saved-state"))
+    store = _fresh_store(spark, "seeded")
+    seed_from_saved(t, [M.TOP_ORIGINS], store, seed_path)
+    run_metrics(spark, t, [M.TOP_ORIGINS], store)
+    return results(t, [M.TOP_ORIGINS], store)["top_origins"].full
+
+
+def csv_reordered_columns(spark, sf_dir):
+    """Typed scan of a supplier file whose columns stand in another order, with one more."""
+    supplier = _tables(spark, sf_dir)["supplier"]
+    shuffled = supplier.select("s_acctbal", F.lit("x").alias("note"), "s_nationkey", "s_name", "s_suppkey")
+    return read_csv(spark, write_csv_dir(shuffled, scratch_dir(spark, "csv-reordered")), DRIVER["supplier"])
+
+
+def increment_from_parts(spark, sf_dir):
+    """Orders after a day, cut on integer year, month and day columns."""
+    orders = _tables(spark, sf_dir)["orders"].select(
+        F.year("o_orderdate").alias("YEAR"), F.month("o_orderdate").alias("MONTH"),
+        F.dayofmonth("o_orderdate").alias("DAY"))
+    later = FACT_TABLES["flights"].after(orders, ORDERS_CUT)
+    return count_by(later.select(FACT_TABLES["flights"].day().alias("day")), ["day"])
+
+
 def full_recompute_query(spark, sf_dir):
     return full_recompute(_tables(spark, sf_dir), M.MEAN_LEAD_BY_WEEKDAY)
 
 
-def long_format(results) -> DataFrame:
+def long_format(tops) -> DataFrame:
     """Every metric's top result as ``(metric, key, value double)`` rows."""
     def rows(name, df, key, value):
         return df.select(F.lit(name).alias("metric"), key.alias("key"),
                          value.cast("double").alias("value"))
 
-    r = {name: res.top for name, res in results.items()}
+    r = dict(tops)
     sep = F.lit("|")
     dep = r["on_time_departures"]
     parts = [
@@ -402,8 +446,14 @@ def long_format(results) -> DataFrame:
 
 
 def full_job(spark, sf_dir):
-    results, _ = _two_runs(spark, sf_dir, list(M.ALL_METRICS), "full-job")
-    return long_format(results)
+    """The whole job twice (history, then the rest); the written top results are read back."""
+    t = _tables(spark, sf_dir)
+    store = _fresh_store(spark, "full-job")
+    specs = list(M.ALL_METRICS)
+    run_job(spark, t, specs, store, cut=CUTS)
+    done = run_job(spark, t, specs, store)
+    return long_format({name: read_csv(spark, res.state.path, res.top.schema)
+                        for name, res in done.items()})
 
 
 QUERIES: dict[str, Query] = {
@@ -449,6 +499,10 @@ QUERIES: dict[str, Query] = {
     "metric_first_reason_counts": metric_first_reason_counts,
     "metric_share_by_reason": metric_share_by_reason,
     "stream_first_reason_counts": stream_first_reason_counts,
+    "stream_replay_after_compaction": stream_replay_after_compaction,
+    "seeded_merge": seeded_merge,
+    "csv_reordered_columns": csv_reordered_columns,
+    "increment_from_parts": increment_from_parts,
     "full_recompute": full_recompute_query,
     "full_job": full_job,
 }

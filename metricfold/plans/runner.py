@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import cached_property
@@ -27,8 +27,10 @@ from metricfold.operators.validate import require_tables
 from metricfold.plans.facts import FACT_TABLES, FactTable, Span, span
 from metricfold.plans.metrics import MetricSpec
 from metricfold.plans.state import MetricState, StateStore, window_key
+from metricfold.sources.csv import read_csv
 from metricfold.sinks.files import write_csv_dir, write_parquet, write_single_csv
 
+SEED_WINDOW = "seed"
 # Concurrent Spark jobs submitted by one run (one partial write per metric).
 MAX_CONCURRENT_JOBS = 8
 
@@ -61,6 +63,44 @@ def seed_rows(specs: Sequence[MetricSpec], root: str) -> list[MetricState]:
     ]
 
 
+def seed_from_saved(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec], store: StateStore,
+                    path: str, start_afresh: Collection[str] = ()) -> None:
+    """Seed an empty store from a CSV state file and the saved full results it names.  [S5, S7]
+
+    A seeded date claims the days up to it, so the metric's result at ``pathAll`` becomes its
+    first committed window.  ValueError where that cannot be done (no saved result, or one
+    that does not add up, such as means and ranks), unless ``start_afresh`` names the metric:
+    its dates are dropped then and every row is counted again.  Files that exist are never
+    written over: such a metric's results go below the store.
+    """
+    if store.latest_version() is not None:
+        return
+    known = {spec.name: spec for spec in specs}
+    default = {row.metricName: row for row in seed_rows(specs, store.root)}
+    window = f"{SEED_WINDOW}.{uuid.uuid4().hex[:8]}"
+    rows = []
+    for row in store.read_seed(path):
+        spec = known.get(row.metricName)
+        if spec is None:
+            rows.append(row)
+            continue
+        if row.metricName in start_afresh:
+            row = replace(row, dateFrom=None, dateTo=None)
+        elif row.dateTo is not None:
+            if spec.import_saved is None or not row.pathAll or not store.exists(row.pathAll):
+                raise ValueError(f"metric {spec.name!r} has a date but no saved result that can be added "
+                                 f"to (pathAll={row.pathAll!r}): name it in start_afresh to count it anew")
+            saved = spec.import_saved(tables, read_csv(store.spark, row.pathAll))
+            store.write_partial(spec.name, window, check_partial(spec, saved))
+            row = row.committing(window)
+        for target in ("path", "pathAll"):
+            named = getattr(row, target)
+            if named and store.exists(named):
+                row = replace(row, **{target: getattr(default[spec.name], target)})
+        rows.append(row)
+    store.seed(rows)
+
+
 def increment_of(tables: Mapping[str, DataFrame], fact: FactTable, watermark: dt.date | None,
                  cut: dt.date | None = None) -> DataFrame:
     """Rows of ``fact`` after ``watermark`` (and, to replay history, on or before ``cut``)."""

@@ -207,8 +207,8 @@ class StateStore:
         if self.latest_version() is None:
             self.commit(rows)
 
-    def seed_from_csv(self, path: str) -> None:
-        """Seed from a CSV state file; columns are bound by name, in any order.  [S5]"""
+    def read_seed(self, path: str) -> list[MetricState]:
+        """Rows of a CSV state file, one per metric; columns are bound by name, in any order.  [S5]"""
         df = read_csv(self.spark, path, schema=None, infer=False)
         cols = set(df.columns)
         typed = df.select(*[
@@ -216,8 +216,14 @@ class StateStore:
             for f in STATE.fields
         ])
         rows = [_state(r) for r in typed.collect()]
-        rows = [replace(r, dateFrom=_day(r.dateFrom), dateTo=_day(r.dateTo)) for r in rows]
-        self.seed(rows)
+        return [replace(r, dateFrom=_day(r.dateFrom), dateTo=_day(r.dateTo)) for r in rows]
+
+    def seed_from_csv(self, path: str) -> None:
+        """Seed an empty store with a CSV state file's rows as they stand.
+
+        ``runner.seed_from_saved`` takes the results along that the rows' dates claim.
+        """
+        self.seed(self.read_seed(path))
 
     def committed_windows(self, metric: str) -> list[str]:
         """Windows whose partials make up the metric's current result."""

@@ -1,25 +1,43 @@
 """CSV scans.
 
-The default is a typed scan: an explicit schema, no inference pass over the
-data, and values that do not fit their type become null (``PERMISSIVE``).
-Inference is offered for ad-hoc use only; it costs an extra pass over the file
-and turns clock strings like ``0005`` into ``5``.
+The default is a typed scan: an explicit schema, bound to the file by its header's names, no
+inference pass over the data, and values that do not fit their type become null
+(``PERMISSIVE``).  Inference is offered for ad-hoc use only; it costs an extra pass over the
+file and turns clock strings like ``0005`` into ``5``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from metricfold.operators.validate import require_columns
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             sep: str = ",", header: bool = True, infer: bool = False) -> DataFrame:
-    """Typed CSV scan with header and separator options.  [S1]"""
+             sep: str = ",", header: bool = True, infer: bool = False,
+             complete: bool = True) -> DataFrame:
+    """CSV scan with header and separator options, typed by ``schema``.  [S1]
+
+    Columns are found by the names in the header, in any order; others in the file are left
+    out.  With ``complete`` a column the file lacks is an error (``MissingColumnsError``),
+    else it is left out.  All files of a folder must have the first one's header (Spark checks
+    it).  Without a header columns go by position.  A file without any line has no rows.
+    """
     reader = (spark.read.option("header", header).option("sep", sep)
               .option("escape", '"').option("mode", "PERMISSIVE"))
-    if schema is not None:
+    if schema is None:
+        return reader.option("inferSchema", infer).csv(path)
+    found = reader.csv(path) if header else None          # reads the first line
+    if found is None or not found.columns:
         return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", infer).csv(path)
+    if complete:
+        require_columns(found, schema.names)
+    declared = {f.name: f.dataType for f in schema.fields}
+    in_file = T.StructType([T.StructField(c, declared.get(c, T.StringType())) for c in found.columns])
+    typed = reader.option("enforceSchema", False).schema(in_file).csv(path)
+    return typed.select(*[c for c in schema.names if c in found.columns])
 
 
 def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",",
@@ -30,6 +48,4 @@ def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",",
 
 def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Bind columns by name and cast them to ``schema``'s types, in its order."""
-    from pyspark.sql import functions as F
-
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

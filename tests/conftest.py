@@ -34,10 +34,8 @@ def workdir(spark):
 def no_broadcast(spark):
     """Force the shuffle-join paths: no dimension counts as small."""
     old_auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("metricfold.broadcast.maxRows", "0")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     yield spark
-    spark.conf.unset("metricfold.broadcast.maxRows")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_auto)
     spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

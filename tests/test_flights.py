@@ -178,9 +178,13 @@ def test_csv_job_end_to_end(spark, workdir):
     assert collect(loaded["flights"].limit(1), "SCHEDULED_DEPARTURE") == [("0005",)]
 
     store_root = os.path.join(workdir, "store")
-    res = FL.run_flight_job(spark, catalog, store_root, seed_csv=seed)
+    # The seed claims days whose results are not there: refused, unless they are counted anew.
+    with pytest.raises(ValueError, match="start_afresh"):
+        FL.run_flight_job(spark, catalog, store_root, seed_csv=seed)
+    res = FL.run_flight_job(spark, catalog, store_root, seed_csv=seed,
+                            start_afresh=[m.name for m in FL.FLIGHT_METRICS])
     state = res["TopAirportsByFlights"].state
-    assert (state.dateFrom, state.dateTo) == (dt.date(2010, 1, 1), dt.date(2015, 1, 3))
+    assert (state.dateFrom, state.dateTo) == (dt.date(2015, 1, 1), dt.date(2015, 1, 3))
 
     # The single-file CSV export keeps names with comma and quote intact.
     top_dir = os.path.join(workdir, "out", "TopAirportsByFlights")
@@ -367,3 +371,77 @@ def test_impossible_dates_are_counted_once(spark, tables, workdir, month, day):
     res = results(later, [spec], store)[spec.name].top
     assert collect(res, "ORIGIN_AIRPORT", "count") == [("AAA", 4)]
     assert collect(full_recompute(later, spec), "count") == [(4,)]
+
+
+def _saved_job(workdir, airports=AIRPORT_ROWS, flights_header=COLS, flights_rows=None):
+    os.makedirs(workdir, exist_ok=True)
+    paths = {n: os.path.join(workdir, f"{n}.csv") for n in ("flights", "airports", "airlines")}
+    rows = [dict(zip(COLS, flight_record(*r))) for r in flights_rows or FLIGHT_ROWS]
+    _write_csv(paths["flights"], flights_header, [[r[c] for c in flights_header] for r in rows])
+    _write_csv(paths["airports"], [f.name for f in AIRPORTS.fields], airports)
+    _write_csv(paths["airlines"], [f.name for f in AIRLINES.fields], AIRLINE_ROWS)
+    catalog = os.path.join(workdir, "file_path.csv")
+    _write_csv(catalog, ["name", "path"], sorted(paths.items()))
+    saved = os.path.join(workdir, "saved.csv")
+    _write_csv(saved, ["AIRPORT", "count"], [("Alpha, Intl", "1000.0"), ('Bravo "Field"', "900.0")])
+    seed = os.path.join(workdir, "seed.csv")
+    header = ["metricName", "top", "order", "date", "dateFrom", "dateTo", "path", "pathAll"]
+    _write_csv(seed, header, [("TopAirportsByFlights", 10, "desc", "2023-01-01", "2014-01-01",
+                               "2015-01-02", os.path.join(workdir, "top.csv"), saved)])
+    return catalog, seed, saved
+
+
+def test_saved_results_are_taken_along_and_kept(spark, workdir):
+    catalog, seed, saved = _saved_job(workdir)
+    before = open(saved).read()
+    res = FL.run_flight_job(spark, catalog, os.path.join(workdir, "store"), seed_csv=seed)
+    got = res["TopAirportsByFlights"]
+    assert collect(got.top, "ORIGIN_AIRPORT", "count") == [("AAA", 1001), ("BBB", 901)]
+    assert (got.state.dateFrom, got.state.dateTo) == (dt.date(2014, 1, 1), dt.date(2015, 1, 3))
+    assert open(saved).read() == before and os.path.isfile(saved)
+
+
+def test_saved_name_with_two_codes_is_refused(spark, workdir):
+    catalog, seed, _ = _saved_job(workdir, AIRPORT_ROWS + [("CCC", "Alpha, Intl") + (None,) * 5])
+    with pytest.raises(ValueError, match="Alpha, Intl"):
+        FL.run_flight_job(spark, catalog, os.path.join(workdir, "store"), seed_csv=seed)
+
+
+def test_csv_columns_are_found_by_name(spark, workdir):
+    shuffled = list(reversed(COLS))
+    catalog, _, _ = _saved_job(workdir, flights_header=shuffled)
+    loaded = FL.load_tables(spark, catalog)
+    assert loaded["flights"].columns == COLS and loaded["flights"].count() == len(FLIGHT_ROWS)
+    res = full_recompute(loaded, FL.TOP_AIRPORTS_BY_FLIGHTS)
+    assert collect(res, "ORIGIN_AIRPORT", "count") == [("AAA", 4), ("BBB", 2)]
+    assert sorted(collect(full_recompute(loaded, FL.DELAY_REASONS), "Reason", "count")) == [
+        ("AIRLINE_DELAY", 1), ("AIR_SYSTEM_DELAY", 1)]
+
+
+def test_csv_file_without_a_column_is_reported(spark, workdir):
+    from metricfold.operators import MissingColumnsError
+
+    catalog, _, _ = _saved_job(workdir, flights_header=[c for c in COLS if c != "ARRIVAL_DELAY"])
+    loaded = FL.load_tables(spark, catalog)
+    assert full_recompute(loaded, FL.TOP_AIRPORTS_BY_FLIGHTS).count() == 2      # does not need it
+    with pytest.raises(MissingColumnsError, match=r"The \[ARRIVAL_DELAY\] columns are not in the DF"):
+        FL.run_flight_job(spark, catalog, os.path.join(workdir, "store"))
+
+
+def test_unknown_codes_leave_the_rankings(spark, tables):
+    rows = FLIGHT_ROWS + [(2, "XX", "ZZZ", "AAA", 0, 1, None), (2, "QQ", "AAA", "ZZZ", 0, 1, None)]
+    res = full_recompute(dict(tables, flights=flights_df(spark, rows)), FL.ON_TIME_FLIGHTS)
+    got = sorted(collect(res, "ORIGIN_AIRPORT", "AIRLINE", "DESTINATION_AIRPORT"))
+    assert got == [("AAA", "XX", "BBB"), ("BBB", "XX", "AAA")]
+
+
+def test_rank_order_is_honoured(spark, tables):
+    from dataclasses import replace
+
+    rows = [(1, "XX", "AAA", "BBB", 0, 0, None)] * 3 + [(1, "YY", "AAA", "BBB", 0, 0, None)]
+    data = dict(tables, flights=flights_df(spark, rows))
+    best, last = (full_recompute(data, replace(FL.ON_TIME_FLIGHTS, order=o), top=1) for o in ("asc", "desc"))
+    assert collect(best, "AIRLINE", "carrier_rank") == [("XX", 1)]
+    assert collect(last, "AIRLINE", "carrier_rank") == [("YY", 2)]
+    with pytest.raises(ValueError):
+        full_recompute(data, replace(FL.ON_TIME_FLIGHTS, order="up"))

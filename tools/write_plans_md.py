@@ -35,7 +35,7 @@ How to read the tables:
 """
 
 LARGE = """
-## Large dimensions (`metricfold.broadcast.maxRows=0`, auto-broadcast off)
+## Large dimensions (auto-broadcast off)
 
 This is the plan family used when a dimension fails the size check, as at 100 TB: supplier
 (10^9 rows), customer, part and orders are all too big to broadcast. Points to note:
