@@ -8,8 +8,9 @@ text's ids against the SentencePiece library itself (``parity``).
 
 Most models' pieces never reach over the start of a word.  The code checks that for the given
 model; then each distinct word of a batch is encoded, decoded and checked against SentencePiece
-once, and the ids of a text are put together from its words'.  So every text is checked word by
-word, and one text in ``WHOLE_CHECK`` (by a hash) as a whole too.  Other models get whole texts.
+once, and the ids of a text are put together from its words'.  SentencePiece normalises every
+whole text too: equal normalised texts whose words all have equal ids have equal ids, since no
+merge crosses the start of a word.  Other models get whole texts.
 
 A null text gives null ids and null checks; an empty text gives no ids.  ``round_trip`` compares
 the decoded text with the text the model's normaliser leaves.
@@ -20,7 +21,6 @@ from __future__ import annotations
 import gc
 import os
 import re
-import zlib
 from functools import lru_cache
 from itertools import chain
 
@@ -34,7 +34,6 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 CACHED_WORDS = 500_000      # words whose ids a task keeps
 KEPT_WORDS = 250_000        # most of them that wait in a worker for its next task
-WHOLE_CHECK = 8
 GROUP = 256                 # new words per call
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 SCHEMA = ("doc_id long, ids array<int>, n_ids long, n_bytes long, round_trip boolean, parity boolean")
@@ -158,7 +157,8 @@ class Codec:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The ids of all texts in one array, their number per text, whether each text's ids
-        decode to it again, and whether SentencePiece gives the same ids (to all its words)."""
+        decode to it again, and whether SentencePiece gives the same ids (the same normalised
+        text, and the same ids to all its words)."""
         normalised = [self.normalise(t) for t in texts]
         if not self.cuts:
             ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -179,7 +179,8 @@ class Codec:
         ids = self.flat[np.arange(int(sizes.sum())) + np.repeat(first - begins, sizes)]
         row = np.repeat(np.arange(len(texts)), counts)
         count = lambda weights: np.bincount(row, weights=weights, minlength=len(texts))
-        return ids, count(sizes).astype(np.int64), count(~self.whole[at]) == 0, count(~self.same[at]) == 0
+        same = (count(~self.same[at]) == 0) & [self.own.normalize(t) == n for t, n in zip(texts, normalised)]
+        return ids, count(sizes).astype(np.int64), count(~self.whole[at]) == 0, same
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tok.decode_batch(ids, skip_special_tokens=False)
@@ -221,9 +222,6 @@ def _encoder(data: bytes, threads: int):
                     null = pa.array([t is None for t in texts])
                     flat, sizes, back, parity = own.encode(real)
                     ends = np.cumsum(sizes)
-                    whole = [i for i, t in enumerate(real) if zlib.crc32(t[:64].encode()) % WHOLE_CHECK == 0]
-                    for i, ids in zip(whole, own.own.encode([real[i] for i in whole], num_threads=threads)):
-                        parity[i] &= ids == flat[ends[i] - sizes[i]:ends[i]].tolist()
                     offsets = pa.array(np.concatenate(([0], ends)), pa.int32(),
                                        mask=np.append([t is None for t in texts], False))
                     out = [
