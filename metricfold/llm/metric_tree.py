@@ -14,11 +14,17 @@ distance: ``d(q, x)^2 = |q|^2 + M - 2 q.x``.  So a metric tree answers exactly.
   visited best first.  Stored distances exclude pages (root distance) and vectors (centre
   distance) by the triangle inequality before any distance to them is computed.
 
-Bounds only exclude what is strictly worse (with a margin for rounding), so results are exact
-and ties go to the smaller id.  Tasks hold one tree and one block of queries.  Vectors that are
-null, empty, or hold null, non-finite or huge components (2^24 and more after scaling), and
-rows with a null id, take no part; vectors of different lengths are not compared; a row is not
-its own candidate, nor are rows with the same id.
+Bounds only exclude what is strictly worse (with a margin for rounding that grows with the norm),
+so results are exact and ties go to the smaller id.  Tasks hold one tree and one block of queries.
+
+Trees hold vectors with squared norms below ``EXACT``: no sum of their products leaves the exact
+integers of a double.  Larger vectors, as queries and as candidates, are compared block by block:
+doubles with an error bound choose the rows that may be among the best, Python integers score
+these.  Order is exact at any size; a score beyond 64 bits is null in the result.
+
+Vectors that are null, empty, or hold null or non-finite components, and rows with a null id, take
+no part; vectors of different lengths are not compared; a row is not its own candidate, nor are
+rows with the same id.
 """
 
 from __future__ import annotations
@@ -34,27 +40,32 @@ REGIONS = 256
 TREE_ROWS = 8_192
 PAGE_ROWS = 512
 QUERY_BLOCK = 8_192
-LARGEST = 2 ** 24
+EXACT = 2 ** 52         # squared norms
 MARGIN = 1e-3
 
 VECTORS = "vec_id long, dim int, norm long, v binary"
 TREES = "dim int, region int, salt long, root_distance double, radius double, centre binary, ids binary, vectors binary, distances binary, norms binary"
 FOUND = "query_id long, vec_id long, score long"
+LARGE_FOUND = FOUND + ", beyond int, digits string"
 
 
 def _ints(batches):
+    """Integer vectors; those for no tree have no norm and keep their components as they are."""
     for batch in batches:
         ids, dims, norms, out = [], [], [], []
         for i, x in zip(batch.column(0).to_pylist(), batch.column(1)):
             if i is None or not x.is_valid or len(x.values) == 0 or x.values.null_count:
                 continue
-            v = np.floor(64.0 * x.values.to_numpy(zero_copy_only=False).astype(np.float64))
-            if not np.isfinite(v).all() or np.abs(v).max() >= LARGEST:
+            x = x.values.to_numpy(zero_copy_only=False).astype(np.float64)
+            if not np.isfinite(x).all():
                 continue
+            with np.errstate(over="ignore"):
+                v = np.floor(64.0 * x)
+                norm = (v * v).sum()
             ids.append(i)
             dims.append(len(v))
-            norms.append(int((v * v).sum()))
-            out.append(v.astype(np.int32).tobytes())
+            norms.append(int(norm) if norm < EXACT else None)
+            out.append(v.astype(np.int32).tobytes() if norm < EXACT else x.tobytes())
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(norms, pa.int64()), pa.array(out, pa.binary())],
             ["vec_id", "dim", "norm", "v"])
@@ -81,6 +92,12 @@ def _extra(norms: np.ndarray, largest: int) -> np.ndarray:
     return np.sqrt(np.maximum(float(largest) - norms, 0.0))
 
 
+def _margin(largest: int, dim: int) -> float:
+    """More than the rounding errors of the few distances that a bound is made of: each is a root of a
+    sum of ``dim`` terms, whose error is a share of the largest squared norm."""
+    return MARGIN + 6 * float(np.sqrt(4 * (dim + 4) * np.finfo(np.float64).eps * largest))
+
+
 def _assign(pivots: dict[int, np.ndarray], largest: int):
     """Adds each vector's region and its distance to the region's pivot."""
     def run(batches):
@@ -159,7 +176,7 @@ class Tree:
     """The pages of one tree, ready to be searched."""
 
     def __init__(self, pages: pa.Table, dim: int, largest: int):
-        self.largest = float(largest)
+        self.largest, self.margin = float(largest), _margin(largest, dim)
         centres = np.array([np.frombuffer(c, np.float64) for c in pages["centre"].to_pylist()])
         self.centres, self.root = centres[:, :dim + 1], centres[0, dim + 1:]
         self.root_distance, self.radius = pages["root_distance"].to_numpy(), pages["radius"].to_numpy()
@@ -171,7 +188,7 @@ class Tree:
     def search(self, own: int, q: np.ndarray, k: int, bound: float = -np.inf):
         """The ``k`` best rows other than ``own`` with scores of at least ``bound``."""
         norm = float(q @ q) + self.largest
-        reach = lambda score: np.sqrt(max(norm - 2 * score, 0.0)) + MARGIN if score > -np.inf else np.inf
+        reach = lambda score: np.sqrt(max(norm - 2 * score, 0.0)) + self.margin if score > -np.inf else np.inf
         point = np.append(q, 0.0)
         to_root = np.sqrt(((self.root - point) ** 2).sum())
         best_ids, best = np.zeros(0, np.int64), np.zeros(0)
@@ -230,7 +247,7 @@ def _route(pivots: dict[int, np.ndarray], reach: dict[tuple[int, int], tuple[flo
                 p = pivots[dim]
                 q = np.frombuffer(v, np.int32).astype(np.float64)[None, :]
                 d = _distances(q, np.zeros(1), p, _extra((p * p).sum(axis=1), largest))[0]
-                limit = np.inf if bound is None else np.sqrt(max(norm + largest - 2 * bound, 0.0)) + MARGIN
+                limit = np.inf if bound is None else np.sqrt(max(norm + largest - 2 * bound, 0.0)) + _margin(largest, dim)
                 for region in range(len(p)):
                     radius, trees = reach.get((dim, region), (0.0, 0))
                     if trees and d[region] - radius <= limit:
@@ -243,15 +260,104 @@ def _route(pivots: dict[int, np.ndarray], reach: dict[tuple[int, int], tuple[flo
     return run
 
 
+def _whole(norm: int | None, v: bytes) -> list[int]:
+    """The exact components of a row of ``VECTORS``."""
+    if norm is not None:
+        return np.frombuffer(v, np.int32).tolist()
+    with np.errstate(over="ignore"):
+        x = np.frombuffer(v, np.float64)
+        scaled = np.floor(64.0 * x)
+    return [int(b) if np.isfinite(b) else 64 * int(a) for a, b in zip(x.tolist(), scaled.tolist())]
+
+
+def _rounded(norms: list, vectors: list) -> np.ndarray:
+    """The components as doubles; infinite where 64 times a component is."""
+    with np.errstate(over="ignore"):
+        return np.array([np.frombuffer(v, np.int32).astype(np.float64) if n is not None
+                         else np.floor(64.0 * np.frombuffer(v, np.float64)) for n, v in zip(norms, vectors)])
+
+
+def _beyond(score: int) -> tuple[int | None, int, str | None]:
+    """``score, beyond, digits``: numbers beyond 64 bits order by their signed bit length, then by their digits."""
+    if -2 ** 63 <= score < 2 ** 63:
+        return score, 0, None
+    bits = abs(score).bit_length()
+    digits = score if score > 0 else 2 ** bits - 1 + score
+    return None, bits if score > 0 else -bits, f"{digits:0{-(-bits // 4)}x}"
+
+
+def _search_large(k: int):
+    def run(key: tuple, queries: pa.Table, rows: pa.Table) -> pa.Table:
+        out = []
+        if queries.num_rows and rows.num_rows:
+            ids, norms, vectors = rows["vec_id"].to_numpy(), rows["norm"].to_pylist(), rows["v"].to_pylist()
+            x, whole = _rounded(norms, vectors), {}
+            with np.errstate(over="ignore", invalid="ignore"):
+                lengths = np.sqrt((x * x).sum(axis=1))
+                for own, *q in zip(*(queries[c].to_pylist() for c in ("vec_id", "norm", "v"))):
+                    y, exact = _rounded(q[:1], q[1:])[0], _whole(*q)
+                    near = x @ y
+                    wrong = (len(y) + 8) * np.finfo(np.float64).eps * lengths * np.sqrt((y * y).sum())
+                    known = np.isfinite(near) & np.isfinite(wrong)
+                    low, high = np.where(known, near - wrong, -np.inf), np.where(known, near + wrong, np.inf)
+                    other = np.flatnonzero(ids != own)
+                    if len(other) > k:
+                        other = other[high[other] >= np.partition(low[other], len(other) - k)[len(other) - k]]
+                    scored = []
+                    for i in other.tolist():
+                        if i not in whole:
+                            whole[i] = _whole(norms[i], vectors[i])
+                        scored.append((-sum(a * b for a, b in zip(whole[i], exact)), int(ids[i])))
+                    out += [(own, i, *_beyond(-score)) for score, i in sorted(scored)[:k]]
+        kinds = [pa.int64()] * 3 + [pa.int32(), pa.string()]
+        return pa.table([pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)],
+                        [f.split()[0] for f in LARGE_FOUND.split(", ")])
+    return run
+
+
+def _large_found(vectors: DataFrame, n: int, n_large: int, k: int, every: int, tree_rows: int, query_block: int) -> DataFrame:
+    """The best rows of every query and block of rows, for pairs with a large vector."""
+    def pairs(queries: DataFrame, n_queries: int, rows: DataFrame, n_rows: int) -> DataFrame:
+        parts, blocks = max(1, -(-n_rows // tree_rows)), max(1, -(-n_queries // query_block))
+        every_of = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
+        at = lambda seed, m: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(m).cast("long"))
+        keys = ["dim", "part", "block"]
+        queries = queries.withColumn("block", at(1, blocks)).withColumn("part", every_of(parts))
+        rows = rows.withColumn("part", at(2, parts)).withColumn("block", every_of(blocks))
+        return queries.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInArrow(_search_large(k), LARGE_FOUND)
+
+    asked, large = vectors.where(F.col("vec_id") % every == 0), vectors.where("norm IS NULL")
+    return pairs(asked.where("norm IS NULL"), n_large, vectors, n).unionByName(
+        pairs(asked.where("norm IS NOT NULL"), n // every + 1, large, n_large))
+
+
 def top_k(embeddings: DataFrame, save, k: int = TOP, every: int = EVERY, regions: int = REGIONS, tree_rows: int = TREE_ROWS,
           page_rows: int = PAGE_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` best rows.  ``save(df, label)`` writes a table to the
     shared scratch folder and reads it back."""
     vectors = save(integer_vectors(embeddings), "vectors")
-    sizes = vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("largest")).collect()
-    spark = embeddings.sparkSession
-    if not sizes:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    sizes = vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("n_all"), F.count("norm").alias("n"),
+                                       F.max("norm").alias("largest")).collect()
+    found, order = None, [F.col("score").desc(), "vec_id"]
+    n, n_large = sum(r.n_all for r in sizes), sum(r.n_all - r.n for r in sizes)
+    if n > n_large:
+        small = vectors.where("norm IS NOT NULL") if n_large else vectors
+        found = _tree_found(small, [r for r in sizes if r.n], save, k, every, regions, tree_rows, page_rows, query_block)
+    if n_large:
+        large = _large_found(vectors, n, n_large, k, every, tree_rows, query_block)
+        found = large if found is None else large.unionByName(found.withColumn("beyond", F.lit(0)), allowMissingColumns=True)
+        order = [F.col("beyond").desc(), F.col("score").desc(), F.col("digits").desc(), "vec_id"]
+    if found is None:
+        return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    best = Window.partitionBy("query_id").orderBy(*order)
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _tree_found(vectors: DataFrame, sizes: list, save, k: int, every: int, regions: int, tree_rows: int, page_rows: int,
+                query_block: int) -> DataFrame:
+    """The best rows of every query and tree that it visits.  ``sizes``: rows and largest norm by length."""
+    spark = vectors.sparkSession
     largest = max(r.largest for r in sizes)
     pivots = {}
     for r in sizes:          # one entry per vector length
@@ -279,7 +385,4 @@ def top_k(embeddings: DataFrame, save, k: int = TOP, every: int = EVERY, regions
     bounded = queries.select("vec_id", "dim", "norm", "v", "block").join(bounds, "vec_id", "left")
     routed = bounded.mapInArrow(_route(pivots, reach, largest),
                                 "vec_id long, dim int, norm long, v binary, block long, bound long, region int, salt long")
-    found = routed.groupBy(*keys).cogroup(copied.groupBy(*keys)).applyInArrow(_search(largest, k, False), FOUND)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return routed.groupBy(*keys).cogroup(copied.groupBy(*keys)).applyInArrow(_search(largest, k, False), FOUND)

@@ -179,6 +179,29 @@ def test_metric_tree(spark):
     assert metric_tree.top_k(frame.limit(0), save).count() == 0
 
 
+def test_metric_tree_keeps_every_finite_vector(spark):
+    """Vectors of any size as queries and candidates, against Python integers; scores beyond 64 bits are null."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(200, 8))
+    x[::7] *= 3e5                       # 2^24 and more after scaling
+    x[40:50] *= 2.0 ** 21
+    x[60:64] = 2.0 ** 23 + rng.integers(0, 2, (4, 8)) / 64      # scores that differ in their last bits
+    x[80], x[81] = 3e38, -3e38
+    x[100], x[101] = 1e308, 1e308 * np.eye(8)[0]
+    ints = [[64 * int(c) if abs(c) > 1e300 else int(np.floor(64 * c)) for c in v] for v in x.tolist()]
+    want = []
+    for q in range(0, 200, 20):
+        scores = sorted((-sum(a * b for a, b in zip(ints[q], v)), j) for j, v in enumerate(ints) if j != q)[:20]
+        want += [(q, k + 1, j, -s if -2**63 <= -s < 2**63 else None) for k, (s, j) in enumerate(scores)]
+    rows = [(i, v) for i, v in enumerate(x.tolist())] + [(200, [float("inf")] * 8), (220, [float("nan")] * 8), (None, [1e6] * 8)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = metric_tree.top_k(frame, save, tree_rows=64, page_rows=16, query_block=4)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[:2]) == want
+    assert any(s is None for *_, s in want) and any(s and abs(s) > 2**53 for *_, s in want)
+    only = metric_tree.top_k(frame.where("vec_id = 80 OR vec_id = 81"), save).collect()
+    assert [tuple(r) for r in only] == [(80, 1, 81, None)]
+
+
 def test_mixing(docs, none):
     sized = save(mixing.sizes(docs), "sized")
     out = mixing.allocate(sized, save(mixing.quotas(sized), "quotas")).collect()
