@@ -1,7 +1,7 @@
 """Which 64-bit keys occur with two owners or more, over a whole table of documents.
 
-Documents are dealt to chunks by a hash of their id (one exchange of the texts, used again by
-later steps of the same query).  A chunk sends each distinct key once, packed with the others of
+Rows are dealt to chunks by a hash of id and text, so that many rows with a null id, or with one id,
+spread (one exchange of the texts, used again by later steps of the same query).  A chunk sends each distinct key once, packed with the others of
 the same bucket (a range of keys), so a key that a third of all documents hold reaches its
 bucket once for each chunk, not once for each document.  The bucket answers each chunk with
 one bit for each key it sent.  Nothing is collected, and every task holds one chunk or one bucket.
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 2 << 20       # text of a chunk
@@ -24,11 +24,15 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
+def chunk_of(size: int, chunk_bytes: int, seed: int, id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """The chunk of a row: any rows but those equal in both id and text may part."""
+    chunks = max(1, -(-size // chunk_bytes))
+    return F.pmod(F.xxhash64(F.lit(seed), F.col(id_col).cast("long"), F.col(text_col)), F.lit(chunks))
+
+
 def dealt(docs: DataFrame, size: int, id_col: str = "doc_id") -> DataFrame:
     """``chunk, doc_id, text``, dealt by chunk."""
-    chunks = max(1, -(-size // CHUNK_BYTES))
-    doc_id = F.col(id_col).cast("long")
-    return docs.select(F.pmod(F.xxhash64(F.lit(11), doc_id), F.lit(chunks)).alias("chunk"), doc_id.alias("doc_id"),
+    return docs.select(chunk_of(size, CHUNK_BYTES, 11, id_col).alias("chunk"), F.col(id_col).cast("long").alias("doc_id"),
                        "text").repartition("chunk")
 
 

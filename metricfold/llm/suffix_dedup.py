@@ -299,9 +299,8 @@ def cleaned(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated bytes cut from ``text``, and without the rows of which nothing is
     left.  Other columns (any names) stay as they are."""
     size = sk.text_bytes(docs)
-    chunks = max(1, -(-size // sk.CHUNK_BYTES))
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    renamed = docs.select(F.pmod(F.xxhash64(F.lit(11), F.col("doc_id").cast("long")), F.lit(chunks)).alias("chunk"),
+    renamed = docs.select(sk.chunk_of(size, sk.CHUNK_BYTES, 11).alias("chunk"),
                           F.col("doc_id").cast("long").alias("doc_id"), "text",
                           *[F.col(f"`{c}`").alias(f"other_{i}") for i, c in enumerate(others)]).repartition("chunk")
     first, second, bits = _replies(renamed, size)

@@ -1,6 +1,6 @@
 """Training-order materialisation: token sequences at permuted slots of fixed-stride shards.
 
-Documents are tokenised once and dealt to chunks by a hash of the id.  In a chunk, documents
+Documents are tokenised once and dealt to chunks by a hash of id and text.  In a chunk, documents
 lie in id order, each followed by the end token, and are cut into sequences of ``length`` tokens
 (the chunk's last one is filled up with end tokens and says how many are real).  Prefix sums
 over the chunks number the sequences 0..N-1, and a keyed Feistel permutation with
@@ -10,7 +10,7 @@ seek to slot ``s`` and go on from there.
 
 The permutation is computed per sequence (no sort of all sequences, no table of the order).
 Memory per task: one chunk, or one shard.  Null texts count as empty; an empty text gives its
-end token alone; documents with equal ids order by their tokens.  No rows: no shards.
+end token alone; documents with equal ids order by chunk and tokens.  No rows: no shards.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from metricfold.llm.shared_keys import chunk_of
+
 LENGTH = 1_024
 SLOTS_PER_SHARD = 512
 CHUNK_BYTES = 2 << 20
@@ -151,9 +153,8 @@ def shards(docs: DataFrame, ranks: bytes, length: int = LENGTH, slots: int = SLO
            chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """All shards, one row each (see ``SHARDS``).  ``ranks``: the content of a tiktoken vocabulary file."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(1, -(-size // chunk_bytes))
     end = encoding(ranks).max_token_value + 1
-    chunk = F.pmod(F.xxhash64(F.lit(key), F.col("doc_id").cast("long")), F.lit(chunks))
+    chunk = chunk_of(size, chunk_bytes, key)
     tokens = docs.select(chunk.alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _tokenise(ranks), "chunk long, doc_id long, n long, ids binary")
     # One exchange of the tokens by chunk serves both the counts and the sequences.

@@ -17,6 +17,7 @@ from metricfold.llm import (
     ordinal_quality,
     piece_codec,
     quality_rules,
+    shared_keys,
     suffix_dedup,
     token_order,
 )
@@ -101,6 +102,57 @@ def test_suffix_dedup(docs, none, rows):
     assert suffix_dedup.spans_removed(none).count() == 0 and suffix_dedup.cleaned(none).count() == 0
 
 
+@pytest.fixture(scope="module")
+def hot_rows():
+    """Rows of a null id and of one repeated id, each with most of the text, and a few that they repeat."""
+    rng = np.random.default_rng(21)
+    prose = lambda n: " ".join(rng.choice(WORDS, n)) + f" {rng.integers(0, 2**60)}."
+    passage = prose(25)
+    texts = [prose(60) + passage * (i % 3 == 0) for i in range(90)]
+    texts[50], texts[70] = texts[10], texts[40]
+    return [((None, 5, 100 + i)[i % 3], t) for i, t in enumerate(texts)]
+
+
+def test_hot_ids_spread_over_chunks(spark, hot_rows, monkeypatch):
+    monkeypatch.setattr(shared_keys, "CHUNK_BYTES", 4000)
+    docs = spark.createDataFrame(hot_rows, "doc_id long, text string").repartition(3)
+    size = shared_keys.text_bytes(docs)
+    chunks = Counter(r.chunk for r in shared_keys.dealt(docs, size).collect())
+    hot = [{r.chunk for r in shared_keys.dealt(docs, size).where(c).collect()} for c in ("doc_id IS NULL", "doc_id = 5")]
+    assert len(chunks) > 5 and max(chunks.values()) < 20 and all(len(h) > 5 for h in hot)
+    # The results are those of brute force, also over many chunks.
+    last = np.iinfo(np.int64).max
+    first, want, left = {}, Counter(), Counter()
+    for i, t in hot_rows:
+        for k in range(len(t) - 49):
+            first[t[k:k + 50]] = min(first.get(t[k:k + 50], last), last if i is None else i)
+    for i, t in hot_rows:
+        gone = np.zeros(len(t), bool)
+        for k in range(len(t) - 49):
+            if first[t[k:k + 50]] < (last if i is None else i):
+                gone[k:k + 50] = True
+        kept = "".join(c for c, g in zip(t, gone) if not g)
+        want[i, len(t), int(gone.sum()), hashlib.sha256(kept.encode()).hexdigest()] += 1
+        if kept.strip():
+            left[i, kept] += 1
+    got = suffix_dedup.spans_removed(docs).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in got) == want
+    assert Counter(map(tuple, suffix_dedup.cleaned(docs).collect())) == left
+
+
+def test_training_order_of_hot_ids(spark, hot_rows):
+    with open(token_order.vocabulary(), "rb") as file:
+        ranks = file.read()
+    docs = spark.createDataFrame([(None, t) for _, t in hot_rows], "doc_id long, text string")
+    shards = token_order.shards(docs, ranks, length=64, slots=8, chunk_bytes=4000).collect()
+    enc = token_order.encoding(ranks)
+    n = sum(len(enc.encode_ordinary(t)) + 1 for _, t in hot_rows)
+    assert sum(r.n_tokens for r in shards) == n
+    assert sum(r.n_slots for r in shards) > -(-n // 64)         # several chunks, each with a last sequence of its own
+    again = token_order.shards(docs.repartition(5), ranks, length=64, slots=8, chunk_bytes=4000).collect()
+    assert {r.sha256 for r in again} == {r.sha256 for r in shards}
+
+
 def test_suffix_array_orders_suffixes():
     rng = np.random.default_rng(1)
     text = rng.integers(97, 99, 400).astype(np.uint8)
