@@ -4,7 +4,9 @@ The automaton holds every substring (in words) of the licence templates below.
 streamed through it once: after every word the state gives the longest template substring
 that ends there (the matching statistics).  Matches of ``MIN_MATCH`` or more words that
 cannot be extended are chained per template while both text and template advance, and a
-chain's covered share of the template decides the template's label.
+chain's covered share of the template decides the template's label.  A chain counts only if the
+text there (the chain and ``NEAR`` words after it) has one of the template's identifying phrases:
+words such as "licensed under the" or "permission is hereby granted" also open other licences.
 
 Lower-casing touches A-Z only; words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``.  A null or empty text
 has no words, no labels (empty strings) and score 0.  The automaton's size depends on the
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 MIN_MATCH = 3          # words of a match that may enter a chain
 MAX_GAP = 8            # words that may be skipped between chained matches
 MIN_COVERED = 0.6      # share of a template's words that earns its label
+NEAR = 3               # words after a chain that may still identify its template
 
 # Labels and base phrases.
 BASE = (("cc-by", "cc by"), ("gpl", "general public license"), ("reserved", "all rights reserved"))
@@ -47,6 +50,25 @@ TEMPLATES = (
             "fee is hereby granted"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
+# Phrases of which the text of a chain must have one, by label.
+_MIT = ("mit license", "mit licence", "mit and", "mit or", "mit x11", "software and associated documentation")
+_VERSION = ("license version {0}", "license v {0}", "license v{0}", "license {0}", "licence version {0}", "licence {0}")
+IDENTIFYING = {
+    "mit": _MIT,
+    "apache-2.0": tuple("apache " + p.format(2) for p in _VERSION),
+    "bsd": ("redistribution and use in source and binary forms",),
+    "gpl-2.0": tuple("gnu general public " + p.format(2) for p in _VERSION),
+    "gpl-3.0": tuple("gnu general public " + p.format(3) for p in _VERSION),
+    "lgpl": ("gnu lesser general public",),
+    "agpl": ("gnu affero general public",),
+    "mpl-2.0": tuple("mozilla public " + p.format(2) for p in _VERSION),
+    "cc-by-4.0": ("cc by 4", "cc by international 4"),
+    "cc-by-sa-4.0": ("cc by sa 4", "cc by sa international 4"),
+    "cc-by-nc-4.0": ("cc by nc 4", "cc by nc international 4"),
+    "cc-by": tuple(f"commons attribution {w}" for w in "1 2 3 4 license licence international unported generic".split()),
+    "isc": ("any purpose with or without fee",),
+    "unlicense": ("free and unencumbered software",),
+}
 SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word long, "
           "base_labels string, labels string, score double, spans string")
 _WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -122,13 +144,14 @@ class Automaton:
 class Scanner:
     """The automaton of ``templates`` and ``base`` phrases, ready to scan texts."""
 
-    def __init__(self, templates=TEMPLATES, base=BASE):
+    def __init__(self, templates=TEMPLATES, base=BASE, identifying=IDENTIFYING):
         words = [phrase.encode().split() for _, phrase in (*base, *templates)]
         self.vocabulary = {w: i for i, w in enumerate(sorted({w for ws in words for w in ws}))}
         self.automaton = Automaton([[self.vocabulary[w] for w in ws] for ws in words])
         self.labels = [label for label, _ in (*base, *templates)]
         self.sizes = [len(ws) for ws in words]
         self.n_base = len(base)
+        self.identifying = [[b" %s " % p.encode() for p in identifying.get(label, ())] for label in self.labels]
         # The phrase sequences that end in a state: their own last state is the state or one
         # that its links lead to.
         self.phrases: list[list[int]] = []
@@ -160,7 +183,7 @@ class Scanner:
                 held = (end, state, length)
         if held:
             matches.append(held)
-        spans = self.chain(matches)
+        spans = [s for s in self.chain(matches) if self.identified(s, words)]
         labels = base_labels | {self.labels[k] for k, _, _, share in spans if share >= MIN_COVERED}
         score = max([share for *_, share in spans], default=0.0)
         return (len(words), len(places), min(places, default=None), max(places, default=None),
@@ -168,6 +191,12 @@ class Scanner:
                 ";".join(f"{self.labels[k]}:{a}-{b}:{share:.3f}" for k, a, b, share in spans
                          if share >= MIN_COVERED))
 
+    def identified(self, span, words: list[bytes]) -> bool:
+        """Whether the text of a chain has a phrase that only its template's licence has."""
+        k, first, end, _ = span
+        here = b" %s " % b" ".join(words[first:end + NEAR])
+        return not self.identifying[k] or any(p in here for p in self.identifying[k])
+
     def chain(self, matches) -> list[tuple[int, int, int, float]]:
         """(template, first word, end word, covered share) of every chain of matches."""
         open_chains: dict[int, tuple[int, int, int, int]] = {}

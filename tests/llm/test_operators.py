@@ -361,6 +361,30 @@ def test_license_scan(docs, none):
     assert license_scan.scan(docs).count() == docs.count() and license_scan.scan(none).count() == 0
 
 
+def test_license_labels_need_identifying_words():
+    scanner = license_scan.Scanner()
+    unknown = ["licensed under the terms of the agreement", "Licensed under the Zlib license", "Licensed under CC BY-ND 4.0",
+               "Licensed under CC BY-SA 3.0", "Licensed under CC BY-NC-SA 4.0", "Licensed under the Apache License, Version 1.1",
+               "released under the terms of the board", "This work is licensed under the GNU General Public License",
+               "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+               "This work is licensed under the terms of use", "Permission is hereby granted, free of charge, to any person "
+               "obtaining a copy of the Font Software, to use it", "Permission to use, copy, modify, and distribute this software "
+               "and its documentation for any purpose, without fee, and without a written agreement is hereby granted",
+               "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1"]
+    for text in unknown:
+        _, _, _, _, base, labels, score, spans = scanner.scan(text.encode())
+        assert (labels, score, spans) == (base, 0.0, ""), text
+    known = {"Licensed under the terms of the MIT license": "mit", "Licensed under the Apache License 2.0": "apache-2.0",
+             "This work is licensed under the GNU General Public License v2": "gpl-2.0", "released under the MIT and others": "mit",
+             "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted": "isc"}
+    for text, label in known.items():
+        *_, base, labels, score, _ = scanner.scan(text.encode())
+        assert set(labels.split(",")) - set(base.split(",")) == {label} and score >= license_scan.MIN_COVERED, text
+    for label, template in license_scan.TEMPLATES:
+        *_, labels, score, spans = scanner.scan(template.encode())
+        assert label in labels.split(",") and score == 1.0 and f"{label}:0-{len(template.split())}:1.000" in spans.split(";")
+
+
 def test_piece_codec(docs, none):
     with open(piece_codec.model_path(), "rb") as file:
         model = file.read()
