@@ -23,7 +23,7 @@ Shingles are compared by 64-bit hashes, classes by a 64-bit hash of the whole se
 
 Null, empty and word-less texts have empty sets, link with nothing and are their own component.
 Rows with equal ids count as one document with several texts.  A null id stays null and takes
-part in no link.
+part in no link: such a row sends no prefix and carries no set.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricfold.llm import shared_keys as sk
@@ -47,7 +47,7 @@ FREQUENT = 65_536           # most shingles in that order
 FREQUENT_FROM = 6           # documents of the sample
 PRUNINGS = 2
 TILE_BLOCK = 1_024          # classes of a hub's tiles that one task pairs with each other or another block
-MEMBERS = ("doc_id long, class long, n long, unshared int, n_core int, keys array<long>, "
+MEMBERS = ("doc_id long, text_key long, class long, n long, unshared int, n_core int, keys array<long>, "
            "shingles array<long>, signature binary")
 
 
@@ -110,7 +110,8 @@ class Sets:
         self.core = np.where(self.n > 0, self.n - need + 1, 0)          # every link shares one of these
         self.extra = self.n // 10                                       # and 1 + extra of these more
         self.need = 1 + need // 10      # for the smallest set that may link
-        long = rank < (self.core + self.extra)[row]
+        self.known = docs["doc_id"].is_valid().to_numpy()               # rows that may link
+        long = (rank < (self.core + self.extra)[row]) & self.known[row]
         self.prefix, self.prefix_row, self.prefix_rank = h[order][long], row[long], rank[long]
         self.keys, self.several = sk.distinct(self.prefix, self.classes[self.prefix_row])
 
@@ -137,9 +138,10 @@ def _members(width: int, percent: int, frequent, bits: int):
         shared = sk.read_answer(replies, sets.keys, bits)[np.searchsorted(sets.keys, sets.prefix)]
         rows = docs.num_rows
         several = np.bincount(sets.prefix_row[shared], minlength=rows)
-        _, first_row = np.unique(sets.classes, return_index=True)
+        known = np.flatnonzero(sets.known)
+        _, first_row = np.unique(sets.classes[known], return_index=True)
         carries = np.zeros(rows, bool)
-        carries[first_row] = True
+        carries[known[first_row]] = True
         carries &= (several >= sets.need) & (sets.n > 0)
         shared &= carries[sets.prefix_row]
         n_core = np.bincount(sets.prefix_row[shared & (sets.prefix_rank < sets.core[sets.prefix_row])], minlength=rows)
@@ -149,7 +151,7 @@ def _members(width: int, percent: int, frequent, bits: int):
         shingles = _lists(sets.hashes[of], np.where(carries, sets.n, 0), carries)
         marks = [signature(sets.hashes[a:a + n]) if c else None for a, n, c in zip(sets.first, sets.n, carries)]
         return pa.table({
-            "doc_id": docs["doc_id"], "class": pa.array(sets.classes), "n": pa.array(sets.n),
+            "doc_id": docs["doc_id"], "text_key": docs["text_key"], "class": pa.array(sets.classes), "n": pa.array(sets.n),
             "unshared": pa.array((1000 * (total - several) // total).astype(np.int32)), "n_core": pa.array(n_core.astype(np.int32)),
             "keys": keys, "shingles": shingles, "signature": pa.array(marks, pa.binary())})
     return run
@@ -251,6 +253,11 @@ def _pairs_of(percent: int):
     return run
 
 
+def text_key() -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.lit(13), "text")
+
+
 def by_class(sets: DataFrame) -> DataFrame:
     """A scratch table of the sets, bucketed by class: joins on the class do not move it again."""
     spark = sets.sparkSession
@@ -262,16 +269,16 @@ def by_class(sets: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, save: Callable[[DataFrame, str], DataFrame], width: int = WIDTH,
            percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """The members (``doc_id, class, n``) of all classes, and the components (``class, component``) of linked ones."""
+    """The members (``doc_id, text_key, class, n``) of all classes, and the components (``class, component``) of linked ones."""
     size = sk.text_bytes(docs)
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, width))      # at most FREQUENT numbers
-    own = sk.dealt(docs, size)
+    own = sk.dealt(docs, size).withColumn("text_key", text_key())
     bits = sk.bucket_bits(size / 6 * 0.25 * 8)
     replies = sk.answers(own.groupBy("chunk").applyInArrow(_send_prefixes(width, percent, frequent, bits), sk.SENT))
     members = save(own.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         _members(width, percent, frequent, bits), MEMBERS), "members")
 
-    sets = by_class(members.where("shingles IS NOT NULL").dropDuplicates(["class"]).drop("doc_id"))
+    sets = by_class(members.where("shingles IS NOT NULL").dropDuplicates(["class"]).drop("doc_id", "text_key"))
     need = F.expr(f"1 + (({percent} * n + 99) div 100) div 10")
     entries = sets.select("class", "unshared", need.cast("int").alias("need"), "n_core", F.posexplode("keys").alias("at", "key"))
     hubs = entries.where("at < n_core").groupBy("key").agg(
@@ -302,11 +309,15 @@ def linked(docs: DataFrame, save: Callable[[DataFrame, str], DataFrame], width:
             .select("hub", "one", "other", "block", "class", "component", "n", "signature"))
     pairs = rows.groupBy("hub", "one", "other").applyInArrow(_pairs_of(percent), "a long, b long").distinct()
     second = save(verified(pairs, sets, percent), "tile-links")
-    return members.select("doc_id", "class", "n"), components(first.unionByName(second), save)
+    return members.select("doc_id", "text_key", "class", "n"), components(first.unionByName(second), save)
 
 
 def grouped(docs: DataFrame, save, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` (the smallest id reachable by links) for every row."""
+    return _grouped(docs, save, width, percent).drop("text_key")
+
+
+def _grouped(docs: DataFrame, save, width: int, percent: int) -> DataFrame:
     members, comps = linked(docs, save, width, percent)
     # By class first (copies are many rows of one class), then one join of the rows.  Classes
     # without links are their own component; equal sets link, but not empty ones.
@@ -316,12 +327,14 @@ def grouped(docs: DataFrame, save, width: int = WIDTH, percent: int = PERCENT) -
     least = placed.groupBy("component").agg(F.min("least").alias("least_of_all"))
     of_class = save(placed.select("class", "component").join(least, "component").select("class", "least_of_all"), "class-ids")
     return members.join(of_class, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", "text_key", F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("least_of_all")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, save, width: int, percent: int) -> DataFrame:
-    """``docs`` without the documents that have a smaller id in their component.  Rows with empty sets,
-    a null id, or an id of their own stay."""
-    drops = save(grouped(docs, save, width, percent).where("component_id <> doc_id").select("doc_id").distinct(), "drops")
-    return docs.join(drops, docs["doc_id"] == drops["doc_id"], "left_anti")
+    """``docs`` without the rows that have a smaller id in their component.  Rows with empty sets,
+    a null id, or an id of their own stay, and so do other texts of an id that loses a row."""
+    drops = save(_grouped(docs, save, width, percent).where("component_id <> doc_id").select(
+        F.col("doc_id").alias("dropped_id"), F.col("text_key").alias("dropped_key")).distinct(), "drops")
+    return docs.join(drops, (docs["doc_id"] == drops["dropped_id"])
+                     & (F.xxhash64(F.lit(13), docs["text"]) == drops["dropped_key"]), "left_anti")

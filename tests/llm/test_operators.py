@@ -191,6 +191,22 @@ def test_jaccard_join(docs, none, rows, width, percent):
         assert jaccard_join.grouped(none, save).count() == 0
 
 
+def test_null_ids_bridge_nothing_and_other_texts_stay(spark):
+    """A null-id text near to two that do not link, and an id with one near copy and one text of its own."""
+    words = [f"w{i}" for i in range(100)]
+    left, right = ["x1", *words[1:]], [*words[:-1], "x2"]
+    far = [f"v{i}" for i in range(100)]
+    texts = {"left": left, "middle": words, "right": right, "far": far, "near far": [*far[:-1], "x3"], "own": [f"u{i}" for i in range(100)]}
+    rows = [(5, "left"), (None, "middle"), (6, "right"), (None, "left"), (7, "far"), (8, "near far"), (8, "own"), (None, "own")]
+    # Shares of 97 windows: left and middle, middle and right have 96 in common, left and right 95.
+    frame = spark.createDataFrame([(i, " ".join(texts[t])) for i, t in rows], "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.grouped(frame, save, 4, 97).collect())
+    assert got == Counter({(5, 97, 5): 1, (6, 97, 6): 1, (None, 97, None): 3, (7, 97, 7): 1, (8, 97, 7): 1, (8, 97, 8): 1})
+    for width, percent, gone in ((4, 97, (8, "near far")), (4, 99, None)):
+        kept = Counter(map(tuple, jaccard_join.one_of_each(frame, save, width, percent).collect()))
+        assert kept == Counter((i, " ".join(texts[t])) for i, t in rows if (i, t) != gone), percent
+
+
 def test_jaccard_join_with_blocks_and_few_hub_links(spark, monkeypatch):
     """Near copies that mostly do not link with their hub, in bundles of several blocks."""
     monkeypatch.setattr(jaccard_join, "TILE_BLOCK", 8)
