@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from metricfold.llm import (
     chat_windows,
+    fingerprints,
     jaccard_join,
     license_scan,
+    merkle_manifest,
     metric_tree,
     mixing,
+    orchard_clusters,
     ordinal_quality,
     piece_codec,
     quality_rules,
@@ -78,8 +81,23 @@ def op10_piece_codec(spark, sf_dir):
     return piece_codec.encode(table(spark, sf_dir, "documents"), model)
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.translate("text", merkle_manifest.UPPER, merkle_manifest.LOWER)
+    return merkle_manifest.verified(table(spark, sf_dir, "documents"), save, tampered, lowered)
+
+
+def op12_fingerprints(spark, sf_dir):
+    return fingerprints.digests(table(spark, sf_dir, "documents"), save)
+
+
+def op13_orchard_clusters(spark, sf_dir):
+    return orchard_clusters.with_inertia(*orchard_clusters.clustered(table(spark, sf_dir, "embeddings"), save))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_metric_tree_top_k, op2_rule_ledger, op3_training_order, op4_suffix_dedup, op5_jaccard_join, op6_source_mix,
-        op7_ordinal_quality, op8_chat_windows, op9_license_scan, op10_piece_codec)
+        op7_ordinal_quality, op8_chat_windows, op9_license_scan, op10_piece_codec,
+        op11_merkle_manifest, op12_fingerprints, op13_orchard_clusters)
 }

@@ -59,4 +59,144 @@ WITH d AS (
 SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
 """
 
-ORACLE: dict[str, str] = {"op1_metric_tree_top_k": OP1, "op2_rule_ledger": OP2}
+# H(x) is sha256 of concatenated text; a node's siblings are the others of its run of eight.
+OP11 = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, CAST(doc_id AS BIGINT) AS doc_id, lang,
+         concat_ws('', coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-'),
+                   coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+                   coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-')) AS fields,
+         coalesce(strlen(text) || ':' || text, '-') AS text,
+         coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS lower_text,
+         xor(4294967295, list_reduce(
+           list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda crc, c: list_reduce(
+             list_concat([xor(crc, c)], CAST(range(8) AS BIGINT[])),
+             lambda v, bit: xor(v >> 1, 3988292384 * (v & 1))))) AS crc
+  FROM documents
+), leaf AS (
+  SELECT rid, doc_id, lang, sha256(fields || text) AS leaf,
+         CASE WHEN crc % 3 = 0 THEN sha256(fields || lower_text) ELSE sha256(fields || text) END AS found
+  FROM d
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree, count(*) OVER (PARTITION BY lang) AS n,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM leaf
+), nodes AS (
+  SELECT CAST(tree AS BIGINT) AS tree, 0 AS lvl, CAST(pos AS BIGINT) AS pos, leaf AS digest, CAST(n AS BIGINT) AS n FROM placed
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (n + 7) // 8
+  FROM nodes WHERE n > 1 GROUP BY tree, lvl, n, pos // 8
+), subroots AS (
+  SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper_nodes AS (
+  SELECT 0 AS lvl, CAST(pos AS BIGINT) AS pos, digest, CAST(n AS BIGINT) AS n FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (n + 7) // 8
+  FROM upper_nodes WHERE n > 1 GROUP BY lvl, n, pos // 8
+), beside AS (
+  SELECT tree, lvl, pos,
+         coalesce(string_agg(other, '' ORDER BY other_pos) FILTER (other_pos < pos), '') AS b,
+         coalesce(string_agg(other, '' ORDER BY other_pos) FILTER (other_pos > pos), '') AS a
+  FROM (SELECT x.tree, x.lvl, x.pos, y.pos AS other_pos, y.digest AS other
+        FROM nodes x JOIN nodes y ON x.tree = y.tree AND x.lvl = y.lvl AND x.pos // 8 = y.pos // 8 WHERE x.n > 1)
+  GROUP BY tree, lvl, pos
+), upper_beside AS (
+  SELECT lvl, pos, coalesce(string_agg(other, '' ORDER BY other_pos) FILTER (other_pos < pos), '') AS b,
+         coalesce(string_agg(other, '' ORDER BY other_pos) FILTER (other_pos > pos), '') AS a
+  FROM (SELECT x.lvl, x.pos, y.pos AS other_pos, y.digest AS other
+        FROM upper_nodes x JOIN upper_nodes y ON x.lvl = y.lvl AND x.pos // 8 = y.pos // 8 WHERE x.n > 1)
+  GROUP BY lvl, pos
+), steps AS (
+  SELECT p.rid, s.lvl, s.b, s.a
+  FROM placed p JOIN beside s ON s.tree = p.tree AND s.pos = p.pos // CAST(pow(8, s.lvl) AS BIGINT)
+  UNION ALL
+  SELECT p.rid, 100 + s.lvl, s.b, s.a
+  FROM placed p JOIN subroots r ON r.tree = p.tree JOIN upper_beside s ON s.pos = r.pos // CAST(pow(8, s.lvl) AS BIGINT)
+), path AS (
+  SELECT rid, list({'b': b, 'a': a} ORDER BY lvl) AS path, string_agg(b || a, '' ORDER BY lvl) AS siblings FROM steps GROUP BY rid
+), folded AS (
+  SELECT p.*, r.digest AS subroot, (SELECT digest FROM upper_nodes WHERE n = 1) AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+         list_reduce(list_concat([{'b': found, 'a': ''}], coalesce(path, [])), lambda x, s: {'b': sha256(s.b || x.b || s.a), 'a': ''}).b AS folded_root,
+         coalesce(len(path), 0) AS n_levels,
+         (SELECT coalesce(sum(c), 0) FROM (SELECT tree AS t, count(*) AS c FROM placed GROUP BY tree) WHERE t < p.tree) + p.pos AS leaf_rank
+  FROM placed p JOIN subroots r USING (tree) LEFT JOIN path USING (rid)
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, CAST(leaf_rank AS BIGINT) AS leaf_rank,
+       CAST(n_levels AS INTEGER) AS n_levels, folded_root = root AS verified
+FROM folded
+"""
+
+
+def op13(rounds: int = 10, clusters: int = 8) -> str:
+    """Lloyd's rounds, one pair of common table expressions for each."""
+    parts = [f"""
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST) - 1 AS k, e
+  FROM v ORDER BY sha256('3:' || vec_id) NULLS LAST LIMIT {clusters}
+)"""]
+    for r in range(rounds + 1):
+        parts.append(f""", a{r} AS MATERIALIZED (
+  SELECT rid, k, d FROM (
+    SELECT *, row_number() OVER (PARTITION BY rid ORDER BY d, k) AS place FROM (
+      SELECT v.rid, c.k, list_sum(list_transform(range(1, 65), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i]))) AS d FROM v, c{r} c))
+  WHERE place = 1
+)""")
+        if r < rounds:
+            parts.append(f""", c{r + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.e, c.e) AS e FROM c{r} c LEFT JOIN (
+    SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS e FROM (
+      SELECT k, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+      FROM (SELECT a.k, unnest(v.e) AS x, unnest(range(64)) AS i FROM a{r} a JOIN v USING (rid)) GROUP BY k, i) GROUP BY k) m USING (k)
+)""")
+    parts.append(f"""
+SELECT v.vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (rid) JOIN c{rounds} c USING (k)
+""")
+    return "".join(parts)
+
+
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, CAST(doc_id AS BIGINT) AS doc_id, coalesce(text, '') AS t FROM documents
+), o AS (
+  SELECT *, coalesce(lead(t) OVER w, first_value(t) OVER w) AS next_t FROM d
+  WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, md5(t) ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+), e AS (
+  SELECT *, left(t, length(t) - length(t) // 2) || left(next_t, length(t) // 2) AS edited FROM o
+), texts AS (
+  SELECT rid, 0 AS part, t AS x FROM e UNION ALL SELECT rid, 1, edited FROM e UNION ALL SELECT rid, 2, next_t FROM e
+), words AS (
+  SELECT rid, part, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS w FROM texts
+), s AS (
+  SELECT rid, part, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) ELSE list_sort(list_distinct(list_transform(
+           range(1, greatest(len(w) - 4, 1) + 1), lambda i: substr(md5(array_to_string(w[i:i + 4], ' ')), 1, 16))))[1:128] END AS sketch
+  FROM words
+), m AS (
+  SELECT e.rid, doc_id, t, edited, a.sketch AS a, b.sketch AS b, c.sketch AS c,
+         list_sort(list_distinct(list_concat(a.sketch, b.sketch)))[1:128] AS ab,
+         list_sort(list_distinct(list_concat(a.sketch, c.sketch)))[1:128] AS ac
+  FROM e JOIN s a ON a.rid = e.rid AND a.part = 0 JOIN s b ON b.rid = e.rid AND b.part = 1 JOIN s c ON c.rid = e.rid AND c.part = 2
+), f AS (
+  SELECT *, CASE WHEN len(ab) = 0 THEN 1.0 ELSE len(list_intersect(ab, list_intersect(a, b))) / CAST(len(ab) AS DOUBLE) END AS near_edited,
+         CASE WHEN len(ac) = 0 THEN 1.0 ELSE len(list_intersect(ac, list_intersect(a, c))) / CAST(len(ac) AS DOUBLE) END AS near_next,
+         CASE WHEN len(a) < 128 THEN CAST(len(a) AS DOUBLE)
+              ELSE CAST(127 AS DOUBLE) / (CAST(CAST('0x' || substr(a[128], 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE) END AS n_a,
+         CASE WHEN len(ab) < 128 THEN CAST(len(ab) AS DOUBLE)
+              ELSE CAST(127 AS DOUBLE) / (CAST(CAST('0x' || substr(ab[128], 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE) END AS n_ab
+  FROM m
+)
+SELECT doc_id, length(t) AS n_chars, sha256(edited) AS edited_sha256, array_to_string(a, '') AS fingerprint,
+       array_to_string(b, '') AS edited_fingerprint, CAST(near_edited AS DOUBLE) AS near_edited, CAST(near_next AS DOUBLE) AS near_next,
+       n_a AS n_shingles, CASE WHEN len(a) = 0 THEN CAST(1 AS DOUBLE) ELSE least(CAST(1 AS DOUBLE), CAST(near_edited AS DOUBLE) * n_ab / n_a) END AS kept_share
+FROM f
+"""
+
+ORACLE: dict[str, str] = {"op1_metric_tree_top_k": OP1, "op2_rule_ledger": OP2, "op11_merkle_manifest": OP11,
+                          "op12_fingerprints": OP12, "op13_orchard_clusters": op13()}
