@@ -64,11 +64,19 @@ def merge_join(left: DataFrame, right: DataFrame, on: Column | str | Sequence[st
     return left.hint("merge").join(right, on, how)
 
 
-def pair_side_by_side(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join on a unique key tuple (``USING keys``).  [J5, re-aimed]
+def attach_where(df: DataFrame, some: Column, dim: DataFrame, key: str, dim_key: str,
+                 columns: Mapping[str, str]) -> DataFrame:
+    """:func:`attach` for the rows that ``some`` names: of these, rows without a match go.  The others stay, with nulls."""
+    known = dim.select(F.col(dim_key).alias("__key"), F.lit(True).alias("__known"),
+                       *[F.col(c).alias(out) for c, out in columns.items()])
+    joined = df.join(known, (F.col(key) == F.col("__key")) & some, "left")
+    return joined.filter(~some | F.col("__known")).drop("__key", "__known")
 
-    Used to lay two ranked lists next to each other by (group, position): each key
-    tuple occurs at most once per side, so the output is linear in the inputs,
-    never a product.
+
+def side_by_side(df: DataFrame, keys: Sequence[str], columns: Sequence[tuple[Column, str, str]]) -> DataFrame:
+    """A long list of several kinds of rows, laid side by side: one row for each ``keys``.  [J5, re-aimed]
+
+    ``columns`` holds (condition of the kind, column, output name).  Each kind has at most one row for a key, so the
+    output is linear in the input, never a product, and one aggregate replaces an outer join of the lists.
     """
-    return left.join(right, list(keys), "full_outer")
+    return df.groupBy(*keys).agg(*[F.max(F.when(kind, F.col(c))).alias(out) for kind, c, out in columns])

@@ -3,6 +3,7 @@
 Windows here always run on *aggregated* rows (one row per group member, e.g. a
 carrier within an origin), never on raw fact rows, so a window partition is
 bounded by the number of distinct members, not by how many facts a hot key has.
+Where even the members of one group are too many for a task, ``rank_spread`` ranks them in ranges.
 A rank filter (``rank <= k``) is planned by Spark as a partial + final
 ``WindowGroupLimit``, which trims each group inside the task before the
 shuffle.  Whole-table top-N is ``orderBy(...).limit(n)``, planned as
@@ -11,7 +12,7 @@ shuffle.  Whole-table top-N is ``orderBy(...).limit(n)``, planned as
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +39,35 @@ def rank_within(df: DataFrame, partition: Sequence[str], by: str, out: str = "ra
     return df.withColumn(out, F.dense_rank().over(w))
 
 
+def rank_spread(df: DataFrame, partition: Sequence[str], by: str, save: Callable[[DataFrame, str], DataFrame],
+                out: str = "rank", direction: str = "desc") -> DataFrame:
+    """:func:`rank_within` for groups of any size: no task holds a whole group.  [W2, W3]
+
+    Rows are dealt to ranges of (group, value, row) and written with their range's number.  Each range ranks its
+    own part of a group; the ranks go on from the number of distinct values in the group's
+    earlier ranges, less one wherever a value reaches from one range into the next.
+    """
+    value = F.struct(F.col(by).isNotNull().alias("known"), F.col(by).alias("value"))    # null is the smallest
+    others = [c for c in df.columns if c not in (*partition, by)]
+    dealt = df.repartitionByRange(*partition, ordered(by, direction), *others)
+    placed = save(dealt.withColumn("__part", F.spark_partition_id()), "ranges")
+    group = ["__part", *partition]
+    first, last = (F.min, F.max) if check_direction(direction) == "asc" else (F.max, F.min)
+    ends = placed.select(*group, value.alias("__value")).distinct().groupBy(*group).agg(
+        F.count(F.lit(1)).alias("__values"), first("__value").alias("__first"), last("__value").alias("__last"))
+    # One row for each range that a group reaches into.
+    along = Window.partitionBy(*partition).orderBy("__part")
+    goes_on = F.coalesce(F.lag("__last").over(along).eqNullSafe(F.col("__first")), F.lit(False)).cast("int")
+    ends = ends.withColumn("__goes_on", goes_on)
+    before = (F.coalesce(F.sum("__values").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+              - F.sum("__goes_on").over(along))
+    begins = ends.select(*[F.col(c).alias(f"__of_{c}") for c in group], before.alias("__before"))
+    same = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in group]
+    local = F.dense_rank().over(Window.partitionBy(*group).orderBy(ordered(by, direction)))
+    return placed.withColumn("__local", local).join(begins, same).select(
+        *df.columns, (F.col("__local") + F.col("__before")).cast("int").alias(out))
+
+
 def top_per_group(df: DataFrame, partition: Sequence[str], by: str, k: int | None,
                   out: str = "rank", direction: str = "desc") -> DataFrame:
     """Rows whose dense rank within ``partition`` is at most ``k`` (ties kept).  [W4]

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from metricfold.functions.columns import cents, iso_weekday
 from metricfold.operators.joins import roll_up
+from metricfold.operators.reductions import Reduction, reduced
+from metricfold.operators.skew import attach_spread, hot_keys
 
 # Column holding the day of each fact table (the increment is cut on it).
 DATE_COLUMN = {"lineitem": "l_shipdate", "events": "ts"}
@@ -35,10 +37,13 @@ REASON_COLUMNS = {
 }
 
 
-def type_amounts(events: DataFrame) -> list[Column]:
-    """One conditional cents column per event type (null for other types)."""
+def user_day() -> dict[str, Column]:
+    return {"user_id": F.col("user_id"), "day": F.to_date("ts")}
+
+
+def reason_sums() -> dict[str, Column]:
     amount = cents("value")
-    return [F.when(F.col("event_type") == F.lit(t), amount).alias(c) for t, c in REASON_COLUMNS.items()]
+    return {c: F.when(F.col("event_type") == F.lit(t), amount) for t, c in REASON_COLUMNS.items()}
 
 
 def daily_wide(events: DataFrame) -> DataFrame:
@@ -48,15 +53,7 @@ def daily_wide(events: DataFrame) -> DataFrame:
     ``(user_id, day)`` with map-side combining, and no discovery pass for the
     pivot values.
     """
-    wide = events.select("user_id", F.to_date("ts").alias("day"), *type_amounts(events))
-    return wide.groupBy("user_id", "day").agg(
-        *[F.sum(c).alias(c) for c in REASON_COLUMNS.values()]
-    )
-
-
-def event_amounts(events: DataFrame) -> DataFrame:
-    """Per-event wide projection (no aggregation); its column totals equal daily_wide's."""
-    return events.select(*type_amounts(events))
+    return reduced(events, Reduction(keys=user_day, sums=reason_sums))
 
 
 def with_origin(lines: DataFrame, supplier: DataFrame, sums: list[str],
@@ -67,41 +64,68 @@ def with_origin(lines: DataFrame, supplier: DataFrame, sums: list[str],
 
 
 def route_lines(lines: DataFrame, tables, weight: str = "flights") -> DataFrame:
-    """``(origin, carrier, destination, weight)`` rows for the given lineitems.
+    """``(origin, carrier, destination, weight)`` rows for the given lines (keys and ``weight``).
 
-    Each dimension swap is one join (AQE splits a skewed key's partition).  The (usually
-    filtered) lines are joined through orders to customers rather than resolving
-    every order's customer first: with fewer lines than orders that shuffles less
+    Each dimension swap is one join; the rows of hot suppliers, parts, orders and customers are spread
+    (``operators/skew.py``).  The (usually filtered) lines are joined through orders to customers rather
+    than resolving every order's customer first: with fewer lines than orders that shuffles less
     (measured in PLANS.md).  Facts are not pre-aggregated on (join key + other
     keys): that aggregate would be hashed on all its keys and then re-shuffled on
     the join key.  The caller aggregates once at the end, with partial aggregation
     before that shuffle.
     """
-    rows = lines.select("l_orderkey", "l_suppkey", "l_partkey", F.lit(1).alias(weight))
+    rows = lines.select("l_orderkey", "l_suppkey", "l_partkey", weight)
+    hot = hot_keys(rows, ["l_orderkey", "l_suppkey", "l_partkey"])
+    hot["custkey"] = hot_keys(tables["orders"], ["o_custkey"])["o_custkey"]
     steps = [
         ("l_orderkey", tables["orders"], "o_orderkey", {"o_custkey": "custkey"}),
         ("custkey", tables["customer"], "c_custkey", {"c_nationkey": "destination"}),
         ("l_suppkey", tables["supplier"], "s_suppkey", {"s_nationkey": "origin"}),
         ("l_partkey", tables["part"], "p_partkey", {"p_brand": "carrier"}),
     ]
+    # Keys stay to the end: the order's key tells the rows of one hot supplier or part apart.
     for key, dim, dim_key, attrs in steps:
-        rows = roll_up(rows, key, dim, dim_key, attrs, sums=[weight], pre_aggregate=False)
-    return rows
+        rows = attach_spread(rows, dim, key, dim_key, attrs, hot[key])
+    return rows.select("origin", "carrier", "destination", weight)
 
 
 def lead_parts_by_weekday(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """``(day_of_week, lead_sum, lead_count)`` of ``datediff(l_shipdate, o_orderdate)``.
+    """``(day_of_week, lead_sum, lead_count)`` of ``datediff(l_shipdate, o_orderdate)``, by ISO weekday of the ship day."""
+    by_order = lines.groupBy("l_orderkey").agg(*[F.sum(c.cast("bigint")).alias(name) for name, c in lead_sums().items()])
+    return lead_by_weekday(by_order, orders)
+
+
+WEEKDAYS = (None, 1, 2, 3, 4, 5, 6, 7)      # None: no ship day
+
+
+def lead_sums() -> dict[str, Column]:
+    """For each weekday of the ship day: the number of lines, and the sum of their days' numbers."""
+    day = F.to_date("l_shipdate")
+    sums = {}
+    for w in WEEKDAYS:
+        on = day.isNull() if w is None else iso_weekday(day) == w
+        sums[f"lines_{w}"] = F.when(on, F.lit(1))
+        if w is not None:
+            sums[f"days_{w}"] = F.when(on, F.unix_date(day))
+    return sums
+
+
+def lead_by_weekday(by_order: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lead parts from one row per order (``lead_sums``), which carries its lines of every weekday.
 
-    Lines are first reduced to one row per order and ship day (partial aggregation before the
-    shuffle, so a hot order moves at most one row per task and day), then joined with their
-    order's day and summed by ISO weekday.  A weekday whose leads are all unknown keeps a count of 0.
+    Facts are reduced to one row per order inside each task, move once, by the order, and meet the
+    orders in that partitioning; a hot order moves one row per task.  The weekdays' totals are a
+    global aggregate, unpivoted at the end.  A weekday whose leads are all unknown keeps a count of 0.
     """
-    days = lines.groupBy("l_orderkey", F.to_date("l_shipdate").alias("ship_day")).agg(
-        F.count(F.lit(1)).alias("lines"))
-    order_days = orders.select("o_orderkey", F.to_date("o_orderdate").alias("order_day"))
-    joined = days.join(order_days, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-    lead = F.date_diff("ship_day", "order_day")
-    return joined.groupBy(iso_weekday("ship_day").alias("day_of_week")).agg(
-        F.sum(lead.cast("bigint") * F.col("lines")).alias("lead_sum"),
-        F.coalesce(F.sum(F.when(lead.isNotNull(), F.col("lines"))), F.lit(0).cast("bigint")).alias("lead_count"),
-    )
+    order_days = orders.select("o_orderkey", F.unix_date(F.to_date("o_orderdate")).alias("order_day"))
+    joined = by_order.join(order_days, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    totals, rows = [], []
+    for w in WEEKDAYS:
+        lines, ordered = F.col(f"lines_{w}"), F.col("order_day")
+        lead = F.lit(None).cast("bigint") if w is None else F.col(f"days_{w}") - lines * ordered
+        known = F.lit(None).cast("bigint") if w is None else F.when(ordered.isNotNull(), lines)
+        totals += [F.sum(lines).alias(f"lines_{w}"), F.sum(lead).alias(f"lead_{w}"), F.sum(known).alias(f"known_{w}")]
+        rows.append(F.struct(F.lit(w).cast("int").alias("day_of_week"), F.col(f"lead_{w}").alias("lead_sum"),
+                             F.coalesce(f"known_{w}", F.lit(0).cast("bigint")).alias("lead_count"), F.col(f"lines_{w}").alias("lines")))
+    parts = joined.agg(*totals).select(F.explode(F.array(*rows)).alias("part")).select("part.*")
+    return parts.filter("lines > 0").drop("lines")

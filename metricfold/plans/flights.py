@@ -16,18 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricfold.functions.columns import first_positive
-from metricfold.operators.aggregates import (
-    column_totals,
-    count_by,
-    count_non_null,
-    mean_from_parts,
-    mean_parts,
-    share_of_total,
-)
-from metricfold.operators.joins import attach
-from metricfold.operators.projections import only_zero
+from metricfold.operators.aggregates import mean_from_parts, share_of_total
+from metricfold.operators.joins import attach, attach_where
 from metricfold.operators.ranking import top_n
-from metricfold.plans.metrics import MetricSpec, code_of, rank_and_pair, saved_count
+from metricfold.operators.reductions import Reduction
+from metricfold.plans.metrics import MetricSpec, code_of, one, rank_and_pair, saved_count
 from metricfold.plans.runner import MetricResult, run_job, seed_from_saved
 from metricfold.plans.state import StateStore
 from metricfold.schemas import AIRLINES, AIRPORTS, CATALOG, FLIGHTS
@@ -42,8 +35,7 @@ DATE_PARTS = ("YEAR", "MONTH", "DAY")
 
 # ---- M1 ------------------------------------------------------------------------------
 
-def airports_partial(tables, flights: DataFrame) -> DataFrame:
-    return count_by(flights.select("ORIGIN_AIRPORT"), ["ORIGIN_AIRPORT"], "count")
+DEPARTURES = Reduction(keys=lambda: {"ORIGIN_AIRPORT": F.col("ORIGIN_AIRPORT")}, sums=lambda: {"count": one()})
 
 
 def airports_finalize(tables, merged, top, order):
@@ -61,16 +53,15 @@ TOP_AIRPORTS_BY_FLIGHTS = MetricSpec(
     name="TopAirportsByFlights", source="flights",
     required={"flights": ("ORIGIN_AIRPORT",) + DATE_PARTS, "airports": ("IATA_CODE", "AIRPORT")},
     keys=("ORIGIN_AIRPORT",), sums=("count",),
-    partial=airports_partial, finalize=airports_finalize, import_saved=airports_saved,
+    reduction=DEPARTURES, finalize=airports_finalize, import_saved=airports_saved,
     description="departures per origin airport, named, top N",
 )
 
 
 # ---- M2 ------------------------------------------------------------------------------
 
-def airlines_partial(tables, flights: DataFrame) -> DataFrame:
-    on_time = only_zero(flights.select("AIRLINE", "ARRIVAL_DELAY"), "ARRIVAL_DELAY")
-    return count_by(on_time, ["AIRLINE"], "count").withColumnRenamed("AIRLINE", "AIRLINE_CODE")
+ON_TIME_ARRIVALS = Reduction(
+    keys=lambda: {"AIRLINE_CODE": F.col("AIRLINE")}, sums=lambda: {"count": one()}, where=lambda: F.col("ARRIVAL_DELAY") == 0)
 
 
 def airlines_finalize(tables, merged, top, order):
@@ -89,28 +80,27 @@ ON_TIME_AIRLINES = MetricSpec(
     required={"flights": ("AIRLINE", "ARRIVAL_DELAY") + DATE_PARTS,
               "airlines": ("IATA_CODE", "AIRLINE")},
     keys=("AIRLINE_CODE",), sums=("count",),
-    partial=airlines_partial, finalize=airlines_finalize, import_saved=airlines_saved,
+    reduction=ON_TIME_ARRIVALS, finalize=airlines_finalize, import_saved=airlines_saved,
     description="flights arriving with delay exactly 0 per airline, named, top N",
 )
 
 
 # ---- M3 ------------------------------------------------------------------------------
 
-def routes_partial(tables, flights: DataFrame) -> DataFrame:
-    on_time = only_zero(flights, "DEPARTURE_DELAY").select(
-        F.col("ORIGIN_AIRPORT").alias("origin"), F.col("AIRLINE").alias("carrier"),
-        F.col("DESTINATION_AIRPORT").alias("destination"),
-    )
-    return count_by(on_time, ["origin", "carrier", "destination"], "flights")
+ON_TIME_ROUTES = Reduction(
+    keys=lambda: {"origin": F.col("ORIGIN_AIRPORT"), "carrier": F.col("AIRLINE"), "destination": F.col("DESTINATION_AIRPORT")},
+    sums=lambda: {"flights": one()}, where=lambda: F.col("DEPARTURE_DELAY") == 0)
 
 
 def routes_finalize(tables, merged, top, order):
-    paired = rank_and_pair(
-        merged, top, order,
-        name_carriers=lambda ranked: attach(ranked, tables["airlines"], "carrier", "IATA_CODE",
-                                            {"AIRLINE": "AIRLINE_NAME"}),
-        name_destinations=lambda ranked: attach(ranked, tables["airports"], "destination", "IATA_CODE",
-                                                {"AIRPORT": "DESTINATION_AIRPORT_NAME"}))
+    def name(ranked):
+        named = attach_where(ranked, F.col("of_destination") == 0, tables["airlines"], "carrier", "IATA_CODE",
+                             {"AIRLINE": "AIRLINE_NAME"})
+        return attach_where(named, F.col("of_destination") == 1, tables["airports"], "destination", "IATA_CODE",
+                            {"AIRPORT": "DESTINATION_AIRPORT_NAME"})
+
+    paired = rank_and_pair(merged, top, order, name,
+                           {"AIRLINE_NAME": "carrier", "DESTINATION_AIRPORT_NAME": "destination"})
     named = attach(paired, tables["airports"], "origin", "IATA_CODE", {"AIRPORT": "ORIGIN_AIRPORT_NAME"})
     return named.select(
         F.col("origin").alias("ORIGIN_AIRPORT"), "ORIGIN_AIRPORT_NAME", "position",
@@ -126,15 +116,16 @@ ON_TIME_FLIGHTS = MetricSpec(
               + DATE_PARTS,
               "airports": ("IATA_CODE", "AIRPORT"), "airlines": ("IATA_CODE", "AIRLINE")},
     keys=("origin", "carrier", "destination"), sums=("flights",),
-    partial=routes_partial, finalize=routes_finalize, top=3, order="asc", bounded_top=False,
+    reduction=ON_TIME_ROUTES, finalize=routes_finalize, top=3, order="asc", bounded_top=False,
     description="on-time departures: best carriers and destinations per airport, ranks <= top",
 )
 
 
 # ---- M4 ------------------------------------------------------------------------------
 
-def weekday_partial(tables, flights: DataFrame) -> DataFrame:
-    return mean_parts(flights, ["DAY_OF_WEEK"], "ARRIVAL_DELAY", "delay_sum", "delay_count")
+ARRIVAL_DELAYS = Reduction(
+    keys=lambda: {"DAY_OF_WEEK": F.col("DAY_OF_WEEK")},
+    sums=lambda: {"delay_sum": F.col("ARRIVAL_DELAY"), "delay_count": F.col("ARRIVAL_DELAY").isNotNull().cast("int")})
 
 
 def weekday_finalize(tables, merged, top, order):
@@ -146,16 +137,19 @@ FLIGHTS_BY_DAY_OF_WEEK = MetricSpec(
     name="FlightsByDayOfWeek", source="flights",
     required={"flights": ("DAY_OF_WEEK", "ARRIVAL_DELAY") + DATE_PARTS},
     keys=("DAY_OF_WEEK",), sums=("delay_sum", "delay_count"),
-    partial=weekday_partial, finalize=weekday_finalize,
+    reduction=ARRIVAL_DELAYS, finalize=weekday_finalize,
     description="mean arrival delay per day of week (nulls skipped)",
 )
 
 
 # ---- M5 ------------------------------------------------------------------------------
 
-def reasons_partial(tables, flights: DataFrame) -> DataFrame:
-    reason = first_positive({r: r for r in REASONS}).alias("Reason")
-    return count_non_null(flights.select(reason), "Reason", "count")
+def first_reason():
+    return first_positive({r: r for r in REASONS})
+
+
+FIRST_REASONS = Reduction(keys=lambda: {"Reason": first_reason()}, sums=lambda: {"count": one()},
+                          where=lambda: first_reason().isNotNull())
 
 
 def reasons_finalize(tables, merged, top, order):
@@ -165,7 +159,7 @@ def reasons_finalize(tables, merged, top, order):
 DELAY_REASONS = MetricSpec(
     name="DelayReasons", source="flights",
     required={"flights": REASONS + DATE_PARTS},
-    keys=("Reason",), sums=("count",), partial=reasons_partial, finalize=reasons_finalize,
+    keys=("Reason",), sums=("count",), reduction=FIRST_REASONS, finalize=reasons_finalize,
     import_saved=lambda tables, saved: saved.select("Reason", saved_count("count")),
     description="flights per first positive delay reason",
 )
@@ -173,8 +167,7 @@ DELAY_REASONS = MetricSpec(
 
 # ---- M6 ------------------------------------------------------------------------------
 
-def percent_partial(tables, flights: DataFrame) -> DataFrame:
-    return column_totals(flights, list(REASONS))
+DELAY_TOTALS = Reduction(keys=dict, sums=lambda: {r: F.col(r) for r in REASONS})
 
 
 def percent_finalize(tables, merged, top, order):
@@ -185,7 +178,7 @@ def percent_finalize(tables, merged, top, order):
 DELAY_PERCENT = MetricSpec(
     name="DelayPercent", source="flights",
     required={"flights": REASONS + DATE_PARTS},
-    keys=(), sums=REASONS, partial=percent_partial, finalize=percent_finalize,
+    keys=(), sums=REASONS, reduction=DELAY_TOTALS, finalize=percent_finalize,
     description="percent of all delay minutes per reason",
 )
 

@@ -17,22 +17,21 @@ from pyspark.sql import functions as F
 
 from metricfold.functions.columns import first_positive
 from metricfold.operators.aggregates import (
-    column_totals,
-    count_by,
     count_non_null,
     mean_from_parts,
     share_of_total,
     sum_by,
 )
-from metricfold.operators.joins import attach, pair_side_by_side
-from metricfold.operators.projections import only_zero
+from metricfold.operators.joins import attach, attach_where, side_by_side
 from metricfold.operators.ranking import check_direction, position_within, rank_within, top_n
+from metricfold.operators.reductions import Reduction, reduced
 from metricfold.plans.analogues import (
     REASON_COLUMNS,
-    daily_wide,
-    event_amounts,
-    lead_parts_by_weekday,
+    lead_by_weekday,
+    lead_sums,
+    reason_sums,
     route_lines,
+    user_day,
     with_origin,
 )
 
@@ -47,8 +46,13 @@ class MetricSpec:
     required: Mapping[str, tuple[str, ...]]       # table -> columns the metric reads
     keys: tuple[str, ...]                         # partial's group columns ((): global)
     sums: tuple[str, ...]                         # partial's additive columns
-    partial: Partial                              # (tables, increment) -> keys + sums
     finalize: Finalize                            # (tables, merged, top, order) -> result
+    # How an increment becomes the partial (keys + sums): a reduction of its rows, which several
+    # metrics of one fact table share a scan for, and what is made of the reduced rows ...
+    reduction: Reduction | None = None
+    finish: Partial | None = None                 # (tables, reduced rows) -> keys + sums
+    # ... or any other way: (tables, increment) -> keys + sums.
+    custom: Partial | None = None
     top: int = 10
     order: str = "desc"
     # The form a stream stores, where ``partial`` adds up only over whole days.
@@ -59,12 +63,28 @@ class MetricSpec:
     import_saved: Partial | None = None
     description: str = field(default="", compare=False)
 
+    def partial(self, tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame:
+        """``keys + sums`` of an increment's rows."""
+        if self.custom is not None:
+            return self.custom(tables, rows)
+        return self.finished(tables, reduced(rows, self.reduction))
+
+    def finished(self, tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame:
+        """``keys + sums`` of rows that ``reduction`` made."""
+        return rows if self.finish is None else self.finish(tables, rows)
+
+
+def one():
+    return F.lit(1)
+
 
 # ---- M1: origins by departures ----------------------------------------------------------
 
-def origins_partial(tables, lines: DataFrame) -> DataFrame:
-    rows = lines.select("l_suppkey", F.lit(1).alias("departures"))
-    rows = with_origin(rows, tables["supplier"], ["departures"], pre_aggregate=True)
+LINES_BY_SUPPLIER = Reduction(keys=lambda: {"l_suppkey": F.col("l_suppkey")}, sums=lambda: {"departures": one()})
+
+
+def origins_of(tables, by_supplier: DataFrame) -> DataFrame:
+    rows = with_origin(by_supplier, tables["supplier"], ["departures"], pre_aggregate=False)
     return sum_by(rows, ["origin"], {"departures": "departures"})
 
 
@@ -102,17 +122,16 @@ TOP_ORIGINS = MetricSpec(
     name="top_origins", source="lineitem",
     required={"lineitem": ("l_suppkey", "l_shipdate"), "supplier": ("s_suppkey", "s_nationkey"),
               "nation": ("n_nationkey", "n_name")},
-    keys=("origin",), sums=("departures",), partial=origins_partial, finalize=origins_finalize,
-    import_saved=origins_saved,
+    keys=("origin",), sums=("departures",), finalize=origins_finalize,
+    reduction=LINES_BY_SUPPLIER, finish=origins_of, import_saved=origins_saved,
     description="departures per origin nation, named, top N",
 )
 
 
 # ---- M2: on-time suppliers --------------------------------------------------------------
 
-def on_time_partial(tables, lines: DataFrame) -> DataFrame:
-    on_time = only_zero(lines.select("l_suppkey", "l_discount"), "l_discount")
-    return count_by(on_time, ["l_suppkey"], "on_time").withColumnRenamed("l_suppkey", "supplier")
+ON_TIME_BY_SUPPLIER = Reduction(
+    keys=lambda: {"supplier": F.col("l_suppkey")}, sums=lambda: {"on_time": one()}, where=lambda: F.col("l_discount") == 0)
 
 
 def on_time_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFrame:
@@ -125,19 +144,29 @@ ON_TIME_SUPPLIERS = MetricSpec(
     name="on_time_suppliers", source="lineitem",
     required={"lineitem": ("l_suppkey", "l_discount", "l_shipdate"),
               "supplier": ("s_suppkey", "s_name")},
-    keys=("supplier",), sums=("on_time",), partial=on_time_partial, finalize=on_time_finalize,
+    keys=("supplier",), sums=("on_time",), reduction=ON_TIME_BY_SUPPLIER, finalize=on_time_finalize,
     description="lines with zero discount per supplier, named, top N",
 )
 
 
 # ---- M3: best carriers and destinations per origin --------------------------------------
 
-def routes_partial(tables, lines: DataFrame) -> DataFrame:
-    on_time = only_zero(lines.select("l_orderkey", "l_suppkey", "l_partkey", "l_tax"), "l_tax")
-    rows = route_lines(on_time, tables, "flights")
+ON_TIME_LINES = Reduction(
+    keys=lambda: {c: F.col(c) for c in ("l_orderkey", "l_suppkey", "l_partkey")}, sums=lambda: {"flights": one()},
+    where=lambda: F.col("l_tax") == 0)
+
+
+def routes_of(tables, lines: DataFrame) -> DataFrame:
+    rows = route_lines(lines, tables, "flights")
     return sum_by(rows, ["origin", "carrier", "destination"], {"flights": "flights"})
 
 
+def routes_partial(tables, lines: DataFrame) -> DataFrame:
+    """Route counts of an increment.  Alone, nothing is gained by reducing lines before they are joined."""
+    on_time = lines.filter(ON_TIME_LINES.where()).select(*ON_TIME_LINES.keys(), one().alias("flights"))
+    return routes_of(tables, on_time)
+
+
 def ranked_members(routes: DataFrame, member: str, k: int | None, order: str = "asc") -> DataFrame:
     """``<member>_total`` and its dense ``<member>_rank`` (largest total first) per origin.
 
@@ -162,37 +191,49 @@ def ranked_destinations(routes: DataFrame, k: int | None, order: str = "asc") ->
     return ranked_members(routes, "destination", k, order)
 
 
-def pair_by_position(carriers: DataFrame, destinations: DataFrame, order: str = "asc") -> DataFrame:
-    """Lay the two ranked lists of each origin side by side (position 1, 2, ... in ``order``)."""
-    def placed(ranked: DataFrame, member: str) -> DataFrame:
-        rank = F.col(f"{member}_rank")
-        return position_within(ranked, ["origin"],
-                               [rank.asc() if check_direction(order) == "asc" else rank.desc(),
-                                F.col(member).asc()])
+def ranked_list(routes: DataFrame, k: int | None, order: str = "asc") -> DataFrame:
+    """Both rankings of every origin as one long list: ``origin, of_destination, carrier, destination, total, rank``.
 
-    return pair_side_by_side(placed(carriers, "carrier"), placed(destinations, "destination"),
-                             ["origin", "position"])
+    One aggregate over two grouping sets gives the carriers' and the destinations' totals (of the other member
+    the row holds null), one exchange by the origin serves every later step.  Kept are the rows of the ``k``
+    first ranks, as in :func:`ranked_members`.
+    """
+    totals = routes.groupingSets([["origin", "carrier"], ["origin", "destination"]], "origin", "carrier", "destination").agg(
+        F.grouping("carrier").cast("int").alias("of_destination"), F.sum("flights").alias("total"))
+    group = ["origin", "of_destination"]
+    ranked = rank_within(totals.repartition("origin"), group, "total", "rank")
+    if k is None:
+        return ranked
+    if check_direction(order) == "asc":
+        return ranked.filter(F.col("rank") <= k)
+    return rank_within(ranked, group, "total", "__last", "asc").filter(F.col("__last") <= k).drop("__last")
 
 
 def rank_and_pair(routes: DataFrame, k: int | None, order: str = "asc",
-                  name_carriers: Callable[[DataFrame], DataFrame] = lambda ranked: ranked,
-                  name_destinations: Callable[[DataFrame], DataFrame] = lambda ranked: ranked) -> DataFrame:
-    """Carriers and destinations of each origin ranked by their totals, side by side.
+                  name: Callable[[DataFrame], DataFrame] = lambda ranked: ranked,
+                  names: Mapping[str, str] | None = None) -> DataFrame:
+    """Carriers and destinations of each origin ranked by their totals, side by side by position.
 
-    Names are joined onto the ranked lists (inner: unknown codes go) before they are paired.
-    ``routes`` are merged route counts; they are summed per origin and member inside each task
-    before anything moves to its origin, so a hot origin moves one row per member and task.
+    ``name`` adds name columns to the long list and drops rows of unknown codes, before positions are given;
+    ``names`` maps each to the list it belongs to ("carrier" or "destination").  Routes are summed
+    inside each task before anything moves, so a hot origin moves one row per member and task.
     """
-    return pair_by_position(name_carriers(ranked_carriers(routes, k, order)),
-                            name_destinations(ranked_destinations(routes, k, order)), order)
+    ranked = name(ranked_list(routes, k, order))
+    first = F.col("rank").asc() if check_direction(order) == "asc" else F.col("rank").desc()
+    placed = position_within(ranked, ["origin", "of_destination"], [first, F.col("carrier").asc(), F.col("destination").asc()])
+    of = {"carrier": F.col("of_destination") == 0, "destination": F.col("of_destination") == 1}
+    columns = [("carrier", "carrier", "carrier"), ("carrier", "total", "carrier_total"), ("carrier", "rank", "carrier_rank"),
+               ("destination", "destination", "destination"), ("destination", "total", "destination_total"),
+               ("destination", "rank", "destination_rank"), *((member, c, c) for c, member in (names or {}).items())]
+    return side_by_side(placed, ["origin", "position"], [(of[member], c, out) for member, c, out in columns])
 
 
 def departures_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFrame:
     nation = tables["nation"]
     paired = rank_and_pair(
-        merged, top, order,
-        name_destinations=lambda ranked: attach(ranked, nation, "destination", "n_nationkey",
-                                                {"n_name": "destination_name"}))
+        merged, top, order, names={"destination_name": "destination"},
+        name=lambda ranked: attach_where(ranked, F.col("of_destination") == 1, nation, "destination", "n_nationkey",
+                                         {"n_name": "destination_name"}))
     return name_origins(tables, paired).select(
         "origin", "origin_name", "position", "carrier", "carrier_total", "carrier_rank",
         "destination", "destination_name", "destination_total", "destination_rank",
@@ -206,15 +247,14 @@ ON_TIME_DEPARTURES = MetricSpec(
               "supplier": ("s_suppkey", "s_nationkey"), "part": ("p_partkey", "p_brand"),
               "nation": ("n_nationkey", "n_name")},
     keys=("origin", "carrier", "destination"), sums=("flights",),
-    partial=routes_partial, finalize=departures_finalize, top=3, order="asc", bounded_top=False,
+    reduction=ON_TIME_LINES, finish=routes_of, custom=routes_partial, finalize=departures_finalize, top=3, order="asc", bounded_top=False,
     description="zero-tax lines: carrier and destination totals per origin, dense rank <= top",
 )
 
 
 # ---- M4: mean lead time per weekday -----------------------------------------------------
 
-def lead_partial(tables, lines: DataFrame) -> DataFrame:
-    return lead_parts_by_weekday(lines.select("l_orderkey", "l_shipdate"), tables["orders"])
+LINES_BY_ORDER = Reduction(keys=lambda: {"l_orderkey": F.col("l_orderkey")}, sums=lead_sums)
 
 
 def lead_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFrame:
@@ -226,7 +266,8 @@ MEAN_LEAD_BY_WEEKDAY = MetricSpec(
     name="mean_lead_by_weekday", source="lineitem",
     required={"lineitem": ("l_orderkey", "l_shipdate"), "orders": ("o_orderkey", "o_orderdate")},
     keys=("day_of_week",), sums=("lead_sum", "lead_count"),
-    partial=lead_partial, finalize=lead_finalize,
+    reduction=LINES_BY_ORDER, finish=lambda tables, by_order: lead_by_weekday(by_order, tables["orders"]),
+    finalize=lead_finalize,
     description="mean datediff(l_shipdate, o_orderdate) per ISO weekday of the ship day",
 )
 
@@ -237,9 +278,12 @@ def first_reason_column():
     return first_positive({label: c for label, c in REASON_COLUMNS.items()})
 
 
-def reasons_partial(tables, events: DataFrame) -> DataFrame:
-    wide = daily_wide(events)
-    reasons = wide.select(first_reason_column().alias("reason"))
+AMOUNTS_BY_USER_DAY = Reduction(keys=user_day, sums=reason_sums)
+AMOUNTS = Reduction(keys=dict, sums=reason_sums)
+
+
+def reasons_of(tables, user_days: DataFrame) -> DataFrame:
+    reasons = user_days.select(first_reason_column().alias("reason"))
     return count_non_null(reasons, "reason", "days")
 
 
@@ -248,8 +292,7 @@ def reasons_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFra
 
 
 def classified_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFrame:
-    reasons = count_non_null(merged.select(first_reason_column().alias("reason")), "reason", "days")
-    return reasons_finalize(tables, reasons, top, order)
+    return reasons_finalize(tables, reasons_of(tables, merged), top, order)
 
 
 # A micro-batch may hold part of a user-day, so its amounts are stored and classified when read.
@@ -258,13 +301,13 @@ REASONS_REQUIRED = {"events": ("user_id", "ts", "event_type", "value")}
 STREAMED_FIRST_REASONS = MetricSpec(
     name="first_reason_counts", source="events", required=REASONS_REQUIRED,
     keys=("user_id", "day"), sums=tuple(REASON_COLUMNS.values()),
-    partial=lambda tables, events: daily_wide(events), finalize=classified_finalize,
+    reduction=AMOUNTS_BY_USER_DAY, finalize=classified_finalize,
     description="amounts per user-day, classified when read",
 )
 
 FIRST_REASON_COUNTS = MetricSpec(
     name="first_reason_counts", source="events", required=REASONS_REQUIRED,
-    keys=("reason",), sums=("days",), partial=reasons_partial, finalize=reasons_finalize,
+    keys=("reason",), sums=("days",), reduction=AMOUNTS_BY_USER_DAY, finish=reasons_of, finalize=reasons_finalize,
     streamed=STREAMED_FIRST_REASONS,
     description="user-days per first event type with a positive amount",
 )
@@ -272,10 +315,6 @@ FIRST_REASON_COUNTS = MetricSpec(
 
 # ---- M6: share of the total amount per reason -------------------------------------------
 
-def share_partial(tables, events: DataFrame) -> DataFrame:
-    return column_totals(event_amounts(events), list(REASON_COLUMNS.values()))
-
-
 def share_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFrame:
     shares = share_of_total(merged, REASON_COLUMNS, "reason", "percent")
     return top_n(shares, ["percent"], top, order, tie_break=["reason"])
@@ -284,7 +323,7 @@ def share_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFrame
 SHARE_BY_REASON = MetricSpec(
     name="share_by_reason", source="events",
     required={"events": ("ts", "event_type", "value")},
-    keys=(), sums=tuple(REASON_COLUMNS.values()), partial=share_partial, finalize=share_finalize,
+    keys=(), sums=tuple(REASON_COLUMNS.values()), reduction=AMOUNTS, finalize=share_finalize,
     description="percent of all cents per event type",
 )
 

@@ -26,7 +26,7 @@ from metricfold.operators.aggregates import (
 from metricfold.operators.increment import after, as_of, bounds
 from metricfold.operators.joins import attach, limit_then_join, merge_join
 from metricfold.operators.projections import drop_incomplete, only_zero, project, rename_all
-from metricfold.operators.ranking import rank_within, sort_all, top_n
+from metricfold.operators.ranking import rank_spread, rank_within, sort_all, top_n
 from metricfold.operators.validate import require_columns
 from metricfold.plans import metrics as M
 from metricfold.plans.analogues import REASON_COLUMNS, daily_wide, lead_parts_by_weekday
@@ -35,7 +35,7 @@ from metricfold.plans.facts import FACT_TABLES
 from metricfold.plans.state import StateStore
 from metricfold.schemas import CATALOG, DRIVER, struct
 from metricfold.session import scratch_dir
-from metricfold.sinks.files import as_view, write_csv_dir, write_single_csv
+from metricfold.sinks.files import as_view, save, write_csv_dir, write_single_csv
 from metricfold.sources.catalog import path_for
 from metricfold.sources.csv import cast_to, read_csv, read_csv_inferred
 from metricfold.sources.tables import DRIVER_TABLES, Tables
@@ -268,11 +268,11 @@ def date_bounds(spark, sf_dir):
 # ---- windows, sorts, limits ---------------------------------------------------------------
 
 def rank_routes_by_origin(spark, sf_dir):
-    return rank_within(route_counts(spark, sf_dir), ["origin"], "flights", "origin_rank")
+    return rank_spread(route_counts(spark, sf_dir), ["origin"], "flights", save, "origin_rank")
 
 
 def rank_routes_by_destination(spark, sf_dir):
-    return rank_within(route_counts(spark, sf_dir), ["destination"], "flights", "destination_rank")
+    return rank_spread(route_counts(spark, sf_dir), ["destination"], "flights", save, "destination_rank")
 
 
 def top_per_origin(spark, sf_dir):
@@ -383,7 +383,7 @@ def seeded_merge(spark, sf_dir):
     """M1 continued from a result saved elsewhere: its CSV and state file, then the later rows."""
     t = _tables(spark, sf_dir)
     until = FACT_TABLES["lineitem"].as_of(t["lineitem"], LINEITEM_CUT)
-    saved = M.origins_finalize(t, M.origins_partial(t, until), None, "desc")
+    saved = M.origins_finalize(t, M.TOP_ORIGINS.partial(t, until), None, "desc")
     saved_path = write_csv_dir(saved.select("origin_name", "departures"), scratch_dir(spark, "saved-result"))
     first, _ = bounds(until, "l_shipdate")
     seed = spark.createDataFrame(

@@ -23,6 +23,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from metricfold.operators.reductions import TAG, reduced_together, unpacked
 from metricfold.operators.validate import require_tables
 from metricfold.plans.facts import FACT_TABLES, FactTable, Span, span
 from metricfold.plans.metrics import MetricSpec
@@ -92,7 +93,7 @@ def seed_from_saved(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec]
                                  f"to (pathAll={row.pathAll!r}): name it in start_afresh to count it anew")
             saved = spec.import_saved(tables, read_csv(store.spark, row.pathAll))
             store.write_partial(spec.name, window, check_partial(spec, saved))
-            row = row.committing(window)
+            row = row.committing(window, mode=BATCH)
         for target in ("path", "pathAll"):
             named = getattr(row, target)
             if named and store.exists(named):
@@ -124,6 +125,22 @@ def check_partial(spec: MetricSpec, partial: DataFrame) -> DataFrame:
     return partial.select(*spec.keys, *spec.sums)
 
 
+BATCH, STREAM = "batch", "stream"
+
+
+def require_mode(store: StateStore, specs: Sequence[MetricSpec], mode: str) -> None:
+    """ValueError if the store holds one of the metrics as fed the other way.
+
+    A batch run takes the days after the last stored one, a stream takes whatever arrives: a
+    stream's last day may be there only in part, so a store takes one or the other.
+    """
+    fed = {BATCH: "batch runs", STREAM: "a stream"}
+    for spec in specs:
+        state = store.latest().get(spec.name)
+        if state is not None and state.liveWindows and (state.mode or mode) != mode:
+            raise ValueError(f"the store holds metric {spec.name!r} as fed by {fed[state.mode]}")
+
+
 def stored_form(store: StateStore, spec: MetricSpec) -> MetricSpec:
     """The form of ``spec`` whose partials the store holds: its streamed form, or itself."""
     schema = store.partial_schema(spec.name)
@@ -147,8 +164,7 @@ def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Seq
     cut = dict(cut or {})
     for spec in specs:
         require_tables(tables, spec.required)
-        if stored_form(store, spec) is not spec:
-            raise ValueError(f"the store holds metric {spec.name!r} as fed by a stream")
+    require_mode(store, specs, BATCH)
     states = current_states(store, specs)
     wanted = {spec.name: (spec.source, states[spec.name].dateTo) for spec in specs}
 
@@ -160,18 +176,43 @@ def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Seq
         jobs = {key: pool.submit(measured, *key) for key in set(wanted.values())}
         found = {key: job.result() for key, job in jobs.items()}
     due = [spec for spec in specs if found[wanted[spec.name]][1].last is not None]
+    frozen = {key: facts[key[0]].as_of(rows, seen.last) for key, (rows, seen) in found.items()}
     increments, spans, windows = {}, {}, {}
     attempt = uuid.uuid4().hex[:8]
     for spec in due:
-        rows, seen = found[wanted[spec.name]]
-        increments[spec.name] = facts[spec.source].as_of(rows, seen.last)
-        spans[spec.name] = seen
+        increments[spec.name] = frozen[wanted[spec.name]]
+        spans[spec.name] = found[wanted[spec.name]][1]
         windows[spec.name] = window_key(states[spec.name].dateTo, attempt)
     committed = commit_increments(tables, due, store, states, increments, windows, spans, now)
     return {spec.name: committed.get(spec.name, replace(states[spec.name], committedWindow=None))
             for spec in specs}
 
 
+def by_increment(specs: Sequence[MetricSpec], increments: Mapping[str, DataFrame]
+                 ) -> list[tuple[DataFrame, list[MetricSpec]]]:
+    """The distinct increments, each with the metrics that read it."""
+    groups: dict[int, tuple[DataFrame, list[MetricSpec]]] = {}
+    for spec in specs:
+        rows = increments[spec.name]
+        groups.setdefault(id(rows), (rows, []))[1].append(spec)
+    return list(groups.values())
+
+
+def shared_reductions(rows: DataFrame, specs: Sequence[MetricSpec], path: str) -> dict[str, DataFrame]:
+    """Reduced rows of every metric of one increment, from one scan; none where nothing is shared.  [R1]
+
+    The tagged aggregate is written once, a folder for each metric, so that finishing one
+    metric neither scans the facts again nor reads the others' rows.
+    """
+    reductions = {spec.name: spec.reduction for spec in specs if spec.reduction is not None}
+    if len(reductions) < 2:
+        return {}
+    together = reduced_together(rows, reductions)
+    together.write.partitionBy(TAG).parquet(path)
+    written = rows.sparkSession.read.schema(together.schema).parquet(path)
+    return {name: unpacked(written, reductions, name) for name in reductions}
+
+
 def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
                       store: StateStore, states: Mapping[str, MetricState],
                       increments: Mapping[str, DataFrame], windows: Mapping[str, str],
@@ -179,8 +220,8 @@ def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpe
                       batch: tuple[str, int] | None = None) -> dict[str, MetricState]:
     """Write each metric's partial of its increment under its window, then commit.
 
-    Partial writes of different metrics run concurrently; the new state version is
-    written only after all of them succeeded.  Only committed windows are ever read, and
+    Metrics with the same increment share one scan of it (``shared_reductions``).  Partial writes of
+    different metrics run concurrently; the new state version is written only after all of them succeeded.  Only committed windows are ever read, and
     no window name is used by two attempts, so a retry never counts a row twice.
     ``batch`` (streaming query id, batch id) is noted in the state with a micro-batch.
     """
@@ -188,12 +229,16 @@ def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpe
         return {}
     now = now or dt.datetime.now().replace(microsecond=0)
 
-    def write_partial(spec: MetricSpec) -> None:
-        partial = check_partial(spec, spec.partial(tables, increments[spec.name]))
-        store.write_partial(spec.name, windows[spec.name], partial)
+    def write_partial(spec: MetricSpec, shared: Mapping[str, DataFrame]) -> None:
+        rows = increments[spec.name]
+        made = spec.finished(tables, shared[spec.name]) if spec.name in shared else spec.partial(tables, rows)
+        store.write_partial(spec.name, windows[spec.name], check_partial(spec, made))
 
-    with ThreadPoolExecutor(max_workers=MAX_CONCURRENT_JOBS) as pool:
-        for job in [pool.submit(write_partial, spec) for spec in specs]:
+    with ThreadPoolExecutor(max_workers=MAX_CONCURRENT_JOBS) as pool, store.scratch() as folder:
+        groups = [pool.submit(shared_reductions, rows, of_rows, f"{folder}/reduced-{i}")
+                  for i, (rows, of_rows) in enumerate(by_increment(specs, increments))]
+        shared = {name: rows for job in groups for name, rows in job.result().items()}
+        for job in [pool.submit(write_partial, spec, shared) for spec in specs]:
             job.result()
 
     new_rows: dict[str, MetricState] = {}
@@ -201,7 +246,7 @@ def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpe
         old, seen = states[spec.name], spans[spec.name]
         batches = {**old.lastBatches, batch[0]: batch[1]} if batch else old.lastBatches
         new_rows[spec.name] = old.committing(
-            windows[spec.name], date=now, lastBatches=batches,
+            windows[spec.name], date=now, lastBatches=batches, mode=STREAM if batch else BATCH,
             dateFrom=min((d for d in (old.dateFrom, seen.first) if d is not None), default=None),
             dateTo=max((d for d in (old.dateTo, seen.last) if d is not None), default=None))
     others = [replace(r, committedWindow=None) for n, r in states.items() if n not in new_rows]

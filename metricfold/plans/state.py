@@ -28,8 +28,9 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from py4j.protocol import Py4JJavaError
@@ -58,11 +59,12 @@ class MetricState:
     committedWindow: str | None = None
     liveWindows: tuple[str, ...] = ()
     lastBatches: Mapping[str, int] = field(default_factory=dict)
+    mode: str | None = None             # what feeds the metric: "batch" or "stream"
 
     def as_tuple(self):
         return (self.metricName, self.top, self.order, self.date, self.dateFrom, self.dateTo,
                 self.path, self.pathAll, self.committedWindow, list(self.liveWindows),
-                dict(self.lastBatches))
+                dict(self.lastBatches), self.mode)
 
     def committing(self, window: str, **changes) -> MetricState:
         """This state with ``window`` committed on top of the live ones."""
@@ -97,6 +99,16 @@ class StateStore:
         handle = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return handle.getFileSystem(self.spark._jsc.hadoopConfiguration()), handle
 
+    @contextmanager
+    def scratch(self) -> Iterator[str]:
+        """Name of a folder of this store for one attempt's intermediate tables; deleted at the end."""
+        path = f"{self.root}/staging/{uuid.uuid4().hex}"
+        try:
+            yield path
+        finally:
+            files, handle = self._file(path)
+            files.delete(handle, True)
+
     def exists(self, path: str) -> bool:
         files, handle = self._file(path)
         return files.exists(handle)

@@ -62,6 +62,7 @@ STATE = T.StructType(struct(
 ).fields + [
     T.StructField("liveWindows", T.ArrayType(T.StringType()), True),
     T.StructField("lastBatches", T.MapType(T.StringType(), T.LongType()), True),
+    T.StructField("mode", T.StringType(), True),
 ])
 
 # ---- driver tables (for typed CSV round trips) --------------------------------------

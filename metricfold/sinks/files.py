@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from metricfold.session import scratch_dir
+
 CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
 
 
@@ -23,6 +25,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
+def save(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a fresh folder of the shared scratch area and read back (cuts the lineage)."""
+    path = write_parquet(df, scratch_dir(df.sparkSession, label), mode="errorifexists")
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv_dir(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Distributed CSV: one file per task, header in each, quotes doubled.  [K2]"""
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)

@@ -11,7 +11,8 @@ every row of a micro-batch is counted once.
 A micro-batch may hold any part of a day, so a metric whose batch partial adds up only over
 whole days is stored in its ``streamed`` form.
 
-Use one mode per store: either day-watermark batch runs or this stream.
+Use one mode per store: either day-watermark batch runs or this stream.  The state notes the mode of each
+metric and the other one is refused.
 """
 
 from __future__ import annotations
@@ -27,10 +28,11 @@ from metricfold.plans.facts import FACT_TABLES, FactTable, span
 from metricfold.plans.metrics import MetricSpec
 from metricfold.plans.runner import (
     COMPACT_AFTER_WINDOWS,
+    STREAM,
     commit_increments,
     compact,
     current_states,
-    stored_form,
+    require_mode,
 )
 from metricfold.plans.state import StateStore
 
@@ -49,13 +51,10 @@ def apply_batch(batch: DataFrame, batch_id: int, source: str, tables: Mapping[st
     """
     bound = dict(tables)
     bound[source] = batch
-    chosen = []
-    for spec in (s for s in specs if s.source == source):
+    chosen = [spec.streamed or spec for spec in specs if spec.source == source]
+    for spec in chosen:
         require_tables(bound, spec.required)
-        form = spec.streamed or spec
-        if store.committed_windows(spec.name) and stored_form(store, spec) is not form:
-            raise ValueError(f"the store holds metric {spec.name!r} as fed by batch runs")
-        chosen.append(form)
+    require_mode(store, chosen, STREAM)
     states = current_states(store, chosen)
     due = [s for s in chosen if states[s.name].lastBatches.get(query_id, -1) < batch_id]
     if not due:

@@ -20,10 +20,10 @@ from metricfold.operators import (
     mean_parts,
     merge_sums,
     only_zero,
-    pair_side_by_side,
     rank_within,
     require_columns,
     roll_up,
+    side_by_side,
     share_of_total,
     top_n,
     top_per_group,
@@ -109,11 +109,10 @@ def test_dense_rank_and_group_limit(spark):
     assert rows(top, "g", "k") == [("o1", "a"), ("o1", "b"), ("o1", "c"), ("o2", "a")]
 
 
-def test_pair_side_by_side_is_linear(spark):
-    left = spark.createDataFrame([("o", 1, "a"), ("o", 2, "b"), ("o", 3, "c")], "g string, p int, x string")
-    right = spark.createDataFrame([("o", 1, "X"), ("p", 1, "Y")], "g string, p int, y string")
-    out = rows(pair_side_by_side(left, right, ["g", "p"]), "g", "p", "x", "y")
-    assert out == [("o", 1, "a", "X"), ("o", 2, "b", None), ("o", 3, "c", None), ("p", 1, None, "Y")]
+def test_side_by_side_is_linear(spark):
+    long = spark.createDataFrame([(1, 1, 0, "a"), (1, 2, 0, "b"), (1, 1, 1, "x"), (2, 1, 1, "y")], "g int, p int, kind int, m string")
+    out = rows(side_by_side(long, ["g", "p"], [(F.col("kind") == 0, "m", "x"), (F.col("kind") == 1, "m", "y")]), "g", "p", "x", "y")
+    assert sorted(out, key=str) == sorted([(1, 1, "a", "x"), (1, 2, "b", None), (2, 1, None, "y")], key=str)
 
 
 def test_after_and_as_of_on_each_day_type(spark):
