@@ -277,6 +277,21 @@ ORDER BY origin_rank, destination_rank, origin, carrier, destination LIMIT 10"""
     "increment_from_parts": """
 SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n
 FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1996-06-30' GROUP BY 1""",
+    "csv_quarantine": """
+SELECT CASE WHEN s_acctbal < 0 THEN 'malformed' ELSE 'typed' END AS status, s_suppkey, s_name, s_nationkey,
+       CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS s_acctbal
+FROM supplier""",
+    "late_rows_recount": """
+SELECT 'top_origins' AS metric, n_name AS key, count(*) AS n
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY n_nationkey, n_name
+UNION ALL
+SELECT 'on_time_suppliers', s_name, count(*) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+WHERE l_discount = 0 GROUP BY s_suppkey, s_name""",
+    "store_audit": """
+WITH stored AS (SELECT l_suppkey AS supplier, count(*) AS on_time FROM lineitem WHERE l_discount = 0 AND l_linenumber <> 3 GROUP BY 1),
+     facts AS (SELECT l_suppkey AS supplier, count(*) AS on_time FROM lineitem WHERE l_discount = 0 GROUP BY 1)
+SELECT 'on_time_suppliers' AS metric, 'stored' AS side, * FROM (FROM stored EXCEPT FROM facts)
+UNION ALL SELECT 'on_time_suppliers', 'facts', * FROM (FROM facts EXCEPT FROM stored)""",
     "full_recompute": MEAN_LEAD_TOP,
     "full_job": FULL_JOB,
 }

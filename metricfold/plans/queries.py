@@ -32,12 +32,13 @@ from metricfold.plans import metrics as M
 from metricfold.plans.analogues import REASON_COLUMNS, daily_wide, lead_parts_by_weekday
 from metricfold.plans.runner import full_recompute, results, run_job, run_metrics, seed_from_saved
 from metricfold.plans.facts import FACT_TABLES
+from metricfold.plans.late_days import audit, recount
 from metricfold.plans.state import StateStore
 from metricfold.schemas import CATALOG, DRIVER, struct
 from metricfold.session import scratch_dir
 from metricfold.sinks.files import as_view, save, write_csv_dir, write_single_csv
 from metricfold.sources.catalog import path_for
-from metricfold.sources.csv import cast_to, read_csv, read_csv_inferred
+from metricfold.sources.csv import cast_to, read_csv, read_csv_checked, read_csv_inferred
 from metricfold.sources.tables import DRIVER_TABLES, Tables
 from metricfold.streaming.micro_batch import apply_batch, start_metric_stream
 
@@ -412,6 +413,44 @@ def increment_from_parts(spark, sf_dir):
     return count_by(later.select(FACT_TABLES["flights"].day().alias("day")), ["day"])
 
 
+def csv_quarantine(spark, sf_dir):
+    """Supplier files with two headers, in which every negative balance is a word: typed rows and quarantine."""
+    supplier = _tables(spark, sf_dir)["supplier"]
+    path = scratch_dir(spark, "csv-mixed")
+    written = supplier.withColumn("s_acctbal", F.when(F.col("s_acctbal") < 0, F.lit("owed")).otherwise(F.col("s_acctbal").cast("string")))
+    even = F.col("s_nationkey") % 2 == 0
+    write_csv_dir(written.filter(even), f"{path}/part=1")
+    write_csv_dir(written.filter(~even).select("s_acctbal", "s_name", F.lit("x").alias("note"), "s_suppkey", "s_nationkey"), f"{path}/part=2")
+    scan = read_csv_checked(spark, f"{path}/*", DRIVER["supplier"])
+    columns = DRIVER["supplier"].names
+    return scan.rows.select(F.lit("typed").alias("status"), *columns).unionByName(
+        scan.quarantine.select(F.col("reason").alias("status"), *columns))
+
+
+def late_rows_recount(spark, sf_dir):
+    """M1 and M2 counted while the first lines of every order are missing, and recounted when these have arrived."""
+    t = _tables(spark, sf_dir)
+    store = _fresh_store(spark, "late-rows")
+    specs = [M.TOP_ORIGINS, M.ON_TIME_SUPPLIERS]
+    early = t.replace("lineitem", t["lineitem"].filter("l_linenumber > 1"))
+    run_metrics(spark, early, specs, store, cut=CUTS, ledger=True)
+    run_metrics(spark, t, specs, store, ledger=True)
+    recount(spark, t, specs, store)
+    merged = results(t, specs, store)
+    by_name = {"top_origins": ("origin_name", "departures"), "on_time_suppliers": ("supplier_name", "on_time")}
+    origins, suppliers = [merged[name].full.select(F.lit(name).alias("metric"), F.col(key).alias("key"), F.col(n).alias("n"))
+                          for name, (key, n) in by_name.items()]
+    return origins.unionByName(suppliers)
+
+
+def store_audit(spark, sf_dir):
+    """What a store that missed the third lines of all orders differs in from the facts."""
+    t = _tables(spark, sf_dir)
+    store = _fresh_store(spark, "audit")
+    run_metrics(spark, t.replace("lineitem", t["lineitem"].filter("l_linenumber <> 3")), [M.ON_TIME_SUPPLIERS], store)
+    return audit(spark, t, M.ON_TIME_SUPPLIERS, store)
+
+
 def full_recompute_query(spark, sf_dir):
     return full_recompute(_tables(spark, sf_dir), M.MEAN_LEAD_BY_WEEKDAY)
 
@@ -503,6 +542,9 @@ QUERIES: dict[str, Query] = {
     "seeded_merge": seeded_merge,
     "csv_reordered_columns": csv_reordered_columns,
     "increment_from_parts": increment_from_parts,
+    "csv_quarantine": csv_quarantine,
+    "late_rows_recount": late_rows_recount,
+    "store_audit": store_audit,
     "full_recompute": full_recompute_query,
     "full_job": full_job,
 }

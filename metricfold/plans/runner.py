@@ -18,12 +18,13 @@ import datetime as dt
 import uuid
 from collections.abc import Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from metricfold.operators.reductions import TAG, reduced_together, unpacked
+from metricfold.operators.reductions import TAG, Reduction, reduced_together, unpacked
 from metricfold.operators.validate import require_tables
 from metricfold.plans.facts import FACT_TABLES, FactTable, Span, span
 from metricfold.plans.metrics import MetricSpec
@@ -153,9 +154,12 @@ def stored_form(store: StateStore, spec: MetricSpec) -> MetricSpec:
 def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
                 store: StateStore, cut: Mapping[str, dt.date] | None = None,
                 now: dt.datetime | None = None,
-                facts: Mapping[str, FactTable] = FACT_TABLES) -> dict[str, MetricState]:
+                facts: Mapping[str, FactTable] = FACT_TABLES, ledger: bool = False) -> dict[str, MetricState]:
     """One run of the job over the given metrics; returns the new state rows.  [R1, R2]
 
+    With ``ledger`` each window's days are noted with their row counts and checksums, so that
+    ``late_days.recount`` can find rows that arrive later for days already counted.
+
     ``cut`` (fact table -> day) replays history: that table is seen as it stood at
     the end of the day.  A metric whose increment holds no dated row keeps its state and
     writes nothing.  Rows that arrive after the bounds were found and are later than them
@@ -177,17 +181,57 @@ def run_metrics(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Seq
         found = {key: job.result() for key, job in jobs.items()}
     due = [spec for spec in specs if found[wanted[spec.name]][1].last is not None]
     frozen = {key: facts[key[0]].as_of(rows, seen.last) for key, (rows, seen) in found.items()}
-    increments, spans, windows = {}, {}, {}
+    increments, spans, windows, ranges = {}, {}, {}, {}
     attempt = uuid.uuid4().hex[:8]
     for spec in due:
         increments[spec.name] = frozen[wanted[spec.name]]
         spans[spec.name] = found[wanted[spec.name]][1]
         windows[spec.name] = window_key(states[spec.name].dateTo, attempt)
-    committed = commit_increments(tables, due, store, states, increments, windows, spans, now)
+        ranges[spec.name] = (states[spec.name].dateTo, found[wanted[spec.name]][1].last)
+    committed = commit_increments(tables, due, store, states, increments, windows, spans, now,
+                                  noted=Noted(facts, ranges) if ledger else None)
     return {spec.name: committed.get(spec.name, replace(states[spec.name], committedWindow=None))
             for spec in specs}
 
 
+LEDGER = "ledger of days"
+
+
+def ledger_columns(specs: Sequence[MetricSpec]) -> list[str]:
+    """The fact columns that any of the metrics reads."""
+    return sorted({c for spec in specs for c in spec.required[spec.source]})
+
+
+def day_ledger(fact: FactTable, columns: Sequence[str]) -> Reduction:
+    """Rows and two order-free checksums (sums of 24 bits of each row's hash) for each day."""
+    def bits() -> dict[str, Column]:
+        row_hash = F.xxhash64(*columns)
+        return {"rows": F.lit(1), "check_high": F.shiftrightunsigned(row_hash, 40),
+                "check_low": row_hash.bitwiseAND(F.lit(0xFFFFFF))}
+    return Reduction(keys=lambda: {"day": fact.day()}, sums=bits)
+
+
+@dataclass(frozen=True)
+class Noted:
+    """What an increment's ledger needs: the fact tables, and each metric's days (after, until)."""
+    facts: Mapping[str, FactTable]
+    ranges: Mapping[str, tuple[dt.date | None, dt.date]]
+    columns: Sequence[str] | None = None        # hashed columns, if other than those the metrics read
+
+    def hashed(self, specs: Sequence[MetricSpec]) -> list[str]:
+        return list(self.columns or ledger_columns(specs))
+
+    def reduction(self, specs: Sequence[MetricSpec]) -> Reduction:
+        return day_ledger(self.facts[specs[0].source], self.hashed(specs))
+
+    def write(self, store: StateStore, specs: Sequence[MetricSpec], windows: Mapping[str, str], days: DataFrame) -> None:
+        """One ledger for the metrics of an increment: they share its window's name."""
+        after, until = self.ranges[specs[0].name]
+        days.select("day", "rows", "check_high", "check_low", F.lit(after).cast("date").alias("after"),
+                    F.lit(until).cast("date").alias("until"), F.lit(",".join(self.hashed(specs))).alias("columns")
+                    ).coalesce(1).write.parquet(store.ledger_path(specs[0].source, windows[specs[0].name]))
+
+
 def by_increment(specs: Sequence[MetricSpec], increments: Mapping[str, DataFrame]
                  ) -> list[tuple[DataFrame, list[MetricSpec]]]:
     """The distinct increments, each with the metrics that read it."""
@@ -198,14 +242,18 @@ def by_increment(specs: Sequence[MetricSpec], increments: Mapping[str, DataFrame
     return list(groups.values())
 
 
-def shared_reductions(rows: DataFrame, specs: Sequence[MetricSpec], path: str) -> dict[str, DataFrame]:
+def shared_reductions(rows: DataFrame, specs: Sequence[MetricSpec], path: str, noted: Noted | None = None
+                      ) -> dict[str, DataFrame]:
     """Reduced rows of every metric of one increment, from one scan; none where nothing is shared.  [R1]
 
     The tagged aggregate is written once, a folder for each metric, so that finishing one
-    metric neither scans the facts again nor reads the others' rows.
+    metric neither scans the facts again nor reads the others' rows.  The increment's ledger is one more
+    reduction of the same scan.
     """
     reductions = {spec.name: spec.reduction for spec in specs if spec.reduction is not None}
-    if len(reductions) < 2:
+    if noted:
+        reductions[LEDGER] = noted.reduction(specs)
+    elif len(reductions) < 2:
         return {}
     together = reduced_together(rows, reductions)
     together.write.partitionBy(TAG).parquet(path)
@@ -217,13 +265,15 @@ def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpe
                       store: StateStore, states: Mapping[str, MetricState],
                       increments: Mapping[str, DataFrame], windows: Mapping[str, str],
                       spans: Mapping[str, Span], now: dt.datetime | None = None,
-                      batch: tuple[str, int] | None = None) -> dict[str, MetricState]:
+                      batch: tuple[str, int] | None = None, noted: Noted | None = None,
+                      replacing: Mapping[str, str] | None = None) -> dict[str, MetricState]:
     """Write each metric's partial of its increment under its window, then commit.
 
     Metrics with the same increment share one scan of it (``shared_reductions``).  Partial writes of
     different metrics run concurrently; the new state version is written only after all of them succeeded.  Only committed windows are ever read, and
     no window name is used by two attempts, so a retry never counts a row twice.
-    ``batch`` (streaming query id, batch id) is noted in the state with a micro-batch.
+    ``batch`` (streaming query id, batch id) is noted in the state with a micro-batch.  ``noted`` asks for
+    ledgers, ``replacing`` (metric -> live window) names windows that the new ones stand in for.
     """
     if not specs:
         return {}
@@ -235,9 +285,12 @@ def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpe
         store.write_partial(spec.name, windows[spec.name], check_partial(spec, made))
 
     with ThreadPoolExecutor(max_workers=MAX_CONCURRENT_JOBS) as pool, store.scratch() as folder:
-        groups = [pool.submit(shared_reductions, rows, of_rows, f"{folder}/reduced-{i}")
+        groups = [(of_rows, pool.submit(shared_reductions, rows, of_rows, f"{folder}/reduced-{i}", noted))
                   for i, (rows, of_rows) in enumerate(by_increment(specs, increments))]
-        shared = {name: rows for job in groups for name, rows in job.result().items()}
+        shared = {name: rows for _, job in groups for name, rows in job.result().items()}
+        if noted:
+            for of_rows, job in groups:
+                noted.write(store, of_rows, windows, job.result()[LEDGER])
         for job in [pool.submit(write_partial, spec, shared) for spec in specs]:
             job.result()
 
@@ -245,6 +298,8 @@ def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpe
     for spec in specs:
         old, seen = states[spec.name], spans[spec.name]
         batches = {**old.lastBatches, batch[0]: batch[1]} if batch else old.lastBatches
+        if replacing:
+            old = replace(old, liveWindows=tuple(w for w in old.liveWindows if w != replacing[spec.name]))
         new_rows[spec.name] = old.committing(
             windows[spec.name], date=now, lastBatches=batches, mode=STREAM if batch else BATCH,
             dateFrom=min((d for d in (old.dateFrom, seen.first) if d is not None), default=None),
@@ -290,23 +345,22 @@ def write_results(res: Mapping[str, MetricResult]) -> None:
 
 
 def compact(store: StateStore, specs: Sequence[MetricSpec], min_windows: int = 2) -> dict[str, str]:
-    """Fold the committed windows of every metric that has at least ``min_windows``."""
-    due = {spec.name: (spec.keys, spec.sums) for spec in (stored_form(store, s) for s in specs)
-           if len(store.committed_windows(spec.name)) >= max(min_windows, 2)}
-    return store.compact(due) if due else {}
+    """Fold the windows of every metric that has a tier of at least ``min_windows``."""
+    due = {spec.name: (spec.keys, spec.sums) for spec in (stored_form(store, s) for s in specs)}
+    return store.compact(due, min_windows, ledgers={s.name: s.source for s in specs})
 
 
-# A metric whose result is spread over this many windows is compacted by ``run_job``.
-COMPACT_AFTER_WINDOWS = 30
+# ``run_job`` and the stream fold a metric's windows of one tier when there are this many.
+COMPACT_AFTER_WINDOWS = 10
 
 
 def run_job(spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec],
             store: StateStore, cut: Mapping[str, dt.date] | None = None,
             write: bool = True, facts: Mapping[str, FactTable] = FACT_TABLES,
-            compact_after: int | None = COMPACT_AFTER_WINDOWS,
+            compact_after: int | None = COMPACT_AFTER_WINDOWS, ledger: bool = False,
             ) -> dict[str, MetricResult]:
     """Run, compact long window lists, then read (and write out) every metric's result.  [R3]"""
-    run_metrics(spark, tables, specs, store, cut=cut, facts=facts)
+    run_metrics(spark, tables, specs, store, cut=cut, facts=facts, ledger=ledger)
     if compact_after:
         compact(store, specs, compact_after)
     res = results(tables, specs, store)

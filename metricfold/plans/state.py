@@ -4,6 +4,7 @@ Layout under a store root (any Hadoop-compatible filesystem)::
 
     state/version=N/part-*.parquet         one row per metric (STATE schema)
     partials/<metric>/window_start=W/      the partial aggregate of one increment
+    ledger/<fact table>/window=W/          days, row counts and checksums that an increment held
     staging/<attempt>/                     a version being written, not yet claimed
 
 Protocol (one writer per store; a second writer racing for the same version fails at the commit):
@@ -28,7 +29,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
@@ -242,27 +243,45 @@ class StateStore:
         state = self._snapshot()[1].get(metric)
         return [] if state is None else sorted(state.liveWindows)
 
-    def compact(self, metrics: dict[str, tuple]) -> dict[str, str]:
-        """Fold every committed window of each metric into one window; one commit for all.
+    def compact(self, metrics: Mapping[str, tuple], fan: int = 2, ledgers: Mapping[str, str] | None = None) -> dict[str, str]:
+        """Fold windows of like size, tier by tier; one commit for all metrics.
 
-        ``metrics`` maps metric name -> ``(keys, sums)``.  Keeps the merge at read time
-        proportional to the number of keys instead of the number of runs.  The
-        compacted partials are written under a fresh window name and committed by the
-        next version, so a crash in between leaves them invisible.  Metrics with fewer than two windows are skipped.
-        Returns metric -> new window.
+        ``metrics`` maps metric name -> ``(keys, sums)``.  An increment's window is of tier 0.  A tier
+        that holds ``fan`` windows or more is folded into one window of the next tier (which may fill that one:
+        then both are folded at once), so a large window is read and written again only together with
+        ``fan`` others of its size: n runs write a partial O(log n) times each, and a result is spread over fewer than
+        ``fan`` windows a tier.  The folded partials are written under a fresh window name and committed by the
+        next version, so a crash in between leaves them invisible.  ``ledgers`` (metric -> fact table) names the
+        metrics whose windows' ledgers are folded along.  Returns metric -> new window.
         """
-        chosen = {m: ks for m, ks in metrics.items() if len(self.committed_windows(m)) >= 2}
-        if not chosen:
+        due = {m: folding(self.committed_windows(m), fan) for m in metrics}
+        due = {m: windows for m, windows in due.items() if windows}
+        if not due:
             return {}
-        window = f"{COMPACTED_PREFIX}{self.latest_version() + 1:09d}.{uuid.uuid4().hex[:8]}"
-        merged = {m: self.merged(m, keys, sums) for m, (keys, sums) in chosen.items()}
+        # Metrics that fold the same windows share the new one's name, as they share the increments'.
+        sets = sorted({tuple(windows) for windows in due.values()})
+        stamp = f"{self.latest_version() + 1:09d}.{uuid.uuid4().hex[:8]}"
+        named = {m: f"{COMPACTED_PREFIX}{1 + max(map(tier, windows))}-{stamp}{sets.index(tuple(windows))}"
+                 for m, windows in due.items()}
+
+        def fold(metric: str) -> None:
+            keys, sums = metrics[metric]
+            self.write_partial(metric, named[metric], merge_sums(self.read_partials(metric, due[metric]), list(keys), list(sums)))
+
+        def fold_ledger(source: str, new: str, windows: tuple[str, ...]) -> None:
+            paths = [self.ledger_path(source, w) for w in windows]
+            if all(self.exists(path) for path in paths):
+                self.spark.read.parquet(*paths).coalesce(1).write.parquet(self.ledger_path(source, new))
+
+        shared = {(source, named[m], tuple(due[m])) for m, source in (ledgers or {}).items() if m in due}
         with ThreadPoolExecutor(max_workers=8) as pool:
-            for job in [pool.submit(self.write_partial, m, window, df) for m, df in merged.items()]:
+            for job in [*[pool.submit(fold, m) for m in due], *[pool.submit(fold_ledger, *each) for each in shared]]:
                 job.result()
-        rows = [replace(r, committedWindow=window, liveWindows=(window,)) if name in chosen
+        rows = [replace(r, committedWindow=named[name],
+                        liveWindows=(named[name], *(w for w in r.liveWindows if w not in due[name]))) if name in due
                 else replace(r, committedWindow=None) for name, r in self.latest().items()]
         self.commit(rows)
-        return {m: window for m in chosen}
+        return named
 
     def retired_windows(self, metric: str) -> list[str]:
         """Windows committed at some time but superseded by a compaction.
@@ -288,6 +307,11 @@ class StateStore:
                    if seg.startswith("window_start=")}
         return sorted(present - set(self.committed_windows(metric)))
 
+    # ---- ledgers ------------------------------------------------------------------
+
+    def ledger_path(self, source: str, window: str) -> str:
+        return f"{self.root}/ledger/{source}/window={window}"
+
     # ---- partials -----------------------------------------------------------------
 
     def partial_path(self, metric: str, window: str) -> str:
@@ -304,15 +328,16 @@ class StateStore:
             self._schemas[metric] = self.spark.read.parquet(self.partial_path(metric, windows[0])).schema
         return self._schemas[metric] if windows else None
 
-    def read_partials(self, metric: str) -> DataFrame | None:
-        """Committed partials of ``metric``, or None when there is no prior result.  [S7]
+    def read_partials(self, metric: str, windows: Sequence[str] | None = None) -> DataFrame | None:
+        """Committed partials of ``metric`` (of all live ``windows``), or None when there is no prior result.  [S7]
 
-        Only the folders of live windows are listed and read.
+        Only the folders of these windows are listed and read.
         """
         schema = self.partial_schema(metric)
         if schema is None:
             return None
-        paths = [self.partial_path(metric, window) for window in self.committed_windows(metric)]
+        chosen = self.committed_windows(metric) if windows is None else windows
+        paths = [self.partial_path(metric, window) for window in chosen]
         return self.spark.read.schema(schema).parquet(*paths)
 
     def merged(self, metric: str, keys, sums) -> DataFrame | None:
@@ -322,6 +347,30 @@ class StateStore:
         return merge_sums(parts, list(keys), list(sums))
 
 
+def tier(window: str) -> int:
+    """0 for an increment's window, else how often its oldest rows were folded."""
+    if not window.startswith(COMPACTED_PREFIX):
+        return 0
+    number = window.removeprefix(COMPACTED_PREFIX).split("-")
+    return int(number[0]) if len(number) > 1 else 1     # windows of earlier versions name no tier
+
+
+def folding(windows: Sequence[str], fan: int) -> list[str]:
+    """The windows to fold into one: those of the lowest full tier, and of the next ones that this fills."""
+    by_tier: dict[int, list[str]] = {}
+    for window in windows:
+        by_tier.setdefault(tier(window), []).append(window)
+    fan = max(fan, 2)
+    full = [t for t, held in by_tier.items() if len(held) >= fan]
+    if not full:
+        return []
+    at, chosen = min(full), list(by_tier[min(full)])
+    while len(by_tier.get(at + 1, ())) + 1 >= fan:
+        at += 1
+        chosen += by_tier[at]
+    return chosen
+
+
 def window_key(watermark: dt.date | None, attempt: str | None = None) -> str:
     """Window name: the old watermark it starts after, plus the writing attempt's id.
 
