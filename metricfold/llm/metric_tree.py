@@ -23,8 +23,8 @@ doubles with an error bound choose the rows that may be among the best, Python i
 these.  Order is exact at any size; a score beyond 64 bits is null in the result.
 
 Vectors that are null, empty, or hold null or non-finite components, and rows with a null id, take
-no part; vectors of different lengths are not compared; a row is not its own candidate, nor are
-rows with the same id.
+no part; vectors of different lengths are not compared.  A row is not its own candidate; other rows with its
+id are.  Rows of one id are queries of their own, and equal scores of one id stand next to each other.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from metricfold.llm.ranks import ranked
+
 TOP = 20
 EVERY = 20              # queries: ids divisible by this
 REGIONS = 256
@@ -44,6 +46,7 @@ EXACT = 2 ** 52         # squared norms
 MARGIN = 1e-3
 
 VECTORS = "vec_id long, dim int, norm long, v binary"
+ROWS = VECTORS + ", asked boolean"          # vec_id: the row's place in order of id
 TREES = "dim int, region int, salt long, root_distance double, radius double, centre binary, ids binary, vectors binary, distances binary, norms binary"
 FOUND = "query_id long, vec_id long, score long"
 LARGE_FOUND = FOUND + ", beyond int, digits string"
@@ -315,7 +318,7 @@ def _search_large(k: int):
     return run
 
 
-def _large_found(vectors: DataFrame, n: int, n_large: int, k: int, every: int, tree_rows: int, query_block: int) -> DataFrame:
+def _large_found(vectors: DataFrame, n: int, n_large: int, n_asked: int, k: int, tree_rows: int, query_block: int) -> DataFrame:
     """The best rows of every query and block of rows, for pairs with a large vector."""
     def pairs(queries: DataFrame, n_queries: int, rows: DataFrame, n_rows: int) -> DataFrame:
         parts, blocks = max(1, -(-n_rows // tree_rows)), max(1, -(-n_queries // query_block))
@@ -326,35 +329,53 @@ def _large_found(vectors: DataFrame, n: int, n_large: int, k: int, every: int, t
         rows = rows.withColumn("part", at(2, parts)).withColumn("block", every_of(blocks))
         return queries.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInArrow(_search_large(k), LARGE_FOUND)
 
-    asked, large = vectors.where(F.col("vec_id") % every == 0), vectors.where("norm IS NULL")
+    asked, large = vectors.where("asked"), vectors.where("norm IS NULL")
     return pairs(asked.where("norm IS NULL"), n_large, vectors, n).unionByName(
-        pairs(asked.where("norm IS NOT NULL"), n // every + 1, large, n_large))
+        pairs(asked.where("norm IS NOT NULL"), n_asked, large, n_large))
 
 
 def top_k(embeddings: DataFrame, save, k: int = TOP, every: int = EVERY, regions: int = REGIONS, tree_rows: int = TREE_ROWS,
           page_rows: int = PAGE_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` best rows.  ``save(df, label)`` writes a table to the
     shared scratch folder and reads it back."""
-    vectors = save(integer_vectors(embeddings), "vectors")
-    sizes = vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("n_all"), F.count("norm").alias("n"),
+    # Rows go by their place in order of id: unique, and ties between places are ties between ids.
+    keyed = ranked(integer_vectors(embeddings), [F.col("vec_id")], save, "integers").select(
+        F.col("position").alias("vec_id"), "dim", "norm", "v", (F.col("vec_id") % every == 0).alias("asked"), F.col("vec_id").alias("id"))
+    saved = save(keyed, "vectors")
+    vectors, ids = saved.drop("id"), saved.select("vec_id", "id")
+    sizes = vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("n_all"), F.count("norm").alias("n"), F.count_if("asked").alias("n_asked"),
                                        F.max("norm").alias("largest")).collect()
     found, order = None, [F.col("score").desc(), "vec_id"]
-    n, n_large = sum(r.n_all for r in sizes), sum(r.n_all - r.n for r in sizes)
+    n, n_large, n_asked = sum(r.n_all for r in sizes), sum(r.n_all - r.n for r in sizes), sum(r.n_asked for r in sizes)
     if n > n_large:
         small = vectors.where("norm IS NOT NULL") if n_large else vectors
-        found = _tree_found(small, [r for r in sizes if r.n], save, k, every, regions, tree_rows, page_rows, query_block)
+        found = _tree_found(small, [r for r in sizes if r.n], save, k, regions, tree_rows, page_rows, query_block)
     if n_large:
-        large = _large_found(vectors, n, n_large, k, every, tree_rows, query_block)
+        large = _large_found(vectors, n, n_large, n_asked, k, tree_rows, query_block)
         found = large if found is None else large.unionByName(found.withColumn("beyond", F.lit(0)), allowMissingColumns=True)
         order = [F.col("beyond").desc(), F.col("score").desc(), F.col("digits").desc(), "vec_id"]
     if found is None:
         return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(*order)
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    top = found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
+    asking, other = [ids.select(F.col("vec_id").alias(f"{c}_place"), F.col("id").alias(f"{c}_id")) for c in ("q", "c")]
+    return (top.join(asking, F.col("query_id") == F.col("q_place")).join(other, F.col("vec_id") == F.col("c_place"))
+            .select(F.col("q_id").alias("query_id"), "rank", F.col("c_id").alias("vec_id"), "score"))
+
+
+TREE = ["dim", "region", "salt"]
+
+
+def _dealt(queries: DataFrame, pages: DataFrame, query_block: int) -> tuple[DataFrame, DataFrame]:
+    """Queries and pages with a ``block``: a tree that more than ``query_block`` queries go to is worked on in several blocks,
+    and its pages are sent to these alone; those of a tree without queries stay."""
+    blocks = queries.groupBy(*TREE).agg(F.ceil(F.count(F.lit(1)) / query_block).cast("long").alias("blocks"))
+    dealt = queries.join(blocks, TREE).withColumn("block", F.pmod(F.xxhash64(F.lit(1), "vec_id"), "blocks")).drop("blocks")
+    copied = pages.join(blocks, TREE).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
+    return dealt, copied
 
 
-def _tree_found(vectors: DataFrame, sizes: list, save, k: int, every: int, regions: int, tree_rows: int, page_rows: int,
+def _tree_found(vectors: DataFrame, sizes: list, save, k: int, regions: int, tree_rows: int, page_rows: int,
                 query_block: int) -> DataFrame:
     """The best rows of every query and tree that it visits.  ``sizes``: rows and largest norm by length."""
     spark = vectors.sparkSession
@@ -364,7 +385,7 @@ def _tree_found(vectors: DataFrame, sizes: list, save, k: int, every: int, regio
         wanted = max(1, min(regions, -(-r.n // tree_rows)))
         sample = vectors.where(F.col("dim") == r.dim).orderBy(F.xxhash64("vec_id"), "vec_id").limit(wanted).collect()
         pivots[r.dim] = np.unique(np.array([np.frombuffer(x.v, np.int32) for x in sample]), axis=0).astype(np.float64)
-    placed = vectors.mapInArrow(_assign(pivots, largest), VECTORS + ", region int, far double")
+    placed = vectors.mapInArrow(_assign(pivots, largest), ROWS + ", region int, far double")
     placed = save(placed, "placed")
     # One row per region, at most `regions` for each vector length.
     reach = {(r.dim, r.region): (r.far, max(1, -(-r.n // tree_rows))) for r in placed.groupBy("dim", "region").agg(
@@ -373,16 +394,14 @@ def _tree_found(vectors: DataFrame, sizes: list, save, k: int, every: int, regio
     salted = placed.join(F.broadcast(counts), ["dim", "region"]).withColumn("salt", F.pmod(F.xxhash64("vec_id"), "trees"))
     pages = save(salted.select("vec_id", "dim", "norm", "v", "region", "salt").groupBy("dim", "region", "salt").applyInArrow(
         _build(largest, page_rows), TREES), "pages")
-    n_queries = sum(r.n for r in sizes) // every + 1
-    blocks = max(1, -(-n_queries // query_block))
-    block = F.pmod(F.xxhash64(F.lit(1), F.col("vec_id")), F.lit(blocks))
-    queries = salted.where(F.col("vec_id") % every == 0).withColumn("block", block)
-    keys = ["dim", "region", "salt", "block"]
-    copied = pages.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    first = queries.select("vec_id", "v", *keys).groupBy(*keys).cogroup(copied.groupBy(*keys)).applyInArrow(
+    queries = salted.where("asked").select("vec_id", "norm", "v", *TREE)
+    home, copied = _dealt(queries, pages, query_block)
+    keys = [*TREE, "block"]
+    first = home.select("vec_id", "v", *keys).groupBy(*keys).cogroup(copied.groupBy(*keys)).applyInArrow(
         _search(largest, k, True), "query_id long, bound long")
     bounds = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.max("bound").alias("bound"))
-    bounded = queries.select("vec_id", "dim", "norm", "v", "block").join(bounds, "vec_id", "left")
-    routed = bounded.mapInArrow(_route(pivots, reach, largest),
-                                "vec_id long, dim int, norm long, v binary, block long, bound long, region int, salt long")
-    return routed.groupBy(*keys).cogroup(copied.groupBy(*keys)).applyInArrow(_search(largest, k, False), FOUND)
+    bounded = queries.select("vec_id", "dim", "norm", "v").join(bounds, "vec_id", "left")
+    routed = save(bounded.mapInArrow(_route(pivots, reach, largest),
+                                     "vec_id long, dim int, norm long, v binary, bound long, region int, salt long"), "routed")
+    sent, copied = _dealt(routed, pages, query_block)
+    return sent.groupBy(*keys).cogroup(copied.groupBy(*keys)).applyInArrow(_search(largest, k, False), FOUND)
