@@ -10,12 +10,14 @@ the id: a documented bound.  Only their hashed features reach the driver.  Scori
 every document and whole texts, in one pass without a shuffle.
 
 A null text counts as empty.  Labels without a document, or with a null quality, are ignored; a
-document labelled several times takes its lowest grade.  With fewer than two grades to learn
-from there is no model: scores are null and every document is kept.
+document labelled several times takes its lowest grade.  Of several rows with a labelled id one counts
+(smallest hash of the text).  With fewer than two grades, or no feature that tells them apart, there is no
+model: a warning says so, scores are null and every document is kept.
 """
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from dataclasses import dataclass
 
@@ -67,12 +69,36 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -60, 60)))
 
 
+def objective(p: np.ndarray, row: np.ndarray, col: np.ndarray, grades: np.ndarray, n: int, l2: float) -> tuple[float, np.ndarray]:
+    """Penalised log likelihood and its gradient at ``p``: ``n`` weights, the first threshold and the logarithms of the
+    gaps.  ``row`` and ``col`` list the features' places."""
+    gaps = np.exp(p[n + 1:])
+    t = p[n] + np.concatenate([[0.0], np.cumsum(gaps)])
+    score = np.bincount(row, weights=p[col], minlength=len(grades))
+    tail = 1 / (1 + np.exp(np.clip(t[None, :] - score[:, None], -60, 60)))
+    bounds = np.concatenate([np.ones((len(grades), 1)), tail, np.zeros((len(grades), 1))], axis=1)
+    at = np.arange(len(grades))
+    prob = np.maximum(bounds[at, grades] - bounds[at, grades + 1], 1e-9)
+    slope = bounds * (1 - bounds)
+    # d log prob / d (score - t_j), for the two thresholds around the grade
+    d = np.zeros_like(bounds)
+    d[at, grades] += slope[at, grades] / prob
+    d[at, grades + 1] -= slope[at, grades + 1] / prob
+    by_threshold = d[:, 1:-1]
+    g_score, g_t = by_threshold.sum(axis=1), -by_threshold.sum(axis=0)
+    grad = np.concatenate([
+        np.bincount(col, weights=g_score[row], minlength=n) - l2 * p[:n],
+        [g_t.sum()], np.cumsum(g_t[::-1])[::-1][1:] * gaps])
+    return float(np.log(prob).sum() - l2 / 2 * (p[:n] ** 2).sum()), grad
+
+
 def fit(rows: list[np.ndarray], grades: np.ndarray, l2: float = 0.3, steps: int = 600,
         screen: float = 4.0) -> Model | None:
     """Maximum likelihood with an L2 penalty, by Adam on all rows at each step.
 
     Features of fewer than 5 rows get no weight, nor do those whose rows reach each next grade
-    about as often as all rows do (within ``screen`` standard errors)."""
+    about as often as all rows do (within ``screen`` standard errors).  None where nothing can be
+    learnt: fewer than two grades, or no feature with a weight."""
     if len(rows) == 0 or len(np.unique(grades)) < 2:
         return None
     sizes = np.array([len(r) for r in rows])
@@ -88,6 +114,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, l2: float = 0.3, steps: int
         error = np.sqrt(np.maximum(share * (1 - share) * with_it, 0.25))
         told |= np.abs(reach - share * with_it) > screen * error
     known = np.flatnonzero(told & (seen >= 5) & (seen < len(rows)))
+    if not len(known):
+        return None
     column = np.full(1 << BITS, -1)
     column[known] = np.arange(len(known))
     col = column[flat]
@@ -101,24 +129,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, l2: float = 0.3, steps: int
     m, v = np.zeros_like(p), np.zeros_like(p)
     n = len(known)
     for step in range(1, steps + 1):
-        gaps = np.exp(p[n + 1:])
-        t = p[n] + np.concatenate([[0.0], np.cumsum(gaps)])
-        score = np.bincount(row, weights=p[col], minlength=len(rows))
-        tail = 1 / (1 + np.exp(np.clip(t[None, :] - score[:, None], -60, 60)))
-        bounds = np.concatenate([np.ones((len(rows), 1)), tail, np.zeros((len(rows), 1))], axis=1)
-        at = np.arange(len(rows))
-        prob = np.maximum(bounds[at, grades] - bounds[at, grades + 1], 1e-9)
-        slope = bounds * (1 - bounds)
-        # d log prob / d (score - t_j), for the two thresholds around the grade
-        d = np.zeros_like(bounds)
-        d[at, grades] += slope[at, grades] / prob
-        d[at, grades + 1] -= slope[at, grades + 1] / prob
-        by_threshold = d[:, 1:-1]
-        g_score = by_threshold.sum(axis=1)
-        g_t = -by_threshold.sum(axis=0)
-        grad = np.concatenate([
-            np.bincount(col, weights=g_score[row], minlength=n) - l2 * p[:n],
-            [g_t.sum()], np.cumsum(g_t[::-1])[::-1][1:] * gaps])
+        _, grad = objective(p, row, col, grades, n, l2)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         p = p + 0.1 * (1 - step / (steps + 1)) * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
     weights = np.zeros(1 << BITS, np.float32)
@@ -142,13 +153,22 @@ def _feature_batches(batches):
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) -> Model | None:
+    """The model of at most ``sample`` labelled documents, those with the smallest hashes of their ids.
+
+    Of the rows of one id the one with the smallest hash of its text counts, chosen in Spark, so that a repeated id
+    weighs as much as any other.  Without a usable model (``fit``) a warning is given and None returned:
+    ``score`` marks all documents as not judged then, and ``select`` keeps them."""
     chosen = graded(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode("text", "UTF-8").alias("text"))
-    labelled = (texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "grade")   # at most `sample` rows
-                .mapInArrow(_feature_batches, "doc_id long, grade int, features binary"))
-    rows = sorted(labelled.collect(), key=lambda r: (r.doc_id, r.features))[:2 * sample]
-    return fit([np.frombuffer(r.features, np.int32) for r in rows],
-               np.array([r.grade for r in rows], np.int64), **options)
+    one_each = (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id")   # at most `sample` rows
+                .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "grade")).alias("r")))
+    labelled = one_each.select("doc_id", "r.text", "r.grade").mapInArrow(_feature_batches, "doc_id long, grade int, features binary")
+    rows = sorted(labelled.collect(), key=lambda r: r.doc_id)
+    model = fit([np.frombuffer(r.features, np.int32) for r in rows],
+                np.array([r.grade for r in rows], np.int64), **options)
+    if model is None:
+        warnings.warn(f"no classifier could be fitted on {len(rows)} labelled documents: nothing is judged", stacklevel=2)
+    return model
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

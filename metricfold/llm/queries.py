@@ -60,7 +60,8 @@ def op6_source_mix(spark, sf_dir):
 def op7_ordinal_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = ordinal_quality.train(docs, table(spark, sf_dir, "labels"))
-    return ordinal_quality.score(docs, model).withColumn("kept", ordinal_quality.kept())
+    return ordinal_quality.score(docs, model).withColumn("kept", ordinal_quality.kept()).withColumn(
+        "judged", F.lit(model is not None))
 
 
 def op8_chat_windows(spark, sf_dir):
