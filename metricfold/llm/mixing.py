@@ -11,8 +11,10 @@
    the shard come first; the blocks left are the first ones in that order.
 
 Every window runs over one shard, over the shards of a source, or over the sources; documents
-of a large source are spread over many shards.  Documents are judged by ``doc_id``: rows with the
-same id fall into one shard and order by size.  Null and empty texts have size 0 and are never
+of a large source are spread over many shards.  Shard and order come from ``doc_id`` and a digest of the text, so
+rows of a null or repeated id spread and their order is the same in any layout of the table; rows equal in both
+are interchangeable and share a shard.  The windows over sources take one row for each source in one
+task: meant for up to some million sources.  Null and empty texts have size 0 and are never
 taken; a null source is a source.  No rows: no sources, no result.
 """
 
@@ -91,13 +93,18 @@ def apportion(votes: DataFrame, group: list[str], key: list[str], vote: str = "v
     return joined.withColumn("quota", quota.cast("long")).select(*votes.columns, "quota")
 
 
+def seeded(seed: int) -> Column:
+    """A seeded hash of a row's id and text, as hex digits.  (MD5: other engines have it as well.)"""
+    return F.md5(F.concat_ws(":", F.lit(seed), "doc_id", "digest").cast("binary"))
+
+
 def shard_of(shards: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(SEED), F.col("doc_id")), shards)
+    return F.pmod(F.conv(F.substring(seeded(SEED), 1, 15), 16, 10).cast("long"), shards)
 
 
 def quotas(sized: DataFrame, budget: float = BUDGET, cap: float = CAP, weights=WEIGHTS) -> DataFrame:
     """One row per source and shard: the source's size and target, the shard's words and the
-    words the mix takes from it.  ``sized``: ``doc_id, source, size``."""
+    words the mix takes from it.  ``sized``: ``doc_id, source, size, digest``."""
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
     shards = F.greatest(F.ceil(F.col("_rows") / SHARD_ROWS), F.ceil(F.col("source_size") / SHARD_WORDS), F.lit(1)).cast("long")
     aimed = targets(sources.withColumn("shards", shards).drop("_rows"), budget, cap, weights)
@@ -125,7 +132,8 @@ def allocate(sized: DataFrame, plan: DataFrame) -> DataFrame:
     right = plan.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "source_size", "target",
                         "words", "takes")
     joined = placed.join(right, placed["source"].eqNullSafe(right["_source"]) & (placed["shard"] == right["_shard"]))
-    order = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(SEED + 1), F.col("doc_id")), "doc_id", "size")
+    order = Window.partitionBy("source", "shard").orderBy(
+        seeded(SEED + 1), "doc_id", "digest", "size")
     end = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     passes = F.when(F.col("words") > 0, F.expr("takes div words")).otherwise(0)
     rest = F.when(F.col("words") > 0, F.col("takes") % F.col("words")).otherwise(0)
@@ -134,14 +142,19 @@ def allocate(sized: DataFrame, plan: DataFrame) -> DataFrame:
             .drop("_source", "_shard", "shards", "shard", "words", "takes", "_end"))
 
 
+def digest() -> Column:
+    return F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest")
+
+
 def sizes(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count().alias("size"))
+    """``doc_id, source, size`` and a ``digest`` of the text, which tells the rows of one id apart."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count().alias("size"), digest())
 
 
 def mixed(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them: whole copies, and the last one if at
     least half of it is taken.  The rows' own columns may have any names."""
-    packed = docs.select("doc_id", "source", word_count().alias("size"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count().alias("size"), digest(), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     n = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
     return (allocate(packed, plan).select("row", F.explode(F.array_repeat(F.lit(0), n)).alias("copy"))
             .select(*[F.col(f"row.`{c}`") for c in docs.columns]))
