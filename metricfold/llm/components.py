@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+SALTS = 32
+
 
 def components(links: DataFrame, save: Callable[[DataFrame, str], DataFrame], rounds: int = 60) -> DataFrame:
     """``a, b`` (undirected, any order) -> ``node, component`` (the smallest node that it reaches), for the nodes
@@ -20,6 +22,7 @@ def components(links: DataFrame, save: Callable[[DataFrame, str], DataFrame], ro
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = save(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
     for _ in range(rounds):
         of_other = labels.select(F.col("node").alias("b"), F.col("label").alias("other"))
         near = both.join(of_other, "b").groupBy(F.col("a").alias("node")).agg(F.min("other").alias("other"))
@@ -28,8 +31,12 @@ def components(links: DataFrame, save: Callable[[DataFrame, str], DataFrame], ro
         pushed = lowered.groupBy(F.col("label").alias("node")).agg(F.min("new").alias("pushed"))
         hooked = lowered.join(pushed, "node", "left").select(
             "node", "label", F.least("new", F.coalesce("pushed", "new")).alias("new"))
-        target = hooked.select(F.col("node").alias("new"), F.col("new").alias("further"))
-        jumped = save(hooked.join(target, "new", "left").select(
+        # Only nodes that are labels are looked up; a label that very many nodes have is met in SALTS places.
+        named = hooked.select(F.col("new").alias("node")).distinct()
+        target = hooked.join(named, "node", "left_semi").select(
+            F.col("node").alias("new"), F.col("new").alias("further"), F.explode(salts).alias("salt"))
+        salted = hooked.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+        jumped = save(salted.join(target, ["new", "salt"], "left").select(
             "node", "label", F.least("new", F.coalesce("further", "new")).alias("new")), "labels")
         labels = jumped.select("node", F.col("new").alias("label"))
         if jumped.where("new <> label").isEmpty():

@@ -253,18 +253,22 @@ def _pairs_of(percent: int):
     return run
 
 
+SALTS = 32              # places in which the classes of one component meet its row
+
+
 def text_key() -> Column:
     """Tells the texts of one id apart."""
     return F.xxhash64(F.lit(13), "text")
 
 
-def by_class(sets: DataFrame) -> DataFrame:
-    """A scratch table of the sets, bucketed by class: joins on the class do not move it again."""
+def by_class(sets: DataFrame) -> tuple[DataFrame, str]:
+    """A scratch table of the sets, bucketed by class: joins on the class do not move it again.  Its name
+    in the session's catalog is to be dropped when the links are found."""
     spark = sets.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"sets_{uuid4().hex}"
     sets.write.bucketBy(buckets, "class").sortBy("class").option("path", scratch_dir(spark, name)).saveAsTable(name)
-    return spark.table(name)
+    return spark.table(name), name
 
 
 def linked(docs: DataFrame, save: Callable[[DataFrame, str], DataFrame], width: int = WIDTH,
@@ -278,7 +282,7 @@ def linked(docs: DataFrame, save: Callable[[DataFrame, str], DataFrame], width:
     members = save(own.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         _members(width, percent, frequent, bits), MEMBERS), "members")
 
-    sets = by_class(members.where("shingles IS NOT NULL").dropDuplicates(["class"]).drop("doc_id", "text_key"))
+    sets, name = by_class(members.where("shingles IS NOT NULL").dropDuplicates(["class"]).drop("doc_id", "text_key"))
     need = F.expr(f"1 + (({percent} * n + 99) div 100) div 10")
     entries = sets.select("class", "unshared", need.cast("int").alias("need"), "n_core", F.posexplode("keys").alias("at", "key"))
     hubs = entries.where("at < n_core").groupBy("key").agg(
@@ -309,7 +313,9 @@ def linked(docs: DataFrame, save: Callable[[DataFrame, str], DataFrame], width:
             .select("hub", "one", "other", "block", "class", "component", "n", "signature"))
     pairs = rows.groupBy("hub", "one", "other").applyInArrow(_pairs_of(percent), "a long, b long").distinct()
     second = save(verified(pairs, sets, percent), "tile-links")
-    return members.select("doc_id", "text_key", "class", "n"), components(first.unionByName(second), save)
+    found = components(first.unionByName(second), save)
+    docs.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    return members.select("doc_id", "text_key", "class", "n"), found
 
 
 def grouped(docs: DataFrame, save, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -322,19 +328,27 @@ def _grouped(docs: DataFrame, save, width: int, percent: int) -> DataFrame:
     # By class first (copies are many rows of one class), then one join of the rows.  Classes
     # without links are their own component; equal sets link, but not empty ones.
     classes = members.where("n > 0 AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
-    placed = classes.join(comps.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class"))
-    least = placed.groupBy("component").agg(F.min("least").alias("least_of_all"))
-    of_class = save(placed.select("class", "component").join(least, "component").select("class", "least_of_all"), "class-ids")
+    placed = classes.join(comps.withColumnRenamed("node", "class"), "class", "left")
+    least = placed.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("least_of_all"))
+    # A component may hold a large share of the classes: they meet its row in SALTS places.
+    salted = placed.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALTS)))
+    spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    of_class = save(salted.join(spread, ["component", "salt"], "left").select(
+        "class", F.coalesce("least_of_all", "least").alias("least_of_all")), "class-ids")
     return members.join(of_class, "class", "left").select(
         "doc_id", "text_key", F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("least_of_all")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, save, width: int, percent: int) -> DataFrame:
-    """``docs`` without the rows that have a smaller id in their component.  Rows with empty sets,
-    a null id, or an id of their own stay, and so do other texts of an id that loses a row."""
-    drops = save(_grouped(docs, save, width, percent).where("component_id <> doc_id").select(
-        F.col("doc_id").alias("dropped_id"), F.col("text_key").alias("dropped_key")).distinct(), "drops")
-    return docs.join(drops, (docs["doc_id"] == drops["dropped_id"])
-                     & (F.xxhash64(F.lit(13), docs["text"]) == drops["dropped_key"]), "left_anti")
+    """``docs`` without the rows that have a smaller id in their component, and one row for each id and text.
+    Rows with empty sets or a null id stay, and so do other texts of an id that loses a row."""
+    rows = save(_grouped(docs, save, width, percent).where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id", "text_key").agg(
+        F.max(F.col("component_id") != F.col("doc_id")).alias("goes"), F.count(F.lit(1)).alias("rows")).where("goes OR rows > 1"), "drops")
+    marked = rows.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "goes")
+    same = (docs["doc_id"] == marked["__id"]) & (F.xxhash64(F.lit(13), docs["text"]) == marked["__key"])
+    stays = docs.join(marked, same, "left_anti")
+    if rows.where("NOT goes").isEmpty():
+        return stays
+    repeated = docs.join(marked.where("NOT goes"), same, "inner").dropDuplicates(["__id", "__key"]).select(*[docs[c] for c in docs.columns])
+    return stays.unionByName(repeated)
