@@ -2,17 +2,17 @@
 
 OP1 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  FROM v q JOIN v c ON q.rid <> c.rid AND len(q.e) = len(c.e)
   WHERE q.vec_id % 20 = 0
 ), r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS k FROM s
 )
 SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 20
 """
@@ -198,5 +198,110 @@ SELECT doc_id, length(t) AS n_chars, sha256(edited) AS edited_sha256, array_to_s
 FROM f
 """
 
-ORACLE: dict[str, str] = {"op1_metric_tree_top_k": OP1, "op2_rule_ledger": OP2, "op11_merkle_manifest": OP11,
+# Every 50-byte window as 100 hex digits; bytes go where the window also starts in a document with a smaller id.
+OP4 = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, CAST(doc_id AS BIGINT) AS doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents
+), w AS (
+  SELECT rid, doc_id, p, substr(h, 2 * p + 1, 100) AS bytes
+  FROM (SELECT rid, doc_id, h, unnest(range(len(h) // 2 - 49)) AS p FROM d WHERE len(h) >= 100)
+), least AS (
+  SELECT bytes, min(doc_id) AS owner FROM w GROUP BY bytes
+), hits AS (
+  SELECT rid, p, lag(p) OVER (PARTITION BY rid ORDER BY p) AS before FROM w JOIN least USING (bytes) WHERE owner < doc_id
+), runs AS (
+  SELECT rid, min(p) AS a, max(p) + 50 AS b FROM (
+    SELECT rid, p, sum(CASE WHEN before IS NULL OR p > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY p) AS run FROM hits)
+  GROUP BY rid, run
+), left_over AS (
+  SELECT d.rid, coalesce(lag(b) OVER (PARTITION BY d.rid ORDER BY a), 0) AS start, a AS stop, d.h FROM d JOIN runs ON runs.rid = d.rid
+  UNION ALL
+  SELECT d.rid, coalesce(max(b), 0), len(any_value(h)) // 2, any_value(h) FROM d LEFT JOIN runs ON runs.rid = d.rid GROUP BY d.rid
+), kept AS (
+  SELECT rid, string_agg(substr(h, 2 * start + 1, 2 * (stop - start)), '' ORDER BY start) AS h FROM left_over GROUP BY rid
+)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST((len(d.h) - len(kept.h)) // 2 AS BIGINT) AS n_removed,
+       (SELECT count(*) FROM runs WHERE runs.rid = d.rid) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept ON kept.rid = d.rid
+"""
+
+OP5 = r"""
+WITH RECURSIVE d AS (
+  SELECT CAST(doc_id AS BIGINT) AS doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) ELSE list_distinct(list_transform(
+           range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) END AS shingles
+  FROM d
+), each AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s
+), links AS MATERIALIZED (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM each x JOIN each y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id AND 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM s
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, (SELECT min(b) FROM reached WHERE a = s.doc_id) AS component_id
+FROM s
+"""
+
+# Highest quotients, listed; the seeded orders are MD5 of seed, id and the text's MD5.
+OP6 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, CAST(doc_id AS BIGINT) AS doc_id, source, md5(coalesce(text, '')) AS digest,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), src AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CAST(greatest(ceil(count(*) / 2048), ceil(sum(size) / 2000000), 1) AS BIGINT) AS shards
+  FROM d GROUP BY source
+), weighed AS (
+  SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS weight,
+         CAST(source_size AS DOUBLE) * 2.0::DOUBLE AS full_size
+  FROM src
+), levels AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE
+             - coalesce(sum(full_size) OVER (ORDER BY full_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY full_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed
+), aimed AS (
+  SELECT source, source_size, shards, least(full_size, (SELECT max(level) FROM levels) * weight) AS target FROM levels
+), seats AS (
+  SELECT CAST(round(sum(target) / 16) AS BIGINT) AS n FROM aimed
+), source_quota AS (
+  SELECT source, count(*) AS blocks FROM (
+    SELECT source, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, source NULLS LAST) AS place
+    FROM (SELECT source, target, unnest(range(1, CAST(ceil(target / 16) AS BIGINT) + 2)) AS k FROM aimed WHERE target > 0))
+  WHERE place <= (SELECT n FROM seats) GROUP BY source
+), placed AS (
+  SELECT d.*, a.source_size, a.target,
+         CAST('0x' || substr(md5(concat_ws(':', '20240601', CAST(doc_id AS VARCHAR), digest)), 1, 15) AS BIGINT) % a.shards AS shard
+  FROM d JOIN aimed a ON d.source IS NOT DISTINCT FROM a.source
+), cells AS (
+  SELECT p.source, shard, CAST(sum(size) AS BIGINT) AS words, any_value(coalesce(q.blocks, 0)) AS blocks
+  FROM placed p LEFT JOIN source_quota q ON p.source IS NOT DISTINCT FROM q.source GROUP BY p.source, shard
+), cell_quota AS (
+  SELECT source, shard, count(*) AS quota FROM (
+    SELECT source, shard, blocks, row_number() OVER (PARTITION BY source ORDER BY words / (2 * k - 1) DESC, shard) AS place
+    FROM (SELECT *, unnest(range(1, CAST(ceil(words * 2 / 16) AS BIGINT) + 2)) AS k FROM cells WHERE words > 0))
+  WHERE place <= blocks GROUP BY source, shard
+), takes AS (
+  SELECT c.source, c.shard, words, least(coalesce(quota, 0) * 16, words * 2) AS takes
+  FROM cells c LEFT JOIN cell_quota q ON c.source IS NOT DISTINCT FROM q.source AND c.shard = q.shard
+), laid AS (
+  SELECT p.*, t.words, t.takes, sum(size) OVER (
+    PARTITION BY p.source, p.shard ORDER BY md5(concat_ws(':', '20240602', CAST(doc_id AS VARCHAR), digest)), doc_id, digest, size, rid) AS stop
+  FROM placed p JOIN takes t ON p.source IS NOT DISTINCT FROM t.source AND p.shard = t.shard
+)
+SELECT doc_id, source, size, source_size, target,
+       CAST(CASE WHEN words > 0 THEN (takes // words) * size + greatest(0, least(stop, takes % words) - (stop - size)) ELSE 0 END AS BIGINT) AS taken
+FROM laid
+"""
+
+ORACLE: dict[str, str] = {"op1_metric_tree_top_k": OP1, "op2_rule_ledger": OP2, "op4_suffix_dedup": OP4, "op5_jaccard_join": OP5,
+                          "op6_source_mix": OP6, "op11_merkle_manifest": OP11,
                           "op12_fingerprints": OP12, "op13_orchard_clusters": op13()}
