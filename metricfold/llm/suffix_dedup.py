@@ -9,10 +9,10 @@ smallest hash of its 20-byte grams); equal windows have equal minimizers, and co
 with the same one form a run (about 65 bytes of text).  Minimizers that only one document has
 rule their windows out (``shared_keys``).  The runs of the others meet in buckets of minimizers,
 each distinct run text once, with its smallest id.  There the suffix array of the run texts
-(suffixes ordered by their first 50 bytes, ties by id) and its LCP blocks give for every window
-the previous and next smaller id in suffix order: ties are in id order, so a smaller id within
-an LCP of 50 exists exactly if the block's first id is smaller.  The chunk gets one bit per window
-back.  All matches compare bytes, not hashes.
+(suffixes ordered by their first 50 bytes, ties by id) and its LCP array give the previous and the next smaller id of
+every window in suffix order; the larger LCP with the two is the window's longest previous factor
+(``longest_previous_factors``; 50 at most, all that the result needs).  The chunk gets one bit per window
+back: LPF of 50.  All matches compare bytes, not hashes.
 
 Matches are judged on the input, never cross documents, and may overlap.  A null or empty text
 has no bytes.  Rows with equal ids never remove each other's bytes.  A null id counts as larger
@@ -130,45 +130,68 @@ def _send_runs(bits: int):
 
 
 def suffix_array(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, depth: int = SPAN):
-    """The order of the suffixes at ``starts`` by their first ``depth`` bytes, ties by owner, and for each place
-    in that order whether the suffix begins a new block (its LCP with the one before is below ``depth``)."""
+    """The order of the suffixes at ``starts`` by their first ``depth`` bytes, ties by owner, and the LCP array of
+    that order: the bytes that each place shares with the one before, ``depth`` at most (the first: 0)."""
     words = np.lib.stride_tricks.sliding_window_view(text, 8)
-    order, begins, at = np.arange(len(starts)), None, 0
+    word_at = lambda rows, at: np.ascontiguousarray(words[starts[rows] + at]).view(">u8").ravel().astype(np.uint64)
+    order = np.argsort(word_at(np.arange(len(starts)), 0), kind="stable")
+    lcp = np.full(len(starts), depth, np.int64)
+    begins, places, block, at = np.zeros(len(starts), bool), np.arange(len(starts)), np.zeros(len(starts), np.int64), 0
     while True:
-        word = np.ascontiguousarray(words[starts[order] + at]).view(">u8").ravel()
-        if begins is None:
-            order = order[np.argsort(word, kind="stable")]
-            word = np.ascontiguousarray(words[starts[order] + at]).view(">u8").ravel()
-            begins = np.append(True, word[1:] != word[:-1])
-        else:
-            # Only suffixes that still tie with a neighbour are ordered further.
-            tied = ~begins
-            tied[:-1] |= ~begins[1:]
-            places = np.flatnonzero(tied)
-            block = np.cumsum(begins)[places]
-            inner = np.lexsort((word[places], block))
-            order[places] = order[places[inner]]
-            w = word[places[inner]]
-            again = np.append(True, (w[1:] != w[:-1]) | (block[1:] != block[:-1]))
-            begins[places] |= again
+        w = word_at(order[places], at)
+        if at:              # only suffixes that still tie with a neighbour are ordered further
+            inner = np.lexsort((w, block))
+            order[places], w = order[places[inner]], w[inner]
+        new = np.append(True, (w[1:] != w[:-1]) | (block[1:] != block[:-1])) & ~begins[places]
+        found = np.flatnonzero(new)
+        lcp[places[found]] = at + _equal_bytes(w[found] ^ w[found - 1])
+        begins[places[found]] = True
+        if not at:
+            begins[0], lcp[0] = True, 0
         if at + 8 >= depth or begins.all():
             break
         at = min(at + 8, depth - 8)
-    block = np.cumsum(begins)
-    by_owner = np.lexsort((owners[order], block))
-    return order[by_owner], begins
-
-
-def previous_factor_reaches(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, depth: int = SPAN) -> np.ndarray:
-    """For each suffix: is its longest previous factor, against smaller owners, ``depth`` or more?
-
-    Within a block (LCP of ``depth`` or more) owners ascend, so the previous smaller owner in suffix
-    order lies in the block unless the suffix has the block's first owner; then no next smaller
-    one does either."""
-    order, begins = suffix_array(text, starts, owners, depth)
-    head = owners[order][np.flatnonzero(begins)][np.cumsum(begins) - 1]
-    out = np.empty(len(starts), bool)
-    out[order] = owners[order] > head
+        tied = ~begins
+        tied[:-1] |= ~begins[1:]
+        places = np.flatnonzero(tied)
+        block = np.cumsum(begins)[places]
+    return order[np.lexsort((owners[order], np.cumsum(begins)))], lcp
+
+
+def _equal_bytes(difference: np.ndarray) -> np.ndarray:
+    """Leading zero bytes of 64-bit numbers."""
+    return sum((difference < np.uint64(1 << bits)).astype(np.int64) for bits in range(8, 64, 8))
+
+
+def reach_back(owners: np.ndarray, lcp: np.ndarray, least: int = 1) -> np.ndarray:
+    """For each place of a suffix order, the LCP with the previous place of a smaller owner (0: there is none).
+
+    Every place holds a link over places of no smaller owner, with the least LCP on the way.  As long as a link ends
+    at an owner that is not smaller, it takes over that place's link, all places at once.  Lengths below ``least`` are
+    not followed further, and given as 0."""
+    links, reach = np.arange(-1, len(owners) - 1), lcp.copy()
+    going = np.flatnonzero(reach >= least)
+    while len(going):
+        to = links[going]
+        on = owners[to] >= owners[going]
+        going, to = going[on], to[on]
+        reach[going], links[going] = np.minimum(reach[going], reach[to]), links[to]
+        going = going[reach[going] >= least]
+    return np.where(reach >= least, reach, 0)
+
+
+def longest_previous_factors(text: np.ndarray, starts: np.ndarray, owners: np.ndarray, depth: int = SPAN,
+                             least: int = 1) -> np.ndarray:
+    """For each suffix, the longest prefix (``depth`` at most; below ``least``: 0) that a suffix of a smaller owner has
+    too: the larger LCP with the previous and the next smaller owner in suffix order."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    order, lcp = suffix_array(text, starts, owners, depth)
+    ranked = owners[order]
+    back = reach_back(ranked, lcp, least)
+    ahead = reach_back(ranked[::-1], np.append(0, lcp[:0:-1]), least)[::-1]
+    out = np.empty(len(starts), np.int64)
+    out[order] = np.maximum(back, ahead)
     return out
 
 
@@ -199,7 +222,7 @@ def _judge(key: tuple, rows: pa.Table) -> pa.Table:
         begin = np.cumsum(n + SPAN - 1) - (n + SPAN - 1)
         first = np.cumsum(n) - n
         starts = np.arange(int(n.sum())) + np.repeat(begin - first, n)
-        hit = previous_factor_reaches(text, starts, np.repeat(least[several], n))
+        hit = longest_previous_factors(text, starts, np.repeat(least[several], n), least=SPAN) >= SPAN
         for i, a, m in zip(several.tolist(), first.tolist(), n.tolist()):
             smaller[i] = hit[a:a + m]
     bits = []

@@ -158,10 +158,31 @@ def test_suffix_array_orders_suffixes():
     text = rng.integers(97, 99, 400).astype(np.uint8)
     text = np.concatenate([text, text[50:200], text])
     starts, owners = np.arange(len(text) - 49), rng.integers(0, 5, len(text) - 49)
-    order, begins = suffix_dedup.suffix_array(text, starts, owners)
+    order, lcp = suffix_dedup.suffix_array(text, starts, owners)
     key = [(text[s:s + 50].tobytes(), owners[s]) for s in order]
     assert key == sorted(key)
-    assert begins.tolist() == [True] + [a[0] != b[0] for a, b in zip(key, key[1:])]
+    assert lcp.tolist() == [0] + [common_prefix(a[0], b[0]) for a, b in zip(key, key[1:])]
+
+
+def common_prefix(a, b):
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_longest_previous_factors(seed):
+    """Against plain search: random texts of few letters, repeated passages, ties of owners, several depths."""
+    rng = np.random.default_rng(seed)
+    depth, n = (8, 13, 50)[seed % 3], int(rng.integers(120, 220))
+    text = rng.integers(97, 98 + seed % 4, n).astype(np.uint8)
+    text[n // 2:n // 2 + 60] = text[:60]
+    starts = np.arange(n - depth + 1)
+    owners = rng.integers(0, 1 + seed, len(starts)).astype(np.int64)
+    pieces = [text[i:i + depth].tobytes() for i in starts]
+    want = [max((common_prefix(pieces[i], pieces[j]) for j in starts if owners[j] < owners[i]), default=0) for i in starts]
+    assert suffix_dedup.longest_previous_factors(text, starts, owners, depth).tolist() == want
+    whole = suffix_dedup.longest_previous_factors(text, starts, owners, depth, least=depth)
+    assert whole.tolist() == [w if w == depth else 0 for w in want]
+    assert len(suffix_dedup.longest_previous_factors(text, starts[:0], owners[:0], depth)) == 0
 
 
 def brute_groups(rows, width, percent):
