@@ -8,6 +8,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from metricfold.llm import (
     chat_windows,
     jaccard_join,
@@ -360,7 +362,9 @@ def test_chat_windows(spark):
     rows = [(1, 0, "system", "Be brief."), (1, 1, "user", odd), (1, 2, "assistant", odd * 3), (2, None, None, None),
             (None, 1, "assistant", ""), (None, 0, "user", "hi"), (3, 1, "user", "same"), (3, 1, "user", "same")]
     rows += [(4, 0, "system", "sys")] + [(4, k, ("user", "assistant")[k % 2], f"turn {k} " * 30) for k in range(1, 40)]
-    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumnRenamed("x", "y")
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    clashing = ("_n", "window", "p", "ps", "loss", "_span", "formatted", "n_repeated")
+    frame = frame.select("*", *[F.lit(1).alias(c) for c in clashing])
     windows = chat_windows.windows(frame, budget=100, history=70)
     got = {r.conv_id: r for r in chat_windows.read_back(windows).collect()}
     for conv in {r[0] for r in rows}:
@@ -370,11 +374,58 @@ def test_chat_windows(spark):
         r = got[conv]
         assert (r.n_turns, r.turns_sha256) == (len(own), hashlib.sha256(turns.encode()).hexdigest())
         assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
-    later = windows.where("conv_id = 4 AND window > 0").collect()
-    assert later and all(r.formatted.startswith("<s>[INST]system[/INST]sys</s>") and r.n_repeated > 1 for r in later)
+    # Two turns of 60 words are beyond a budget of 100, so there only the system turn is repeated.
+    for budget, repeated in ((100, 1), (200, 2)):
+        later = chat_windows.windows(frame, budget, 70).where("conv_id = 4 AND window > 0").collect()
+        assert later and all(r.formatted.startswith("<s>[INST]system[/INST]sys</s>") and r.n_repeated == repeated for r in later)
     assert chat_windows.read_back(chat_windows.windows(frame.limit(0))).count() == 0
 
 
+def plain_windows(turns, budget, history, chapter):
+    """Per window the repeated and the new turns (numbers from 1; 0: the system turn), by one pass over the turns."""
+    sizes = [max(1, len(t.split())) for _, t in turns]
+    system = sizes[0] if turns[0][0] == "system" and sizes[0] <= (budget - history) // 2 else 0
+    spans = []
+    for i, n in enumerate(sizes):
+        room = budget if len(spans) <= 1 else budget - history - system
+        if spans and i % chapter and sum(sizes[j] for j in spans[-1]) + n <= room:
+            spans[-1].append(i)
+        else:
+            spans.append([i])
+    out = []
+    for k, span in enumerate(spans):
+        free = budget - sum(sizes[i] for i in span)
+        shown = system if k and free >= system else 0
+        old = [i for j, i in enumerate(spans[k - 1]) if sum(sizes[x] for x in spans[k - 1][j:]) <= min(history, free - shown)] if k else []
+        out.append(([0] * bool(shown) + [i + 1 for i in old if i or not system], [i + 1 for i in span]))
+    return out
+
+
+def test_chat_budget_is_a_bound(spark, monkeypatch):
+    """Windows against a plain pass, and no window over the budget unless one of its turns is."""
+    monkeypatch.setattr(chat_windows, "CHAPTER", 16)
+    rng = np.random.default_rng(4)
+    convs = {k: [("system" if not i and k % 3 else ("assistant", "user")[i % 2], "w " * int(rng.choice([0, 3, 30, 90, 120])))
+                 for i in range(int(rng.integers(1, 50)))] for k in range(40)}
+    convs[90] = [("user", "w " * n) for n in (383, 384, 100, 384)]
+    convs[91] = [("system", "s " * 3000)] + [("user", "w " * 50)] * 20
+    convs[92] = [("user", "w " * 700), ("assistant", "a " * 5), ("user", "w " * 380)]
+    rows = [(k, i, r, t) for k, ts in convs.items() for i, (r, t) in enumerate(ts)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {}
+    for r in chat_windows.windows(frame, 384, 128).orderBy("conv_id", "window").collect():
+        parts = [p.split("[/INST]") for p in r.formatted.split("</s>")[:-1]]
+        got.setdefault(r.conv_id, []).append(([p[1] for p in parts[:r.n_repeated]], [p[1] for p in parts[r.n_repeated:]]))
+    for k, ts in convs.items():
+        text = [ts[0][1], *[t for _, t in ts]]
+        want = plain_windows(ts, 384, 128, 16)
+        assert got[k] == [([text[i] for i in old], [text[i] for i in new]) for old, new in want]
+        for old, new in got[k]:
+            total = sum(max(1, len(t.split())) for t in (*old, *new))
+            assert total <= 384 or (len(new) == 1 and not old)
+    assert [len(new) for _, new in got[90]] == [1, 1, 1, 1] and all(old != ["s " * 3000] for old, _ in got[91])
+
+
 def test_license_scan(docs, none):
     scanner = license_scan.Scanner()
     text = "This work is licensed under the GNU General Public License, version 3. All rights reserved. CC-BY all rights reserved"
