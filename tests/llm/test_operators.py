@@ -446,15 +446,66 @@ def test_license_scan(docs, none):
         assert got == {e: n for e, n in want.items() if n}
         places = [i for _, p in license_scan.BASE for i in range(len(words)) if words[i:i + len(p.split())] == p.split()]
         assert scanner.scan(" ".join(words).encode())[1] == len(places)
-    assert license_scan.scan(docs).count() == docs.count() and license_scan.scan(none).count() == 0
+    columns = license_scan.SCHEMA.replace(",", " ").split()[2::2]
+    got = Counter(tuple(r) for r in license_scan.scan(docs).select("doc_id", *columns).collect())
+    assert got == Counter((r.doc_id, *scanner.scan((r.text or "").encode())) for r in docs.collect())
+    assert license_scan.scan(none).count() == 0
+
+
+def plain_chains(words, templates, base):
+    """Chains by search alone: the longest piece of a template that ends at each word, its places in each template."""
+    phrases = [p.split() for p in (*base, *[t for _, t in templates])]
+    inside = {tuple(p[a:b]) for p in phrases for a in range(len(p)) for b in range(a + 1, len(p) + 1)}
+    longest = [max((e - s for s in range(e) if tuple(words[s:e]) in inside), default=0) for e in range(len(words) + 1)]
+    matches = [e for e in range(1, len(words) + 1) if longest[e] >= license_scan.MIN_MATCH
+               and (e == len(words) or longest[e + 1] != longest[e] + 1)]
+    places = {e: [[b for b in range(longest[e], len(p) + 1) if p[b - longest[e]:b] == words[e - longest[e]:e]]
+                  for p in phrases[len(base):]] for e in matches}
+    out = []
+    for k, (label, template) in enumerate(templates):
+        size, chains = len(template.split()), []
+        for e in matches:
+            if not places[e][k]:
+                continue
+            after = [b for b in places[e][k] if chains and b > chains[-1][2]]
+            at = after[0] if after else places[e][k][0]
+            alone = {templates[j][0] for j, found in enumerate(places[e]) if found} == {label}
+            telling = alone and (at == size if size <= license_scan.SHORT else longest[e] >= license_scan.IDENTIFYING)
+            if after and e - longest[e] <= chains[-1][1] + license_scan.MAX_GAP:
+                a, end, last, covered, known = chains[-1]
+                chains[-1] = [a, e, at, covered + max(0, min(longest[e], at - last, e - end)), known or telling]
+            else:
+                chains.append([e - longest[e], e, at, longest[e], telling])
+        out += [(label, a, e, covered / size) for a, e, _, covered, known in chains
+                if known and covered / size >= license_scan.MIN_COVERED]
+    return out
+
+
+def test_license_chains_against_search():
+    templates = license_scan.TEMPLATES[:6] + license_scan.TEMPLATES[-30:]
+    base = [p for _, p in license_scan.BASE]
+    scanner = license_scan.Scanner(templates)
+    rng, labelled = np.random.default_rng(12), 0
+    for _ in range(150):
+        words = []
+        for _ in range(rng.integers(1, 4)):         # notices with words lost, changed and put in
+            for w in templates[rng.integers(len(templates))][1].split()[:40]:
+                luck = rng.random()
+                words += [] if luck < 0.03 else ["other"] if luck < 0.06 else [w, "other"] if luck < 0.09 else [w]
+        want = plain_chains(words, templates, base)
+        *_, labels, score, spans = scanner.scan(" ".join(words).encode())
+        assert Counter(spans.split(";") if spans else []) == Counter(f"{n}:{a}-{b}:{share:.3f}" for n, a, b, share in want)
+        assert score == max([share for *_, share in want], default=0.0) and {n for n, *_ in want} <= set(labels.split(","))
+        labelled += bool(want)
+    assert 30 < labelled < 150
 
 
 def test_license_labels_need_identifying_words():
     scanner = license_scan.Scanner()
-    unknown = ["licensed under the terms of the agreement", "Licensed under the Zlib license", "Licensed under CC BY-ND 4.0",
-               "Licensed under CC BY-SA 3.0", "Licensed under CC BY-NC-SA 4.0", "Licensed under the Apache License, Version 1.1",
+    unknown = ["licensed under the terms of the agreement", "Licensed under the Zlib license", "Licensed under CC BY-ND 3.0",
+               "Licensed under CC BY-SA 3.0", "released under the MIT and others", "released under the MIT and Harvard joint imprint", "Licensed under the Apache License, Version 1.1",
                "released under the terms of the board", "This work is licensed under the GNU General Public License",
-               "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+               "Licensed under a Creative Commons Attribution-NonCommercial 3.0 Unported License",
                "This work is licensed under the terms of use", "Permission is hereby granted, free of charge, to any person "
                "obtaining a copy of the Font Software, to use it", "Permission to use, copy, modify, and distribute this software "
                "and its documentation for any purpose, without fee, and without a written agreement is hereby granted",
@@ -463,7 +514,18 @@ def test_license_labels_need_identifying_words():
         _, _, _, _, base, labels, score, spans = scanner.scan(text.encode())
         assert (labels, score, spans) == (base, 0.0, ""), text
     known = {"Licensed under the terms of the MIT license": "mit", "Licensed under the Apache License 2.0": "apache-2.0",
-             "This work is licensed under the GNU General Public License v2": "gpl-2.0", "released under the MIT and others": "mit",
+             "This work is licensed under the GNU General Public License v2": "gpl-2.0",
+             "Licensed under CC BY-ND 4.0": "cc-by-nd-4.0", "Licensed under CC BY-NC-SA 4.0": "cc-by-nc-sa-4.0",
+             "under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc-4.0",
+             "Creative Commons Attribution-ShareAlike 4.0 International": "cc-by-sa-4.0",
+             "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+             "This work is licensed under the GNU Lesser General Public License version 3": "lgpl",
+             "Neither the name of Acme nor the names of its contributors may be used to endorse or promote products derived "
+             "from this software without specific prior written permission.": "bsd-3-clause",
+             **{"you can redistribute it and/or modify it under the terms of the GNU %s License as published by the Free "
+                "Software Foundation; either version %s of the License, or (at your option) any later version." % (name, v): label
+                for name, v, label in (("General Public", "2", "gpl-2.0"), ("General Public", "3", "gpl-3.0"),
+                                       ("Lesser General Public", "2.1", "lgpl"), ("Affero General Public", "3", "agpl"))},
              "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted": "isc"}
     for text, label in known.items():
         *_, base, labels, score, _ = scanner.scan(text.encode())
