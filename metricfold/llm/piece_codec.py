@@ -12,6 +12,9 @@ once, and the ids of a text are put together from its words'.  SentencePiece nor
 whole text too: equal normalised texts whose words all have equal ids have equal ids, since no
 merge crosses the start of a word.  Other models get whole texts.
 
+A unigram model's byte pieces keep their names, which the fallback looks up: a text that spells one out (``<0x41>``) can
+get other ids than SentencePiece gives, and its ``parity`` is false.
+
 A null text gives null ids and null checks; an empty text gives no ids.  ``round_trip`` compares
 the decoded text with the text the model's normaliser leaves.
 """
@@ -76,7 +79,11 @@ def build(data: bytes):
     unk = next(i for i, p in enumerate(pieces) if p[2] == UNKNOWN)
     fallback = bool(trainer.byte_fallback)
     if trainer.model_type == 1:
-        model = models.Unigram([(p, s) for p, s, _ in pieces], unk_id=unk, byte_fallback=fallback)
+        # Text never holds control and unused pieces.  A space or a noncharacter before them keeps the library from
+        # finding them there: normalised text has no spaces where they are escaped.
+        hidden = " " if norm.escape_whitespaces else "\U0010ffff"
+        model = models.Unigram([(hidden + p if kind in (CONTROL, UNUSED) else p, s) for p, s, kind in pieces],
+                               unk_id=unk, byte_fallback=fallback)
     elif trainer.model_type == 2:
         normal = [(p, s) for p, s, kind in pieces if kind in (NORMAL, USER)]
         model = models.BPE(vocab={p: i for i, (p, _, _) in enumerate(pieces)}, merges=_merges(normal),

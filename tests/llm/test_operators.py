@@ -549,6 +549,31 @@ def test_piece_codec(docs, none):
     assert sum(r.ids is None for r in out) == 1 and piece_codec.encode(none, model).count() == 0
 
 
+def test_unigram_model(spark):
+    """Scores, byte fallback, control strings in texts and pieces over word starts, whole texts both ways."""
+    with open(piece_codec.model_path(), "rb") as file:
+        proto = piece_codec.parse(file.read())
+    kept = [(p.piece, p.score, p.type) for p in proto.pieces if p.type not in (piece_codec.NORMAL, piece_codec.USER)]
+    rng = np.random.default_rng(2)
+    words = "▁ a b c d e f g ▁a ▁b ab abc bc cd de ▁ab ▁abc ▁de ef fg efg é ▁é bé ▁▁ a▁b".split(" ")
+    proto.trainer_spec.model_type = 1
+    del proto.pieces[:]
+    for piece, score, kind in [*kept, *[(w, float(-1.5 - 6 * rng.random()), piece_codec.NORMAL) for w in words]]:
+        proto.pieces.add(piece=piece, score=score, type=kind)
+    model = proto.SerializeToString()
+    own = piece_codec.codec(model)
+    assert not own.cuts
+    texts = ["", "abc abcdefg", "  a b  c", "x日本 \U0001F600", "abcdefg" * 3000, "a\tb\nc", "<s> a </s><unk>", "▁a▁▁b"]
+    texts += ["".join(rng.choice(list("abcdefg é日<s>"), 40)) for _ in range(200)]
+    flat, sizes, back, parity = own.encode(texts)
+    ids = [flat[e - n:e].tolist() for e, n in zip(np.cumsum(sizes), sizes)]
+    assert ids == own.own.encode(texts) and parity.all() and back.all()
+    assert piece_codec.decode_texts(ids[:7], model) == texts[:7]
+    frame = spark.createDataFrame([*enumerate(texts), (None, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in piece_codec.encode(frame, model).collect()}
+    assert [got[i].ids for i in range(len(texts))] == ids and got[None].ids is None
+
+
 def test_training_order(docs, none, rows, workdir):
     for n in (1, 2, 5, 1000, 4097):
         assert sorted(token_order.permute(np.arange(n), n, 9).tolist()) == list(range(n))
