@@ -288,7 +288,9 @@ def reasons_of(tables, user_days: DataFrame) -> DataFrame:
 
 
 def reasons_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFrame:
-    return top_n(merged.select("reason", "days"), ["days"], top, order, tie_break=["reason"])
+    # A reason that all its user-days left again has differences that add up to 0.
+    held = merged.filter(F.col("days") > 0)
+    return top_n(held.select("reason", "days"), ["days"], top, order, tie_break=["reason"])
 
 
 def classified_finalize(tables, merged: DataFrame, top: int, order: str) -> DataFrame:

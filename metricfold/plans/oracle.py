@@ -271,6 +271,7 @@ ORDER BY origin_rank, destination_rank, origin, carrier, destination LIMIT 10"""
     "metric_first_reason_counts": REASON_COUNTS_TOP,
     "metric_share_by_reason": SHARE_TOP,
     "stream_first_reason_counts": REASON_COUNTS_TOP,
+    "stream_keyed_reason_counts": REASON_COUNTS_TOP,
     "stream_replay_after_compaction": REASON_COUNTS_TOP,
     "seeded_merge": ALL_ORIGINS,
     "csv_reordered_columns": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",

@@ -40,6 +40,7 @@ from metricfold.sinks.files import as_view, save, write_csv_dir, write_single_cs
 from metricfold.sources.catalog import path_for
 from metricfold.sources.csv import cast_to, read_csv, read_csv_checked, read_csv_inferred
 from metricfold.sources.tables import DRIVER_TABLES, Tables
+from metricfold.streaming.keyed_reasons import start_reason_stream
 from metricfold.streaming.micro_batch import apply_batch, start_metric_stream
 
 # Replay cut days (first increment ends here, the second holds the rest).
@@ -370,6 +371,21 @@ def stream_first_reason_counts(spark, sf_dir):
     return results(t, [M.FIRST_REASON_COUNTS], store)[M.FIRST_REASON_COUNTS.name].top
 
 
+def stream_keyed_reason_counts(spark, sf_dir):
+    """M5 as keyed streaming state: two arrivals that split user-days, the second after a restart from the checkpoint."""
+    t = _tables(spark, sf_dir)
+    store = _fresh_store(spark, "keyed")
+    inbox, checkpoint = scratch_dir(spark, "keyed-inbox"), scratch_dir(spark, "keyed-checkpoint")
+    for part in (0, 1):
+        t["events"].filter(F.col("event_id") % 2 == part).write.parquet(f"{inbox}/part={part}")
+        stream = spark.readStream.schema(t["events"].schema).parquet(f"{inbox}/*")
+        query = start_reason_stream(spark, stream, t, store, checkpoint)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+    return results(t, [M.FIRST_REASON_COUNTS], store)[M.FIRST_REASON_COUNTS.name].top
+
+
 def stream_replay_after_compaction(spark, sf_dir):
     """M5 from two micro-batches that split every user-day, compacted, and the second replayed."""
     t = _tables(spark, sf_dir)
@@ -538,6 +554,7 @@ QUERIES: dict[str, Query] = {
     "metric_first_reason_counts": metric_first_reason_counts,
     "metric_share_by_reason": metric_share_by_reason,
     "stream_first_reason_counts": stream_first_reason_counts,
+    "stream_keyed_reason_counts": stream_keyed_reason_counts,
     "stream_replay_after_compaction": stream_replay_after_compaction,
     "seeded_merge": seeded_merge,
     "csv_reordered_columns": csv_reordered_columns,

@@ -126,7 +126,7 @@ def check_partial(spec: MetricSpec, partial: DataFrame) -> DataFrame:
     return partial.select(*spec.keys, *spec.sums)
 
 
-BATCH, STREAM = "batch", "stream"
+BATCH, STREAM, KEYED = "batch", "stream", "keyed"
 
 
 def require_mode(store: StateStore, specs: Sequence[MetricSpec], mode: str) -> None:
@@ -135,7 +135,7 @@ def require_mode(store: StateStore, specs: Sequence[MetricSpec], mode: str) -> N
     A batch run takes the days after the last stored one, a stream takes whatever arrives: a
     stream's last day may be there only in part, so a store takes one or the other.
     """
-    fed = {BATCH: "batch runs", STREAM: "a stream"}
+    fed = {BATCH: "batch runs", STREAM: "a stream", KEYED: "a stream with keyed state"}
     for spec in specs:
         state = store.latest().get(spec.name)
         if state is not None and state.liveWindows and (state.mode or mode) != mode:
@@ -266,14 +266,15 @@ def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpe
                       increments: Mapping[str, DataFrame], windows: Mapping[str, str],
                       spans: Mapping[str, Span], now: dt.datetime | None = None,
                       batch: tuple[str, int] | None = None, noted: Noted | None = None,
-                      replacing: Mapping[str, str] | None = None) -> dict[str, MetricState]:
+                      replacing: Mapping[str, str] | None = None, mode: str | None = None) -> dict[str, MetricState]:
     """Write each metric's partial of its increment under its window, then commit.
 
     Metrics with the same increment share one scan of it (``shared_reductions``).  Partial writes of
     different metrics run concurrently; the new state version is written only after all of them succeeded.  Only committed windows are ever read, and
     no window name is used by two attempts, so a retry never counts a row twice.
     ``batch`` (streaming query id, batch id) is noted in the state with a micro-batch.  ``noted`` asks for
-    ledgers, ``replacing`` (metric -> live window) names windows that the new ones stand in for.
+    ledgers, ``replacing`` (metric -> live window) names windows that the new ones stand in for.  ``mode`` is
+    noted as what feeds the metrics (without it: a stream where there is a batch, else batch runs).
     """
     if not specs:
         return {}
@@ -301,7 +302,7 @@ def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpe
         if replacing:
             old = replace(old, liveWindows=tuple(w for w in old.liveWindows if w != replacing[spec.name]))
         new_rows[spec.name] = old.committing(
-            windows[spec.name], date=now, lastBatches=batches, mode=STREAM if batch else BATCH,
+            windows[spec.name], date=now, lastBatches=batches, mode=mode or (STREAM if batch else BATCH),
             dateFrom=min((d for d in (old.dateFrom, seen.first) if d is not None), default=None),
             dateTo=max((d for d in (old.dateTo, seen.last) if d is not None), default=None))
     others = [replace(r, committedWindow=None) for n, r in states.items() if n not in new_rows]

@@ -60,7 +60,7 @@ class MetricState:
     committedWindow: str | None = None
     liveWindows: tuple[str, ...] = ()
     lastBatches: Mapping[str, int] = field(default_factory=dict)
-    mode: str | None = None             # what feeds the metric: "batch" or "stream"
+    mode: str | None = None             # what feeds the metric: "batch", "stream" or "keyed"
 
     def as_tuple(self):
         return (self.metricName, self.top, self.order, self.date, self.dateFrom, self.dateTo,
