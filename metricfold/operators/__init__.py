@@ -19,6 +19,7 @@ from metricfold.operators.joins import (
     merge_join,
     roll_up,
     side_by_side,
+    with_dimension,
 )
 from metricfold.operators.projections import drop_incomplete, only_zero, project, rename_all
 from metricfold.operators.ranking import (
@@ -39,5 +40,5 @@ __all__ = [
     "mean_parts", "merge_join", "merge_sums", "only_zero", "position_within",
     "hot_keys", "project", "rank_spread", "rank_within", "reduced", "reduced_together", "rename_all", "require_columns", "require_tables",
     "roll_up", "share_of_total", "side_by_side", "sort_all", "sum_by", "top_n", "top_per_group", "union_parts",
-    "unpacked",
+    "unpacked", "with_dimension",
 ]

@@ -28,6 +28,12 @@ def attach(df: DataFrame, dim: DataFrame, key: str, dim_key: str,
     return df.join(side, F.col(key) == F.col(right_key), "inner").drop(right_key)
 
 
+def with_dimension(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` the dimension has: those that :func:`attach` keeps, once each."""
+    side = dim.select(F.col(dim_key).alias(f"__{dim_key}"))
+    return df.join(side, F.col(key) == F.col(f"__{dim_key}"), "left_semi")
+
+
 def roll_up(df: DataFrame, key: str, dim: DataFrame, dim_key: str,
             attrs: Mapping[str, str], sums: Sequence[str], pre_aggregate: bool = True) -> DataFrame:
     """Swap fact key ``key`` for dimension attributes ``attrs`` (inner join).

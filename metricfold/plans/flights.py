@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from metricfold.functions.columns import first_positive
 from metricfold.operators.aggregates import mean_from_parts, share_of_total
-from metricfold.operators.joins import attach, attach_where
+from metricfold.operators.joins import attach, attach_where, with_dimension
 from metricfold.operators.ranking import top_n
 from metricfold.operators.reductions import Reduction
 from metricfold.plans.metrics import MetricSpec, code_of, one, rank_and_pair, saved_count
@@ -53,7 +53,8 @@ TOP_AIRPORTS_BY_FLIGHTS = MetricSpec(
     name="TopAirportsByFlights", source="flights",
     required={"flights": ("ORIGIN_AIRPORT",) + DATE_PARTS, "airports": ("IATA_CODE", "AIRPORT")},
     keys=("ORIGIN_AIRPORT",), sums=("count",),
-    reduction=DEPARTURES, finalize=airports_finalize, import_saved=airports_saved,
+    reduction=DEPARTURES, finalize=airports_finalize, import_saved=airports_saved, ranked="count",
+    known=lambda tables, rows: with_dimension(rows, tables["airports"], "ORIGIN_AIRPORT", "IATA_CODE"),
     description="departures per origin airport, named, top N",
 )
 
@@ -80,7 +81,8 @@ ON_TIME_AIRLINES = MetricSpec(
     required={"flights": ("AIRLINE", "ARRIVAL_DELAY") + DATE_PARTS,
               "airlines": ("IATA_CODE", "AIRLINE")},
     keys=("AIRLINE_CODE",), sums=("count",),
-    reduction=ON_TIME_ARRIVALS, finalize=airlines_finalize, import_saved=airlines_saved,
+    reduction=ON_TIME_ARRIVALS, finalize=airlines_finalize, import_saved=airlines_saved, ranked="count",
+    known=lambda tables, rows: with_dimension(rows, tables["airlines"], "AIRLINE_CODE", "IATA_CODE"),
     description="flights arriving with delay exactly 0 per airline, named, top N",
 )
 

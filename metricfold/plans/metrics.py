@@ -22,7 +22,7 @@ from metricfold.operators.aggregates import (
     share_of_total,
     sum_by,
 )
-from metricfold.operators.joins import attach, attach_where, side_by_side
+from metricfold.operators.joins import attach, attach_where, side_by_side, with_dimension
 from metricfold.operators.ranking import check_direction, position_within, rank_within, top_n
 from metricfold.operators.reductions import Reduction, reduced
 from metricfold.plans.analogues import (
@@ -61,6 +61,10 @@ class MetricSpec:
     bounded_top: bool = True
     # (tables, saved full result) -> partial, where a result saved elsewhere can be added to.
     import_saved: Partial | None = None
+    # The sum, never negative, that a top-N is ordered by: windows keep heads of it.  ``known`` (tables, rows) keeps
+    # the rows whose keys the result can name.
+    ranked: str | None = None
+    known: Partial | None = None
     description: str = field(default="", compare=False)
 
     def partial(self, tables: Mapping[str, DataFrame], rows: DataFrame) -> DataFrame:
@@ -124,6 +128,7 @@ TOP_ORIGINS = MetricSpec(
               "nation": ("n_nationkey", "n_name")},
     keys=("origin",), sums=("departures",), finalize=origins_finalize,
     reduction=LINES_BY_SUPPLIER, finish=origins_of, import_saved=origins_saved,
+    ranked="departures", known=lambda tables, rows: with_dimension(rows, tables["nation"], "origin", "n_nationkey"),
     description="departures per origin nation, named, top N",
 )
 
@@ -145,6 +150,7 @@ ON_TIME_SUPPLIERS = MetricSpec(
     required={"lineitem": ("l_suppkey", "l_discount", "l_shipdate"),
               "supplier": ("s_suppkey", "s_name")},
     keys=("supplier",), sums=("on_time",), reduction=ON_TIME_BY_SUPPLIER, finalize=on_time_finalize,
+    ranked="on_time", known=lambda tables, rows: with_dimension(rows, tables["supplier"], "supplier", "s_suppkey"),
     description="lines with zero discount per supplier, named, top N",
 )
 

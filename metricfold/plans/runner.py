@@ -24,9 +24,12 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from metricfold.operators.aggregates import merge_sums
+from metricfold.operators.ranking import check_direction
 from metricfold.operators.reductions import TAG, Reduction, reduced_together, unpacked
 from metricfold.operators.validate import require_tables
 from metricfold.plans.facts import FACT_TABLES, FactTable, Span, span
+from metricfold.plans.heads import top_rows
 from metricfold.plans.metrics import MetricSpec
 from metricfold.plans.state import MetricState, StateStore, window_key
 from metricfold.sources.csv import read_csv
@@ -38,12 +41,15 @@ MAX_CONCURRENT_JOBS = 8
 
 
 class MetricResult:
-    """A metric's merged result; plans are built on first access."""
+    """A metric's merged result; plans are built on first access.
+
+    The top of a ranked metric is read from its windows' heads: its first access runs a small job that finds the bound.
+    """
 
     def __init__(self, tables: Mapping[str, DataFrame], spec: MetricSpec, merged: DataFrame,
-                 state: MetricState):
+                 state: MetricState, store: StateStore | None = None):
         self._tables, self._spec, self._merged = tables, spec, merged
-        self.state = state
+        self.state, self._store = state, store
         self.bounded_top = spec.bounded_top
 
     @cached_property
@@ -54,7 +60,15 @@ class MetricResult:
     @cached_property
     def top(self) -> DataFrame:
         """What the user reads (top-N, ranks <= k, ...)."""
-        return self._spec.finalize(self._tables, self._merged, self.state.top, self.state.order)
+        return self._spec.finalize(self._tables, self._leading(), self.state.top, self.state.order)
+
+    def _leading(self) -> DataFrame:
+        """Merged rows among which the top result is: those of the leading keys, or all."""
+        spec, rows = self._spec, None
+        if spec.ranked and self._store and self.state.top is not None and check_direction(self.state.order) == "desc":
+            known = (lambda heads: spec.known(self._tables, heads)) if spec.known else (lambda heads: heads)
+            rows = top_rows(self._store, spec.name, spec.keys, spec.ranked, self.state.top, known)
+        return self._merged if rows is None else merge_sums(rows, list(spec.keys), list(spec.sums))
 
 
 def seed_rows(specs: Sequence[MetricSpec], root: str) -> list[MetricState]:
@@ -93,7 +107,7 @@ def seed_from_saved(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpec]
                 raise ValueError(f"metric {spec.name!r} has a date but no saved result that can be added "
                                  f"to (pathAll={row.pathAll!r}): name it in start_afresh to count it anew")
             saved = spec.import_saved(tables, read_csv(store.spark, row.pathAll))
-            store.write_partial(spec.name, window, check_partial(spec, saved))
+            store.write_partial(spec.name, window, check_partial(spec, saved), spec.ranked)
             row = row.committing(window, mode=BATCH)
         for target in ("path", "pathAll"):
             named = getattr(row, target)
@@ -283,7 +297,7 @@ def commit_increments(tables: Mapping[str, DataFrame], specs: Sequence[MetricSpe
     def write_partial(spec: MetricSpec, shared: Mapping[str, DataFrame]) -> None:
         rows = increments[spec.name]
         made = spec.finished(tables, shared[spec.name]) if spec.name in shared else spec.partial(tables, rows)
-        store.write_partial(spec.name, windows[spec.name], check_partial(spec, made))
+        store.write_partial(spec.name, windows[spec.name], check_partial(spec, made), spec.ranked)
 
     with ThreadPoolExecutor(max_workers=MAX_CONCURRENT_JOBS) as pool, store.scratch() as folder:
         groups = [(of_rows, pool.submit(shared_reductions, rows, of_rows, f"{folder}/reduced-{i}", noted))
@@ -323,7 +337,7 @@ def read_result(tables: Mapping[str, DataFrame], spec: MetricSpec, store: StateS
     merged = store.merged(spec.name, spec.keys, spec.sums)
     if merged is None:
         merged = empty_partial(tables, spec)
-    return MetricResult(tables, spec, merged, state)
+    return MetricResult(tables, spec, merged, state, store)
 
 
 def write_results(res: Mapping[str, MetricResult]) -> None:
@@ -347,7 +361,7 @@ def write_results(res: Mapping[str, MetricResult]) -> None:
 
 def compact(store: StateStore, specs: Sequence[MetricSpec], min_windows: int = 2) -> dict[str, str]:
     """Fold the windows of every metric that has a tier of at least ``min_windows``."""
-    due = {spec.name: (spec.keys, spec.sums) for spec in (stored_form(store, s) for s in specs)}
+    due = {spec.name: (spec.keys, spec.sums, spec.ranked) for spec in (stored_form(store, s) for s in specs)}
     return store.compact(due, min_windows, ledgers={s.name: s.source for s in specs})
 
 

@@ -4,6 +4,7 @@ Layout under a store root (any Hadoop-compatible filesystem)::
 
     state/version=N/part-*.parquet         one row per metric (STATE schema)
     partials/<metric>/window_start=W/      the partial aggregate of one increment
+    heads/<metric>/window_start=W/         the partial's rows of largest sums, of a ranked metric
     ledger/<fact table>/window=W/          days, row counts and checksums that an increment held
     staging/<attempt>/                     a version being written, not yet claimed
 
@@ -45,6 +46,7 @@ from metricfold.sources.csv import read_csv
 
 NO_WINDOW = "none"
 COMPACTED_PREFIX = "compact-"
+HEAD_ROWS = 1_000       # rows of a window's head
 
 
 @dataclass(frozen=True)
@@ -246,7 +248,7 @@ class StateStore:
     def compact(self, metrics: Mapping[str, tuple], fan: int = 2, ledgers: Mapping[str, str] | None = None) -> dict[str, str]:
         """Fold windows of like size, tier by tier; one commit for all metrics.
 
-        ``metrics`` maps metric name -> ``(keys, sums)``.  An increment's window is of tier 0.  A tier
+        ``metrics`` maps metric name -> ``(keys, sums)``, and the sum it is ranked by, if it keeps heads.  An increment's window is of tier 0.  A tier
         that holds ``fan`` windows or more is folded into one window of the next tier (which may fill that one:
         then both are folded at once), so a large window is read and written again only together with
         ``fan`` others of its size: n runs write a partial O(log n) times each, and a result is spread over fewer than
@@ -265,8 +267,9 @@ class StateStore:
                  for m, windows in due.items()}
 
         def fold(metric: str) -> None:
-            keys, sums = metrics[metric]
-            self.write_partial(metric, named[metric], merge_sums(self.read_partials(metric, due[metric]), list(keys), list(sums)))
+            keys, sums, *ranked = metrics[metric]
+            merged = merge_sums(self.read_partials(metric, due[metric]), list(keys), list(sums))
+            self.write_partial(metric, named[metric], merged, *ranked)
 
         def fold_ledger(source: str, new: str, windows: tuple[str, ...]) -> None:
             paths = [self.ledger_path(source, w) for w in windows]
@@ -317,9 +320,17 @@ class StateStore:
     def partial_path(self, metric: str, window: str) -> str:
         return f"{self.partial_dir}/{metric}/window_start={window}"
 
-    def write_partial(self, metric: str, window: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.partial_path(metric, window))
+    def head_path(self, metric: str, window: str) -> str:
+        return f"{self.root}/heads/{metric}/window_start={window}"
+
+    def write_partial(self, metric: str, window: str, df: DataFrame, ranked: str | None = None) -> None:
+        """Write a window's partial, and the head of its rows by ``ranked``, if given."""
+        path = self.partial_path(metric, window)
+        (df.sortWithinPartitions(F.desc(ranked)) if ranked else df).write.mode("overwrite").parquet(path)
         self._schemas[metric] = df.schema
+        if ranked:
+            head = self.spark.read.schema(df.schema).parquet(path).orderBy(F.desc(ranked)).limit(HEAD_ROWS)
+            head.write.mode("overwrite").parquet(self.head_path(metric, window))
 
     def partial_schema(self, metric: str) -> T.StructType | None:
         """Columns of the committed partials (a footer, or the write in this process), else None."""
@@ -340,6 +351,13 @@ class StateStore:
         paths = [self.partial_path(metric, window) for window in chosen]
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def read_heads(self, metric: str) -> DataFrame | None:
+        """Heads of all live windows; None unless each of them has one."""
+        paths = [self.head_path(metric, window) for window in self.committed_windows(metric)]
+        if not paths or not all(self.exists(path) for path in paths):
+            return None
+        return self.spark.read.schema(self.partial_schema(metric)).parquet(*paths)
+
     def merged(self, metric: str, keys, sums) -> DataFrame | None:
         parts = self.read_partials(metric)
         if parts is None:
