@@ -3,8 +3,8 @@
 A document's set: hashes of its distinct shingles (runs of ``width`` words, A-Z lower-cased; with
 fewer words, all of them as one).  Two documents link when ``100 * common >= percent * union``.
 
-1. Prefixes.  All sets are sorted in one order (frequent shingles of a bounded sample last, then
-   by hash).  Linked sets share a shingle in their first n - ceil(s n) + 1, and several in a longer
+1. Prefixes.  All sets are sorted in one order (frequent shingles last, by the number of documents
+   that hold them, then by hash).  Linked sets share a shingle in their first n - ceil(s n) + 1, and several in a longer
    prefix.  ``shared_keys`` tells which prefix shingles two different sets have; sets with too few
    of them link with nothing.  Equal sets are one class from here on.
 2. Hubs.  In every tile (the classes that share a prefix shingle) the class with the fewest
@@ -18,7 +18,8 @@ fewer words, all of them as one).  Two documents link when ``100 * common >= per
 4. Pairs that the bound leaves, in different components, are compared exactly: the intersection of the sorted arrays.
 
 Components follow from the links between classes and the classes' members; copies are never
-expanded into pairs.  The frequent list only orders shingles; it changes speed, not results.
+expanded into pairs.  The frequent list only orders shingles; it changes speed, not results.  Its
+counts are those of all documents (``frequent_shingles``).
 Shingles are compared by 64-bit hashes, classes by a 64-bit hash of the whole set and its size.
 
 Null, empty and word-less texts have empty sets, link with nothing and are their own component.
@@ -42,17 +43,18 @@ from metricfold.session import scratch_dir
 from metricfold.llm.text_bytes import lower_ascii, mix, slices, text_and_offsets, window_hashes, word_bounds, word_hashes
 
 WIDTH, PERCENT = 4, 85
-SAMPLE_DOCS = 8_192         # documents whose shingles order the rest
-FREQUENT = 65_536           # most shingles in that order
-FREQUENT_FROM = 6           # documents of the sample
+PART_BYTES = 16 << 20       # text whose shingles a task counts at once, about
+FREQUENT = 65_536           # most shingles with a place of their own in the order
+FREQUENT_FROM = 6           # documents for each part that hold a frequent shingle, on average
+RARE = 2                    # documents of a part up to which a shingle is not told of at first
 PRUNINGS = 2
 TILE_BLOCK = 1_024          # classes of a hub's tiles that one task pairs with each other or another block
 MEMBERS = ("doc_id long, text_key long, class long, n long, unshared int, n_core int, keys array<long>, "
            "shingles array<long>, signature binary")
 
 
-def shingle_sets(texts, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hash of every distinct shingle, ordered by row and hash."""
+def shingles_of(texts, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every shingle, repeated ones too."""
     buf, off = text_and_offsets(texts)
     buf = lower_ascii(buf)
     starts, ends, row = word_bounds(buf, off)
@@ -74,13 +76,23 @@ def shingle_sets(texts, width: int) -> tuple[np.ndarray, np.ndarray]:
             rows.append(at)
     if not hashes:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h, r = np.concatenate(hashes), np.concatenate(rows)
+    return np.concatenate(rows), np.concatenate(hashes)
+
+
+def _distinct(r: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(h):
+        return r, h
     order = np.lexsort((h, r))
     h, r = h[order], r[order]
     keep = np.append(True, (h[1:] != h[:-1]) | (r[1:] != r[:-1]))
     return r[keep], h[keep]
 
 
+def shingle_sets(texts, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every distinct shingle, ordered by row and hash."""
+    return _distinct(*shingles_of(texts, width))
+
+
 def ceil_share(n: np.ndarray, percent: int) -> np.ndarray:
     return (percent * n + 99) // 100
 
@@ -162,28 +174,73 @@ def _lists(values: np.ndarray, counts: np.ndarray, present: np.ndarray) -> pa.Li
     return pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))
 
 
-def _sampled(width: int):
+def _counts(h: np.ndarray, n: np.ndarray, mask: np.ndarray | None = None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64), mask=mask), pa.array(n, pa.int64())], ["h", "n"])
+
+
+def _common(width: int, part_bytes: int):
+    """The shingles in more than ``RARE`` documents of a part, and a row with a null for each part."""
+    def counted(part: list[np.ndarray]) -> pa.RecordBatch:
+        values, n = np.unique(np.concatenate(part), return_counts=True)
+        values, n = values[n > RARE], n[n > RARE]
+        return _counts(np.append(values, np.uint64(0)), np.append(n, 0), np.arange(len(n) + 1) == len(n))
+
+    def run(batches):
+        part, size = [], 0
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                part.append(shingle_sets(piece.column(0), width)[1])
+                size += int(text_and_offsets(piece.column(0))[1][-1])
+                if size >= part_bytes:
+                    yield counted(part)
+                    part, size = [], 0
+        if size:
+            yield counted(part)
+    return run
+
+
+def _counted(width: int, candidates):
+    """In how many documents of the task each of the candidates (in order) is."""
     def run(batches):
-        counts: dict[int, int] = {}
+        known = candidates.value
+        total = np.zeros(len(known), np.int64)
         for batch in batches:
             for piece in slices(batch, "text"):
-                values, n = np.unique(shingle_sets(piece.column(0), width)[1], return_counts=True)
-                keep = n > 1
-                for v, c in zip(values[keep].tolist(), n[keep].tolist()):
-                    counts[v] = counts.get(v, 0) + c
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(list(counts), np.uint64).view(np.int64)),
-                                          pa.array(list(counts.values()), pa.int64())], ["h", "n"])
+                r, h = shingles_of(piece.column(0), width)
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                found = known[at] == h
+                total += np.bincount(_distinct(r[found], at[found])[1], minlength=len(known))
+        yield _counts(known[total > 0], total[total > 0])
     return run
 
 
-def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
-    """At most ``FREQUENT`` shingles that occur in several of about ``SAMPLE_DOCS`` documents, rarest first."""
-    n = docs.count()
-    share = max(1, n // SAMPLE_DOCS)
-    sample = docs.where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(share)) == 0).select("text")
-    counted = sample.mapInArrow(_sampled(width), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    rows = counted.where(F.col("n") >= FREQUENT_FROM).orderBy(F.col("n").desc(), "h").limit(FREQUENT).collect()
-    return np.array([r.h for r in reversed(rows)], np.int64).view(np.uint64)
+def frequent_shingles(docs: DataFrame, size: int, save, width: int, part_bytes: int = PART_BYTES) -> DataFrame:
+    """``h, n``: the shingles in at least ``FREQUENT_FROM`` documents for each part of the text, and in how many
+    of all documents they are.
+
+    Every document is counted, in two passes.  In the first, each part of about ``part_bytes`` tells the counts above
+    ``RARE``.  What it leaves out is at most ``RARE`` for each part, so a shingle that reaches the bound with that
+    added is a candidate, and no other can be frequent.  The counts above ``RARE`` of a candidate add up to
+    ``FREQUENT_FROM - RARE`` for each part, so there are at most a quarter as many candidates as a
+    part has shingles, however many parts there are.  The second pass counts the candidates in all documents.
+    """
+    context = docs.sparkSession.sparkContext
+    texts = docs.select("text").coalesce(max(1, -(-size // part_bytes)))        # parts of a fair size
+    told = save(texts.mapInArrow(_common(width, part_bytes), "h long, n long").groupBy("h").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")), "common-shingles")
+    parts = told.where("h IS NULL").agg(F.sum("parts")).first()[0] or 0
+    able = told.where(f"h IS NOT NULL AND n + {RARE} * ({parts} - parts) >= {FREQUENT_FROM * parts}").select("h")
+    candidates = np.sort(able.toArrow()["h"].to_numpy().view(np.uint64))
+    if not len(candidates):
+        return told.where("false").select("h", "n")
+    counted = docs.select("text").mapInArrow(_counted(width, context.broadcast(candidates)), "h long, n long")
+    return counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_FROM * parts)
+
+
+def shingle_order(docs: DataFrame, size: int, save, width: int) -> np.ndarray:
+    """The ``FREQUENT`` most frequent shingles at most, rarest first."""
+    most = frequent_shingles(docs, size, save, width).orderBy(F.col("n").desc(), "h").limit(FREQUENT).toArrow()
+    return most["h"].to_numpy()[::-1].copy().view(np.uint64)
 
 
 def _verify(percent: int):
@@ -275,7 +332,7 @@ def linked(docs: DataFrame, save: Callable[[DataFrame, str], DataFrame], width:
            percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """The members (``doc_id, text_key, class, n``) of all classes, and the components (``class, component``) of linked ones."""
     size = sk.text_bytes(docs)
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, width))      # at most FREQUENT numbers
+    frequent = docs.sparkSession.sparkContext.broadcast(shingle_order(docs, size, save, width))      # at most FREQUENT numbers
     own = sk.dealt(docs, size).withColumn("text_key", text_key())
     bits = sk.bucket_bits(size / 6 * 0.25 * 8)
     replies = sk.answers(own.groupBy("chunk").applyInArrow(_send_prefixes(width, percent, frequent, bits), sk.SENT))

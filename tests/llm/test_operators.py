@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -214,6 +215,29 @@ def test_jaccard_join(docs, none, rows, width, percent):
         assert jaccard_join.grouped(none, save).count() == 0
 
 
+def test_frequent_shingles_are_counted_in_all_documents(spark):
+    """Shingles on and below the bound, dealt evenly to the parts or all in one, against a plain count."""
+    phrase = {c: " ".join(f"{c}{i}" for i in range(6)) for c in "abcde"}       # three windows each
+    rows = []
+    for i in range(300):                # five parts of 60: the bound is 30 documents
+        part, at = divmod(i, 60)
+        inside = ["a", "a"] if at >= 20 else []
+        inside += ["b"] * (part == 4 and at < 30) + ["c"] * (part == 1 and at < 29) + ["d"] * (at < 6) + ["e"] * (at < 2)
+        rows.append((i, " x ".join([f"own{i} and{i} more{i} of{i}", *(phrase[c] for c in inside)])))
+    rows += [(300, None), (301, "")]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows[:300], 5).union(
+        spark.sparkContext.parallelize(rows[300:], 1)), "doc_id long, text string")
+    want = Counter(jaccard_join.shingle_sets(pa.array([t for _, t in rows]), 4)[1].view(np.int64).tolist())
+    size = sum(len(t or "") for _, t in rows)
+    assert {10, 29, 30, 200} <= set(want.values())
+    for part_bytes, least in ((1, 30), (1 << 20, 6)):
+        got = {r.h: r.n for r in jaccard_join.frequent_shingles(frame, size, save, 4, part_bytes).collect()}
+        assert got == {h: n for h, n in want.items() if n >= least}
+    order = jaccard_join.shingle_order(frame, size, save, 4)
+    assert [want[h] for h in order.view(np.int64).tolist()] == sorted(n for n in want.values() if n >= 6)
+    assert len(jaccard_join.shingle_order(frame.limit(0), 0, save, 4)) == 0
+
+
 def test_null_ids_bridge_nothing_and_other_texts_stay(spark):
     """A null-id text near to two that do not link, and an id with one near copy and one text of its own."""
     words = [f"w{i}" for i in range(100)]
