@@ -2,18 +2,20 @@
 
 ``micro_batch`` stores the amounts of each batch's user-days and classifies all of them again on
 every read.  Here a user-day's five sums live in the streaming state store (one state row for each
-user-day, on the executors, in the query's checkpoint).  A micro-batch adds to them and emits the
-reason before and after, and what is committed is one small window of ``(reason, days)``
-differences.  So a read merges at most one row per reason and window, however many
+user-day, on the executors, in the query's checkpoint): a streaming aggregate adds a micro-batch to
+them.  For each user-day of the batch its sums so far and what the batch added give the reason before
+and after, and what is committed is one small window of ``(reason, days)`` differences.  So a read merges at most one row per reason and window, however many
 user-days there are, and late rows still move their user-day to its right reason.
 
-Rows are summed inside the tasks before they are exchanged by user-day, so a user-day with a third of
-all rows arrives as one row for each Arrow batch.  Null users and days are keys like others, as in a batch run.
+All of this is in Spark's own expressions, with no call of Python for a user-day.  Rows are summed inside the tasks
+before they are exchanged by user-day, so a user-day with a third of
+all rows arrives as one row for each task.  Null users and days are keys like others, as in a batch run.
 
 A batch that is replayed finds the state of the batch before it, gives the same differences, and is
 skipped by the store if they were committed.  The sums live in the checkpoint, so a store
 takes the batches of one streaming query: a stream with a new checkpoint, and the other
-modes, are refused.
+modes, are refused.  Checkpoints of the earlier form (a state function in Python) cannot be
+gone on with: their state has other columns, and Spark refuses them.
 """
 
 from __future__ import annotations
@@ -23,12 +25,9 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import replace
 
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from metricfold.operators.validate import require_tables
 from metricfold.plans.analogues import REASON_COLUMNS, reason_sums, user_day
@@ -48,8 +47,6 @@ from metricfold.streaming.micro_batch import batch_window
 KEYS = ("user_id", "day")
 AMOUNTS = tuple(REASON_COLUMNS.values())
 SUMMED = (*AMOUNTS, "rows")
-STATE = ", ".join(f"{c} long" for c in AMOUNTS)
-CHANGES = "day date, rows long, was string, now string"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # What is committed: the differences, which add up like the batch run's counts.
@@ -59,33 +56,35 @@ REASON_DIFFERENCES = replace(
     description="changes of the user-days' reasons")
 
 
-def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        grouped = pa.Table.from_batches([batch]).group_by(list(KEYS)).aggregate([(c, "sum") for c in SUMMED])
-        yield from grouped.select([*KEYS, *(f"{c}_sum" for c in SUMMED)]).rename_columns([*KEYS, *SUMMED]).to_batches()
+def _sums() -> list[Column]:
+    return [F.sum(c).alias(c) for c in SUMMED]
 
 
-def _reason(sums: list[int]) -> str | None:
-    return next((reason for reason, amount in zip(REASON_COLUMNS, sums) if amount > 0), None)
+def keyed_sums(events: DataFrame) -> DataFrame:
+    """Stream of ``user_id, day``, amounts, ``rows, kept``: each user-day's sums so far, as kept in the state, if a micro-batch
+    touches it (``kept``), and the amounts of the batch's own rows (not ``kept``)."""
+    amounts = events.select(*[c.alias(name) for name, c in user_day().items()],
+                            *[F.coalesce(c, F.lit(0)).cast("long").alias(name) for name, c in reason_sums().items()],
+                            F.lit(1).cast("long").alias("rows"))
+    kept = amounts.groupBy(*KEYS).agg(*_sums())
+    return kept.withColumn("kept", F.lit(True)).unionByName(amounts.withColumn("kept", F.lit(False)))
 
 
-def _change(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    sums = list(state.get) if state.exists else [0] * len(AMOUNTS)
-    was, rows = _reason(sums), 0
-    for frame in frames:
-        sums = [old + int(frame[c].sum()) for old, c in zip(sums, AMOUNTS)]
-        rows += int(frame["rows"].sum())
-    state.update(tuple(sums))
-    yield pd.DataFrame({"day": [key[1]], "rows": [rows], "was": [was], "now": [_reason(sums)]}, dtype=object)
+def _reason(sums: dict[str, Column]) -> Column:
+    return F.coalesce(*[F.when(sums[amount] > 0, F.lit(reason)) for reason, amount in REASON_COLUMNS.items()])
 
 
-def reason_changes(events: DataFrame) -> DataFrame:
-    """Stream of ``day, rows, was, now``: for each user-day a micro-batch touches, its reason before and after."""
-    amounts = events.select(*[c.alias(name) for name, c in user_day().items()],
-                            *[F.coalesce(c, F.lit(0)).cast("long").alias(name) for name, c in reason_sums().items()],
-                            F.lit(1).cast("long").alias("rows"))
-    combined = amounts.mapInArrow(_combined, amounts.schema)
-    return combined.groupBy(*KEYS).applyInPandasWithState(_change, CHANGES, STATE, "update", GroupStateTimeout.NoTimeout)
+def reason_changes(batch: DataFrame) -> DataFrame:
+    """``day, rows, was, now`` of a micro-batch of ``keyed_sums``: for each user-day in it, its reason before and after."""
+    def side(kept: Column) -> list[Column]:
+        return [F.sum(F.when(kept, F.col(c)).otherwise(0)) for c in SUMMED]
+
+    so_far, added = side(F.col("kept")), side(~F.col("kept"))
+    both = batch.groupBy(*KEYS).agg(*[c.alias(f"{name}_so_far") for name, c in zip(SUMMED, so_far)],
+                                    *[c.alias(f"{name}_added") for name, c in zip(SUMMED, added)])
+    before = {c: F.col(f"{c}_so_far") - F.col(f"{c}_added") for c in AMOUNTS}
+    after = {c: F.col(f"{c}_so_far") for c in AMOUNTS}
+    return both.select("day", F.col("rows_added").alias("rows"), _reason(before).alias("was"), _reason(after).alias("now"))
 
 
 def summed_changes(changes: DataFrame) -> DataFrame:
@@ -100,7 +99,7 @@ def summed_changes(changes: DataFrame) -> DataFrame:
 
 def apply_changes(changes: DataFrame, batch_id: int, tables: Mapping[str, DataFrame], store: StateStore,
                   query_id: str, compact_after: int | None = COMPACT_AFTER_WINDOWS) -> None:
-    """Commit one micro-batch of ``reason_changes`` as an increment; a batch committed before changes nothing.
+    """Commit the ``reason_changes`` of one micro-batch as an increment; a batch committed before changes nothing.
 
     ValueError where the store's user-days are held by another query or it is fed in another mode.
     """
@@ -145,11 +144,11 @@ def start_reason_stream(spark: SparkSession, stream: DataFrame, tables: Mapping[
     """Start a query that keeps M5 from a stream of events; ``checkpoint`` must be shared storage."""
     require_tables({**tables, FIRST_REASON_COUNTS.source: stream}, FIRST_REASON_COUNTS.required)
 
-    def each_batch(changes: DataFrame, batch_id: int) -> None:
-        query_id = changes.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        apply_changes(changes, batch_id, tables, store, query_id)
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        apply_changes(reason_changes(batch), batch_id, tables, store, query_id)
 
-    writer = (reason_changes(stream).writeStream.outputMode("update").foreachBatch(each_batch)
+    writer = (keyed_sums(stream).writeStream.outputMode("update").foreachBatch(each_batch)
               .option("checkpointLocation", checkpoint))
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)

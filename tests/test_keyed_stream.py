@@ -10,7 +10,7 @@ from metricfold.plans import metrics as M
 from metricfold.plans.runner import full_recompute, results, run_metrics
 from metricfold.plans.state import StateStore
 from metricfold.sources.tables import Tables
-from metricfold.streaming import apply_changes, start_reason_stream
+from metricfold.streaming import apply_changes, keyed_sums, reason_changes, start_reason_stream
 from tests.conftest import SF_SMALL
 
 EVENTS = "event_id long, user_id long, ts timestamp_ntz, event_type string, value double"
@@ -86,6 +86,23 @@ def test_nulls_are_keys_and_a_hot_user_day_is_one(spark, workdir):
     assert feed.full() == [("click", 1), ("error", 1), ("purchase", 1), ("view", 1)]
 
 
+def test_user_days_are_summed_without_python(spark, workdir):
+    """No call of Python for a user-day: the sums and the reasons before and after are Spark's expressions."""
+    rows = made(spark, (1, 0, "view", 1.0), (1, 0, "click", 2.0), (2, 0, "signup", 0.0), (None, None, "error", 1.0), (1, 1, "view", -1.0))
+    rows.write.parquet(workdir)
+    stream = keyed_sums(spark.readStream.schema(rows.schema).parquet(workdir))
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert stream.isStreaming and "Aggregate" in plan and not any(word in plan for word in ("Pandas", "Python", "InArrow", "WithState"))
+    day = dt.date(2024, 1, 1)
+    first = reason_changes(keyed_sums(rows))            # a batch without earlier ones
+    assert {tuple(r) for r in first.collect()} == {
+        (day, 2, None, "click"), (day, 1, None, None), (None, 1, None, "error"), (day + dt.timedelta(days=1), 1, None, None)}
+    later = made(spark, (1, 0, "click", -2.0), (None, None, "click", 1.0))
+    kept = keyed_sums(rows.unionByName(later)).where("kept AND user_id IS DISTINCT FROM 2 AND (user_id IS NULL OR day = '2024-01-01')")
+    second = reason_changes(kept.unionByName(keyed_sums(later).where("NOT kept")))
+    assert {tuple(r) for r in second.collect()} == {(day, 1, "click", "view"), (None, 1, "error", "click")}
+
+
 def test_replayed_batch_is_skipped(spark, workdir):
     tables, store = Tables(spark, SF_SMALL), StateStore(spark, workdir)
     changes = spark.createDataFrame([(dt.date(2024, 1, 1), 3, None, "view"), (dt.date(2024, 1, 2), 1, "view", "click")],
