@@ -82,7 +82,11 @@ def shingles_of(texts, width: int) -> tuple[np.ndarray, np.ndarray]:
 def _distinct(r: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(h):
         return r, h
-    order = np.lexsort((h, r))
+    if r.max() < 1 << 16:       # sorting small numbers stably is fast
+        order = np.argsort(h)
+        order = order[np.argsort(r[order].astype(np.uint16), kind="stable")]
+    else:
+        order = np.lexsort((h, r))
     h, r = h[order], r[order]
     keep = np.append(True, (h[1:] != h[:-1]) | (r[1:] != r[:-1]))
     return r[keep], h[keep]
@@ -116,7 +120,7 @@ class Sets:
             at = np.minimum(np.searchsorted(frequent, h, sorter=by_hash), len(frequent) - 1)
             found = frequent[by_hash[at]] == h
             place[found] = by_hash[at[found]] + 1
-        order = np.lexsort((h, place, row))
+        order = np.lexsort((place, row))        # stable, and in order by row and hash before
         rank = np.arange(len(h)) - self.first[row]
         need = ceil_share(self.n, percent)
         self.core = np.where(self.n > 0, self.n - need + 1, 0)          # every link shares one of these
@@ -204,12 +208,16 @@ def _counted(width: int, candidates):
     def run(batches):
         known = candidates.value
         total = np.zeros(len(known), np.int64)
+        marks = np.zeros(1 << 20, bool)         # spares most others the search
+        marks[known >> np.uint64(44)] = True
         for batch in batches:
             for piece in slices(batch, "text"):
                 r, h = shingles_of(piece.column(0), width)
+                near = np.flatnonzero(marks[h >> np.uint64(44)])
+                r, h = r[near], h[near]
                 at = np.minimum(np.searchsorted(known, h), len(known) - 1)
                 found = known[at] == h
-                total += np.bincount(_distinct(r[found], at[found])[1], minlength=len(known))
+                total += np.bincount(_distinct(r[found], at[found].astype(np.uint64))[1].astype(np.int64), minlength=len(known))
         yield _counts(known[total > 0], total[total > 0])
     return run
 
