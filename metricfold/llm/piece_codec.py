@@ -21,6 +21,7 @@ the decoded text with the text the model's normaliser leaves.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import re
@@ -33,11 +34,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metricfold.llm.text_bytes import slices
+
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 CACHED_WORDS = 500_000      # words whose ids a task keeps
 KEPT_WORDS = 250_000        # most of them that wait in a worker for its next task
 GROUP = 256                 # new words per call
+PIECE_BYTES = 1 << 20       # text that is encoded at once, about
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 SCHEMA = ("doc_id long, ids array<int>, n_ids long, n_bytes long, round_trip boolean, parity boolean")
 
@@ -203,16 +207,29 @@ def codec(data: bytes) -> Codec:
     return Codec(data)
 
 
-def _pieces(items, limit: int = 1 << 20):
-    held, size = [], 0
-    for x in items:
-        held.append(x)
-        size += len(x or "")
-        if size >= limit:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def _give_back() -> None:
+    """Free memory goes back to the system.  Workers outlive their tasks, and the allocators would keep what the words
+    of a task took."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):      # where the C library has it
+        trim(0)
+
+
+def _coded(own: Codec, rows: pa.RecordBatch) -> pa.RecordBatch:
+    texts = rows.column(1).to_pylist()
+    real = [t or "" for t in texts]
+    null = pa.array([t is None for t in texts])
+    flat, sizes, back, parity = own.encode(real)
+    ends = np.cumsum(sizes)
+    offsets = pa.array(np.concatenate(([0], ends)), pa.int32(), mask=np.append([t is None for t in texts], False))
+    out = [
+        pa.ListArray.from_arrays(offsets, pa.array(flat)),
+        pc.if_else(null, None, pa.array(sizes)),
+        pc.if_else(null, None, pa.array([len(t.encode()) for t in real], pa.int64())),
+        pc.if_else(null, None, pa.array(back)),
+        pc.if_else(null, None, pa.array(parity)),
+    ]
+    return pa.RecordBatch.from_arrays([rows.column(0), *out], [f.split()[0] for f in SCHEMA.split(", ")])
 
 
 def _encoder(data: bytes, threads: int):
@@ -223,28 +240,14 @@ def _encoder(data: bytes, threads: int):
         gc.disable()        # nothing here makes reference cycles; scans of millions of lists cost much
         try:
             for batch in batches:
-                done = 0
-                for texts in _pieces(batch.column(1).to_pylist()):
-                    real = [t or "" for t in texts]
-                    null = pa.array([t is None for t in texts])
-                    flat, sizes, back, parity = own.encode(real)
-                    ends = np.cumsum(sizes)
-                    offsets = pa.array(np.concatenate(([0], ends)), pa.int32(),
-                                       mask=np.append([t is None for t in texts], False))
-                    out = [
-                        pa.ListArray.from_arrays(offsets, pa.array(flat)),
-                        pc.if_else(null, None, pa.array(sizes)),
-                        pc.if_else(null, None, pa.array([len(t.encode()) for t in real], pa.int64())),
-                        pc.if_else(null, None, pa.array(back)),
-                        pc.if_else(null, None, pa.array(parity)),
-                    ]
-                    doc_ids = batch.column(0).slice(done, len(texts))
-                    done += len(texts)
-                    yield pa.RecordBatch.from_arrays([doc_ids, *out], [f.split()[0] for f in SCHEMA.split(", ")])
+                for rows in slices(batch, "text", PIECE_BYTES):
+                    yield _coded(own, rows)
+                _give_back()
         finally:        # the worker goes on to other tasks
             gc.enable()
             if len(own.known) > KEPT_WORDS:
                 own.forget()
+            _give_back()
     return run
 
 

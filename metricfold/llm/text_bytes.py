@@ -41,7 +41,7 @@ def slices(batch, text_column: str, limit: int = SLICE_BYTES) -> Iterator:
     n = batch.num_rows
     if n == 0:
         return
-    _, off = text_and_offsets(batch.column(text_column))
+    off = text_and_offsets(batch.column(text_column))[1]        # the copied bytes are not kept
     start = 0
     while start < n:
         stop = int(np.searchsorted(off, off[start] + limit, side="right")) - 1

@@ -2,7 +2,10 @@
 tables and clashing column names."""
 
 import hashlib
+import os
 import re
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
@@ -618,3 +621,48 @@ def test_training_order(docs, none, rows, workdir):
     again = token_order.shards(docs.repartition(5), ranks, length=64, slots=8, chunk_bytes=4000)
     assert {r.sha256 for r in again.collect()} == {r.sha256 for r in manifest}
     assert token_order.shards(none, ranks).count() == 0
+
+
+HELD_BY_A_TASK = """
+import re
+import numpy as np, pyarrow as pa
+from metricfold.llm import piece_codec
+
+def held():
+    with open("/proc/self/smaps_rollup") as file:
+        return int(re.search(r"Anonymous:\\s+(\\d+)", file.read())[1]) // 1024
+
+def batch(rows):
+    words = np.random.default_rng(rows).integers(97, 123, (rows * 100, 9), dtype=np.uint8)
+    texts = [" ".join(w.tobytes().decode() for w in words[i::rows]) for i in range(rows)]
+    return pa.RecordBatch.from_pydict({"doc_id": list(range(rows)), "text": texts})
+
+piece_codec.KEPT_WORDS = 0
+with open(piece_codec.model_path(), "rb") as file:
+    run = piece_codec._encoder(file.read(), 2)
+small, large = batch(10), batch(1000)
+for x in run([small]):
+    pass
+before, rows = held(), 0
+for x in run([large]):
+    rows += x.num_rows
+del x
+print(rows, held() - before)
+"""
+
+
+def test_piece_codec_gives_memory_back():
+    done = subprocess.run([sys.executable, "-c", HELD_BY_A_TASK], capture_output=True, text=True, check=True, timeout=300,
+                          env=os.environ | {"PYTHONPATH": os.pathsep.join(p for p in sys.path if p)})
+    rows, held = map(int, done.stdout.split())
+    assert rows == 1000 and held < 30       # MB that a worker holds after a task of 100,000 new words
+
+
+def test_piece_codec_works_on_pieces(monkeypatch):
+    seen = []
+    monkeypatch.setattr(piece_codec, "_coded", lambda own, rows: seen.append(rows.num_rows) or rows)
+    monkeypatch.setattr(piece_codec, "PIECE_BYTES", 10)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(6)), "text": ["abcd", "abcd", "abcd", None, "", "x" * 50]})
+    with open(piece_codec.model_path(), "rb") as file:
+        run = piece_codec._encoder(file.read(), 1)
+    assert pa.Table.from_batches(list(run([batch]))).equals(pa.Table.from_batches([batch])) and seen == [2, 3, 1]
